@@ -1,0 +1,137 @@
+"""Joins that need more than a plain equality."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from callweave.functions import text as tx
+from callweave.operators.ordered import newest
+
+# rows of a lookup table below which it is sent to every task
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a lookup whose row count is checked; a larger one joins by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Full outer join of metric sets with coalesced keys.
+
+    Written as a union followed by one grouped ``max``, so the sets shuffle once and not once per join.
+    Each set holds a key at most once and its own measure columns.
+    """
+    names = [c for f in frames for c in f.columns if c not in keys]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
+
+
+def day_spine(entities: DataFrame, start: Column, end: Column, name: str = "day") -> DataFrame:
+    """Every entity on every day of [start, end]: row by row, without a cross join."""
+    return entities.withColumn(name, F.explode(F.sequence(start, end, F.expr("interval 1 day"))))
+
+
+def interval_join(
+    points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, slot_seconds: int = 3600,
+    closed: bool = True, how: str = "inner",
+) -> DataFrame:
+    """Points within [start, end] of a span of the same key.
+
+    Both sides meet on (key, time slot): a span is repeated for the slots it touches, so a hot key is
+    spread over its slots and a point is compared only with spans of its slot.
+    """
+    def slot(ts):
+        return F.floor(F.unix_timestamp(ts) / slot_seconds)
+
+    left = points.withColumn("_slot", slot(F.col(at)))
+    right = spans.filter(F.col(start) <= F.col(end)).withColumn(
+        "_slot", F.explode(F.sequence(slot(F.col(start)), slot(F.col(end))))
+    )
+    right = right.select("_slot", *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns if c != "_slot"])
+    upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
+    cond = (left["_slot"] == right["_slot"]) & on & (F.col(at) >= F.col(start)) & upper
+    return left.join(right, cond, how).drop("_slot", *[f"_r_{k}" for k in keys])
+
+
+def span_days(df: DataFrame, start: str, end: str, name: str = "day") -> DataFrame:
+    """A span to the days it touches."""
+    days = F.sequence(F.to_date(start), F.to_date(end), F.expr("interval 1 day"))
+    return df.filter(F.col(start) <= F.col(end)).withColumn(name, F.explode(days))
+
+
+def name_variants(first: Column, middle: Column, last: Column) -> Column:
+    """Ways a person's name may be written, best first; blanks are squeezed."""
+    forms = [
+        (first, last),
+        (last, first),
+        (first, middle, last),
+        (last, first, middle),
+        (middle, last),
+        (first, middle),
+        (last, middle, first),
+        (first, last, middle),
+    ]
+    texts = [F.trim(F.regexp_replace(F.concat_ws(" ", *[F.lower(x) for x in f]), "\\s+", " ")) for f in forms]
+    return F.array_distinct(F.array(*texts))
+
+
+def match_names(
+    people: DataFrame, users: DataFrame, person_id: str, login: str, variants: str, user_login: str, user_name: str,
+    active: str, user_id: str,
+) -> DataFrame:
+    """User of a person: by login first, else by name variant; an active user wins, then the smallest id.
+
+    Variants are exploded into an equi join, so no pair of all people and users is ever built.
+    """
+    p = people.select(person_id, login, variants)
+    u = users.select(
+        F.col(user_id).alias("_uid"), F.lower(F.col(user_login)).alias("_login"), F.lower(F.col(user_name)).alias("_name"),
+        F.col(active).alias("_active"),
+    )
+    by_login = p.join(u, F.lower(F.col(login)) == F.col("_login")).select(
+        person_id, "_uid", "_active", F.lit(-1).alias("_pos")
+    )
+    by_name = (
+        p.select(person_id, F.posexplode(variants).alias("_pos", "_variant"))
+        .join(u, F.col("_variant") == F.col("_name"))
+        .select(person_id, "_uid", "_active", "_pos")
+    )
+    # login matches outrank name matches; among name matches the active state comes first
+    best = newest(
+        by_login.union(by_name),
+        [person_id],
+        (F.col("_pos") >= 0).asc(),
+        F.col("_active").desc(),
+        F.col("_pos").asc(),
+        F.col("_uid").asc(),
+    )
+    return best.select(
+        person_id, F.col("_uid").alias("userId"), F.when(F.col("_pos") < 0, "login").otherwise("name").alias("matchedBy")
+    )
+
+
+def anchor_lines(steps: DataFrame, lines: DataFrame, keys: Sequence[str], start: str, end: str, line: str) -> DataFrame:
+    """Rows of ``lines`` whose number is the start or the end line of a step."""
+    ends = F.array_compact(F.array_distinct(F.array(F.col(start), F.col(end))))
+    return steps.withColumn(line, F.explode(ends)).join(lines, [*keys, line])
+
+
+def lookup_local_time(df: DataFrame, zones: DataFrame, keys: Sequence[str], columns: Mapping[str, str], missing: str | None = None) -> DataFrame:
+    """Join the zone of the key and convert UTC columns to local time.
+
+    ``columns`` goes from new to UTC column. Rows without a zone use ``missing``, or are dropped when
+    it is None.
+    """
+    out = df.join(zones, list(keys), "inner" if missing is None else "left")
+    zone = F.trim("timeZone") if missing is None else F.coalesce(F.trim("timeZone"), F.lit(missing))
+    return out.withColumns({new: F.from_utc_timestamp(F.col(old), zone) for new, old in columns.items()})
+
+
+def email_key(address: Column) -> Column:
+    return tx.email_local(address)
