@@ -93,3 +93,8 @@ def conversation_sessions(details: DataFrame) -> DataFrame:
         ("participants", "p"),
         ("p.sessions", "s"),
     )
+
+
+def first_item(array: str) -> Column:
+    """First element of a plain array."""
+    return F.get(F.col(array), F.lit(0))

@@ -1,9 +1,15 @@
 """Importing this module registers every query."""
 
 from callweave.queries import (  # noqa: F401
+    aggregates,
+    facts,
     joins,
     nested,
     projections,
+    reshape,
+    scalars,
     sources,
+    timeaxis,
     upserts,
+    windows,
 )

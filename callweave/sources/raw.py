@@ -69,16 +69,23 @@ def _segment(start: Column, end: Column, queue: Column, kind: str, code: Column,
     )
 
 
+FLOW = (
+    "struct<flowId:string,flowName:string,flowType:string,entryReason:string,exitReason:string,transferType:string,"
+    "outcomes:array<struct<flowOutcomeId:string,flowOutcome:string,flowOutcomeValue:string,"
+    "flowOutcomeStartTimestamp:timestamp,flowOutcomeEndTimestamp:timestamp>>>"
+)
+
+
 def conversation_details(lineitem: DataFrame) -> DataFrame:
     """Nested conversation payloads: participants -> sessions -> segments, metrics, flow.
 
     A line gives one conversation with a customer (ivr flow), a queue and an agent participant; lines
     with number 4 or more have no queue participant.
     """
-    s = line_sessions(lineitem)
+    s = line_sessions(lineitem).withColumn("talkEnd", F.col("segmentEnd") - F.expr("interval 30 seconds"))
     none = F.lit(None).cast("string")
     start, qty, queue = F.col("segmentStart"), F.col("quantity"), F.col("queueId")
-    talk_end = plus_seconds(start, qty * 10)
+    talk_end = F.col("talkEnd")
     end = F.col("segmentEnd")
 
     flow = F.when(
@@ -113,7 +120,7 @@ def conversation_details(lineitem: DataFrame) -> DataFrame:
             F.lit("line").alias("remote"),
             segments.alias("segments"),
             metrics.alias("metrics"),
-            (flow if with_flow else F.when(F.lit(False), flow)).alias("flow"),
+            (flow if with_flow else F.lit(None).cast(FLOW)).alias("flow"),
         )
 
     def participant(suffix, purpose, user, sessions):

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from callweave.session import scratch_path
+from callweave.sources import raw
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
+# landed raw tables of this application: (application, folder, name) -> path
+_landed: dict[tuple[str, str, str], str] = {}
+
 
 class Tables:
     """``tables.orders`` reads ``<folder>/orders.parquet``."""
@@ -24,3 +30,19 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def _land(self, name: str, build) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        rows = build()
+        if key not in _landed:
+            path = scratch_path(self.spark, f"raw-{name}")
+            rows.write.parquet(path)
+            _landed[key] = path
+        return self.spark.read.schema(rows.schema).parquet(_landed[key])
+
+    def conversation_details(self) -> DataFrame:
+        """Nested conversation payloads, landed once as a raw table; reports read only the fields they use."""
+        return self._land(
+            "conversations",
+            lambda: raw.conversation_details(self.lineitem),
+        )
