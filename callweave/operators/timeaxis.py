@@ -17,9 +17,8 @@ def slice_intervals(df: DataFrame, start: str, end: str, seconds: int, slot: str
     """
     first = F.floor(F.unix_timestamp(start) / seconds) * seconds
     last = F.floor((F.unix_timestamp(end) - 1) / seconds) * seconds
-    out = df.filter(F.col(start) < F.col(end)).withColumn(
-        slot, F.timestamp_seconds(F.explode(F.sequence(first, last, F.lit(seconds).cast("long"))))
-    )
+    starts = F.transform(F.sequence(first, last, F.lit(seconds).cast("long")), F.timestamp_seconds)
+    out = df.filter(F.col(start) < F.col(end)).withColumn(slot, F.explode(starts))
     stop = F.timestamp_add("SECOND", F.lit(seconds), F.col(slot))
     clipped = out.withColumns({start: F.greatest(F.col(start), F.col(slot)), end: F.least(F.col(end), stop)})
     return clipped.withColumn("timeDiff", F.unix_timestamp(end) - F.unix_timestamp(start))

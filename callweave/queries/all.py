@@ -4,6 +4,7 @@ from callweave.queries import (  # noqa: F401
     aggregates,
     facts,
     joins,
+    marts,
     nested,
     projections,
     reshape,

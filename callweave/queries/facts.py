@@ -263,7 +263,7 @@ def wfm_exceptions(t):
 @query(
     "d9_sentiments",
     with_(PHRASES)
-    + """SELECT DISTINCT conversationId, communicationId, purpose AS participant, upper(text) AS phrase, (length(text) % 5 - 2) / 2.0::DOUBLE AS sentiment,
+    + """SELECT DISTINCT conversationId, communicationId, purpose AS participant, '* ' || text || ' *' AS phrase, (length(text) % 5 - 2) / 2.0::DOUBLE AS sentiment,
          CAST(phraseIndex AS INTEGER) AS phraseIndex, base + phraseIndex * 10 AS startTimeMs FROM phrases WHERE length(text) % 3 = 0""",
 )
 def sentiments(t):
@@ -283,7 +283,7 @@ def topics(t):
 @query(
     "d9_phrases",
     with_(PHRASES)
-    + """, s AS (SELECT DISTINCT conversationId, communicationId, phraseIndex, purpose, regexp_replace(lower(upper(text)), '[^a-z0-9]', '', 'g') AS nk, (length(text) % 5 - 2) / 2.0::DOUBLE AS sentiment
+    + """, s AS (SELECT DISTINCT conversationId, communicationId, phraseIndex, purpose, regexp_replace(lower('* ' || text || ' *'), '[^a-z0-9]', '', 'g') AS nk, (length(text) % 5 - 2) / 2.0::DOUBLE AS sentiment
           FROM phrases WHERE length(text) % 3 = 0)
        SELECT p.conversationId, p.communicationId, 't-' || conv_id || '-' || turn AS transcriptId, p.text, base + p.phraseIndex * 10 AS startTimeMs, CAST(length(p.text) * 5 AS BIGINT) AS milliseconds,
          p.purpose AS participantPurpose, CAST(epoch_ms(base) AS DATE)::VARCHAR AS conversationStartDate, s.sentiment
@@ -419,8 +419,8 @@ def ivr_events(t):
 @query(
     "d13_menu_selections",
     with_(EVENTS)
-    + """, tok AS (SELECT eventId, i, ts + to_seconds(i * (k + 1)) AS at, 'menu' || (k + i) AS menu, k % 4 AS n FROM ev, LATERAL (SELECT unnest(range(0, k % 4 + 1)) AS i))
-       SELECT eventId AS conversationId, (i + 1)::INTEGER AS position, menu AS menuId, at::VARCHAR AS menuEntryTime, (lead(at) OVER w)::VARCHAR AS menuExitTime,
+    + """, tok AS (SELECT eventId, i, ts + to_seconds(i * (k + 1)) AS entered, 'menu' || (k + i) AS menu, k % 4 AS n FROM ev, LATERAL (SELECT unnest(range(0, k % 4 + 1)) AS i))
+       SELECT eventId AS conversationId, (i + 1)::INTEGER AS position, menu AS menuId, entered::VARCHAR AS menuEntryTime, (lead(entered) OVER w)::VARCHAR AS menuExitTime,
          lag(menu) OVER w AS previousMenuId, lead(menu) OVER w AS nextMenuId FROM tok WINDOW w AS (PARTITION BY eventId ORDER BY i)""",
 )
 def menu_selections(t):

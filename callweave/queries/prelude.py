@@ -77,3 +77,33 @@ PHRASES = """phrases AS (
 
 def with_(*parts: str) -> str:
     return "WITH " + ", ".join(parts) + " "
+
+MART = LINES + """, oc AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS conversationId, o_orderkey, o_custkey, o_orderdate AS conversationStart, o_orderdate + INTERVAL 1 HOUR AS conversationEnd,
+    CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS conversationStartDateId, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS originatingDirectionId,
+    CASE o_orderkey % 3 WHEN 0 THEN 5 WHEN 1 THEN 1 ELSE 2 END AS mediaTypeId, 'site ' || (o_custkey % 4) AS location FROM orders),
+prt AS (SELECT conversationId, sessionId AS participantId, CASE WHEN lineNumber % 2 = 1 THEN 'agent' ELSE 'acd' END AS purpose,
+    CASE WHEN lineNumber % 2 = 1 THEN agentId END AS userId FROM lines),
+seg AS (SELECT conversationId, sessionId AS participantId, queueId, segmentStart, segmentEnd,
+    CASE WHEN wrapUpCode IS NOT NULL THEN 'wrapup' ELSE 'interact' END AS segmentType, wrapUpCode AS wrapUpCodeId FROM lines),
+met AS (SELECT * FROM (SELECT conversationId, sessionId AS participantId, segmentEnd AS eventTime, m.name, CAST(m.value AS BIGINT) AS value FROM lines, LATERAL (SELECT unnest([
+    {'name': 'tHandle', 'value': quantity * 1000}, {'name': 'tTalkComplete', 'value': quantity * 700},
+    {'name': 'tHeldComplete', 'value': CASE WHEN discountPct > 0 THEN discountPct * 1000 END}, {'name': 'tHeld', 'value': CASE WHEN discountPct > 0 THEN discountPct * 1000 END},
+    {'name': 'tAcw', 'value': CASE WHEN taxPct > 0 THEN taxPct * 1000 END}, {'name': 'nBlindTransferred', 'value': CASE WHEN returnFlag = 'R' AND taxPct > 4 THEN 1 END},
+    {'name': 'nConsultTransferred', 'value': CASE WHEN returnFlag = 'A' AND taxPct > 6 THEN 1 END}, {'name': 'nConsult', 'value': CASE WHEN returnFlag = 'A' AND taxPct > 3 THEN 1 END}]) AS m)) WHERE value IS NOT NULL),
+ins AS (SELECT CAST(o_orderkey AS VARCHAR) AS conversationId, CASE o_orderstatus WHEN 'F' THEN 'Resolved' WHEN 'P' THEN 'Partially Resolved' ELSE 'not resolved' END AS resolved,
+    CASE substring(o_orderpriority, 1, 1) WHEN '5' THEN 'lowest' WHEN '4' THEN 'low' WHEN '3' THEN 'medium' WHEN '2' THEN 'High' ELSE 'highest' END AS satisfaction,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'Yes' ELSE 'no' END AS additional_service, 'process ' || (o_custkey % 6) AS process_name FROM orders WHERE o_orderkey % 6 <> 0),
+rea AS (SELECT CAST(o_orderkey AS VARCHAR) AS conversationId, 'reason ' || (o_custkey % 5) AS contactReason, 'inquiry ' || (o_custkey % 7) AS mainInquiry,
+    'cause ' || (o_custkey % 3) AS rootCause FROM orders WHERE o_orderkey % 5 <> 0),
+que AS (SELECT DISTINCT 'queue-' || (p_partkey % 25) AS queueId, 'Queue ' || (p_partkey % 25) AS queueName, CASE WHEN p_partkey % 25 % 2 = 0 THEN 'English' ELSE 'German' END AS language,
+    (['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'])[p_partkey % 25 % 5 + 1] AS region,
+    (['Africa/Johannesburg', 'America/New_York', 'Asia/Kolkata', 'Europe/Berlin', 'Asia/Dubai'])[p_partkey % 25 % 5 + 1] AS timeZone FROM part WHERE p_partkey % 25 <> 24),
+cod AS (SELECT DISTINCT 'code-' || (p_partkey % 10) AS wrapUpCodeId, 'Code ' || (p_partkey % 10) AS wrapUpCode, p_partkey % 10 < 3 AS sales, p_partkey % 10 < 6 AS decisionMakerContact
+    FROM part WHERE p_partkey % 10 <> 9),
+zon(region, timeZone) AS (VALUES ('AFRICA', 'Africa/Johannesburg'), ('AMERICA', 'America/New_York'), ('ASIA', 'Asia/Kolkata'), ('EUROPE', 'Europe/Berlin'), ('MIDDLE EAST', 'Asia/Dubai')),
+agt AS (SELECT 'agent-' || s_suppkey AS userId, s_name AS userName, n_name AS teamName, r_name AS region, timeZone, s_acctbal > 0 AS active, s_suppkey AS userNo
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN zon ON zon.region = r_name),
+fq AS (SELECT conversationId, queueId FROM seg WHERE queueId IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conversationId ORDER BY segmentEnd DESC, participantId DESC) = 1),
+fc AS (SELECT conversationId, wrapUpCodeId AS finalWrapupCode, participantId FROM seg WHERE wrapUpCodeId IN (SELECT wrapUpCodeId FROM cod)
+    QUALIFY row_number() OVER (PARTITION BY conversationId ORDER BY segmentEnd DESC, participantId DESC) = 1)"""

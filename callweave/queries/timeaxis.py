@@ -81,8 +81,8 @@ def starts_per_slot(t):
     "i5_covered_hours",
     with_(EVENTS)
     + """, h AS (SELECT eventId, date_trunc('hour', ts) AS f, (epoch(date_trunc('hour', ts + to_seconds(k * 300))) - epoch(date_trunc('hour', ts)))::BIGINT // 3600 AS n FROM ev),
-         x AS (SELECT *, unnest(range(0, n + 1)) AS i FROM h), y AS (SELECT *, CASE WHEN i = 0 OR i = n THEN i ELSE i + 1 END AS at FROM x)
-       SELECT eventId, i::INTEGER AS hourNo, strftime(f + to_hours(at), '%H:%M:%S') || ' - ' || strftime(f + to_hours(at + 1), '%H:%M:%S') AS TimeIntervalStart FROM y""",
+         x AS (SELECT *, unnest(range(0, n + 1)) AS i FROM h), y AS (SELECT *, CASE WHEN i = 0 OR i = n THEN i ELSE i + 1 END AS hr FROM x)
+       SELECT eventId, i::INTEGER AS hourNo, strftime(f + to_hours(hr), '%H:%M:%S') || ' - ' || strftime(f + to_hours(hr + 1), '%H:%M:%S') AS TimeIntervalStart FROM y""",
 )
 def covered_hours(t):
     return ta.covered_hours(raw.status_intervals(t.events, 300), "startTime", "endTime").select(

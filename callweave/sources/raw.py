@@ -306,7 +306,7 @@ def speech_transcripts(conversations: DataFrame) -> DataFrame:
         F.filter(phrases, lambda p: F.length(p["text"]) % 3 == 0),
         lambda p: F.struct(
             p["participantPurpose"].alias("participant"),
-            F.upper(p["text"]).alias("phrase"),
+            F.concat(F.lit("* "), p["text"], F.lit(" *")).alias("phrase"),
             ((F.length(p["text"]) % 5 - 2).cast("double") / 2).alias("sentiment"),
             p["phraseIndex"].alias("phraseIndex"),
             p["startTimeMs"].alias("startTimeMs"),
