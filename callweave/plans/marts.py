@@ -255,14 +255,14 @@ def conformance_scores(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def conformance_rollup(answers, conversations, participants, segments, codes, queues, insights) -> DataFrame:
     """Yes answers and questions per day, direction, final code, final queue and outcome."""
-    place = queues.select(F.col("queueId"), F.col("region").alias("location"), "timeZone")
+    place = queues.select("queueId", F.col("region").alias("queueRegion"), "timeZone")
     rows = (
         conformance_scores(answers, [KEY])
-        .join(conversations, KEY)
+        .join(conversations.drop("location"), KEY)
         .join(final_queue(segments), KEY)
         .join(final_code(segments, codes), KEY)
         .join(participants.select(KEY, "participantId", "userId"), [KEY, "participantId"])
-        .join(place.drop("location").join(place.select("queueId", F.col("location").alias("queueRegion")), "queueId"), "queueId")
+        .join(place, "queueId")
         .join(insights.select(KEY, "resolved", F.col("process_name").alias("scenarioName")), KEY, "left")
     )
     day = date_id(F.from_utc_timestamp("conversationStart", F.col("timeZone")))

@@ -286,7 +286,7 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
     """
     key = "conversationId"
     plan, types = _step_plan(config)
-    rows = steps.withColumn("_exp", F.col("stepName").isin(*[r["stepName"] for r in plan]).cast("long"))
+    rows = steps.withColumn("_exp", F.coalesce(F.col("stepName").isin(*[r["stepName"] for r in plan]), F.lit(False)).cast("long"))
     # the running count of expected steps numbers the stretches between them
     rows = ordered.with_ordered(
         rows, [key], ["startTime", "stepName"], running_sum={"_no": "_exp"}, lead={"_nextExp": "_exp"}

@@ -86,28 +86,35 @@ def numbered_phrases(phrases: DataFrame) -> DataFrame:
     return ordered.with_ordered(phrases, ["conversationId"], ["startTimeMs"], row_number="line")
 
 
-def anchored_times(steps: DataFrame, lines: DataFrame, step_columns: Sequence[str], how: str = "inner") -> DataFrame:
+def anchored_times(steps: DataFrame, lines: DataFrame, step_columns: Sequence[str], keep_unanchored: bool = False) -> DataFrame:
     """Start and end time of steps from their first and last line.
 
     The start is that of the line ``startLine``, the end that of ``endLine`` plus its duration. A step
-    with one anchor only takes it for both; a step that ends before it starts is turned around.
+    with one anchor takes it for both; a step that ends before it starts is turned around. Steps whose
+    lines do not exist are left out, or kept without times.
     """
+    mood = ["sentiment"] if "sentiment" in lines.columns else []
     ends = F.array_compact(F.array_distinct(F.array("startLine", "endLine")))
     wanted = steps.select("conversationId", *step_columns, F.explode(ends).alias("line"))
-    hits = wanted.join(lines.select("conversationId", "line", "startTimeMs", "milliseconds", *_sentiment(lines)), ["conversationId", "line"], how)
-    keys = ["conversationId", *step_columns, *_sentiment(lines)]
+    at = lines.select("conversationId", "line", "startTimeMs", "milliseconds", *mood)
     start = F.timestamp_seconds(F.floor(F.col("startTimeMs") / 1000))
     end = F.timestamp_seconds(F.floor((F.col("startTimeMs") + F.coalesce("milliseconds", F.lit(0))) / 1000))
-    times = hits.groupBy(*keys).agg(
-        F.min(F.when(F.col("line") == F.col("startLine"), start)).alias("_s"),
-        F.max(F.when(F.col("line") == F.col("endLine"), end)).alias("_e"),
+    keys = ["conversationId", *step_columns]
+    times = (
+        wanted.join(at, ["conversationId", "line"])
+        .groupBy(*keys, *mood)
+        .agg(
+            F.min(F.when(F.col("line") == F.col("startLine"), start)).alias("_s"),
+            F.max(F.when(F.col("line") == F.col("endLine"), end)).alias("_e"),
+        )
     )
     s, e = F.coalesce("_s", "_e"), F.coalesce("_e", "_s")
-    return times.withColumns({"startTime": F.least(s, e), "endTime": F.greatest(s, e)}).drop("_s", "_e")
-
-
-def _sentiment(lines: DataFrame) -> list[str]:
-    return ["sentiment"] if "sentiment" in lines.columns else []
+    out = times.withColumns({"startTime": F.least(s, e), "endTime": F.greatest(s, e)}).drop("_s", "_e")
+    if not keep_unanchored:
+        return out
+    on = ordered.same_keys("a", "b", keys)
+    lost = steps.select(*keys).distinct().alias("a").join(out.alias("b"), on, "left_anti")
+    return out.unionByName(lost, allowMissingColumns=True)
 
 
 def mean_sentiment(steps: DataFrame, sentiments: DataFrame, step_columns: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from callweave.queries import (  # noqa: F401
     joins,
     marts,
     nested,
+    process,
     projections,
     reshape,
     scalars,

@@ -14,6 +14,8 @@ TABLES = (
 
 # landed raw tables of this application: (application, folder, name) -> path
 _landed: dict[tuple[str, str, str], str] = {}
+# number of splits of an input: (application, folder, name) -> count
+_splits: dict[tuple[str, str, str], int] = {}
 
 
 class Tables:
@@ -29,7 +31,22 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._spread(name, df)
+
+    def _spread(self, name: str, df: DataFrame) -> DataFrame:
+        """Spread a file of several splits over all cores when it has fewer splits than there are cores.
+
+        Such a file may hold a single row group, which one task would read and process alone. Large
+        tables have more splits than cores and are left as they are.
+        """
+        sc = self.spark.sparkContext
+        key = (sc.applicationId, self.folder, name)
+        if key not in _splits:
+            _splits[key] = df.rdd.getNumPartitions()
+        if 1 < _splits[key] < sc.defaultParallelism:
+            return df.repartition(sc.defaultParallelism)
+        return df
 
     def _land(self, name: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
