@@ -4,8 +4,10 @@ from callweave.queries import (  # noqa: F401
     aggregates,
     facts,
     joins,
+    kpis,
     marts,
     nested,
+    performance,
     process,
     projections,
     reshape,
