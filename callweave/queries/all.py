@@ -2,6 +2,7 @@
 
 from callweave.queries import (  # noqa: F401
     aggregates,
+    dashboards,
     facts,
     joins,
     kpis,

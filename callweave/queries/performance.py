@@ -130,7 +130,7 @@ def lookup(t):
 
 @query(
     "g5_dates_in_zone",
-    f"""SELECT event_id, {local("ts")} AS localDay, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS parsed, epoch_ms(epoch_ms(ts))::VARCHAR AS fromMillis FROM events""",
+    f"""SELECT event_id, {local("ts")} AS localDay, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS parsed, date_trunc('millisecond', ts)::VARCHAR AS fromMillis FROM events""",
 )
 def dates_in_zone(t):
     ts = F.col("ts")
