@@ -14,6 +14,7 @@ from callweave.queries import (  # noqa: F401
     reshape,
     scalars,
     sources,
+    streams,
     timeaxis,
     upserts,
     windows,
