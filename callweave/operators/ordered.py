@@ -47,13 +47,19 @@ def with_ordered(
     running_max: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes_from: DataFrame | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add ordered columns per key, ascending in ``order`` (nulls first).
 
-    The mappings go from new column to source column. (keys, order) should be unique.
+    The mappings go from new column to source column. (keys, order) should be unique. Group sizes are
+    counted on ``df``, or on ``sizes_from`` when a cheaper table holds at least as many rows per key.
+    ``bounded`` says that groups are small by construction, which saves the count.
     """
     ops = (row_number, lag or {}, lead or {}, running_max or {}, running_sum or {})
-    hot = hot_groups(df, keys, max_group_rows)
+    if bounded:
+        return _plain(df, list(keys), list(order), *ops)
+    hot = hot_groups(df if sizes_from is None else sizes_from, keys, max_group_rows)
     if hot.isEmpty():
         return _plain(df, list(keys), list(order), *ops)
     hot = cut_lineage(hot)

@@ -78,11 +78,16 @@ def rolling_reload(
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> bool:
-    """Overwrite exactly the partitions in the batch; an empty batch changes nothing."""
+    """Overwrite exactly the partitions in the batch; an empty batch changes nothing.
+
+    The rebalance hint brings a partition's rows together, so that it gets few files, and splits a
+    partition that is much larger than the others over several tasks.
+    """
     if df.isEmpty():
         return False
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(c) for c in partition_cols])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.operators import nested as ns
+from callweave.operators.projections import date_id
 from callweave.plans.conversations import last_handled
 
 
@@ -80,3 +81,42 @@ def conversation_surveys(details: DataFrame) -> DataFrame:
         ],
         ("surveys", "x"),
     )
+
+
+def star_evaluations(payloads: DataFrame) -> DataFrame:
+    """Evaluation dimension with the date key of its conversation."""
+    return payloads.select(
+        F.col("id").alias("evaluationId"),
+        F.col("conversation.id").alias("conversationId"),
+        F.col("evaluator.id").alias("evaluatorId"),
+        F.col("agent.id").alias("agentId"),
+        F.col("evaluationForm.id").alias("evaluationFormId"),
+        "status",
+        date_id(F.col("extractDate")).alias("conversationStartDateId"),
+    ).distinct()
+
+
+def star_evaluation_scores(payloads: DataFrame) -> DataFrame:
+    """Scores of finished evaluations."""
+    return payloads.filter("status = 'FINISHED'").select(
+        F.col("id").alias("evaluationId"),
+        F.col("conversation.id").alias("conversationId"),
+        "answers.totalScore",
+        "answers.totalCriticalScore",
+        date_id(F.col("extractDate")).alias("conversationStartDateId"),
+    ).distinct()
+
+
+def star_surveys(details: DataFrame) -> DataFrame:
+    s = conversation_surveys(details)
+    day = date_id(F.col("conversationStart")).alias("conversationStartDateId")
+    return s.select("surveyId", "conversationId", "agentId", "queueId", "surveyStatus", day).distinct()
+
+
+def star_survey_scores(details: DataFrame) -> DataFrame:
+    """Scores of finished surveys."""
+    s = conversation_surveys(details).filter("surveyStatus = 'Finished'")
+    day = date_id(F.col("conversationStart")).alias("conversationStartDateId")
+    return s.select(
+        "surveyId", "conversationId", F.col("surveyPromoterScore").alias("npsScore"), F.col("oSurveyTotalScore").alias("totalScore"), day
+    ).distinct()

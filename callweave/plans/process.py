@@ -11,6 +11,7 @@ from callweave.operators import aggregates as ag
 from callweave.operators import joins as jn
 from callweave.operators import ordered
 from callweave.plans import conversations as cv
+from callweave.session import cut_lineage
 
 MEDIA = (1, 5)
 
@@ -180,6 +181,8 @@ def map_events(i: MapInputs) -> DataFrame:
         .unionByName(handled)
         .distinct()
     )
+    # read by two ordered passes and their size check, so the nine sources are put together once
+    every = cut_lineage(every)
     after = ordered.with_ordered(every, [KEY], ["level", "eventName", "eventStart", "eventEnd"], lag={"_prev": "eventEnd"})
     filled = F.col("_prev") + F.expr("interval 1 millisecond")
     is_auth = F.col("eventType") == "authStatus"
@@ -189,7 +192,9 @@ def map_events(i: MapInputs) -> DataFrame:
             "eventEnd": F.when(is_auth, F.coalesce("eventEnd", filled)).otherwise(F.col("eventEnd")),
         }
     ).drop("_prev")
-    ended = ordered.with_ordered(timed, [KEY], ["eventStart", "level", "eventName", "eventEnd"], lead={"_next": "eventStart"})
+    ended = ordered.with_ordered(
+        timed, [KEY], ["eventStart", "level", "eventName", "eventEnd"], lead={"_next": "eventStart"}, sizes_from=every
+    )
     return ended.withColumn("eventEnd", F.coalesce("eventEnd", "_next", "eventStart")).drop("_next")
 
 
@@ -345,7 +350,8 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
         F.coalesce("is_last_step", F.lit(False)).alias("is_last_step"),
         F.coalesce("is_last_before_close", F.lit(False)).alias("is_last_before_close"),
     )
-    return ordered.with_ordered(out, [key], ["steps"], running_max={"sentiment": "_own"}).drop("_own")
+    # one row per configured step
+    return ordered.with_ordered(out, [key], ["steps"], running_max={"sentiment": "_own"}, bounded=True).drop("_own")
 
 
 def _step_plan(config: DataFrame, limit: int = 1000):
@@ -355,3 +361,45 @@ def _step_plan(config: DataFrame, limit: int = 1000):
     if len(plan) > limit:
         raise ValueError(f"more than {limit} configured steps")
     return plan, {f.name: f.dataType for f in columns.schema.fields}
+
+
+def action_extract(steps: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Stored steps with direction, media type and location of their conversation."""
+    c = conversations.select(KEY, "originatingDirectionId", F.col("initialSessionMediaTypeId").alias("mediaTypeId"), "location")
+    return steps.join(c, KEY)
+
+
+def complexity_by_group(steps: DataFrame, config: DataFrame, close: str = CLOSE, max_group_rows: int = 100_000) -> DataFrame:
+    """The counts of ``complexity`` by a function over each conversation's rows.
+
+    Kept as a second way to the same counts for checks. The function gets a conversation as a whole, so
+    conversations beyond ``max_group_rows`` rows take the way of ``complexity`` instead.
+    """
+    import pandas as pd
+
+    plan, _ = _step_plan(config)
+    names = [r["stepName"] for r in plan]
+    big = cut_lineage(ordered.hot_groups(steps, [KEY], max_group_rows))
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["startTime", "stepName"]).reset_index(drop=True)
+        number = rows["stepName"].isin(names).cumsum()
+        own = rows["stepName"].isin(names)
+        out = pd.DataFrame(0, index=names, columns=["step_count", "hold", "transfer", "violation"])
+        for step, n in rows.loc[own, "stepName"].value_counts().items():
+            out.loc[step, "step_count"] = n * (n + 1) // 2
+        inside = ~own & (number > 0) & (number < number.max())
+        owner = rows.loc[own, "stepName"].reset_index(drop=True)
+        for label, no in zip(rows.loc[inside, "stepName"], number[inside]):
+            kind = {"Hold": "hold", "Transfer": "transfer"}.get(label, "violation")
+            out.loc[owner[no - 1], kind] += 1
+        out.insert(0, "steps", out.index)
+        out.insert(0, KEY, rows[KEY].iloc[0])
+        return out.astype({c: "int32" for c in ("step_count", "hold", "transfer", "violation")})
+
+    columns = [KEY, "steps", "step_count", "hold", "transfer", "violation"]
+    schema = f"{KEY} string, steps string, step_count int, hold int, transfer int, violation int"
+    usual = steps.join(big, KEY, "left_anti").select(KEY, "startTime", "stepName").groupBy(KEY).applyInPandas(count, schema)
+    if big.isEmpty():
+        return usual
+    return usual.unionByName(complexity(steps.join(big, KEY, "left_semi"), config, close).select(*columns))

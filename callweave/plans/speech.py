@@ -44,10 +44,7 @@ def topics(transcripts: DataFrame) -> DataFrame:
 
 
 def phrases(transcripts: DataFrame, found: DataFrame) -> DataFrame:
-    """Phrases with their sentiment, matched on conversation, participant and normalised text.
-
-    The hash of the normalised text is the join key, the text itself is compared as well.
-    """
+    """Phrases with their sentiment, matched on conversation, participant and normalised text."""
     p = ns.flatten(
         transcripts,
         [

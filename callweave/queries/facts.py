@@ -436,3 +436,46 @@ def menu_selections(t):
         F.lit("hangup"),
     )
     return star.menu_selections(e.select(F.col("eventId").alias("conversationId"), path.alias("menuPath")))
+
+
+@query(
+    "d14_evaluation_dim",
+    with_(LINES)
+    + LAST
+    + """ SELECT DISTINCT 'ev-' || sessionId AS evaluationId, conversationId, 'agent-' || taxPct AS evaluatorId, agentId, 'form-' || discountPct AS evaluationFormId, CASE WHEN lineNumber = 1 THEN 'INPROGRESS' ELSE 'FINISHED' END AS status,
+         CAST(strftime(segmentStart, '%Y%m%d') AS INTEGER) AS conversationStartDateId FROM lines""",
+)
+def evaluation_dim(t):
+    return evp.star_evaluations(raw.evaluation_payloads(t.lineitem))
+
+
+@query(
+    "d14_evaluation_fact",
+    with_(LINES)
+    + """SELECT DISTINCT 'ev-' || sessionId AS evaluationId, conversationId, quantity * 2.0::DOUBLE AS totalScore, quantity::DOUBLE AS totalCriticalScore, CAST(strftime(segmentStart, '%Y%m%d') AS INTEGER) AS conversationStartDateId
+         FROM lines WHERE lineNumber <> 1""",
+)
+def evaluation_fact(t):
+    return evp.star_evaluation_scores(raw.evaluation_payloads(t.lineitem))
+
+
+SURVEYED = "lines WHERE taxPct >= 6"
+
+
+@query(
+    "d14_survey_dim",
+    with_(LINES)
+    + f"SELECT DISTINCT 'survey-' || sessionId AS surveyId, sessionId AS conversationId, agentId, queueId, CASE WHEN taxPct = 8 THEN 'Finished' ELSE 'Opted' END AS surveyStatus, {DATE_ID} FROM {SURVEYED}",
+)
+def survey_dim(t):
+    return evp.star_surveys(t.conversation_details())
+
+
+@query(
+    "d14_survey_fact",
+    with_(LINES)
+    + f"SELECT DISTINCT 'survey-' || sessionId AS surveyId, sessionId AS conversationId, quantity % 11 AS npsScore, quantity * 2 AS totalScore, {DATE_ID} FROM {SURVEYED} AND taxPct = 8",
+)
+def survey_fact(t):
+    fresh = evp.star_survey_scores(t.conversation_details())
+    return up.replace_matching(fresh.filter("npsScore > 5"), fresh, ["surveyId", "conversationStartDateId"])

@@ -362,8 +362,7 @@ def step_config(t):
     return t.region.select(F.explode(rows).alias("x")).select("x.*").distinct()
 
 
-@query(
-    "d27_complexity",
+COMPLEXITY = (
     with_(EVENTS)
     + """, cfg(steps, counter_step, value) AS (VALUES ('Greet', 1, 1.0::DOUBLE), ('Verify', 2, 2.5::DOUBLE), ('Close and Offer Additional Assistance', 3, 0.5::DOUBLE), ('Recap', 4, 1.5::DOUBLE)),
       p AS (SELECT userId || '|' || strftime(ts, '%Y%m%d') AS cid, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS did, ts AS s, k, CASE eventType WHEN 'view' THEN 'Greet' WHEN 'click' THEN 'Hold' WHEN 'signup' THEN 'Verify'
@@ -380,7 +379,41 @@ def step_config(t):
       al AS (SELECT DISTINCT cid, did, steps, counter_step, value FROM p, cfg)
       SELECT al.cid AS conversationId, al.steps, coalesce(sc, 0) AS step_count, CASE WHEN sc IS NULL THEN 0 ELSE 1 END AS step_done, coalesce(hold, 0) AS hold, coalesce(transfer, 0) AS transfer, coalesce(violation, 0) AS violation,
         coalesce(dvc, 0) AS distinct_violation_count, coalesce(nse, 0) AS next_step_expected, coalesce(dur, 0) AS duration, max(coalesce(sen, 0)) OVER (PARTITION BY al.cid ORDER BY al.steps ROWS UNBOUNDED PRECEDING) AS sentiment,
-        counter_step, value, did AS conversationStartDateId, coalesce(il, FALSE) AS is_last_step, coalesce(ib, FALSE) AS is_last_before_close FROM al LEFT JOIN a ON a.cid = al.cid AND a.nm = al.steps""",
+        counter_step, value, did AS conversationStartDateId, coalesce(il, FALSE) AS is_last_step, coalesce(ib, FALSE) AS is_last_before_close FROM al LEFT JOIN a ON a.cid = al.cid AND a.nm = al.steps"""
 )
+
+
+@query("d27_complexity", COMPLEXITY)
 def complexity(t):
     return pr.complexity(process_steps(t), step_config(t))
+
+
+@query(
+    "d19_raw_actions",
+    with_(MART)
+    + """SELECT oc.conversationId, 'Talk' AS category, 'ask' AS action, conversationStart::VARCHAR AS startTime, CASE WHEN o_orderkey % 2 = 0 THEN (conversationStart + INTERVAL 60 SECOND)::VARCHAR END AS endTime, originatingDirectionId, mediaTypeId, location
+         FROM oc WHERE o_orderkey % 7 = 1""",
+)
+def raw_actions(t):
+    return pr.action_extract(map_inputs(t).actions, star.conversations(t.orders)).select(
+        "conversationId", "category", "action", "startTime", "endTime", "originatingDirectionId", "mediaTypeId", "location"
+    )
+
+
+@query(
+    "d19_value_stream",
+    with_(MART, ANCHORS.format(join=""))
+    + """SELECT oc.conversationId, h.stepName, startTime, endTime, location, oc.mediaTypeId FROM h JOIN oc ON oc.conversationId = CAST(h.conversationId AS VARCHAR) WHERE startTime IS NOT NULL""",
+)
+def value_stream_extract(t):
+    steps = tr.anchored_times(map_steps(t), phrase_lines(t), ["stepName", "startLine", "endLine"], keep_unanchored=True)
+    steps = steps.withColumn("conversationId", F.col("conversationId").cast("string")).filter("startTime is not null")
+    return pr.action_extract(steps, star.conversations(t.orders)).select("conversationId", "stepName", "startTime", "endTime", "location", "mediaTypeId")
+
+
+@query(
+    "ud5_grouped_map_complexity",
+    "SELECT conversationId, steps, step_count, hold, transfer, violation FROM (" + COMPLEXITY + ")",
+)
+def grouped_map_complexity(t):
+    return pr.complexity_by_group(process_steps(t), step_config(t))

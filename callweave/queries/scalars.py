@@ -254,3 +254,21 @@ def line_of_business_lookup(t):
         [("MACHINERY", "Campaign M"), ("BUILDING", "Campaign B")], "department string, campaign string"
     )
     return u.join(jn.small(lookup), "department", "left").select("userId", "campaign")
+
+
+@query(
+    "ud3_zip_series",
+    with_(EVENTS)
+    + """SELECT eventId, (ts + to_seconds(i * 900))::VARCHAR AS at, k + i AS offered, cents * (i + 1) AS handled FROM ev, LATERAL (SELECT unnest(range(0, 3)) AS i)""",
+)
+def zip_series(t):
+    from callweave.operators import nested as ns
+
+    axis = F.sequence(F.lit(0), F.lit(2))
+    e = raw.event_rows(t.events).withColumns(
+        {
+            "offered": F.transform(axis, lambda i: F.col("k").cast("long") + i),
+            "handled": F.transform(axis, lambda i: F.col("cents") * (i + 1)),
+        }
+    )
+    return ns.series_rows(e, ["eventId"], "ts", 900, ["offered", "handled"], at="at")

@@ -114,18 +114,9 @@ def queue_board(t):
 )
 def extract_window_upsert(t):
     out = scratch_path(t.spark, "extract-windows")
-    path = scratch_path(t.spark, "windows")
-    rows = raw.metric_events(t.events).select(*EVENT.fieldNames())
-    # a file holds whole days, and every day is delivered twice: the later delivery replaces the first
-    for _ in range(2):
-        rows.repartition(F.to_date("eventTime")).write.mode("append").json(path)
-    stream = boards.read_files(t.spark, path, EVENT, files_per_trigger=8).select(
+    # every day is delivered twice, so each row arrives again in a later micro-batch
+    stream = _stream(t, copies=2).select(
         "eventId", "userId", F.to_date("eventTime").alias("extractDate"), F.date_trunc("day", "eventTime").alias("extractIntervalStartTime")
     )
-    boards.run_available(stream, scratch_path(t.spark, "ck"), _whole_windows(out))
+    boards.run_available(stream, scratch_path(t.spark, "ck"), boards.extract_windows(out, ["eventId"]))
     return t.spark.read.schema("eventId long, userId string, extractDate date, extractIntervalStartTime timestamp").parquet(out)
-
-
-def _whole_windows(out):
-    sink = boards.extract_windows(out)
-    return lambda df, batch_id: sink(df.dropDuplicates(), batch_id)

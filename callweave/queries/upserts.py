@@ -119,8 +119,7 @@ def replace_partitions(t):
     rows = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_quantity", F.date_format("l_shipdate", "yyyy-MM").alias("ship_month")
     )
-    # one shuffle by the partition column keeps the files per partition few
-    up.replace_partitions(rows.repartition("ship_month"), path, ["ship_month"])
+    up.replace_partitions(rows, path, ["ship_month"])
     table = t.spark.read.schema(rows.schema).parquet(path)
     batch = table.filter("ship_month between '1998-01' and '1998-06' and l_quantity > 10")
     up.commit_partitions(batch.withColumn("l_quantity", -F.col("l_quantity")), path, ["ship_month"])

@@ -82,7 +82,7 @@ def upsert_newest(path: str, keys: Sequence[str], order: Column, buckets: int =
         try:
             if fresh.isEmpty():
                 return
-            if batch_id > 0 and _exists(spark, path):
+            if _exists(spark, path):
                 touched = fresh.select("bucket").distinct()
                 old = spark.read.schema(fresh.schema).parquet(path).join(F.broadcast(touched), "bucket", "left_semi")
                 merged = newest(old.select(*fresh.columns).unionByName(fresh), keys, order)
@@ -126,9 +126,24 @@ def full_board(queues: DataFrame, queue: str, cells: Sequence[str]) -> Callable[
     return shape
 
 
-def extract_windows(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for extract windows: a window that is delivered again replaces its partition."""
+def extract_windows(path: str, keys: Sequence[str], window_cols: Sequence[str] = ("extractDate", "extractIntervalStartTime")) -> Callable[[DataFrame, int], None]:
+    """Sink for extract windows: rows are merged by key into the partitions of their window.
+
+    Only the partitions of the micro-batch are rewritten. A window may arrive over several
+    micro-batches, or again; rows delivered before are replaced, others stay.
+    """
     def sink(df: DataFrame, batch_id: int) -> None:
-        up.replace_partitions(df, path, ["extractDate", "extractIntervalStartTime"])
+        spark = df.sparkSession
+        fresh = df.dropDuplicates([*window_cols, *keys]).persist()
+        try:
+            if _exists(spark, path):
+                old = spark.read.schema(fresh.schema).parquet(path)
+                touched = fresh.select(*window_cols).distinct()
+                old = old.join(touched, list(window_cols), "left_semi").select(*fresh.columns)
+                up.commit_partitions(up.merge_all(old, fresh, [*window_cols, *keys], null_safe=False, check=False), path, window_cols)
+            else:
+                up.replace_partitions(fresh, path, window_cols)
+        finally:
+            fresh.unpersist()
 
     return sink
