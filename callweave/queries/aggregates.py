@@ -15,7 +15,7 @@ from callweave.sources import raw, writers
 
 def wide_facts(t):
     """Wide metric rows at session grain."""
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     return s.select(
         "conversationId",
         "sessionId",
@@ -179,7 +179,7 @@ def any_flags(t):
 )
 def groups_without_code(t):
     return (
-        raw.line_sessions(t.lineitem)
+        t.line_sessions()
         .groupBy("conversationId")
         .agg(F.max("segmentEnd").alias("lastEnd"), F.count("wrapUpCode").alias("codes"))
         .filter("codes = 0 and lastEnd is not null")

@@ -182,7 +182,7 @@ def survey_summary(t):
     + " SELECT DISTINCT evaluationId, agentId, queueId, mediaType, form AS evaluationFormId, ((segmentStart AT TIME ZONE 'UTC') AT TIME ZONE timeZone)::VARCHAR AS conversationDate, quantity * 2.0::DOUBLE AS totalScore, quantity::DOUBLE AS totalCriticalScore FROM evl",
 )
 def evaluation_details(t):
-    scores = evp.total_scores(raw.evaluation_payloads(t.lineitem))
+    scores = evp.total_scores(raw.evaluation_payloads(t.line_sessions()))
     return db.evaluation_details(kpis.evaluation_rows(t), scores, star.queues(t.part)).distinct()
 
 
@@ -194,7 +194,7 @@ def evaluation_details(t):
        SELECT 'form-' || form AS evaluationFormId, q AS questionId, count(*) AS asked, count(*) FILTER (WHERE returnFlag = 'R' AND score < 3) AS failed, sum(score)::BIGINT AS score FROM q GROUP BY 1, 2""",
 )
 def question_scores(t):
-    return db.question_score_summary(evp.question_scores(raw.evaluation_payloads(t.lineitem)), kpis.evaluation_rows(t))
+    return db.question_score_summary(evp.question_scores(raw.evaluation_payloads(t.line_sessions())), kpis.evaluation_rows(t))
 
 
 @query(
@@ -240,7 +240,7 @@ def active_user_bill(t):
     people = star.agents(t.supplier, t.nation, t.region).select(
         "userId", F.col("userName").alias("name"), F.when(F.col("active"), "active").otherwise("inactive").alias("state"), F.when(F.col("userNo") % 4 == 0, "Team Lead").alias("roleId")
     )
-    sessions = raw.line_sessions(t.lineitem).select("agentId", F.col("segmentStart").alias("conversationStart"))
+    sessions = t.line_sessions().select("agentId", F.col("segmentStart").alias("conversationStart"))
     return db.active_user_bill(sessions, people, "Australia/Melbourne", "1998-05")
 
 
@@ -435,7 +435,7 @@ CANDIDATES = """, tk AS (SELECT conversationId FROM lines GROUP BY 1 HAVING sum(
        UNION ALL SELECT conversationId, fl.agentId, 'failure' FROM fl LEFT JOIN dn ON dn.agentId = fl.agentId WHERE rn <= 5 AND rn <= 5 - coalesce(n, 0)""",
 )
 def transcript_candidates(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     handled = cv.last_handled(s).select("conversationId", F.col("agentId").alias("userId"), "queueId", "wrapUpCode", "mediaType", F.col("segmentStart").alias("conversationStart"))
     talk = s.select("conversationId", F.col("quantity").alias("tTalkComplete"))
     analysed = t.orders.filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").cast("string").alias("conversationId"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callweave.operators import nested as ns
-from callweave.operators import reshape
+
 from callweave.operators import upserts as up
 from callweave.plans import conversations as cv
 from callweave.plans import evaluations as evp
@@ -13,6 +13,7 @@ from callweave.plans import speech, star
 from callweave.plans import workforce as wf
 from callweave.queries.prelude import EVENTS, LINES, PHRASES, SESSIONS, TURNS, USERS, with_
 from callweave.queries.registry import query
+from callweave.session import cut_lineage
 from callweave.sources import raw
 
 
@@ -92,7 +93,8 @@ def aggregated_interval_fact(t):
         F.col("tHandle_count").alias("nHandle"), F.col("tHandle_sum").alias("tHandle"),
         F.col("tAcw_count").alias("nAcw"), F.col("tAcw_sum").alias("tAcw"), F.col("tAcw_max").alias("maxAcw"), F.col("tAcw_min").alias("minAcw"),
     )
-    good = up.guard_interval(fresh, "intervalStart", "intervalEnd", 900)
+    # checked, matched and written: three reads of one computed batch
+    good = up.guard_interval(cut_lineage(fresh), "intervalStart", "intervalEnd", 900)
     return up.replace_matching(good.filter("mediaType = 'chat'"), good, ["date", "intervalStart", "intervalEnd"])
 
 
@@ -107,7 +109,7 @@ LAST = """, last AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY
         FROM last WHERE CAST(segmentStart AS DATE) >= DATE '2000-06-30'""",
 )
 def last_handled_conversation(t):
-    fresh = cv.last_handled(raw.line_sessions(t.lineitem)).select(
+    fresh = cv.last_handled(t.line_sessions()).select(
         "conversationId", F.col("agentId").alias("userId"), "mediaType", "queueId", F.col("wrapUpCode").alias("wrapUpCodeId"),
         F.to_date("segmentStart").alias("conversationStartDate"),
     )
@@ -126,7 +128,7 @@ def last_handled_conversation(t):
         FROM lines l LEFT JOIN last ON last.conversationId = l.conversationId AND CAST(last.segmentStart AS DATE) = CAST(l.segmentStart AS DATE) GROUP BY ALL""",
 )
 def evaluations(t):
-    return evp.evaluations(raw.evaluation_payloads(t.lineitem), raw.line_sessions(t.lineitem))
+    return evp.evaluations(raw.evaluation_payloads(t.line_sessions()), t.line_sessions())
 
 
 @query(
@@ -137,7 +139,7 @@ def evaluations(t):
         FROM lines l JOIN last ON last.conversationId = l.conversationId AND CAST(last.segmentStart AS DATE) = CAST(l.segmentStart AS DATE)""",
 )
 def evaluations_matched_only(t):
-    out = evp.evaluations(raw.evaluation_payloads(t.lineitem), raw.line_sessions(t.lineitem), keep_unmatched=False)
+    out = evp.evaluations(raw.evaluation_payloads(t.line_sessions()), t.line_sessions(), keep_unmatched=False)
     return out.select("evaluationId", "queueId", "wrapUpCode").distinct()
 
 
@@ -146,7 +148,7 @@ def evaluations_matched_only(t):
     with_(LINES) + "SELECT DISTINCT 'ev-' || sessionId AS evaluationId, quantity * 2.0::DOUBLE AS totalScore, quantity::DOUBLE AS totalCriticalScore FROM lines",
 )
 def evaluation_total_scores(t):
-    return evp.total_scores(raw.evaluation_payloads(t.lineitem))
+    return evp.total_scores(raw.evaluation_payloads(t.line_sessions()))
 
 
 @query(
@@ -156,7 +158,7 @@ def evaluation_total_scores(t):
          FROM lines, (VALUES (1), (2)) x(g)""",
 )
 def evaluation_group_scores(t):
-    return evp.group_scores(raw.evaluation_payloads(t.lineitem))
+    return evp.group_scores(raw.evaluation_payloads(t.line_sessions()))
 
 
 @query(
@@ -168,7 +170,7 @@ def evaluation_group_scores(t):
            returnFlag = 'R' AND score < 3 AS failedKillQuestion, score FROM q""",
 )
 def evaluation_question_scores(t):
-    fresh = evp.question_scores(raw.evaluation_payloads(t.lineitem))
+    fresh = evp.question_scores(raw.evaluation_payloads(t.line_sessions()))
     keys = ["evaluationId", "questionGroupId", "questionId", "answerId"]
     return up.merge_all(fresh.filter("score > 3"), fresh, keys, check=False)
 
@@ -446,7 +448,7 @@ def menu_selections(t):
          CAST(strftime(segmentStart, '%Y%m%d') AS INTEGER) AS conversationStartDateId FROM lines""",
 )
 def evaluation_dim(t):
-    return evp.star_evaluations(raw.evaluation_payloads(t.lineitem))
+    return evp.star_evaluations(raw.evaluation_payloads(t.line_sessions()))
 
 
 @query(
@@ -456,7 +458,7 @@ def evaluation_dim(t):
          FROM lines WHERE lineNumber <> 1""",
 )
 def evaluation_fact(t):
-    return evp.star_evaluation_scores(raw.evaluation_payloads(t.lineitem))
+    return evp.star_evaluation_scores(raw.evaluation_payloads(t.line_sessions()))
 
 
 SURVEYED = "lines WHERE taxPct >= 6"

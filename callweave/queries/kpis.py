@@ -103,7 +103,7 @@ def first_contact_resolution(t):
 
 def intervals(t):
     """Pre-aggregated intervals: one per line."""
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     one = F.lit(1).cast("long")
     return s.select(
         F.col("agentId").alias("userId"),
@@ -141,7 +141,7 @@ def conversation_kpis(t):
 
 def sent_surveys(t):
     """Surveys about the agent of a line, sent on the line's day."""
-    s = raw.line_sessions(t.lineitem).filter("taxPct >= 6")
+    s = t.line_sessions().filter("taxPct >= 6")
     return s.select(
         F.col("agentId").alias("surveyUser"),
         F.to_date("segmentStart").alias("surveySentDatePart"),
@@ -169,7 +169,7 @@ def survey_kpis(t):
 
 
 def evaluation_rows(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     return s.select(
         F.concat(F.lit("ev-"), "sessionId").alias("evaluationId"),
         "agentId",
@@ -197,7 +197,7 @@ FORM_KPIS = ", fk AS (SELECT agentId AS userId, date, least(avg(CASE WHEN form =
 def quality_kpis(t):
     from callweave.plans import evaluations as evp
 
-    payloads = raw.evaluation_payloads(t.lineitem)
+    payloads = raw.evaluation_payloads(t.line_sessions())
     return ks.quality_kpis(evp.group_scores(payloads), evp.question_scores(payloads), evaluation_rows(t), star.queues(t.part))
 
 
@@ -226,7 +226,7 @@ FORMS = {"QA_Compliance": "form-3", "QA_Performance": "form-5"}
 def _form_kpis(t):
     from callweave.plans import evaluations as evp
 
-    return ks.form_kpis(evp.total_scores(raw.evaluation_payloads(t.lineitem)), evaluation_rows(t), star.queues(t.part), FORMS)
+    return ks.form_kpis(evp.total_scores(raw.evaluation_payloads(t.line_sessions())), evaluation_rows(t), star.queues(t.part), FORMS)
 
 
 @query("d35_evaluation_form_kpis", with_(MART) + EVALUATED + FORM_KPIS + " SELECT * FROM fk")
@@ -239,7 +239,7 @@ SALES = """, sk AS (SELECT agentId AS userId, CAST((segmentStart AT TIME ZONE 'U
 
 
 def _sales(t):
-    handled = raw.line_sessions(t.lineitem).filter("originatingDirection = 'outbound'").select(
+    handled = t.line_sessions().filter("originatingDirection = 'outbound'").select(
         F.col("agentId").alias("userId"), "wrapUpCode", F.col("segmentStart").alias("conversationStart")
     )
     return ks.sales_kpis(handled, star.wrap_up_codes(t.part).drop("wrapUpCode"), star.agents(t.supplier, t.nation, t.region))

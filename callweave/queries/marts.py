@@ -27,7 +27,7 @@ def _sum(name, as_=None):
 )
 def handling_metrics(t):
     return marts.handling_metrics(
-        star.conversations(t.orders), star.metrics(t.lineitem), star.participants(t.lineitem), star.insights(t.orders)
+        star.conversations(t.orders), star.metrics(t.line_sessions()), star.participants(t.line_sessions()), star.insights(t.orders)
     )
 
 
@@ -42,7 +42,7 @@ def handling_metrics(t):
 )
 def cost_view(t):
     return marts.cost_view(
-        star.conversations(t.orders), star.segments(t.lineitem), star.metrics(t.lineitem), star.insights(t.orders), star.contact_reasons(t.orders)
+        star.conversations(t.orders), star.segments(t.line_sessions()), star.metrics(t.line_sessions()), star.insights(t.orders), star.contact_reasons(t.orders)
     )
 
 
@@ -55,7 +55,7 @@ def cost_view(t):
 )
 def result_view(t):
     return marts.result_view(
-        star.conversations(t.orders), star.segments(t.lineitem), star.insights(t.orders), star.contact_reasons(t.orders)
+        star.conversations(t.orders), star.segments(t.line_sessions()), star.insights(t.orders), star.contact_reasons(t.orders)
     )
 
 
@@ -73,7 +73,7 @@ def result_view(t):
 )
 def reason_quadrants(t):
     return marts.reason_quadrants(
-        star.metrics(t.lineitem), star.conversations(t.orders), star.insights(t.orders), star.contact_reasons(t.orders)
+        star.metrics(t.line_sessions()), star.conversations(t.orders), star.insights(t.orders), star.contact_reasons(t.orders)
     )
 
 
@@ -88,7 +88,7 @@ def reason_quadrants(t):
 )
 def local_conversations(t):
     return marts.local_conversations(
-        star.conversations(t.orders), star.participants(t.lineitem), star.segments(t.lineitem), star.wrap_up_codes(t.part), star.queues(t.part), star.insights(t.orders)
+        star.conversations(t.orders), star.participants(t.line_sessions()), star.segments(t.line_sessions()), star.wrap_up_codes(t.part), star.queues(t.part), star.insights(t.orders)
     )
 
 
@@ -134,9 +134,9 @@ def surveys(t):
 def user_kpis(t):
     return marts.user_kpis(
         star.conversations(t.orders),
-        star.participants(t.lineitem),
-        star.segments(t.lineitem),
-        star.metrics(t.lineitem),
+        star.participants(t.line_sessions()),
+        star.segments(t.line_sessions()),
+        star.metrics(t.line_sessions()),
         star.insights(t.orders),
         surveys(t),
         star.wrap_up_codes(t.part),
@@ -176,8 +176,8 @@ def conformance_rollup(t):
     return marts.conformance_rollup(
         check_answers(t),
         star.conversations(t.orders),
-        star.participants(t.lineitem),
-        star.segments(t.lineitem),
+        star.participants(t.line_sessions()),
+        star.segments(t.line_sessions()),
         star.wrap_up_codes(t.part),
         star.queues(t.part),
         star.insights(t.orders),
@@ -195,9 +195,9 @@ FLAGGED = (
 
 
 def _flagged(t):
-    evaluations = raw.evaluation_payloads(t.lineitem).select(F.col("conversation.id").alias("conversationId"), "status")
+    evaluations = raw.evaluation_payloads(t.line_sessions()).select(F.col("conversation.id").alias("conversationId"), "status")
     return marts.flag_for_assessment(
-        star.conversations(t.orders), check_answers(t), star.segments(t.lineitem), star.wrap_up_codes(t.part), evaluations, SUCCESS
+        star.conversations(t.orders), check_answers(t), star.segments(t.line_sessions()), star.wrap_up_codes(t.part), evaluations, SUCCESS
     )
 
 
@@ -217,7 +217,7 @@ def compliance_flags(t):
        LEFT JOIN (SELECT conversationId, string_agg(DISTINCT userId, ',' ORDER BY userId) AS userIds FROM prt WHERE userId IS NOT NULL GROUP BY 1) USING (conversationId) WHERE isManualAssessmentNeeded""",
 )
 def flagged_view(t):
-    return marts.flagged_view(_flagged(t), check_answers(t), star.segments(t.lineitem), star.participants(t.lineitem))
+    return marts.flagged_view(_flagged(t), check_answers(t), star.segments(t.line_sessions()), star.participants(t.line_sessions()))
 
 
 @query(

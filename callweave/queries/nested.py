@@ -59,7 +59,7 @@ def first_last_elements(t):
 )
 def two_lateral_views(t):
     return ns.flatten(
-        raw.evaluation_payloads(t.lineitem),
+        raw.evaluation_payloads(t.line_sessions()),
         [F.col("id").alias("evaluationId"), F.col("g.questionGroupId"), F.col("q.questionId"), F.col("q.score")],
         ("answers.questionGroupScores", "g"),
         ("g.questionScores", "q"),
@@ -208,7 +208,7 @@ def flow_outcomes(t):
          UNION ALL SELECT l.sessionId, s_name FROM lines l JOIN supplier ON s_suppkey = l.lineNumber AND 'agent-' || s_suppkey <> l.agentId""",
 )
 def array_membership_join(t):
-    s = raw.line_sessions(t.lineitem).select(
+    s = t.line_sessions().select(
         "sessionId", F.array("agentId", F.concat(F.lit("agent-"), "lineNumber")).alias("divisionIds")
     )
     keyed = ns.member_rows(s, ["sessionId"], "divisionIds", "divisionId")
@@ -239,7 +239,7 @@ def drill_inquiries(t):
         inquiries = F.array(*[F.struct(F.lit(f"main-{i}").alias("main_inquiry")) for i in range(no)])
         return F.struct(F.lit(f"reason-{no}").alias("contact_reason"), inquiries.alias("inquiries"))
 
-    s = raw.line_sessions(t.lineitem).select(
+    s = t.line_sessions().select(
         F.col("sessionId").alias("conversation_id"),
         F.when(
             F.col("lineNumber") <= 3,

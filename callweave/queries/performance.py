@@ -65,7 +65,7 @@ def user_docs(t):
 
 
 def outcome_docs(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     return s.select(
         F.col("conversationId").cast("long").alias("campaign_id"),
         F.col("agentId").alias("user_id"),
@@ -324,7 +324,7 @@ def questions(t):
 
 
 def reward_docs(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
 
     def reward(kind, amount):
         return F.struct(F.lit(kind).alias("type"), amount.alias("amount"), F.col("segmentEnd").alias("given_at"))

@@ -189,7 +189,7 @@ def transcript_actions(t):
 
 def spoken(t):
     """Phrases placed one minute apart from the first segment of the order with the same number."""
-    first = star.segments(t.lineitem).groupBy("conversationId").agg(F.min("segmentStart").alias("_t0"))
+    first = star.segments(t.line_sessions()).groupBy("conversationId").agg(F.min("segmentStart").alias("_t0"))
     n = F.length("text")
     said = t.conversations.select(F.col("conv_id").cast("string").alias("conversationId"), "turn", "role", "text").join(first, "conversationId")
     return said.select(
@@ -224,10 +224,10 @@ SPOKEN = """, t0 AS (SELECT conversationId, min(segmentStart) AS t0 FROM seg GRO
          row_number() OVER (PARTITION BY conversationId ORDER BY s NULLS FIRST, e NULLS FIRST, participant NULLS FIRST, action NULLS FIRST, userId NULLS FIRST) AS line FROM al""",
 )
 def timeline(t):
-    segments = star.segments(t.lineitem)
+    segments = star.segments(t.line_sessions())
     last = cv.last_handled(segments.withColumnRenamed("participantId", "sessionId").withColumnRenamed("wrapUpCodeId", "wrapUpCode"))
     return pr.timeline(
-        star.conversations(t.orders), star.participants(t.lineitem), segments, star.metrics(t.lineitem), spoken(t), last.select("conversationId", "queueId"), star.queues(t.part)
+        star.conversations(t.orders), star.participants(t.line_sessions()), segments, star.metrics(t.line_sessions()), spoken(t), last.select("conversationId", "queueId"), star.queues(t.part)
     )
 
 
@@ -246,9 +246,9 @@ def map_inputs(t):
     )
     return pr.MapInputs(
         conversations=star.conversations(t.orders).filter("originatingDirectionId = 1 and initialSessionMediaTypeId = 1"),
-        participants=star.participants(t.lineitem),
-        segments=star.segments(t.lineitem),
-        metrics=star.metrics(t.lineitem),
+        participants=star.participants(t.line_sessions()),
+        segments=star.segments(t.line_sessions()),
+        metrics=star.metrics(t.line_sessions()),
         ivr_events=t.orders.filter("o_orderkey % 2 = 0").select(cid, F.lit("AuthenticationStatus").alias("eventName"), F.col("o_orderstatus").alias("eventValue")),
         menus=t.orders.filter("o_custkey % 3 = 0").select(cid, F.explode(menu).alias("m")).select("conversationId", "m.*"),
         flows=t.orders.filter("o_custkey % 4 <> 0").select(

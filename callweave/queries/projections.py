@@ -196,7 +196,7 @@ def rename_export(t):
 )
 def flattened_window_export(t):
     path = scratch_path(t.spark, "facts-csv")
-    facts = raw.line_sessions(t.lineitem).select(
+    facts = t.line_sessions().select(
         "sessionId", "agentId", "queueId", F.col("quantity").alias("handleUnits"), "segmentStart"
     )
     writers.write_window_export(facts, path, "segmentStart", "1998-03-01", "1998-04-01")

@@ -39,7 +39,7 @@ def earliest_version(t):
           ORDER BY segmentEnd DESC, sessionId DESC) rn FROM lines) WHERE rn = 1""",
 )
 def last_segment(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     return cv.last_segments(s, ["conversationId", "mediaType"]).select(
         "conversationId", "mediaType", "queueId", "wrapUpCode", "sessionId"
     )
@@ -54,7 +54,7 @@ def last_segment(t):
         SELECT conversationId, agentId, queueId, wrapUpCode FROM coded WHERE rn = 1 UNION ALL SELECT conversationId, agentId, queueId, wrapUpCode FROM plain WHERE rn = 1""",
 )
 def last_coded_segment(t):
-    return cv.last_handled(raw.line_sessions(t.lineitem)).select("conversationId", "agentId", "queueId", "wrapUpCode")
+    return cv.last_handled(t.line_sessions()).select("conversationId", "agentId", "queueId", "wrapUpCode")
 
 
 @query(
@@ -174,7 +174,7 @@ def fill_start(t):
         FROM (SELECT conversationId, queueId, min(segmentStart) AS firstStart FROM lines GROUP BY 1, 2)""",
 )
 def ordinal_of_groups(t):
-    s = raw.line_sessions(t.lineitem).groupBy("conversationId", "queueId").agg(F.min("segmentStart").alias("firstStart"))
+    s = t.line_sessions().groupBy("conversationId", "queueId").agg(F.min("segmentStart").alias("firstStart"))
     return ordered.with_ordered(s, ["conversationId"], ["firstStart", "queueId"], row_number="ordinal")
 
 
@@ -230,7 +230,7 @@ def latest_presence(t):
     + """SELECT conversationId, arg_min(queueId, (segmentStart, sessionId)) AS firstQueue, arg_max(queueId, (segmentEnd, sessionId)) AS lastQueue FROM lines GROUP BY 1""",
 )
 def first_and_last_queue(t):
-    s = raw.line_sessions(t.lineitem)
+    s = t.line_sessions()
     return s.groupBy("conversationId").agg(
         F.min_by("queueId", F.struct("segmentStart", "sessionId")).alias("firstQueue"),
         F.max_by("queueId", F.struct("segmentEnd", "sessionId")).alias("lastQueue"),

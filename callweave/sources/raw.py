@@ -19,6 +19,11 @@ REGION_ZONES = {
 }
 
 
+def day_number(ts: Column) -> Column:
+    """yyyyMMdd as an integer; arithmetic, which is much cheaper than formatting."""
+    return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
+
+
 def plus_seconds(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
@@ -31,7 +36,7 @@ def line_sessions(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_orderkey").cast("string").alias("conversationId"),
         F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
+            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day_number(F.col("l_shipdate"))
         ).alias("sessionId"),
         F.concat(F.lit("agent-"), F.col("l_suppkey")).alias("agentId"),
         F.concat(F.lit("queue-"), F.col("l_partkey") % 25).alias("queueId"),
@@ -76,13 +81,13 @@ FLOW = (
 )
 
 
-def conversation_details(lineitem: DataFrame) -> DataFrame:
+def conversation_details(sessions: DataFrame) -> DataFrame:
     """Nested conversation payloads: participants -> sessions -> segments, metrics, flow.
 
     A line gives one conversation with a customer (ivr flow), a queue and an agent participant; lines
     with number 4 or more have no queue participant.
     """
-    s = line_sessions(lineitem).withColumn("talkEnd", F.col("segmentEnd") - F.expr("interval 30 seconds"))
+    s = sessions.withColumn("talkEnd", F.col("segmentEnd") - F.expr("interval 30 seconds"))
     none = F.lit(None).cast("string")
     start, qty, queue = F.col("segmentStart"), F.col("quantity"), F.col("queueId")
     talk_end = F.col("talkEnd")
@@ -372,9 +377,9 @@ def users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFram
     )
 
 
-def evaluation_payloads(lineitem: DataFrame) -> DataFrame:
-    """Nested evaluations: one per line, two question groups with one and two questions."""
-    s = line_sessions(lineitem)
+def evaluation_payloads(sessions: DataFrame) -> DataFrame:
+    """Nested evaluations: one per session, two question groups with one and two questions."""
+    s = sessions
     kill = F.col("returnFlag") == "R"
 
     def question(no, score):

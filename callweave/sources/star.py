@@ -14,15 +14,15 @@ def conversations(orders: DataFrame) -> DataFrame:
         key.cast("string").alias("conversationId"),
         F.col("o_orderdate").alias("conversationStart"),
         (F.col("o_orderdate") + F.expr("interval 1 hour")).alias("conversationEnd"),
-        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("conversationStartDateId"),
+        raw.day_number(F.col("o_orderdate")).alias("conversationStartDateId"),
         F.when(F.col("o_orderstatus") == "O", 2).otherwise(1).alias("originatingDirectionId"),
         F.when(key % 3 == 0, 5).when(key % 3 == 1, 1).otherwise(2).alias("initialSessionMediaTypeId"),
         F.concat(F.lit("site "), F.col("o_custkey") % 4).alias("location"),
     )
 
 
-def participants(lineitem: DataFrame) -> DataFrame:
-    s = raw.line_sessions(lineitem)
+def participants(sessions: DataFrame) -> DataFrame:
+    s = sessions
     is_agent = F.col("lineNumber") % 2 == 1
     return s.select(
         "conversationId",
@@ -32,8 +32,8 @@ def participants(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def segments(lineitem: DataFrame) -> DataFrame:
-    return raw.line_sessions(lineitem).select(
+def segments(sessions: DataFrame) -> DataFrame:
+    return sessions.select(
         "conversationId",
         F.col("sessionId").alias("participantId"),
         "queueId",
@@ -44,7 +44,7 @@ def segments(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def metrics(lineitem: DataFrame) -> DataFrame:
+def metrics(sessions: DataFrame) -> DataFrame:
     """Long metrics; a metric that a line lacks gives no row."""
     def m(name, value):
         return F.when(value.isNotNull(), F.struct(F.lit(name).alias("name"), value.cast("long").alias("value")))
@@ -62,8 +62,9 @@ def metrics(lineitem: DataFrame) -> DataFrame:
             m("nConsult", F.when((flag == "A") & (tax > 3), F.lit(1))),
         )
     )
-    s = raw.line_sessions(lineitem)
-    rows = s.select("conversationId", F.col("sessionId").alias("participantId"), F.col("segmentEnd").alias("eventTime"), F.explode(found).alias("m"))
+    rows = sessions.select(
+        "conversationId", F.col("sessionId").alias("participantId"), F.col("segmentEnd").alias("eventTime"), F.explode(found).alias("m")
+    )
     return rows.select("conversationId", "participantId", "eventTime", "m.name", "m.value")
 
 

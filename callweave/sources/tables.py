@@ -61,5 +61,9 @@ class Tables:
         """Nested conversation payloads, landed once as a raw table; reports read only the fields they use."""
         return self._land(
             "conversations",
-            lambda: raw.conversation_details(self.lineitem),
+            lambda: raw.conversation_details(self.line_sessions()),
         )
+
+    def line_sessions(self) -> DataFrame:
+        """Flat agent sessions, landed once; many tables start from them."""
+        return self._land("sessions", lambda: raw.line_sessions(self.lineitem))
