@@ -235,7 +235,7 @@ def process_map(i: MapInputs) -> DataFrame:
         KEY, "category", "action", F.col("startTime").alias("eventStart"), F.col("endTime").alias("eventEnd"),
         "contact_reason", "main_inquiry", "root_cause", "speaker",
     )
-    rows = steps.unionByName(spoken).filter("eventEnd is not null").distinct().join(c, KEY)
+    rows = steps.unionByName(spoken).filter("eventEnd is not null").join(c, KEY)
 
     name = F.col("name")
     flags = i.metrics.groupBy(KEY).agg(
@@ -262,6 +262,7 @@ def process_map(i: MapInputs) -> DataFrame:
     out = rows
     for extra in (flags, auth, left, told, users, teams, last_queue, last_code):
         out = out.join(extra, KEY, "left")
+    # the rows are spread by conversation by now, so dropping repeated rows needs no further shuffle
     return (
         out.withColumn("resolved", F.coalesce("_flow", "_told"))
         .drop("_flow", "_told")

@@ -169,7 +169,10 @@ def survey_summary(t):
     from callweave.plans import surveys as sv
 
     wide = sv.wide_interactions(kpis.interactions(t), kpis.questions(t))
-    regions = t.region.select(F.lit(" us INBOUND").alias("queueName"), F.lit("US").alias("region"), F.lit("America/New_York").alias("timeZone")).distinct()
+    zones = F.array(
+        *[F.struct(F.lit(q).alias("queueName"), F.lit(r).alias("region"), F.lit(z).alias("timeZone")) for q, r, z in [(" us INBOUND", "US", "America/New_York"), ("FR inbound", "FR", "Europe/Paris")]]
+    )
+    regions = t.region.select(F.explode(zones).alias("z")).select("z.*").distinct()
     session = F.struct(F.col("event_type").alias("mediaType"))
     details = t.events.select(F.concat(F.lit("conv-"), "event_id").alias("conversationId"), F.array(F.struct(F.array(session).alias("sessions"))).alias("participants"))
     return db.survey_summary(wide.drop("mediaType"), regions, details)

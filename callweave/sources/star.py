@@ -47,25 +47,23 @@ def segments(sessions: DataFrame) -> DataFrame:
 def metrics(sessions: DataFrame) -> DataFrame:
     """Long metrics; a metric that a line lacks gives no row."""
     def m(name, value):
-        return F.when(value.isNotNull(), F.struct(F.lit(name).alias("name"), value.cast("long").alias("value")))
+        return F.struct(F.lit(name).alias("name"), value.cast("long").alias("value"))
 
     flag, tax = F.col("returnFlag"), F.col("taxPct")
-    found = F.array_compact(
-        F.array(
-            m("tHandle", F.col("quantity") * 1000),
-            m("tTalkComplete", F.col("quantity") * 700),
-            m("tHeldComplete", F.when(F.col("discountPct") > 0, F.col("discountPct") * 1000)),
-            m("tHeld", F.when(F.col("discountPct") > 0, F.col("discountPct") * 1000)),
-            m("tAcw", F.when(tax > 0, tax * 1000)),
-            m("nBlindTransferred", F.when((flag == "R") & (tax > 4), F.lit(1))),
-            m("nConsultTransferred", F.when((flag == "A") & (tax > 6), F.lit(1))),
-            m("nConsult", F.when((flag == "A") & (tax > 3), F.lit(1))),
-        )
+    every = F.array(
+        m("tHandle", F.col("quantity") * 1000),
+        m("tTalkComplete", F.col("quantity") * 700),
+        m("tHeldComplete", F.when(F.col("discountPct") > 0, F.col("discountPct") * 1000)),
+        m("tHeld", F.when(F.col("discountPct") > 0, F.col("discountPct") * 1000)),
+        m("tAcw", F.when(tax > 0, tax * 1000)),
+        m("nBlindTransferred", F.when((flag == "R") & (tax > 4), F.lit(1))),
+        m("nConsultTransferred", F.when((flag == "A") & (tax > 6), F.lit(1))),
+        m("nConsult", F.when((flag == "A") & (tax > 3), F.lit(1))),
     )
     rows = sessions.select(
-        "conversationId", F.col("sessionId").alias("participantId"), F.col("segmentEnd").alias("eventTime"), F.explode(found).alias("m")
+        "conversationId", F.col("sessionId").alias("participantId"), F.col("segmentEnd").alias("eventTime"), F.explode(every).alias("m")
     )
-    return rows.select("conversationId", "participantId", "eventTime", "m.name", "m.value")
+    return rows.select("conversationId", "participantId", "eventTime", "m.name", "m.value").filter("value is not null")
 
 
 def insights(orders: DataFrame) -> DataFrame:
