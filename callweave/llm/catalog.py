@@ -1,4 +1,4 @@
 """Importing this module registers the queries of this subpackage."""
 
-from callweave.llm import langid, line_dedup, mixing, quality  # noqa: F401
+from callweave.llm import embed, langid, line_dedup, mixing, quality  # noqa: F401
 from callweave.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -1,0 +1,208 @@
+"""Embedding near-dedup by sorted projection passes.
+
+Every pass gives each vector a key of random hashes, the signs of its projections on random directions put one after the
+other, sorts all vectors by that key, and compares each with a bounded window of neighbours. Pairs that verify are
+united over all passes. Inside each component found, all pairs are then compared in blocks, so that links are counted in
+full however many vectors a component holds.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from callweave.llm.components import components
+from callweave.llm.registry import query
+from callweave.session import cut_lineage
+
+#: Neighbours after each vector that a pass compares it with.
+WINDOW = 48
+#: Vectors of a sorted block; a task compares a block and the window after it.
+BLOCK = 4096
+#: Vectors of a block inside a component.
+CELL = 2048
+
+
+def passes_for(n: int, threshold: float, recall: float, window: int = WINDOW) -> int:
+    """Passes needed so that a pair at the threshold meets in one of them with the probability ``recall``.
+
+    Neighbours in a sorted pass share about the first log2(n / window) signs.
+    """
+    bits = max(1.0, math.log2(max(n, 2) / window))
+    together = (1 - math.acos(threshold) / math.pi) ** bits
+    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - together))) if together < 1 else 2
+
+
+def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, dim, unit vector as float64 bytes) of the vectors that can be compared."""
+    for batch in batches:
+        ids, dims, units = [], [], []
+        for i, v in zip(batch.column(0), batch.column(1), strict=True):
+            v = v.as_py()
+            if not v or any(x is None for x in v) or not i.is_valid:
+                continue
+            v = np.array(v, np.float64)
+            top = np.abs(v).max()
+            if not np.isfinite(top) or top == 0 or not np.isfinite(v).all():
+                continue
+            v = v / top
+            ids.append(i.as_py())
+            dims.append(len(v))
+            units.append((v / np.linalg.norm(v)).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(units, pa.binary())], ["id", "dim", "unit"])
+
+
+def _keyed(passes: int, seed: int):
+    """One row per vector and pass with the pass's 64 signs, most significant first, as an unsigned sort key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directions: dict[tuple[int, int], np.ndarray] = {}
+        weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+        for batch in batches:
+            dims = batch.column("dim").to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims):
+                own = batch.filter(pa.array(dims == dim))
+                x = np.frombuffer(b"".join(own.column("unit").to_pylist()), np.float64).reshape(-1, dim)
+                for p in range(passes):
+                    if (dim, p) not in directions:
+                        directions[dim, p] = np.random.default_rng([seed, int(dim), p]).standard_normal((dim, 64))
+                    signs = (x @ directions[dim, p] > 0).astype(np.uint64) @ weights
+                    # the sign bit is turned so that signed order is bit order
+                    key = (signs ^ np.uint64(1 << 63)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([p] * len(x), pa.int32()), pa.array(key), *own.columns], ["pass", "key", *own.schema.names])
+
+    return run
+
+
+def _rows_of_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows with equal ``keys`` out of sorted batches, one bounded group at a time."""
+    held: list[pa.RecordBatch] = []
+    at: tuple | None = None
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() for k in keys]
+        rows = list(zip(*columns, strict=True))
+        start = 0
+        for i in range(len(rows) + 1):
+            if i < len(rows) and rows[i] == (rows[start] if i > start else rows[i]):
+                continue
+            if i > start:
+                if held and at != rows[start]:
+                    yield at, pa.Table.from_batches(held)
+                    held = []
+                at = rows[start]
+                held.append(batch.slice(start, i - start))
+                start = i
+    if held:
+        yield at, pa.Table.from_batches(held)
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    units = table.column("unit").to_pylist()
+    return np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1)
+
+
+def _window_links(threshold: float, window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in _rows_of_groups(batches, ["pass", "dim", "block"]):
+            table = table.sort_by("rank")
+            x, ids = _matrix(table), table.column("id").to_numpy()
+            roots = np.arange(len(x))
+            for gap in range(1, min(window, len(x) - 1) + 1):
+                near = np.flatnonzero(np.einsum("ij,ij->i", x[gap:], x[:-gap]) >= threshold)
+                for i in near:
+                    a, b = _root(roots, i), _root(roots, i + gap)
+                    roots[max(a, b)] = min(a, b)
+            top = np.array([_root(roots, i) for i in range(len(x))])
+            moved = top != np.arange(len(x))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[top[moved]])], ["a", "b"])
+
+    return run
+
+
+def _root(roots: np.ndarray, i: int) -> int:
+    while roots[i] != i:
+        roots[i] = roots[roots[i]]
+        i = roots[i]
+    return i
+
+
+def _cell_counts(threshold: float):
+    """Links of each vector with the vectors of the other side of its cell, by copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), table in _rows_of_groups(batches, ["component", "low", "high"]):
+            x, ids, n = _matrix(table), table.column("id").to_numpy(), table.column("copies").to_numpy()
+            side = table.column("sub").to_numpy()
+            rows, cols = np.flatnonzero(side == low), np.flatnonzero(side == high)
+            near = x[rows] @ x[cols].T >= threshold
+            found, links = [ids[rows]], [near @ n[cols]]
+            if low != high:
+                found.append(ids[cols])
+                links.append(near.T @ n[rows])
+            else:
+                # a vector and itself, which rounding may put below the threshold, count once: its copies
+                links[0] = links[0] + np.where(near.diagonal(), 0, n[rows])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(links).astype(np.int64))], ["id", "links"])
+
+    return run
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, recall: float = 0.995, seed: int = 7) -> DataFrame:
+    """``id_col``, ``n_links``, ``component_id`` and ``kept``, one row per vector.
+
+    Two vectors of one length link when their cosine in double precision reaches ``threshold``. ``n_links`` counts
+    the others linked directly, ``component_id`` is the smallest id reachable, ``kept`` marks that one. Vectors that are null,
+    empty, zero or hold null or non-finite components link with nothing; a row with a null id comes back with a null
+    ``component_id`` and is not kept. Vectors with equal values are compared once and counted as often as there are
+    ids. Repeated rows (same id, same vector) come back once. Other columns are left out. No pair below the threshold is
+    linked; of those at the threshold ``recall`` are met in one of the passes at least, the nearer ones more often.
+    """
+    given = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("v")).distinct()
+    units = given.mapInArrow(_unit, "id long, dim int, unit binary")
+    copies = cut_lineage(units.groupBy("dim", "unit").agg(F.min("id").alias("id"), F.countDistinct("id").alias("copies"), F.sha2("unit", 256).alias("digest")))
+    passes = passes_for(copies.count(), threshold, recall)
+    # 1. sorted order of every pass, over range partitions; ranks are places inside them plus the sizes before
+    keyed = copies.select("id", "dim", "unit").mapInArrow(_keyed(passes, seed), "pass int, key long, id long, dim int, unit binary")
+    sorted_rows = cut_lineage(keyed.repartitionByRange("dim", "pass", "key", "id").withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("part", "dim", "pass").orderBy("key", "id")
+    earlier = Window.partitionBy("dim", "pass").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sorted_rows.groupBy("part", "dim", "pass").count().withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
+    ranked = sorted_rows.withColumn("within", F.row_number().over(inside) - 1).join(offsets, ["part", "dim", "pass"]).withColumn("rank", F.col("within") + F.col("before"))
+    # 2. each block with the window that follows it
+    block = F.floor(F.col("rank") / BLOCK)
+    blocks = F.when((F.col("rank") % BLOCK < WINDOW) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
+    dealt = ranked.select("pass", "dim", "rank", "id", "unit", F.explode(blocks).alias("block"))
+    dealt = dealt.repartition("pass", "dim", "block").sortWithinPartitions("pass", "dim", "block")
+    links = dealt.mapInArrow(_window_links(threshold, WINDOW), "a long, b long")
+    # 3. union over all passes
+    found = components(links)
+    # 4. all pairs inside each component, in cells of bounded size
+    members = copies.join(found, "id")
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
+    cells = members.join(sizes, "component").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    cells = cells.select("component", F.least("sub", "other").alias("low"), F.greatest("sub", "other").alias("high"), "sub", "id", "copies", "unit")
+    cells = cells.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
+    counted = cells.mapInArrow(_cell_counts(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+    classes = copies.select("id", "digest", "copies").join(found, "id", "left").join(counted, "id", "left")
+    classes = classes.select(
+        "digest",
+        (F.coalesce("links", "copies") - 1).alias("n_links"),
+        F.coalesce("component", "id").alias("component_id"),
+    )
+    named = units.select("id", F.sha2("unit", 256).alias("digest")).distinct().join(classes, "digest").drop("digest")
+    lone = given.select("id").join(named, "id", "left_anti").distinct()
+    lone = lone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    out = named.unionByName(lone)
+    return out.select(F.col("id").alias(id_col), F.col("n_links").cast("long"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark, folder):
+    """Links and components of all embeddings."""
+    return near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
