@@ -23,7 +23,7 @@ from callweave.llm.registry import query
 #: Longest context in bytes.
 ORDER = 3
 #: Bound of the training sample: labelled rows of each language, those with the smallest hashed ids.
-ROWS_PER_LANGUAGE = 2000
+ROWS_PER_LANGUAGE = 1000
 #: Bounds of the model: contexts of the greatest length, languages.
 MAX_CONTEXTS = 40_000
 MAX_LANGUAGES = 200
@@ -122,8 +122,11 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key:
     key = F.xxhash64(F.col(f"`{text_col}`")) if key is None else key
     known = rows.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"), key.alias("key"))
     known = known.filter("text IS NOT NULL AND lang IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy("key")
-    sample = known.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= rows_per_language)
+    # keys alone tell which rows are the first ones; of equal keys at the limit, the second window takes as many as fit
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    limits = known.select("lang", "key").withColumn("at", first).filter(F.col("at") <= rows_per_language)
+    limits = limits.groupBy("lang").agg(F.max("key").alias("limit"))
+    sample = known.join(limits, "lang").filter("key <= limit").withColumn("at", first).filter(F.col("at") <= rows_per_language)
     # spread again: a language's sample came together in one task
     counts = sample.select("text", "lang").repartition(8 * ORDER).mapInArrow(_count_batches, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
