@@ -1,4 +1,4 @@
 """Importing this module registers the queries of this subpackage."""
 
-from callweave.llm import embed, jaccard, langid, line_dedup, mixing, quality, suffix  # noqa: F401
+from callweave.llm import embed, jaccard, langid, licenses, line_dedup, mixing, quality, secrets, suffix  # noqa: F401
 from callweave.llm.registry import ORACLES, QUERIES  # noqa: F401
