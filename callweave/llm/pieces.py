@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callweave.llm.common import documents
 from callweave.llm.registry import query
@@ -246,7 +247,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids), mask=pa.array(missing, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*kept, ids_col])
 
-    return rows.mapInArrow(run, rows.schema.add(ids_col, "array<int>"))
+    return rows.mapInArrow(run, rows.schema.add(ids_col, T.ArrayType(T.IntegerType())))
 
 
 def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
