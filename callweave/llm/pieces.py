@@ -247,7 +247,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids), mask=pa.array(missing, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*kept, ids_col])
 
-    return rows.mapInArrow(run, rows.schema.add(ids_col, T.ArrayType(T.IntegerType())))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -270,7 +270,7 @@ def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: s
                 out.append(decode_ids(ids.values.to_numpy(), pieces) if whole else None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*kept, text_col])
 
-    return rows.mapInArrow(run, rows.schema.add(text_col, "string"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(text_col, T.StringType())]))
 
 
 @query("op8_sentencepiece")
