@@ -345,8 +345,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = values.join(shared, "value").select(F.col("number").alias("a"), F.col("first").alias("b"))
     cells = components(links).withColumnRenamed("id", "number").withColumnRenamed("component", "cell")
     chosen = cut_lineage(classes.select("number", "set", "id", "n").join(cells, "number"))
-    # the shingles of the sets in cells, from the texts again
-    wanted = rows.join(chosen.select("id", "number", "set"), "id")
+    # the shingles of the sets in cells, from the texts again; the chosen ids grow with the corpus, so that they are never
+    # broadcast, and the plan is the same at every size
+    wanted = rows.join(chosen.select("id", "number", "set").hint("merge"), "id")
     sets = wanted.select("text", "number", "set").mapInArrow(_sets(words), "number long, shingles binary").dropDuplicates(["number"])
     sets = cut_lineage(_blocked(chosen.drop("set", "id"), "cell", rule).join(sets, "number"))
     # 1. inside blocks
