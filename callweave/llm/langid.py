@@ -126,6 +126,8 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key:
     first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     limits = known.select("lang", "key").withColumn("at", first).filter(F.col("at") <= rows_per_language)
     limits = limits.groupBy("lang").agg(F.max("key").alias("limit"))
+    # one row a language, and one language more than are allowed at most
+    limits = F.broadcast(limits.limit(MAX_LANGUAGES + 1))
     sample = known.join(limits, "lang").filter("key <= limit").withColumn("at", first).filter(F.col("at") <= rows_per_language)
     # spread again: a language's sample came together in one task
     counts = sample.select("text", "lang").repartition(8 * ORDER).mapInArrow(_count_batches, "lang string, gram long, n long")
