@@ -58,8 +58,8 @@ class Model:
 
     def __init__(self, langs: list[str], rows: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = langs
-        used = [np.unique(np.concatenate([(g >> (8 * k)) & 255 for g, _ in rows.values()])) for k in range(ORDER + 1)]
-        alphabet = np.unique(np.concatenate(used)) if rows else np.array([10])
+        used = [(g >> (8 * k)) & 255 for g, _ in rows.values() for k in range(ORDER + 1)]
+        alphabet = np.unique(np.concatenate([[10], *used])).astype(np.int64)
         self.size = len(alphabet) + 1  # the last symbol stands for all bytes never seen
         self.symbol = np.full(256, len(alphabet), np.int64)
         self.symbol[alphabet] = np.arange(len(alphabet))

@@ -53,17 +53,15 @@ def drop_common_lines(
         .agg(F.array_sort(F.collect_list("_pos")).alias("_gone"))
     )
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept_columns], *identity(id_col, text_col))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("_columns"), *identity(id_col, text_col))
     joined = rows.join(dropped, ["_doc", "_row"], "left")
+    column = lambda c: F.col(f"_columns.`{c}`")
+    text = column(text_col)
     lines = lines_of(text)
     cuts = F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size(lines)))
+    stays = F.when(F.col("_gone").isNull(), F.coalesce(text, F.lit(""))).otherwise(_without(lines, cuts))
     return joined.select(
-        *[
-            F.when(F.col("_gone").isNull(), F.coalesce(text, F.lit(""))).otherwise(_without(lines, cuts)).alias(c)
-            if c == text_col
-            else F.col(f"`{c}`")
-            for c in kept_columns
-        ],
+        *[(stays if c == text_col else column(c)).alias(c) for c in kept_columns],
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -99,15 +99,12 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as :func:`mixture` takes it, with its columns unchanged."""
-    columns = docs.columns
-    same = Window.partitionBy("_doc", "_row").orderBy(F.col(f"`{source_col}`"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], *identity(id_col, text_col)).withColumn("_copy", F.row_number().over(same))
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_columns")
+    same = Window.partitionBy("_doc", "_row").orderBy(F.col(f"_columns.`{source_col}`"))
+    rows = docs.select(columns, *identity(id_col, text_col)).withColumn("_copy", F.row_number().over(same))
     taken = mixture(docs, id_col, text_col, source_col, **options).filter("epochs > 0").select("_doc", "_row", "_copy", F.col("epochs").cast("int").alias("_epochs"))
-    return (
-        rows.join(taken, ["_doc", "_row", "_copy"])
-        .withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-        .select(*[F.col(f"`{c}`") for c in columns])
-    )
+    again = rows.join(taken, ["_doc", "_row", "_copy"]).withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
+    return again.select("_columns.*")
 
 
 SQL = r"""

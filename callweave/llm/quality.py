@@ -122,9 +122,8 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     others pass. An empty table gives an empty table. Windows are compared by 64-bit hashes within one text.
     """
     names = "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_stop_words n_doubled n_shouted n_capitals".split()
-    kept = [c for c in docs.columns if c not in (*names, "base_failed", "kept", "_m")]
-    counted = docs.select(*[F.col(f"`{c}`") for c in kept], measures(F.col(f"`{text_col}`")).alias("_m"))
-    counted = counted.select(*[F.col(f"`{c}`") for c in kept], "_m.*")
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (*names, "base_failed", "kept")])
+    counted = docs.select(kept.alias("_columns"), measures(F.col(f"`{text_col}`")).alias("_m")).select("_columns.*", "_m.*")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
