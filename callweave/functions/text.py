@@ -15,9 +15,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(text)), "[^a-z0-9]", "")
 
 
-def clean_cell(text: Column, limit: int = 3900) -> Column:
-    """Newlines and quotes out, capped at the width of the target column."""
-    return F.substring(F.regexp_replace(F.regexp_replace(text, "[\\r\\n]+", " "), "[\"']", ""), 1, limit)
+def clean_cell(text: Column) -> Column:
+    """Newlines and quotes out; the whole text stays."""
+    return F.regexp_replace(F.regexp_replace(text, "[\\r\\n]+", " "), "[\"']", "")
 
 
 def letters_and_digits(text: Column) -> Column:

@@ -36,7 +36,7 @@ def from_millis(ms: Column) -> Column:
 
 
 def shifted(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), ts)
+    return F.timestamp_micros(F.unix_micros(ts) + seconds.cast("long") * 1_000_000)
 
 
 def backdated(ts: Column, millis: Column) -> Column:

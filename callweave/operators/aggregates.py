@@ -38,11 +38,11 @@ def text_lists(df: DataFrame, keys: Sequence[str], column: str, name: str, sep:
 
 
 def assemble_lines(
-    df: DataFrame, key: str, line: str, text: Column, name: str, lines_per_part: int = 5000
+    df: DataFrame, key: str, line: str, text: Column, name: str, lines_per_part: int
 ) -> DataFrame:
-    """Transcript text per conversation, lines in order.
+    """Transcript text per conversation and part, lines in order.
 
-    A conversation longer than ``lines_per_part`` lines comes out as several numbered parts, so one
+    Part n holds the lines n * ``lines_per_part`` + 1 and following, so the grain is the caller's and one
     group never holds more than that many lines; nothing is dropped.
     """
     part = F.floor((F.col(line) - 1) / lines_per_part).cast("int")

@@ -11,15 +11,6 @@ from pyspark.sql import functions as F
 from callweave.functions import text as tx
 from callweave.operators.ordered import newest
 
-# rows of a lookup table below which it is sent to every task
-BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a lookup whose row count is checked; a larger one joins by shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer join of metric sets with coalesced keys.
 
@@ -32,31 +23,38 @@ def outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def day_spine(entities: DataFrame, start: Column, end: Column, name: str = "day") -> DataFrame:
-    """Every entity on every day of [start, end]: row by row, without a cross join."""
-    return entities.withColumn(name, F.explode(F.sequence(start, end, F.expr("interval 1 day"))))
+    """Every entity on every day of [start, end]: row by row, without a cross join. An end before the start has no days."""
+    return entities.withColumn(name, F.explode(F.when(start <= end, F.sequence(start, end, F.expr("interval 1 day")))))
+
+
+# a slot of a level is this many slots of the level below; the last level spans all dates
+_SLOTS, _LEVELS = 16, 7
 
 
 def interval_join(
     points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, slot_seconds: int = 3600,
-    closed: bool = True, how: str = "inner",
+    closed: bool = True,
 ) -> DataFrame:
     """Points within [start, end] of a span of the same key.
 
-    Both sides meet on (key, time slot): a span is repeated for the slots it touches, so a hot key is
-    spread over its slots and a point is compared only with spans of its slot.
+    Both sides meet on (key, level, time slot). A span takes the level whose slots it fits in best and is repeated for the
+    slots it touches there, 17 at most even if it never ends; a point comes once per level. A hot key is spread over its
+    slots, and a point is compared only with spans of its slot. Spans that end before they start match nothing.
     """
-    def slot(ts):
-        return F.floor(F.unix_timestamp(ts) / slot_seconds)
-
-    left = points.withColumn("_slot", slot(F.col(at)))
-    right = spans.filter(F.col(start) <= F.col(end)).withColumn(
-        "_slot", F.explode(F.sequence(slot(F.col(start)), slot(F.col(end))))
-    )
-    right = right.select("_slot", *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns if c != "_slot"])
+    def slot(ts, level):
+        return F.floor(F.unix_timestamp(ts) / (F.lit(slot_seconds) * F.pow(F.lit(float(_SLOTS)), level)))
+
+    left = points.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1)))).withColumn("_slot", slot(F.col(at), F.col("_level")))
+    length = (F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))) / slot_seconds
+    fits = F.ceil(F.log(float(_SLOTS), F.greatest(length, F.lit(1.0)))) - 1
+    right = spans.filter(F.col(start) <= F.col(end)).withColumn("_level", F.greatest(F.lit(0), F.least(F.lit(_LEVELS - 1), fits)).cast("int"))
+    right = right.withColumn("_slot", F.explode(F.sequence(slot(F.col(start), F.col("_level")), slot(F.col(end), F.col("_level")))))
+    right = right.select("_level", "_slot", *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns if c not in ("_level", "_slot")])
     upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
-    cond = (left["_slot"] == right["_slot"]) & on & (F.col(at) >= F.col(start)) & upper
-    return left.join(right, cond, how).drop("_slot", *[f"_r_{k}" for k in keys])
+    meet = (left["_level"] == right["_level"]) & (left["_slot"] == right["_slot"])
+    joined = left.join(right, meet & on & (F.col(at) >= F.col(start)) & upper)
+    return joined.drop("_level", "_slot", *[f"_r_{k}" for k in keys])
 
 
 def span_days(df: DataFrame, start: str, end: str, name: str = "day") -> DataFrame:

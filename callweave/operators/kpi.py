@@ -35,6 +35,8 @@ def checked(text: str, columns: Sequence[str]) -> str:
     """The formula text, if it holds only numbers, arithmetic, known columns and allowed functions."""
     at = 0
     text = text.strip()
+    if "--" in text or "/*" in text:
+        raise BadFormula(f"comment in {text!r}")
     while at < len(text):
         token = _TOKEN.match(text, at)
         if not token:
@@ -66,7 +68,7 @@ def ratio_kpis(df: DataFrame, formulas: Sequence[Formula], keys: Sequence[str])
         aggs.append(_aggregate(f.denom_aggr, f"case when {both} then {denom} end").cast("double").alias(f"_d{i}"))
         names.append(F.struct(F.lit(f.key).alias("dictionary_key"), F.col(f"_n{i}").alias("num"), F.col(f"_d{i}").alias("denom")))
     wide = df.groupBy(*keys).agg(*aggs)
-    rows = wide.select(*keys, F.explode(F.array(*names)).alias("k")).select(*keys, "k.*")
+    rows = wide.select(*keys, F.explode(F.array(*names)).alias("_kpi")).select(*keys, "_kpi.*")
     return rows.filter("num is not null and denom is not null").withColumn("value", F.try_divide("num", "denom"))
 
 

@@ -1,8 +1,9 @@
-"""Ordered per-key columns (numbering, lag, lead, running values) that survive hot keys.
+"""Ordered per-key columns (numbering, lag, lead, running values).
 
-A plain window puts all rows of a key into one task. Keys above ``max_group_rows`` are taken out,
-range-partitioned on (key, order) so that a hot key spreads over many partitions, numbered inside
-each partition, and corrected with one carry row per (key, partition).
+A plain window puts all rows of a key into one task, which suits keys with a natural bound: the rows of a conversation,
+of a person, of a configured list. ``split`` is for keys without one. Rows are then range-partitioned on (key, order), so that
+a hot key spreads over many partitions, numbered inside each partition, and corrected with one carry row per
+(key, partition). The caller says which; nothing is counted while a plan is built.
 """
 
 from __future__ import annotations
@@ -15,9 +16,6 @@ from pyspark.sql import functions as F
 
 from callweave.session import cut_lineage
 
-MAX_GROUP_ROWS = 2_000_000
-
-
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of ``keys`` between two aliased frames."""
     return reduce(
@@ -26,16 +24,6 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame:
-    """Keys with more than ``max_group_rows`` rows; at most rows / max_group_rows of them."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_group_rows)
-        .select(*keys)
-    )
-
-
 def with_ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,28 +34,15 @@ def with_ordered(
     lead: Mapping[str, str] | None = None,
     running_max: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    sizes_from: DataFrame | None = None,
-    bounded: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Add ordered columns per key, ascending in ``order`` (nulls first).
 
-    The mappings go from new column to source column. (keys, order) should be unique. Group sizes are
-    counted on ``df``, or on ``sizes_from`` when a cheaper table holds at least as many rows per key.
-    ``bounded`` says that groups are small by construction, which saves the count.
+    The mappings go from new column to source column. (keys, order) must be unique for results that do not depend on the
+    plan. ``split`` spreads the rows of each key over tasks, at the cost of one written table.
     """
     ops = (row_number, lag or {}, lead or {}, running_max or {}, running_sum or {})
-    if bounded:
-        return _plain(df, list(keys), list(order), *ops)
-    hot = hot_groups(df if sizes_from is None else sizes_from, keys, max_group_rows)
-    if hot.isEmpty():
-        return _plain(df, list(keys), list(order), *ops)
-    hot = cut_lineage(hot)
-    cold = df.alias("d").join(hot.alias("h"), same_keys("d", "h", keys), "left_anti")
-    warm = df.alias("d").join(hot.alias("h"), same_keys("d", "h", keys), "left_semi")
-    return _plain(cold, list(keys), list(order), *ops).unionByName(
-        _split(warm, list(keys), list(order), *ops)
-    )
+    return (_split if split else _plain)(df, list(keys), list(order), *ops)
 
 
 def _plain(df, keys, order, row_number, lag, lead, running_max, running_sum):
@@ -147,10 +122,12 @@ def _split(df, keys, order, row_number, lag, lead, running_max, running_sum):
     return joined.select(*cols)
 
 
-def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, **kw) -> DataFrame:
-    """``rank()`` with ties: rows per distinct order value are counted before the running sum."""
+def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, split: bool = False) -> DataFrame:
+    """``rank()`` with ties. Split, the rows per distinct order value are counted first and the counts run up."""
+    if not split:
+        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     steps = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_ties"))
-    steps = with_ordered(steps, keys, order, running_sum={"_upto": "_ties"}, **kw)
+    steps = with_ordered(steps, keys, order, running_sum={"_upto": "_ties"}, split=True)
     steps = steps.withColumn(name, F.col("_upto") - F.col("_ties") + 1).drop("_upto", "_ties")
     on = same_keys("d", "s", [*keys, *order])
     return df.alias("d").join(steps.alias("s"), on).select("d.*", f"s.{name}")

@@ -104,12 +104,12 @@ def classification_scores(documents: DataFrame) -> DataFrame:
 
 
 def transcripts_to_analyse(
-    lines: DataFrame, analysed: DataFrame, tasks: DataFrame, batch_size: int, workers: Sequence[str]
+    lines: DataFrame, analysed: DataFrame, tasks: DataFrame, batch_size: int, workers: Sequence[str], lines_per_part: int
 ) -> DataFrame:
     """Assembled transcripts of conversations not analysed yet, with task flags, batch and worker."""
     fresh = lines.join(analysed.select("conversationId").distinct(), "conversationId", "left_anti")
     text = F.concat(F.col("line"), F.lit(" "), "participant", F.lit(": "), "phrase")
-    parts = ag.assemble_lines(fresh, "conversationId", "line", text, "transcript")
+    parts = ag.assemble_lines(fresh, "conversationId", "line", text, "transcript", lines_per_part)
     flags = tasks.groupBy("conversationId").agg(
         F.bool_or(F.col("task") == "insights").alias("needsInsights"), F.bool_or(F.col("task") == "map").alias("needsMap")
     )

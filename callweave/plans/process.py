@@ -181,7 +181,7 @@ def map_events(i: MapInputs) -> DataFrame:
         .unionByName(handled)
         .distinct()
     )
-    # read by two ordered passes and their size check, so the nine sources are put together once
+    # read by two ordered passes, so the nine sources are put together once
     every = cut_lineage(every)
     after = ordered.with_ordered(every, [KEY], ["level", "eventName", "eventStart", "eventEnd"], lag={"_prev": "eventEnd"})
     filled = F.col("_prev") + F.expr("interval 1 millisecond")
@@ -193,7 +193,7 @@ def map_events(i: MapInputs) -> DataFrame:
         }
     ).drop("_prev")
     ended = ordered.with_ordered(
-        timed, [KEY], ["eventStart", "level", "eventName", "eventEnd"], lead={"_next": "eventStart"}, sizes_from=every
+        timed, [KEY], ["eventStart", "level", "eventName", "eventEnd"], lead={"_next": "eventStart"}
     )
     return ended.withColumn("eventEnd", F.coalesce("eventEnd", "_next", "eventStart")).drop("_next")
 
@@ -282,6 +282,16 @@ def labelled_steps(steps: DataFrame, labels: DataFrame, kind: str, text: str) ->
 CLOSE = "Close and Offer Additional Assistance"
 
 
+def numbered_steps(steps: DataFrame, config: DataFrame) -> DataFrame:
+    """``steps`` with ``_exp`` (1 for a configured step), ``_no`` (configured steps so far, which numbers the stretches
+    between them) and ``_nextExp``. Null times and names come first; a null name is no step."""
+    known = config.select("stepName").distinct().withColumn("_known", F.lit(1).cast("long"))
+    rows = steps.join(known, "stepName", "left").withColumn("_exp", F.coalesce("_known", F.lit(0).cast("long"))).drop("_known")
+    return ordered.with_ordered(
+        rows, ["conversationId"], ["startTime", "stepName"], running_sum={"_no": "_exp"}, lead={"_nextExp": "_exp"}
+    )
+
+
 def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataFrame:
     """Effort per conversation and expected step.
 
@@ -291,12 +301,7 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
     not count. Expected steps that a conversation lacks come out with zeros.
     """
     key = "conversationId"
-    plan, types = _step_plan(config)
-    rows = steps.withColumn("_exp", F.coalesce(F.col("stepName").isin(*[r["stepName"] for r in plan]), F.lit(False)).cast("long"))
-    # the running count of expected steps numbers the stretches between them
-    rows = ordered.with_ordered(
-        rows, [key], ["startTime", "stepName"], running_sum={"_no": "_exp"}, lead={"_nextExp": "_exp"}
-    )
+    rows = numbered_steps(steps, config)
     own = rows.filter("_exp = 1")
     other = ~F.col("stepName").isin("Hold", "Transfer")
     between = (
@@ -334,8 +339,8 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
         F.bool_or(F.coalesce(F.col("stepName") == F.col("_beforeClose"), F.lit(False))).alias("is_last_before_close"),
     )
     everyone = steps.groupBy(key).agg(F.min("conversationStartDateId").alias("conversationStartDateId"))
-    # the configured steps, read once on the driver after a size check, are attached row by row
-    wanted = F.array(*[F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in types]) for r in plan])
+    # every configured step is wanted of every conversation: the list is one value of the query
+    wanted = config.agg(F.collect_list(F.struct("stepName", "counterStep", "value"))).scalar()
     grid = everyone.withColumn("_w", F.explode(wanted)).select(key, "conversationStartDateId", "_w.*")
     out = grid.join(done, [key, "stepName"], "left").select(
         key,
@@ -352,16 +357,7 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
         F.coalesce("is_last_before_close", F.lit(False)).alias("is_last_before_close"),
     )
     # one row per configured step
-    return ordered.with_ordered(out, [key], ["steps"], running_max={"sentiment": "_own"}, bounded=True).drop("_own")
-
-
-def _step_plan(config: DataFrame, limit: int = 1000):
-    """The configured steps: a handful of rows, refused beyond ``limit``."""
-    columns = config.select("stepName", "counterStep", "value")
-    plan = columns.limit(limit + 1).collect()
-    if len(plan) > limit:
-        raise ValueError(f"more than {limit} configured steps")
-    return plan, {f.name: f.dataType for f in columns.schema.fields}
+    return ordered.with_ordered(out, [key], ["steps"], running_max={"sentiment": "_own"}).drop("_own")
 
 
 def action_extract(steps: DataFrame, conversations: DataFrame) -> DataFrame:
@@ -370,37 +366,45 @@ def action_extract(steps: DataFrame, conversations: DataFrame) -> DataFrame:
     return steps.join(c, KEY)
 
 
-def complexity_by_group(steps: DataFrame, config: DataFrame, close: str = CLOSE, max_group_rows: int = 100_000) -> DataFrame:
-    """The counts of ``complexity`` by a function over each conversation's rows.
+def complexity_by_group(steps: DataFrame, config: DataFrame, group_rows: int = 50_000) -> DataFrame:
+    """The counts of ``complexity`` by a function over groups of rows.
 
-    Kept as a second way to the same counts for checks. The function gets a conversation as a whole, so
-    conversations beyond ``max_group_rows`` rows take the way of ``complexity`` instead.
+    A group holds at most ``group_rows`` rows of a conversation, counted along its steps; its counts are partial ones,
+    which add up to the same result however rows are cut.
     """
     import pandas as pd
 
-    plan, _ = _step_plan(config)
-    names = [r["stepName"] for r in plan]
-    big = cut_lineage(ordered.hot_groups(steps, [KEY], max_group_rows))
-
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["startTime", "stepName"]).reset_index(drop=True)
-        number = rows["stepName"].isin(names).cumsum()
-        own = rows["stepName"].isin(names)
-        out = pd.DataFrame(0, index=names, columns=["step_count", "hold", "transfer", "violation"])
-        for step, n in rows.loc[own, "stepName"].value_counts().items():
-            out.loc[step, "step_count"] = n * (n + 1) // 2
-        inside = ~own & (number > 0) & (number < number.max())
-        owner = rows.loc[own, "stepName"].reset_index(drop=True)
-        for label, no in zip(rows.loc[inside, "stepName"], number[inside]):
-            kind = {"Hold": "hold", "Transfer": "transfer"}.get(label, "violation")
-            out.loc[owner[no - 1], kind] += 1
-        out.insert(0, "steps", out.index)
-        out.insert(0, KEY, rows[KEY].iloc[0])
-        return out.astype({c: "int32" for c in ("step_count", "hold", "transfer", "violation")})
-
-    columns = [KEY, "steps", "step_count", "hold", "transfer", "violation"]
-    schema = f"{KEY} string, steps string, step_count int, hold int, transfer int, violation int"
-    usual = steps.join(big, KEY, "left_anti").select(KEY, "startTime", "stepName").groupBy(KEY).applyInPandas(count, schema)
-    if big.isEmpty():
-        return usual
-    return usual.unionByName(complexity(steps.join(big, KEY, "left_semi"), config, close).select(*columns))
+    rows = numbered_steps(steps, config)
+    owners = rows.filter("_exp = 1").select(KEY, "_no", F.col("stepName").alias("owner"))
+    last = owners.groupBy(KEY).agg(F.max("_no").alias("_last"))
+    own = owners.select(KEY, "owner", F.lit(None).cast("string").alias("label"), F.lit(True).alias("own"), "_no")
+    inside = rows.filter("_exp = 0 and _no > 0").join(last, KEY).filter("_no < _last")
+    inside = inside.join(owners, [KEY, "_no"]).select(KEY, "owner", F.col("stepName").alias("label"), F.lit(False).alias("own"), "_no")
+    cut = own.unionByName(inside)
+    cut = ordered.with_ordered(cut, [KEY], ["_no", "own", "label"], row_number="_row")
+    cut = cut.withColumn("part", F.floor((F.col("_row") - 1) / group_rows))
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        label = group["label"]
+        kinds = pd.DataFrame(
+            {
+                "steps": group["owner"],
+                "n": group["own"],
+                "hold": label == "Hold",
+                "transfer": label == "Transfer",
+                "violation": label.notna() & ~label.isin(["Hold", "Transfer"]),
+            }
+        )
+        out = kinds.groupby("steps", as_index=False).sum()
+        out.insert(0, KEY, group[KEY].iloc[0])
+        return out.astype({c: "int64" for c in ("n", "hold", "transfer", "violation")})
+
+    counts = ["n", "hold", "transfer", "violation"]
+    schema = f"{KEY} string, steps string, n long, hold long, transfer long, violation long"
+    partial = cut.groupBy(KEY, "part").applyInPandas(count, schema).groupBy(KEY, "steps").agg(*[F.sum(c).alias(c) for c in counts])
+    wanted = config.agg(F.collect_set("stepName")).scalar()
+    grid = steps.select(KEY).distinct().withColumn("steps", F.explode(wanted))
+    n = F.coalesce("n", F.lit(0))
+    return grid.join(partial, [KEY, "steps"], "left").select(
+        KEY, "steps", (n * (n + 1) / 2).cast("int").alias("step_count"), *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in counts[1:]]
+    )

@@ -118,9 +118,14 @@ def anchored_times(steps: DataFrame, lines: DataFrame, step_columns: Sequence[st
 
 
 def mean_sentiment(steps: DataFrame, sentiments: DataFrame, step_columns: Sequence[str]) -> DataFrame:
-    """Average sentiment of the phrases from the start to the end line of a step."""
-    spread = steps.filter("startLine <= endLine").select(
-        "conversationId", *step_columns, F.explode(F.sequence("startLine", "endLine")).alias("phraseIndex")
+    """Average sentiment of the phrases from the start to the end line of a step.
+
+    Lines that the conversation does not have are left out before a step is spread over its lines.
+    """
+    bounds = sentiments.groupBy("conversationId").agg(F.min("phraseIndex").alias("_first"), F.max("phraseIndex").alias("_last"))
+    known = steps.join(bounds, "conversationId").withColumns({"_from": F.greatest("startLine", "_first"), "_to": F.least("endLine", "_last")})
+    spread = known.filter("startLine <= endLine and _from <= _to").select(
+        "conversationId", *step_columns, F.explode(F.sequence("_from", "_to")).alias("phraseIndex")
     )
     scores = sentiments.groupBy("conversationId", "phraseIndex").agg(
         F.sum("sentiment").alias("_sum"), F.count("sentiment").alias("_n")

@@ -132,12 +132,12 @@ def distinct_text_lists(t):
 @query(
     "a9_transcript_text",
     with_(TURNS)
-    + """SELECT conversationId, 0::INTEGER AS part, string_agg(line || ' ' || participant || ': ' || phrase, chr(10) ORDER BY line) AS transcript
-        FROM turns GROUP BY 1""",
+    + """SELECT conversationId, ((line - 1) // 3)::INTEGER AS part, string_agg(line || ' ' || participant || ': ' || phrase, chr(10) ORDER BY line) AS transcript
+        FROM turns GROUP BY 1, 2""",
 )
 def transcript_text(t):
     text = F.concat(F.col("line"), F.lit(" "), "participant", F.lit(": "), "phrase")
-    return ag.assemble_lines(raw.transcript_lines(t.conversations), "conversationId", "line", text, "transcript")
+    return ag.assemble_lines(raw.transcript_lines(t.conversations), "conversationId", "line", text, "transcript", lines_per_part=3)
 
 
 @query(
@@ -301,15 +301,19 @@ def newest_row(t):
 
 @query(
     "l3_shares",
-    "SELECT doc_id, TRUE AS inOneShare FROM documents",
+    "SELECT count(*) AS docs, 4::BIGINT AS shares, TRUE AS balanced, 0::BIGINT AS shared FROM documents",
 )
 def shares(t):
-    docs = t.documents.select("doc_id", writers.shares(t.documents, 4, "doc_id").alias("share"))
-    parts = [docs.filter(F.col("share") == i).select("doc_id", F.lit(True).alias("inOneShare")) for i in range(4)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # keys and their neighbours twice: a key must land in one share however often it comes
+    docs = t.documents.select("doc_id").unionByName(t.documents.select("doc_id"))
+    docs = docs.select("doc_id", writers.shares(docs, 4, "doc_id").alias("share")).distinct()
+    sizes = docs.groupBy("share").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("docs"),
+        F.count(F.lit(1)).alias("shares"),
+        (F.max("n") <= 1.5 * F.avg("n")).alias("balanced"),
+        F.count_if(~F.col("share").between(0, 3)).alias("shared"),
+    )
 
 
 @query(

@@ -413,14 +413,14 @@ def classification_scores(t):
 @query(
     "d45_transcript_handoff",
     with_(TURNS)
-    + """, a AS (SELECT conversationId, 0::INTEGER AS part, string_agg(line || ' ' || participant || ': ' || phrase, chr(10) ORDER BY line) AS transcript FROM turns WHERE conversationId % 4 <> 0 GROUP BY 1)
-       SELECT *, conversationId % 3 = 0 AS needsInsights, conversationId % 2 = 0 AS needsMap, CAST(ceil(row_number() OVER (ORDER BY conversationId) / 5.0) AS INTEGER) AS batch, (['a', 'b', 'c'])[(row_number() OVER (ORDER BY conversationId) - 1) % 3 + 1] AS worker FROM a""",
+    + """, a AS (SELECT conversationId, ((line - 1) // 2)::INTEGER AS part, string_agg(line || ' ' || participant || ': ' || phrase, chr(10) ORDER BY line) AS transcript FROM turns WHERE conversationId % 4 <> 0 GROUP BY 1, 2)
+       SELECT *, conversationId % 3 = 0 AS needsInsights, conversationId % 2 = 0 AS needsMap, CAST(ceil(row_number() OVER (ORDER BY conversationId, part) / 5.0) AS INTEGER) AS batch, (['a', 'b', 'c'])[(row_number() OVER (ORDER BY conversationId, part) - 1) % 3 + 1] AS worker FROM a""",
 )
 def transcript_handoff(t):
     lines = raw.transcript_lines(t.conversations)
     first = lines.filter("line = 1").select("conversationId")
     tasks = first.filter("conversationId % 3 = 0").withColumn("task", F.lit("insights")).union(first.filter("conversationId % 2 = 0").withColumn("task", F.lit("map")))
-    return ld.transcripts_to_analyse(lines, first.filter("conversationId % 4 = 0"), tasks, 5, ["a", "b", "c"])
+    return ld.transcripts_to_analyse(lines, first.filter("conversationId % 4 = 0"), tasks, 5, ["a", "b", "c"], lines_per_part=2)
 
 
 CANDIDATES = """, tk AS (SELECT conversationId FROM lines GROUP BY 1 HAVING sum(quantity) > 60), sn AS (SELECT CAST(o_orderkey AS VARCHAR) AS conversationId FROM orders WHERE o_orderkey % 4 = 0),

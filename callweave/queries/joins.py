@@ -125,12 +125,18 @@ def span_days(t):
 @query(
     "j8_bucket_join",
     with_(EVENTS)
-    + """SELECT queueId, time_bucket(INTERVAL 15 MINUTE, ts)::VARCHAR AS slot, count(*) AS n FROM ev GROUP BY queueId, time_bucket(INTERVAL 15 MINUTE, ts)""",
+    + """, nw AS (SELECT conversationId, arg_max(queueId, (ts, eventId)) AS queueId, max_by(ts, (ts, eventId)) AS ts FROM ev WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1),
+         fc AS (SELECT queueId, time_bucket(INTERVAL 1 HOUR, ts) AS slot, count(*) AS n FROM ev GROUP BY ALL)
+       SELECT conversationId, nw.queueId, slot::VARCHAR AS slot, n FROM nw JOIN fc ON fc.queueId = nw.queueId AND fc.slot = time_bucket(INTERVAL 1 HOUR, nw.ts)""",
 )
 def bucket_join(t):
     m = raw.metric_events(t.events)
-    slot = F.window("eventTime", "15 minutes")["start"]
-    return m.groupBy("queueId", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    # the newest record of each conversation in ten days, against what its queue did in the same hour
+    days = F.col("eventTime").between(F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-19 23:59:59.999999").cast("timestamp"))
+    newest = ordered.newest(m.filter(days), ["conversationId"], F.col("eventTime").desc(), F.col("eventId").desc())
+    hour = F.date_trunc("hour", "eventTime").alias("slot")
+    counts = m.filter(days).groupBy("queueId", hour).agg(F.count(F.lit(1)).alias("n"))
+    return newest.select("conversationId", "queueId", hour).join(counts, ["queueId", "slot"]).select("conversationId", "queueId", "slot", "n")
 
 
 @query(
@@ -157,9 +163,10 @@ def anti_join(t):
        SELECT a.doc_id, b.copies, b.firstDoc FROM a JOIN (SELECT nk, count(*) AS copies, min(doc_id) AS firstDoc FROM a GROUP BY nk) b ON a.nk = b.nk""",
 )
 def normalised_text_join(t):
-    keyed = t.documents.select("doc_id", F.xxhash64(tx.normalised(F.col("text"))).alias("nh"), tx.normalised(F.col("text")).alias("nk"))
-    groups = keyed.groupBy("nh", "nk").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("firstDoc"))
-    return keyed.join(groups, ["nh", "nk"]).select("doc_id", "copies", "firstDoc")
+    # 128 bits stand for the text, which stays where it is
+    keyed = t.documents.select("doc_id", F.unhex(F.md5(tx.normalised(F.col("text")))).alias("nk"))
+    groups = keyed.groupBy("nk").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("firstDoc"))
+    return keyed.join(groups, "nk").select("doc_id", "copies", "firstDoc")
 
 
 def _people(t):
@@ -242,7 +249,7 @@ def small_side_broadcast(t):
     sites = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     return (
         t.lineitem.select("l_suppkey", "l_returnflag")
-        .join(jn.small(sites), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(sites, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("n_name", "l_returnflag")
         .agg(F.count(F.lit(1)).alias("n"))
     )

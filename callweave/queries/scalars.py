@@ -125,7 +125,7 @@ def sentinel_dates(t):
 
 @query(
     "f10_clean_text",
-    r"""SELECT doc_id, substring(regexp_replace(regexp_replace(text, '[\r\n]+', ' ', 'g'), '["'']', '', 'g'), 1, 3900) AS cell,
+    r"""SELECT doc_id, regexp_replace(regexp_replace(text, '[\r\n]+', ' ', 'g'), '["'']', '', 'g') AS cell,
        regexp_replace(text, '[^\p{L}\p{N}]', ' ', 'g') AS plain FROM documents""",
 )
 def clean_text(t):
@@ -253,7 +253,7 @@ def line_of_business_lookup(t):
     lookup = t.spark.createDataFrame(
         [("MACHINERY", "Campaign M"), ("BUILDING", "Campaign B")], "department string, campaign string"
     )
-    return u.join(jn.small(lookup), "department", "left").select("userId", "campaign")
+    return u.join(lookup, "department", "left").select("userId", "campaign")
 
 
 @query(

@@ -199,7 +199,9 @@ def validity_ranges(t):
     with_(EVENTS)
     + """SELECT userId, time_bucket(INTERVAL 15 MINUTE, ts)::VARCHAR AS slotStart,
           (time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE)::VARCHAR AS slotEnd, count(*) AS n
-        FROM ev GROUP BY userId, time_bucket(INTERVAL 15 MINUTE, ts)""",
+        FROM ev GROUP BY userId, time_bucket(INTERVAL 15 MINUTE, ts)
+        UNION ALL SELECT DISTINCT userId, (time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 1000 DAY)::VARCHAR,
+          (time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 1000 DAY + INTERVAL 15 MINUTE)::VARCHAR, -2 FROM ev""",
 )
 def guarded_upsert(t):
     slot = F.window("ts", "15 minutes")
@@ -210,7 +212,11 @@ def guarded_upsert(t):
         .select("userId", F.col("w.start").alias("slotStart"), F.col("w.end").alias("slotEnd"), "n")
     )
     good = up.guard_interval(rows, "slotStart", "slotEnd", 900)
-    return up.replace_matching(rows.filter("n < 0"), good, ["userId", "slotStart"])
+    # stored: every second slot with an old count, which must go, and slots the batch does not hold, which must stay
+    old = rows.filter("n % 2 = 1").withColumn("n", F.lit(-1).cast("long"))
+    long_ago = {c: F.col(c) - F.expr("interval 1000 days") for c in ("slotStart", "slotEnd")}
+    stored = old.unionByName(rows.withColumns(long_ago).withColumn("n", F.lit(-2).cast("long")))
+    return up.replace_matching(stored, good, ["userId", "slotStart"])
 
 
 @query(

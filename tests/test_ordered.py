@@ -24,20 +24,20 @@ OPS = dict(row_number="no", lag={"prev": "v"}, lead={"next": "v"}, running_max={
 
 def test_hot_keys_are_split_without_changing_results(skewed):
     plain = ordered.with_ordered(skewed, ["key"], ["at"], **OPS)
-    split = ordered.with_ordered(skewed, ["key"], ["at"], max_group_rows=100, **OPS)
+    split = ordered.with_ordered(skewed, ["key"], ["at"], split=True, **OPS)
     assert rows(plain) == rows(split.select(*plain.columns))
     assert plain.count() == 3000
 
 
 def test_every_key_split(skewed):
     plain = ordered.with_ordered(skewed, ["key"], ["at"], **OPS)
-    split = ordered.with_ordered(skewed, ["key"], ["at"], max_group_rows=0, **OPS)
+    split = ordered.with_ordered(skewed, ["key"], ["at"], split=True, **OPS)
     assert rows(plain) == rows(split.select(*plain.columns))
 
 
 def test_rank_with_ties_on_a_hot_key(spark, skewed):
     tied = skewed.withColumn("score", F.col("at") % 7)
-    skewed_rank = ordered.with_rank(tied, ["key"], ["score"], "rnk", max_group_rows=2)
+    skewed_rank = ordered.with_rank(tied, ["key"], ["score"], "rnk", split=True)
     tied.createOrReplaceTempView("tied")
     expected = spark.sql("select key, at, v, score, rank() over (partition by key order by score) as rnk from tied")
     assert rows(skewed_rank.select("key", "at", "v", "score", F.col("rnk").cast("int"))) == rows(expected)
