@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,6 @@ from callweave.operators import aggregates as ag
 from callweave.operators import joins as jn
 from callweave.operators import ordered
 from callweave.plans import conversations as cv
-from callweave.session import cut_lineage
 
 MEDIA = (1, 5)
 
@@ -181,8 +180,6 @@ def map_events(i: MapInputs) -> DataFrame:
         .unionByName(handled)
         .distinct()
     )
-    # read by two ordered passes, so the nine sources are put together once
-    every = cut_lineage(every)
     after = ordered.with_ordered(every, [KEY], ["level", "eventName", "eventStart", "eventEnd"], lag={"_prev": "eventEnd"})
     filled = F.col("_prev") + F.expr("interval 1 millisecond")
     is_auth = F.col("eventType") == "authStatus"
@@ -201,9 +198,12 @@ def map_events(i: MapInputs) -> DataFrame:
 def process_map(i: MapInputs) -> DataFrame:
     """Process map rows: every step with the facts of its conversation.
 
-    All facts are brought to one row per conversation first, so the joins do not multiply steps, apart
-    from conversations with several contact reasons, which repeat their steps per reason.
+    All facts are limited to the wanted conversations and brought to one row each first, so the joins do not multiply
+    steps, apart from conversations with several contact reasons, which repeat their steps per reason.
     """
+    ids = i.conversations.select(KEY)
+    wanted = {t: getattr(i, t).join(ids, KEY, "left_semi") for t in ("participants", "segments", "metrics", "ivr_events", "flows", "insights")}
+    i = replace(i, **wanted)
     facts = ["location", "originatingDirectionId", "initialSessionMediaTypeId", "conversationStartDateId"]
     c = i.conversations.select(KEY, *facts)
     to_agent = (
@@ -245,9 +245,9 @@ def process_map(i: MapInputs) -> DataFrame:
         F.bool_or(name == "nBlindTransferred").alias("hasblindtransfer"),
     )
     flag_names = ["hashold", "hasconsult", "hasconsulttransfer", "hasblindtransfer"]
-    auth = i.ivr_events.filter("eventName = 'AuthenticationStatus'").select(KEY, F.col("eventValue").alias("AuthenticationStatus")).distinct()
+    auth = i.ivr_events.filter("eventName = 'AuthenticationStatus'").groupBy(KEY).agg(F.max("eventValue").alias("AuthenticationStatus"))
     left = i.flows.select(KEY, F.when(F.col("exitReason") == "FLOW_DISCONNECT", "resolved").alias("_flow")).groupBy(KEY).agg(F.max("_flow").alias("_flow"))
-    told = i.insights.select(KEY, F.col("resolved").alias("_told")).distinct()
+    told = i.insights.groupBy(KEY).agg(F.max("resolved").alias("_told"))
     members = i.participants.filter("userId is not null").select(KEY, "userId").distinct()
     # people are named only for conversations that went through a known queue
     queued = i.segments.join(i.queues.select("queueId"), "queueId", "left_semi").select(KEY).distinct()

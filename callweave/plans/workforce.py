@@ -78,6 +78,13 @@ def actuals(adherence: DataFrame, members: DataFrame) -> DataFrame:
     return drop_zero_length(out.distinct(), "startDate", "endDate").withColumn("startDatePart", F.to_date("startDate"))
 
 
+# fixed values: measures of a workforce day
+DAY_MEASURES = (
+    "actualLengthSecs adherenceScheduleSecs conformanceActualSecs conformanceScheduleSecs exceptionCount "
+    "exceptionDurationSecs impactSeconds scheduleLengthSecs"
+).split()
+
+
 def day_metrics(adherence: DataFrame, members: DataFrame) -> DataFrame:
     """Day metrics; a day ends where the next day of the same record set begins, the last with the record."""
     d = ns.flatten(
@@ -95,8 +102,7 @@ def day_metrics(adherence: DataFrame, members: DataFrame) -> DataFrame:
         _at("_from", "dayStartOffsetSecs").alias("startDate"),
         end.alias("endDate"),
         "impact",
-        "actualLengthSecs",
-        "exceptionCount",
+        *DAY_MEASURES,
         "dayStartOffsetSecs",
     )
     return drop_zero_length(out.distinct(), "startDate", "endDate").withColumn("startDatePart", F.to_date("startDate"))
@@ -167,7 +173,13 @@ def adherence_payloads(events: DataFrame) -> DataFrame:
         return F.struct(
             F.lit(offset).cast("long").alias("dayStartOffsetSecs"),
             length.alias("actualLengthSecs"),
+            (length + 60).alias("adherenceScheduleSecs"),
+            (length - k).alias("conformanceActualSecs"),
+            (length + 30).alias("conformanceScheduleSecs"),
             (k % 5).alias("exceptionCount"),
+            (k % 5 * 45).alias("exceptionDurationSecs"),
+            (k % 7 - 3).alias("impactSeconds"),
+            (length + 90).alias("scheduleLengthSecs"),
         )
 
     zero = F.lit(0).cast("long")

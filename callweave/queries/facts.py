@@ -244,7 +244,9 @@ def wfm_actuals(t):
     + """, d AS (SELECT userId, userNo, ts, k, 0 AS off, k * 10 AS len FROM own UNION ALL SELECT userId, userNo, ts, k, 86400, k * 20 FROM own),
         x AS (SELECT *, lead(off) OVER (PARTITION BY userId, ts ORDER BY off) AS nxt FROM d)
        SELECT DISTINCT userId, 'mu' || (userNo % 4) AS managementUnitId, (ts + to_seconds(off))::VARCHAR AS startDate, (ts + to_seconds(coalesce(nxt, 172800)))::VARCHAR AS endDate,
-         CASE WHEN k > 50 THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS impact, CAST(len AS BIGINT) AS actualLengthSecs, CAST(k % 5 AS BIGINT) AS exceptionCount,
+         CASE WHEN k > 50 THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS impact, CAST(len AS BIGINT) AS actualLengthSecs, CAST(len + 60 AS BIGINT) AS adherenceScheduleSecs, CAST(len - k AS BIGINT) AS conformanceActualSecs,
+         CAST(len + 30 AS BIGINT) AS conformanceScheduleSecs, CAST(k % 5 AS BIGINT) AS exceptionCount, CAST(k % 5 * 45 AS BIGINT) AS exceptionDurationSecs,
+         CAST(k % 7 - 3 AS BIGINT) AS impactSeconds, CAST(len + 90 AS BIGINT) AS scheduleLengthSecs,
          CAST(off AS BIGINT) AS dayStartOffsetSecs, CAST(ts + to_seconds(off) AS DATE)::VARCHAR AS startDatePart FROM x""",
 )
 def wfm_day_metrics(t):

@@ -84,15 +84,14 @@ def partition_key(t):
 
 @query(
     "s5_size_files",
-    """SELECT CAST(CASE WHEN count(*) = 0 THEN 1 ELSE ceil(count(*) / 2500.0) END AS INTEGER) AS files,
-       CAST(count(*) AS BIGINT) AS total_rows FROM lineitem""",
+    "SELECT TRUE AS within, TRUE AS several, count(*) AS total_rows FROM lineitem",
 )
 def size_files(t):
     path = scratch_path(t.spark, "sized")
-    writers.size_files(t.lineitem, 2500).write.parquet(path)
-    back = t.spark.read.parquet(path).select("*", "_metadata.file_path")
-    return back.agg(
-        F.countDistinct("file_path").cast("int").alias("files"), F.count(F.lit(1)).alias("total_rows")
+    writers.write_sized(t.lineitem, path, 2500)
+    files = t.spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(
+        (F.max("n") <= 2500).alias("within"), (F.count(F.lit(1)) > 1).alias("several"), F.sum("n").alias("total_rows")
     )
 
 

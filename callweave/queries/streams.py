@@ -82,12 +82,12 @@ def latest_local_day(t):
 
 @query(
     "st3_latest_status",
-    with_(EVENTS) + "SELECT userId, arg_max(eventType, eventId) AS status, max(eventId) AS eventId, arg_max(ts, eventId)::VARCHAR AS since FROM ev GROUP BY 1",
+    with_(EVENTS) + "SELECT userId, arg_max(eventType, (ts, eventId)) AS status, arg_max(eventId, (ts, eventId)) AS eventId, max(ts)::VARCHAR AS since FROM ev GROUP BY 1",
 )
 def latest_status(t):
     out = scratch_path(t.spark, "latest-status")
     rows = _stream(t).select("userId", F.col("name").alias("status"), "eventId", F.col("eventTime").alias("since"))
-    boards.run_available(rows, scratch_path(t.spark, "ck"), boards.upsert_newest(out, ["userId"], F.col("eventId").desc()))
+    boards.run_available(rows, scratch_path(t.spark, "ck"), boards.upsert_newest(out, ["userId"], F.struct("since", "eventId").desc()))
     return t.spark.read.parquet(out).drop("bucket")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,14 +18,9 @@ CSV_OPTIONS = {
 }
 
 
-def file_count(rows: int, max_per_file: int) -> int:
-    """Files needed for ``rows`` at ``max_per_file`` each, at least one."""
-    return max(1, math.ceil(rows / max_per_file))
-
-
-def size_files(df: DataFrame, max_per_file: int) -> DataFrame:
-    """Repartition so that no file is expected to hold more than ``max_per_file`` rows."""
-    return df.repartition(file_count(df.count(), max_per_file))
+def write_sized(df: DataFrame, path: str, max_per_file: int) -> None:
+    """Parquet files of ``max_per_file`` rows at most; tasks start a new file when one is full."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_per_file).parquet(path)
 
 
 def write_csv_snapshot(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -54,8 +54,10 @@ def test_batches_cover_everything_once(spark):
     assert sum(p.count() for p in parts) == 1003
 
 
-def test_file_count():
-    assert [writers.file_count(n, 10) for n in (0, 1, 10, 11)] == [1, 1, 1, 2]
+def test_files_are_not_larger_than_asked(spark, tmp_path):
+    writers.write_sized(spark.range(0, 101, 1, 1), str(tmp_path / "sized"), 10)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "sized")).groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) == 10 and sum(sizes) == 101
 
 
 @pytest.mark.parametrize("text", ["sum(a)", "a; drop table x", "a || b", "unknown + 1", "(select 1)", "java_method('x')"])
