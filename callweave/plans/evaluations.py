@@ -24,7 +24,8 @@ def evaluations(payloads: DataFrame, segments: DataFrame, keep_unmatched: bool =
         F.col("answers.anyFailedKillQuestions").alias("anyFailedKillQuestions"),
         F.date_format("extractDate", "yyyy-MM-dd").alias("conversationDatePart"),
     ).distinct()
-    last = last_handled(segments).select(
+    evaluated = e.select("conversationId").distinct()
+    last = last_handled(segments.join(evaluated, "conversationId", "left_semi")).select(
         "conversationId",
         "queueId",
         "wrapUpCode",

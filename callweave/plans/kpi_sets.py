@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,10 +125,10 @@ def combined(sets: Sequence[DataFrame]) -> DataFrame:
 
 
 def kpi_grid(agents: DataFrame, sets: Sequence[DataFrame], start: str, end: str, measures: Sequence[str]) -> DataFrame:
-    """Every agent on every day with its KPIs; rows without any measure are left out."""
-    spine = jn.day_spine(agents.select("userId"), F.to_date(F.lit(start)), F.to_date(F.lit(end)), "date")
-    out = spine.join(combined(sets), ["userId", "date"], "left")
-    return drop_empty(out, measures)
+    """KPIs of the agents on every day that has any measure. Starts from the KPIs, so days without one are never built."""
+    days = F.col("date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    sets = [s.filter(days) for s in sets]
+    return drop_empty(combined(sets).join(agents.select("userId"), "userId"), measures)
 
 
 def knowledge_activity(people: DataFrame, sessions: DataFrame, entries: DataFrame, history: DataFrame, zone: str, start: str, end: str) -> DataFrame:
@@ -161,11 +163,24 @@ def knowledge_activity(people: DataFrame, sessions: DataFrame, entries: DataFram
 def kpi_values(members: DataFrame, outcomes: DataFrame, logins: DataFrame, quizzes: DataFrame, kpi: DataFrame, points: DataFrame) -> DataFrame:
     """KPI value per user, campaign and day, its source chosen by the kind of the outcome.
 
-    ``members`` has userId, campaignId, start_date, end_date; each membership is spread over its days row
-    by row. A row counts when it has a value or points.
+    ``members`` has userId, campaignId, start_date, end_date. A row counts when it has a value or points, so the days come
+    from logins, quizzes, KPI rows and points inside a membership; days without any are never built.
     """
-    days = F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias("report_date")
-    base = members.select("userId", "campaignId", days).join(outcomes, "campaignId")
+    wanted = members.select("userId", "campaignId", "start_date", "end_date").distinct().join(outcomes, "campaignId")
+    entity = F.col("entityName")
+    seen = [
+        (wanted.filter(entity == "Audit_Log"), logins.select("userId", F.col("date").alias("report_date")), ["userId"]),
+        (wanted.filter(entity == "quiz"), quizzes.select("userId", F.col("answeredDate").alias("report_date")), ["userId"]),
+        (
+            wanted,
+            kpi.select("userId", "report_date", F.col("connection_name").alias("entityName"), F.col("attr_dict_key").alias("fieldName")),
+            ["userId", "entityName", "fieldName"],
+        ),
+        (wanted, points.select("userId", F.col("date").alias("report_date"), "activityId"), ["userId", "activityId"]),
+    ]
+    columns = [*wanted.columns, "report_date"]
+    found = [w.join(s, keys).filter(F.col("report_date").between(F.col("start_date"), F.col("end_date"))).select(*columns) for w, s, keys in seen]
+    base = reduce(DataFrame.unionByName, found).distinct().drop("start_date", "end_date")
     rows = (
         base.join(logins.select("userId", F.col("date").alias("report_date"), "loginAttempt"), ["userId", "report_date"], "left")
         .join(quizzes.select("userId", F.col("answeredDate").alias("report_date"), "quizPercentageScore", "noOfCorrectQuestions", "totalQuestions"), ["userId", "report_date"], "left")

@@ -192,6 +192,9 @@ def user_kpis(
         KEY, "conversationStart", "originatingDirectionId", F.col("initialSessionMediaTypeId").alias("mediaTypeId")
     )
     local_day = date_id(F.from_utc_timestamp("conversationStart", F.col("timeZone"))).alias("conversationStartDateId")
+    # only voice conversations count, so nothing is worked out for the others
+    ids = voice.select(KEY)
+    participants, segments, metrics = (x.join(ids, KEY, "left_semi") for x in (participants, segments, metrics))
 
     coder = final_code(segments, codes).join(
         participants.select(KEY, "participantId", "userId"), [KEY, "participantId"]

@@ -12,8 +12,9 @@ from callweave.operators import ordered
 
 
 def latest_result(results: DataFrame) -> DataFrame:
-    """Newest document per conversation."""
-    return ordered.newest(results, ["conversation_id"], F.col("recordInsertTime").desc()).withColumnRenamed(
+    """Newest document per conversation; of several at one time the one whose content has the smallest hash."""
+    content = F.md5(F.to_json(F.struct(*results.columns)))
+    return ordered.newest(results, ["conversation_id"], F.col("recordInsertTime").desc(), content.asc()).withColumnRenamed(
         "conversation_id", "conversationId"
     )
 
