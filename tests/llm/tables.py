@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Tables of the tests, as fixtures."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 FOLDER = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 

@@ -8,8 +8,8 @@ import duckdb
 import numpy as np
 import pytest
 from callweave.llm import catalog, components, embed, jaccard, langid, licenses, mixing, pieces, quality, secrets, suffix
-from conftest import FOLDER
 from pyspark.sql import functions as F
+from tables import FOLDER, docs  # noqa: F401
 
 
 def texts(seed, n=120):

@@ -3,7 +3,7 @@
 import brute
 import corpus_pipeline
 from callweave.llm import langid, line_dedup
-from conftest import FOLDER
+from tables import FOLDER, docs  # noqa: F401
 
 
 def test_stages(spark, docs, tmp_path):

@@ -3,6 +3,7 @@
 import pytest
 from callweave.llm import embed, jaccard, langid, licenses, line_dedup, mixing, pieces, quality, secrets, suffix
 from pyspark.sql import functions as F
+from tables import odd  # noqa: F401
 
 
 def model(docs):
