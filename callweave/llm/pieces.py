@@ -220,6 +220,44 @@ def decode_ids(ids: np.ndarray, table: PieceTable) -> str | None:
     return text[1:] if table.prefix and text.startswith(" ") else text
 
 
+def encode_words(words: DataFrame, table: PieceTable, word_col: str = "word") -> DataFrame:
+    """``word_col`` and ``ids`` of the distinct words of a table: the lattice as relations, for unigram scores.
+
+    Bounded-length substrings are exploded and joined with the piece table, whose size is the vocabulary's; edges are
+    grouped by word, and a higher-order aggregate folds them by their ends into the best path. Characters of no piece take
+    the unknown piece at a cost above any other. Of equal sums the longest last piece wins. Null words are left out, an empty one has no ids. This is
+    the form for a word list; a corpus goes through :func:`encode`, whose words need not meet in a shuffle.
+    """
+    spark = words.sparkSession
+    worst = min(table.scores.values(), default=0.0) - 10.0
+    pieces = spark.createDataFrame([(p, i, table.scores[p]) for p, i in table.ids.items()], "piece string, id int, score double")
+    word = F.col("word")
+    rows = words.select(F.col(f"`{word_col}`").cast("string").alias("word")).filter("word IS NOT NULL").distinct()
+    starts = rows.withColumn("start", F.explode(F.when(F.length(word) > 0, F.sequence(F.lit(0), F.length(word) - 1))))
+    parts = starts.withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.lit(table.longest), F.length(word) - F.col("start")))))
+    parts = parts.withColumn("piece", F.substring(word, F.col("start") + 1, F.col("n")))
+    edges = parts.join(F.broadcast(pieces), "piece", "left").filter("id IS NOT NULL OR n = 1")
+    edge = F.struct(
+        (F.col("start") + F.col("n")).alias("end"), "start", F.coalesce("id", F.lit(table.unknown)).alias("id"), F.coalesce("score", F.lit(worst)).alias("score"),
+    )
+    grouped = edges.groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    none = F.array().cast("array<int>")
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("n"), none.alias("ids")))
+
+    def step(best, end):
+        into = F.filter("edges", lambda e: e["end"] == end)
+        reached = lambda e: F.get(best, e["start"])
+        paths = F.transform(
+            into,
+            lambda e: F.struct((reached(e)["score"] + e["score"]).alias("score"), (end - e["start"]).alias("n"), F.concat(reached(e)["ids"], F.array(e["id"])).alias("ids")),
+        )
+        return F.concat(best, F.array(F.array_max(paths)))
+
+    folded = F.aggregate(F.sequence(F.lit(1), F.length(word)), first, step, lambda best: F.element_at(best, -1)["ids"])
+    done = grouped.select("word", folded.alias("ids"))
+    return done.unionByName(rows.filter("word = ''").select("word", none.alias("ids"))).withColumnRenamed("word", word_col)
+
+
 def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the piece ids of the whole text in ``ids_col``.
 

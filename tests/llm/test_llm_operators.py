@@ -217,6 +217,19 @@ def test_viterbi_takes_the_best_path():
         assert "".join(parts) == chunk and total == pytest.approx(best(0)[0])
 
 
+def test_relational_lattice(spark, docs):
+    table = pieces.read_table(pieces.MODEL)
+    rng = random.Random(9)
+    known = rng.sample(sorted(table.ids), 3000)
+    # a unigram model out of the vocabulary's pieces
+    scores = {p: -1.0 - rng.random() * 8 for p in known}
+    small = pieces.PieceTable({p: i for i, p in enumerate(known)}, scores, [-1] * 256, [], 0, False, True, max(map(len, known)))
+    words = [r[0] for r in docs.select(F.explode(F.split("text", " ")).alias("w")).distinct().limit(400).collect()] + [None, ""]
+    got = {r["word"]: r["ids"] for r in pieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), small).collect()}
+    encoder = pieces.Encoder(small)
+    assert got == {w: encoder.chunk(w) if w else [] for w in words if w is not None}
+
+
 def test_pieces_of_documents(spark):
     out = catalog.QUERIES["op8_sentencepiece"](spark, FOLDER)
     assert out.filter("NOT same").count() == 0
