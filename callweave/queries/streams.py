@@ -57,27 +57,39 @@ def device_event_stream(t):
 @query(
     "st2_interval_board",
     with_(EVENTS)
-    + "SELECT time_bucket(INTERVAL 15 MINUTE, ts)::VARCHAR AS intervalStart, (time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE)::VARCHAR AS intervalEnd, mediaType, queueId, "
-    + ", ".join(f"coalesce(sum(CASE WHEN eventType = '{m}' THEN cents END), 0)::BIGINT AS \"{m}\"" for m in METRICS)
-    + " FROM ev WHERE time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE <= (SELECT max(ts) - INTERVAL 8 DAY FROM ev) GROUP BY time_bucket(INTERVAL 15 MINUTE, ts), mediaType, queueId",
+    + "SELECT time_bucket(INTERVAL 15 MINUTE, ts)::VARCHAR AS intervalStart, (time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE)::VARCHAR AS intervalEnd, mediaType, queueId, 'code-' || (k % 12) AS wrapUpCode, "
+    + ", ".join(f"coalesce(sum(CASE WHEN eventType = '{m}' THEN cents END), 0)::BIGINT AS \"{m}\", count(CASE WHEN eventType = '{m}' THEN cents END) AS \"{m}Count\"" for m in METRICS)
+    + " FROM ev GROUP BY time_bucket(INTERVAL 15 MINUTE, ts), mediaType, queueId, k % 12",
 )
 def interval_board(t):
     out = scratch_path(t.spark, "interval-board")
-    board = boards.interval_metrics(_stream(t), "eventTime", ["mediaType", "queueId"], "name", "value", METRICS, LATENESS)
-    boards.run_available(board, scratch_path(t.spark, "ck"), boards.append_once(out))
-    return t.spark.read.parquet(out).drop("batchId")
+    keys = ["mediaType", "queueId", "wrapUpCode"]
+    coded = _stream(t).withColumn("wrapUpCode", F.concat(F.lit("code-"), F.col("k") % 12))
+    board = boards.interval_metrics(coded, "eventTime", keys, "name", "value", METRICS, LATENESS)
+    board = board.withColumn("day", F.to_date("intervalStart"))
+    sink = boards.extract_windows(out, ["intervalStart", *keys], ["day"])
+    boards.run_available(board, scratch_path(t.spark, "ck"), sink, mode="update")
+    return t.spark.read.parquet(out).drop("day")
+
+
+def _zones(t):
+    """Time zones of the queues."""
+    names = F.array(*[F.lit(z) for z in ("Australia/Sydney", "Europe/Berlin", "America/New_York")])
+    return t.supplier.select(F.concat(F.lit("queue-"), "s_suppkey").alias("queueId"), F.get(names, (F.col("s_suppkey") % 3).cast("int")).alias("timeZone"))
 
 
 @query(
     "st2_latest_local_day",
     with_(EVENTS)
-    + """, b AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS s, mediaType, queueId, sum(cents)::BIGINT AS total FROM ev GROUP BY time_bucket(INTERVAL 15 MINUTE, ts), mediaType, queueId),
-        l AS (SELECT *, CAST((s AT TIME ZONE 'UTC') AT TIME ZONE 'Australia/Sydney' AS DATE) AS d FROM b) SELECT s::VARCHAR AS intervalStart, mediaType, queueId, total FROM l WHERE d = (SELECT max(d) FROM l)""",
+    + """, z AS (SELECT 'queue-' || s_suppkey AS queueId, (['Australia/Sydney', 'Europe/Berlin', 'America/New_York'])[s_suppkey % 3 + 1] AS timeZone FROM supplier),
+        b AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS s, mediaType, queueId, sum(cents)::BIGINT AS total FROM ev GROUP BY time_bucket(INTERVAL 15 MINUTE, ts), mediaType, queueId),
+        l AS (SELECT b.*, timeZone, CAST((s AT TIME ZONE 'UTC') AT TIME ZONE timeZone AS DATE) AS d FROM b JOIN z ON z.queueId = b.queueId)
+       SELECT s::VARCHAR AS intervalStart, mediaType, queueId, total, timeZone FROM l QUALIFY d = max(d) OVER (PARTITION BY timeZone)""",
 )
 def latest_local_day(t):
     m = raw.metric_events(t.events)
     table = m.groupBy(F.window("eventTime", "15 minutes")["start"].alias("intervalStart"), "mediaType", "queueId").agg(F.sum("value").alias("total"))
-    return boards.latest_local_day(table, "intervalStart", "Australia/Sydney")
+    return boards.latest_local_day(table, "intervalStart", _zones(t), ["queueId"])
 
 
 @query(
@@ -94,18 +106,22 @@ def latest_status(t):
 @query(
     "st4_queue_board",
     with_(EVENTS)
+    + ", now AS (SELECT userId, arg_max(queueId, (ts, eventId)) AS queueId, arg_max(eventType, (ts, eventId)) AS eventType, arg_max(mediaType, (ts, eventId)) AS mediaType FROM ev GROUP BY 1)"
     + "SELECT 'queue-' || s_suppkey AS queueId, "
-    + ", ".join(f"count(*) FILTER (WHERE eventType = '{n}' AND mediaType = '{m}') AS {n}_{m}" for n in ("view", "error") for m in ("voice", "chat", "email"))
-    + " FROM supplier LEFT JOIN ev ON ev.queueId = 'queue-' || s_suppkey GROUP BY 1",
+    + ", ".join(f"count(*) FILTER (WHERE eventType = '{n}' AND mediaType = '{m}') AS {c}_{m}" for n, c in (("view", "waiting"), ("click", "interacting")) for m in ("voice", "chat", "email"))
+    + " FROM supplier LEFT JOIN now ON now.queueId = 'queue-' || s_suppkey GROUP BY 1",
 )
 def queue_board(t):
-    out = scratch_path(t.spark, "queue-board")
-    cells = {f"{n}_{m}": (F.col("name") == n) & (F.col("mediaType") == m) for n in ("view", "error") for m in ("voice", "chat", "email")}
+    state, out = scratch_path(t.spark, "queue-state"), scratch_path(t.spark, "queue-board")
+    states = {"waiting": "view", "interacting": "click"}
+    cells = {f"{c}_{m}": (F.col("name") == n) & (F.col("mediaType") == m) for c, n in states.items() for m in ("voice", "chat", "email")}
     queues = t.supplier.select(F.concat(F.lit("queue-"), "s_suppkey").alias("queueId"))
-    counts = boards.queue_counts(_stream(t), "queueId", cells)
-    sink = boards.replace_snapshot(out, boards.full_board(queues, "queueId", list(cells)))
-    boards.run_available(counts, scratch_path(t.spark, "ck"), sink, mode="complete")
-    return t.spark.read.parquet(out)
+    full = boards.full_board(queues, "queueId", list(cells))
+    rows = _stream(t).select("userId", "queueId", "mediaType", "name", "eventId", "eventTime")
+    newest = boards.upsert_newest(state, ["userId"], F.struct("eventTime", "eventId").desc())
+    sink = boards.current_board(newest, state, out, lambda now: full(boards.queue_counts(now, "queueId", cells)))
+    boards.run_available(rows, scratch_path(t.spark, "ck"), sink)
+    return boards.newest_board(t.spark, out)
 
 
 @query(

@@ -37,17 +37,22 @@ def device_events(stream: DataFrame, at: str, keys: Sequence[str], lateness: str
 def interval_metrics(
     stream: DataFrame, at: str, keys: Sequence[str], name: str, value: str, names: Sequence[str], lateness: str, width: str = "15 minutes"
 ) -> DataFrame:
-    """Tumbling metrics: one summed column per metric of a fixed list, 0 where a metric is missing."""
-    sums = [F.coalesce(F.sum(F.when(F.col(name) == n, F.col(value))), F.lit(0).cast("long")).alias(n) for n in names]
-    out = stream.withWatermark(at, lateness).groupBy(F.window(at, width), *keys).agg(*sums)
-    return out.select(F.col("window.start").alias("intervalStart"), F.col("window.end").alias("intervalEnd"), *keys, *names)
+    """Tumbling metrics: the sum and, as ``<metric>Count``, the number of values of each metric of a fixed list, 0 where a
+    metric is missing. In update mode open windows come out as they stand; rows later than ``lateness`` are dropped."""
+    mine = {n: F.when(F.col(name) == n, F.col(value)) for n in names}
+    cells = [F.coalesce(F.sum(v), F.lit(0).cast("long")).alias(n) for n, v in mine.items()]
+    cells += [F.count(v).alias(f"{n}Count") for n, v in mine.items()]
+    out = stream.withWatermark(at, lateness).groupBy(F.window(at, width), *keys).agg(*cells)
+    columns = [*names, *[f"{n}Count" for n in names]]
+    return out.select(F.col("window.start").alias("intervalStart"), F.col("window.end").alias("intervalEnd"), *keys, *columns)
 
 
-def latest_local_day(table: DataFrame, at: str, zone: str) -> DataFrame:
-    """Rows of the newest local day of a board table."""
-    day = F.to_date(F.from_utc_timestamp(at, zone))
-    last = table.agg(F.max(day).alias("_last"))
-    return table.join(F.broadcast(last), day == F.col("_last")).drop("_last")
+def latest_local_day(table: DataFrame, at: str, zones: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the newest local day of each time zone; ``zones`` has ``keys`` and ``timeZone``. Rows without a zone are left out."""
+    local = table.join(zones.select(*keys, "timeZone"), list(keys))
+    local = local.withColumn("_day", F.to_date(F.from_utc_timestamp(at, F.col("timeZone"))))
+    last = local.groupBy("timeZone").agg(F.max("_day").alias("_day"))
+    return local.join(last, ["timeZone", "_day"], "left_semi").select(*table.columns, "timeZone")
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -95,14 +100,23 @@ def upsert_newest(path: str, keys: Sequence[str], order: Column, buckets: int =
     return sink
 
 
-def replace_snapshot(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Sink for complete mode: the whole board is replaced by each micro-batch."""
+def current_board(state_sink: Callable[[DataFrame, int], None], state: str, path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Sink that brings the stored state up to date and then shows it: the board counts what holds now, so cells also go
+    down. Each batch writes a board of its own below ``path``, readers take the newest; a replay writes the same one."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        shape(df).write.mode("overwrite").parquet(path)
+        state_sink(df, batch_id)
+        board = shape(df.sparkSession.read.parquet(state))
+        board.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return sink
 
 
+def newest_board(spark: SparkSession, path: str) -> DataFrame:
+    """The board of the last batch."""
+    boards = spark.read.parquet(path)
+    return boards.filter(F.col("batch") == boards.agg(F.max("batch")).scalar()).drop("batch")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         return not spark.read.parquet(path).limit(1).isEmpty()

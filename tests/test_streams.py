@@ -51,3 +51,29 @@ def test_windows_may_arrive_in_pieces_and_again(spark):
     sink(spark.createDataFrame([(3, "y", "m"), (1, "y", "m")], schema), 1)
     sink(spark.createDataFrame([(3, "y", "m"), (1, "y", "m")], schema), 1)
     assert rows(spark.read.schema(schema).parquet(path)) == [(1, "y", "m"), (2, "x", "t"), (3, "y", "m")]
+
+
+def test_open_windows_show_and_are_corrected(spark, tmp_path):
+    """Update mode over several runs equals a batch over all rows, the newest windows included."""
+    src, out, ck = tmp_path / "open", scratch_path(spark, "out"), scratch_path(spark, "ck")
+    files = [[(1, "u", "2024-01-01 10:00:00", 1)], [(2, "u", "2024-01-01 10:14:00", 4), (3, "v", "2024-01-01 10:20:00", 5)], [(4, "v", "2024-01-01 10:21:00", 6)]]
+    for n, records in enumerate(files):
+        land(src, f"{n}.json", *records)
+        s = boards.read_files(spark, str(src), SCHEMA, files_per_trigger=1).withColumn("n", F.lit("m"))
+        board = boards.interval_metrics(s, "at", ["user"], "n", "v", ["m"], "1 day").withColumn("day", F.to_date("intervalStart"))
+        boards.run_available(board, ck, boards.extract_windows(out, ["intervalStart", "user"], ["day"]), mode="update")
+    got = {(r["user"], str(r["intervalStart"])[11:16]): (r["m"], r["mCount"]) for r in spark.read.parquet(out).collect()}
+    assert got == {("u", "10:00"): (5, 2), ("v", "10:15"): (11, 2)}
+
+
+def test_the_board_shows_the_present(spark):
+    state, out = scratch_path(spark, "state"), scratch_path(spark, "board")
+    sink = boards.current_board(
+        boards.upsert_newest(state, ["user"], F.col("id").desc(), buckets=4), state, out, lambda now: boards.queue_counts(now, "q", {"waiting": F.col("s") == "w"})
+    )
+    schema = "id long, user string, q string, s string"
+    sink(spark.createDataFrame([(1, "a", "x", "w"), (2, "b", "x", "w")], schema), 0)
+    assert rows(boards.newest_board(spark, out)) == [("x", 2)]
+    for _ in range(2):
+        sink(spark.createDataFrame([(3, "a", "x", "gone")], schema), 1)
+    assert rows(boards.newest_board(spark, out)) == [("x", 1)]
