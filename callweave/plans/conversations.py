@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callweave.functions import times as tm
 from callweave.operators import nested as ns
 from callweave.operators import ordered, reshape
+from callweave.operators import upserts as up
 from callweave.operators.aggregates import count_positive
 
 # fixed values: metric names of the interval fact
@@ -91,9 +92,12 @@ def interval_metrics(details: DataFrame) -> DataFrame:
     """Interval metric fact: counts and seconds per agent, media, queue, code and quarter hour.
 
     A metric counts when its sum over one session set and emit time is positive, so metrics are first
-    summed per (session attributes, emit time) and then rolled up to the quarter hour.
+    summed per (session attributes, emit time) and then rolled up to the quarter hour. Where ``details`` has a
+    ``recordInsertTime`` a conversation may be delivered several times (each time once) and the newest delivery counts:
+    the facts carry the time and are dropped when a later one exists, which spares a shuffle of the payloads.
     """
-    keys = ["conversationId", "agentId", "mediaType", "messageType", "originatingDirection"]
+    stamp = [c for c in ("recordInsertTime",) if c in details.columns]
+    keys = ["conversationId", "agentId", "mediaType", "messageType", "originatingDirection", *stamp]
     rows = ns.flatten(
         details,
         [
@@ -102,6 +106,7 @@ def interval_metrics(details: DataFrame) -> DataFrame:
             F.col("s.mediaType"),
             F.col("s.messageType"),
             "originatingDirection",
+            *stamp,
             F.col("p.purpose"),
             F.col("s.segments"),
             F.col("m.name"),
@@ -134,7 +139,26 @@ def interval_metrics(details: DataFrame) -> DataFrame:
     out = sessions.groupBy(
         *keys, "queueId", "wrapUpCode", tm.quarter_hour(F.col("emitDate")).alias("emitDateTime")
     ).agg(*aggs)
-    return out.withColumnRenamed("tAgentResponseTime", "tAgentResponse").withColumn("emitDate", F.to_date("emitDateTime"))
+    out = out.withColumnRenamed("tAgentResponseTime", "tAgentResponse").withColumn("emitDate", F.to_date("emitDateTime"))
+    if stamp:
+        newest = details.groupBy("conversationId").agg(F.max("recordInsertTime").alias("recordInsertTime"))
+        out = out.join(newest, ["conversationId", "recordInsertTime"], "left_semi").drop("recordInsertTime")
+    return out
+
+
+def load_interval_metrics(stored: DataFrame, details: DataFrame, extract_date: str, start: str, end: str) -> DataFrame:
+    """The stored fact after one extract window: its conversations are replaced, all others stay.
+
+    ``details`` has extractDate, extractIntervalStartTime and extractIntervalEndTime; loaded rows carry the window as
+    ``sourcePartition``.
+    """
+    window = (
+        (F.col("extractDate") == F.lit(extract_date))
+        & (F.col("extractIntervalStartTime") == F.lit(start))
+        & (F.col("extractIntervalEndTime") == F.lit(end))
+    )
+    fresh = interval_metrics(details.filter(window)).withColumn("sourcePartition", F.lit(f"{extract_date}|{start}|{end}"))
+    return up.replace_matching(stored, fresh, ["conversationId"])
 
 
 def aggregated_intervals(payloads: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -42,10 +42,33 @@ def _metric_sql():
       FROM piv GROUP BY conversationId, agentId, mediaType, messageType, originatingDirection, queueId, wrapUpCode, time_bucket(INTERVAL 15 MINUTE, emitDate)"""
 
 
-@query("d2_interval_metric_fact", with_(SESSIONS) + _metric_sql())
+WINDOW = ("2024-02-01", "2024-02-01T00:00:00", "2024-02-01T01:00:00")
+
+
+@query(
+    "d2_interval_metric_fact",
+    with_(SESSIONS)
+    + _metric_sql().replace("SELECT conversationId, agentId, mediaType", f"SELECT '{'|'.join(WINDOW)}' AS sourcePartition, conversationId, agentId, mediaType", 1)
+    + """ UNION ALL BY NAME SELECT '2024-01-31|old' AS sourcePartition, 'gone-' || sessionId AS conversationId, -1::BIGINT AS nOffered FROM lines WHERE quantity % 10 = 0""",
+)
 def interval_metric_fact(t):
-    fresh = cv.interval_metrics(t.conversation_details())
-    return fresh
+    extract_date, start, end = WINDOW
+    details = t.conversation_details().withColumns(
+        {"recordInsertTime": F.lit(2), "extractDate": F.lit(extract_date), "extractIntervalStartTime": F.lit(start), "extractIntervalEndTime": F.lit(end)}
+    )
+    some = F.pmod(F.xxhash64("conversationId"), F.lit(20))
+    # delivered before with other content, and delivered again in a window that is not loaded now
+    before = details.filter(some == 0).withColumns({"recordInsertTime": F.lit(1), "originatingDirection": F.lit("stale")})
+    later = details.filter(some == 1).withColumns({"recordInsertTime": F.lit(3), "originatingDirection": F.lit("later"), "extractIntervalStartTime": F.lit(end)})
+    # stored: old values of loaded conversations, which go, and conversations of other windows, which stay
+    s = t.line_sessions()
+    old = s.filter("quantity % 10 = 0").select(F.concat(F.lit("gone-"), "sessionId").alias("conversationId"))
+    stored = old.unionByName(s.filter("quantity % 10 = 1").select(F.col("sessionId").alias("conversationId")))
+    stored = stored.withColumns({"nOffered": F.lit(-1).cast("long"), "sourcePartition": F.lit("2024-01-31|old")})
+    payloads = details.unionByName(before).unionByName(later)
+    columns = cv.interval_metrics(t.conversation_details()).schema
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns if f.name not in stored.columns]
+    return cv.load_interval_metrics(stored.select("*", *absent), payloads, *WINDOW)
 
 
 AGG_NAMES = ["nConnected", "nOffered", "tAcw", "tHandle"]
