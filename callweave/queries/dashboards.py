@@ -18,6 +18,7 @@ from callweave.queries.facts import LAST, PRESENCE, UNIT
 from callweave.queries.kpis import EVALUATED, INTERVAL_FACT, WIDE
 from callweave.queries.prelude import EVENTS, LINES, MART, TURNS, USERS, with_
 from callweave.queries.registry import query
+from callweave.queries.stored import stored_side, stored_sql
 from callweave.queries.timeaxis import sliced
 from callweave.sources import raw, star
 
@@ -334,7 +335,11 @@ def workforce_load(t):
 
 @query(
     "d42_kpi_load",
-    """SELECT p_partkey AS id, CAST(DATE '1899-12-30' + CAST(35000 + p_size AS INTEGER) AS DATE)::VARCHAR AS reportDate, CASE WHEN p_size % 4 <> 0 THEN p_retailprice END AS price FROM part""",
+    stored_sql(
+        "",
+        """SELECT p_partkey AS id, CAST(DATE '1899-12-30' + CAST(35000 + p_size AS INTEGER) AS DATE)::VARCHAR AS reportDate, CASE WHEN p_size % 4 <> 0 THEN p_retailprice END AS price FROM part""",
+        "id", "-id - 1", {"price": "-1.0::DOUBLE"},
+    ),
 )
 def kpi_load(t):
     from callweave.operators.reshape import serial_day
@@ -345,7 +350,8 @@ def kpi_load(t):
         F.when(F.col("p_size") % 4 == 0, "-").otherwise(F.col("p_retailprice").cast("string")).alias("price"),
     )
     fresh = rows.select("id", serial_day(F.col("date")).alias("reportDate"), F.col("price").try_cast("double").alias("price"))
-    return up.merge_all(fresh.filter("id % 2 = 0"), fresh, ["id", "reportDate"], check=False)
+    stored = stored_side(fresh, "id", -F.col("id") - 1, {"price": -1.0})
+    return up.merge_all(stored, fresh, ["id", "reportDate"], check=False)
 
 
 @query(

@@ -13,20 +13,25 @@ from callweave.plans import speech, star
 from callweave.plans import workforce as wf
 from callweave.queries.prelude import EVENTS, LINES, PHRASES, SESSIONS, TURNS, USERS, with_
 from callweave.queries.registry import query
+from callweave.queries.stored import stored_side, stored_sql
 from callweave.session import cut_lineage
 from callweave.sources import raw
 
 
 @query(
     "d1_agent_sessions",
-    with_(SESSIONS)
-    + """SELECT sessionId AS conversationId, segmentStart::VARCHAR AS conversationStart, segmentEnd::VARCHAR AS conversationEnd, originatingDirection,
+    stored_sql(
+        with_(SESSIONS),
+        """SELECT sessionId AS conversationId, segmentStart::VARCHAR AS conversationStart, segmentEnd::VARCHAR AS conversationEnd, originatingDirection,
           sStart::VARCHAR AS sessionStart, sEnd::VARCHAR AS sessionEnd, firstQueue AS queueId, mediaType, NULL::VARCHAR AS messageType, agentId, lastCode AS wrapUpCode,
           lastNote AS wrapUpNote, CAST(segmentStart AS DATE)::VARCHAR AS conversationStartDate, 'tel:' || lineNumber AS dnis FROM sessions WHERE purpose = 'agent' GROUP BY ALL""",
+        "conversationId", "'old-' || conversationId", {"wrapUpNote": "'stale'"}, "mediaType = 'voice'",
+    ),
 )
 def agent_sessions(t):
     fresh = cv.agent_sessions(t.conversation_details())
-    return up.replace_matching(fresh.filter("mediaType = 'voice'"), fresh, ["conversationId", "conversationStartDate"])
+    stored = stored_side(fresh, "conversationId", F.concat(F.lit("old-"), "conversationId"), {"wrapUpNote": "stale"}, "mediaType = 'voice'")
+    return up.replace_matching(stored, fresh, ["conversationId", "conversationStartDate"])
 
 
 def _metric_sql():
@@ -76,13 +81,15 @@ AGG_NAMES = ["nConnected", "nOffered", "tAcw", "tHandle"]
 
 @query(
     "d3_aggregated_interval_fact",
-    with_(EVENTS)
-    + """, m AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, ts) AS slot FROM ev)
-      SELECT CAST(slot AS DATE)::VARCHAR AS date, slot::VARCHAR AS intervalStart, (slot + INTERVAL 15 MINUTE)::VARCHAR AS intervalEnd, mediaType, queueId, userId,
+    stored_sql(
+        with_(EVENTS) + """, m AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, ts) AS slot FROM ev)""",
+        """SELECT CAST(slot AS DATE)::VARCHAR AS date, slot::VARCHAR AS intervalStart, (slot + INTERVAL 15 MINUTE)::VARCHAR AS intervalEnd, mediaType, queueId, userId,
         count(*)::BIGINT AS nConnected, NULL::BIGINT AS nOffered, sum(k)::BIGINT AS nHandle, sum(cents)::BIGINT AS tHandle,
         CASE WHEN count(*) FILTER (WHERE k % 2 = 0) > 0 THEN count(*) FILTER (WHERE k % 2 = 0) END AS nAcw, sum(CASE WHEN k % 2 = 0 THEN k END)::BIGINT AS tAcw,
         max(CASE WHEN k % 2 = 0 THEN k END)::BIGINT AS maxAcw, min(CASE WHEN k % 2 = 0 THEN k END)::BIGINT AS minAcw
       FROM m GROUP BY slot, mediaType, queueId, userId""",
+        "date", "(CAST(date AS DATE) - 20000)::VARCHAR", {"tHandle": "-1"}, "mediaType = 'chat'",
+    ),
 )
 def aggregated_interval_fact(t):
     m = raw.metric_events(t.events)
@@ -118,7 +125,8 @@ def aggregated_interval_fact(t):
     )
     # checked, matched and written: three reads of one computed batch
     good = up.guard_interval(cut_lineage(fresh), "intervalStart", "intervalEnd", 900)
-    return up.replace_matching(good.filter("mediaType = 'chat'"), good, ["date", "intervalStart", "intervalEnd"])
+    stored = stored_side(good, "date", F.date_sub("date", 20000), {"tHandle": -1}, "mediaType = 'chat'")
+    return up.replace_matching(stored, good, ["date", "intervalStart", "intervalEnd"])
 
 
 LAST = """, last AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY conversationId ORDER BY wrapUpCode IS NOT NULL DESC, segmentEnd DESC, sessionId DESC) = 1)"""
@@ -186,16 +194,19 @@ def evaluation_group_scores(t):
 
 @query(
     "d6_evaluation_question_scores",
-    with_(LINES)
-    + """, q AS (SELECT *, 'g1' AS g, 'q1' AS q, CAST(quantity % 6 AS BIGINT) AS score FROM lines UNION ALL SELECT *, 'g2', 'q2', taxPct FROM lines
-           UNION ALL SELECT *, 'g2', 'q3', discountPct FROM lines)
-         SELECT DISTINCT 'ev-' || sessionId AS evaluationId, g AS questionGroupId, q AS questionId, q || '-a' || score AS answerId, CASE WHEN score = 0 THEN 'see note' END AS comments,
+    stored_sql(
+        with_(LINES) + """, q AS (SELECT *, 'g1' AS g, 'q1' AS q, CAST(quantity % 6 AS BIGINT) AS score FROM lines UNION ALL SELECT *, 'g2', 'q2', taxPct FROM lines
+           UNION ALL SELECT *, 'g2', 'q3', discountPct FROM lines)""",
+        """SELECT DISTINCT 'ev-' || sessionId AS evaluationId, g AS questionGroupId, q AS questionId, q || '-a' || score AS answerId, CASE WHEN score = 0 THEN 'see note' END AS comments,
            returnFlag = 'R' AND score < 3 AS failedKillQuestion, score FROM q""",
+        "evaluationId", "'old-' || evaluationId", {"comments": "'before'"},
+    ),
 )
 def evaluation_question_scores(t):
     fresh = evp.question_scores(raw.evaluation_payloads(t.line_sessions()))
     keys = ["evaluationId", "questionGroupId", "questionId", "answerId"]
-    return up.merge_all(fresh.filter("score > 3"), fresh, keys, check=False)
+    stored = stored_side(fresh, "evaluationId", F.concat(F.lit("old-"), "evaluationId"), {"comments": "before"})
+    return up.merge_all(stored, fresh, keys, check=False)
 
 
 PRESENCE = """, pp AS (SELECT userId, ts AS startTime, ts + to_seconds(k * 60) AS endTime, eventType AS status, 'org-' || (k % 4) AS org, 'INTERACTING' AS routing FROM ev
@@ -500,9 +511,13 @@ def survey_dim(t):
 
 @query(
     "d14_survey_fact",
-    with_(LINES)
-    + f"SELECT DISTINCT 'survey-' || sessionId AS surveyId, sessionId AS conversationId, quantity % 11 AS npsScore, quantity * 2 AS totalScore, {DATE_ID} FROM {SURVEYED} AND taxPct = 8",
+    stored_sql(
+        with_(LINES),
+        f"SELECT DISTINCT 'survey-' || sessionId AS surveyId, sessionId AS conversationId, quantity % 11 AS npsScore, quantity * 2 AS totalScore, {DATE_ID} FROM {SURVEYED} AND taxPct = 8",
+        "surveyId", "'old-' || surveyId", {"npsScore": "-1"},
+    ),
 )
 def survey_fact(t):
     fresh = evp.star_survey_scores(t.conversation_details())
-    return up.replace_matching(fresh.filter("npsScore > 5"), fresh, ["surveyId", "conversationStartDateId"])
+    stored = stored_side(fresh, "surveyId", F.concat(F.lit("old-"), "surveyId"), {"npsScore": -1})
+    return up.replace_matching(stored, fresh, ["surveyId", "conversationStartDateId"])

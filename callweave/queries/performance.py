@@ -9,6 +9,7 @@ from callweave.operators import upserts as up
 from callweave.plans import performance as pf
 from callweave.queries.prelude import EVENTS, INTERVALS, LINES, USERS, with_
 from callweave.queries.registry import query
+from callweave.queries.stored import stored_side, stored_sql
 from callweave.sources import raw, star
 
 ZONE = "Asia/Manila"
@@ -211,10 +212,11 @@ def campaigns(t):
     return pf.campaigns(campaign_docs(t), ZONE)
 
 
-@query("d38_user_campaigns", with_(MEMBERS) + "SELECT * FROM mem")
+@query("d38_user_campaigns", stored_sql(with_(MEMBERS), "SELECT * FROM mem", "orgId", "'old-' || orgId", {"userId": "-1"}))
 def user_campaigns(t):
     fresh = pf.user_campaigns(campaign_docs(t), user_docs(t))
-    return up.replace_matching(fresh.filter("orgId = 'org1'"), fresh, ["orgId"])
+    stored = stored_side(fresh, "orgId", F.concat(F.lit("old-"), "orgId"), {"userId": -1})
+    return up.replace_matching(stored, fresh, ["orgId"])
 
 
 @query("d38_campaign_kpis", "SELECT o_orderkey AS campaignId, 'kpi ' || (o_custkey % 5) AS kpiName, CAST(o_orderkey % 10 AS DOUBLE) AS kpiWeight, 'org' || (o_custkey % 3) AS orgId FROM orders")
@@ -437,11 +439,16 @@ def _shifts(t):
 
 @query(
     "d41_attendance_from_presence",
-    with_(INTERVALS, USERS) + SHIFTS + " SELECT userId, TRUE AS isPresent, loginTime::VARCHAR AS loginTime, logoutTime::VARCHAR AS logoutTime, CAST(logoutTime AS DATE)::VARCHAR AS reportDate FROM sh",
+    stored_sql(
+        with_(INTERVALS, USERS) + SHIFTS,
+        "SELECT userId, TRUE AS isPresent, loginTime::VARCHAR AS loginTime, logoutTime::VARCHAR AS logoutTime, CAST(logoutTime AS DATE)::VARCHAR AS reportDate FROM sh",
+        "userId", "'old-' || userId", {"isPresent": "FALSE"},
+    ),
 )
 def attendance_from_presence(t):
     fresh = _shifts(t)
-    return up.merge_all(fresh.filter("isPresent = false"), fresh, ["userId", "loginTime", "logoutTime"], check=False)
+    stored = stored_side(fresh, "userId", F.concat(F.lit("old-"), "userId"), {"isPresent": False})
+    return up.merge_all(stored, fresh, ["userId", "loginTime", "logoutTime"], check=False)
 
 
 @query(
