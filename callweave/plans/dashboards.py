@@ -146,3 +146,29 @@ def active_user_bill(sessions: DataFrame, users: DataFrame, zone: str, month: st
     worked = users.join(agents, "userId", "left_semi").select(*fields)
     leads = users.filter("state = 'active' and roleId in ('Team Manager', 'Team Lead')").select(*fields)
     return worked.union(leads).distinct()
+
+
+def users_info(raw_users: DataFrame, seen: DataFrame) -> DataFrame:
+    """Users with department, division and manager; without a hire date the day they were first extracted counts.
+
+    ``seen`` has userId and extractDate, a row per delivery.
+    """
+    first = seen.groupBy(F.col("userId").alias("id")).agg(F.min("extractDate").alias("_first"))
+    return raw_users.join(first, "id", "left").select(
+        "department",
+        F.col("division.id").alias("divisionId"),
+        F.col("division.name").alias("divisionName"),
+        F.coalesce("dateHire", "_first").alias("hireDate"),
+        "email",
+        F.col("id").alias("userId"),
+        F.col("manager.id").alias("managerId"),
+        "name",
+        "state",
+    )
+
+
+def queue_lookup(queues: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Queues that have a configured region, by exact name."""
+    return queues.select(F.col("queueId").alias("queueKey"), F.col("queueName").alias("name")).join(
+        mapping.select(F.col("queueName").alias("name"), "region", "country"), "name"
+    )

@@ -176,7 +176,11 @@ def kpi_values(members: DataFrame, outcomes: DataFrame, logins: DataFrame, quizz
             kpi.select("userId", "report_date", F.col("connection_name").alias("entityName"), F.col("attr_dict_key").alias("fieldName")),
             ["userId", "entityName", "fieldName"],
         ),
-        (wanted, points.select("userId", F.col("date").alias("report_date"), "activityId"), ["userId", "activityId"]),
+        (
+            wanted,
+            points.select("userId", F.col("date").alias("report_date"), "activityId", "entityName", "fieldName"),
+            ["userId", "activityId", "entityName", "fieldName"],
+        ),
     ]
     columns = [*wanted.columns, "report_date"]
     found = [w.join(s, keys).filter(F.col("report_date").between(F.col("start_date"), F.col("end_date"))).select(*columns) for w, s, keys in seen]
@@ -189,7 +193,13 @@ def kpi_values(members: DataFrame, outcomes: DataFrame, logins: DataFrame, quizz
             ["userId", "report_date", "entityName", "fieldName"],
             "left",
         )
-        .join(points.select("userId", F.col("date").alias("report_date"), "activityId", "points", F.col("fieldValue").alias("_pointValue")), ["userId", "report_date", "activityId"], "left")
+        .join(
+            points.select(
+                "userId", F.col("date").alias("report_date"), "activityId", "entityName", "fieldName", "points", "target", "noOfTimesPerformed", F.col("fieldValue").alias("_pointValue")
+            ),
+            ["userId", "report_date", "activityId", "entityName", "fieldName"],
+            "left",
+        )
     )
     audit = F.col("entityName") == "Audit_Log"
     score = (F.col("entityName") == "quiz") & (F.col("fieldName") == "percentage_score")
@@ -206,10 +216,13 @@ def kpi_values(members: DataFrame, outcomes: DataFrame, logins: DataFrame, quizz
         "report_date",
         "activityId",
         "entityName",
+        "kpi_name",
         "fieldName",
         value.alias("fieldValue"),
         F.when(score, F.col("noOfCorrectQuestions") * 100).otherwise(F.col("_num")).alias("num"),
         F.when(score, F.col("totalQuestions")).otherwise(F.col("_denom")).alias("denom"),
         "points",
+        "target",
+        "noOfTimesPerformed",
     )
     return out.filter("fieldValue is not null or points is not null")

@@ -355,3 +355,13 @@ def queue_regions(config: DataFrame, queues: DataFrame) -> DataFrame:
         .select("queueName", "queueId", "region", "country", F.get(cell, F.lit(1)).alias("brand"), F.get(cell, F.lit(2)).alias("language"), "timeZone")
         .distinct()
     )
+
+
+def user_regions(config: DataFrame) -> DataFrame:
+    """Configured group, region and zone of users; the region stands for the country."""
+    return config.select("userId", "groupName", "region", F.col("region").alias("country"), "timeZone", "provider").distinct()
+
+
+def outbound_codes(config: DataFrame) -> DataFrame:
+    """Configured wrap-up codes of outbound calls, taken over as delivered."""
+    return config.select("wrapUpCodeId", "wrapUpCode", "sales", "decisionMakerContact")

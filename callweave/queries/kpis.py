@@ -325,16 +325,16 @@ OUTCOMES = [("a1", "Audit_Log", "login_attempt"), ("a2", "quiz", "percentage_sco
         b AS (SELECT * FROM mem, oc2), ed AS (SELECT *, CAST(ts AS DATE) AS d FROM ev),
         lg AS (SELECT userId, d, count(*) AS n FROM ed WHERE eventType = 'view' GROUP BY 1, 2), qz AS (SELECT userId, d, max(k)::DOUBLE AS pct FROM ed WHERE eventType = 'signup' GROUP BY 1, 2),
         kd AS (SELECT userId, d, 'conn' AS entityName, eventType AS fieldName, sum(cents)::DOUBLE AS v, count(*)::DOUBLE AS den FROM ed GROUP BY ALL),
-        pt AS (SELECT userId, d, 'a' || (k % 6) AS activityId, sum(k)::BIGINT AS points FROM ed GROUP BY ALL),
+        pt AS (SELECT userId, d, activityId, entityName, fieldName, sum(k)::BIGINT AS points, max(k)::BIGINT AS target, count(*) AS times FROM ed JOIN oc2 ON activityId = 'a' || (k % 6) GROUP BY ALL),
         x AS (SELECT b.userId, campaignId, b.d::VARCHAR AS report_date, b.activityId, b.entityName, b.fieldName, CASE WHEN b.entityName = 'Audit_Log' THEN n::DOUBLE WHEN b.fieldName = 'percentage_score' THEN pct WHEN b.fieldName = 'attempted_quiz' AND pct > 0 THEN 1.0
-            ELSE coalesce(v, points * 2.0) END::DOUBLE AS fieldValue, CASE WHEN b.fieldName = 'percentage_score' THEN pct * 100 ELSE v END AS num, CASE WHEN b.fieldName = 'percentage_score' THEN 20.0 ELSE den END::DOUBLE AS denom, points
+            ELSE coalesce(v, points * 2.0) END::DOUBLE AS fieldValue, CASE WHEN b.fieldName = 'percentage_score' THEN pct * 100 ELSE v END AS num, CASE WHEN b.fieldName = 'percentage_score' THEN 20.0 ELSE den END::DOUBLE AS denom, points, target, times
           FROM b LEFT JOIN lg ON lg.userId = b.userId AND lg.d = b.d LEFT JOIN qz ON qz.userId = b.userId AND qz.d = b.d LEFT JOIN kd ON kd.userId = b.userId AND kd.d = b.d AND kd.entityName = b.entityName AND kd.fieldName = b.fieldName
-          LEFT JOIN pt ON pt.userId = b.userId AND pt.d = b.d AND pt.activityId = b.activityId)
-       SELECT userId, campaignId, report_date, activityId, entityName, fieldName, fieldValue, num, CASE WHEN fieldName = 'percentage_score' AND num IS NULL THEN NULL ELSE denom END AS denom, points FROM x WHERE fieldValue IS NOT NULL OR points IS NOT NULL""",
+          LEFT JOIN pt ON pt.userId = b.userId AND pt.d = b.d AND pt.activityId = b.activityId AND pt.entityName = b.entityName AND pt.fieldName = b.fieldName)
+       SELECT userId, campaignId, report_date, activityId, entityName, 'KPI ' || activityId AS kpi_name, fieldName, fieldValue, num, CASE WHEN fieldName = 'percentage_score' AND num IS NULL THEN NULL ELSE denom END AS denom, points, target, times AS noOfTimesPerformed FROM x WHERE fieldValue IS NOT NULL OR points IS NOT NULL""",
 )
 def kpi_values(t):
     e = raw.event_rows(t.events).withColumn("date", F.to_date("ts"))
-    rows = F.array(*[F.struct(F.lit(a).alias("activityId"), F.lit(b).alias("entityName"), F.lit(c).alias("fieldName")) for a, b, c in OUTCOMES])
+    rows = F.array(*[F.struct(F.lit(a).alias("activityId"), F.lit(b).alias("entityName"), F.lit(c).alias("fieldName"), F.lit(f"KPI {a}").alias("kpi_name")) for a, b, c in OUTCOMES])
     outcomes = t.region.filter("r_regionkey < 3").select(F.concat(F.lit("camp-"), "r_regionkey").alias("campaignId"), F.explode(rows).alias("x")).select("campaignId", "x.*")
     logins = e.filter("eventType = 'view'").groupBy("userId", "date").agg(F.count(F.lit(1)).alias("loginAttempt"))
     quizzes = e.filter("eventType = 'signup'").groupBy("userId", F.col("date").alias("answeredDate")).agg(
@@ -344,8 +344,9 @@ def kpi_values(t):
         F.sum("cents").cast("double").alias("attr_value"), F.sum("cents").cast("double").alias("num"), F.count(F.lit(1)).cast("double").alias("denom")
     )
     points = e.groupBy("userId", "date", F.concat(F.lit("a"), F.col("k") % 6).alias("activityId")).agg(
-        F.sum("k").alias("points"), (F.sum("k") * F.lit(2.0)).alias("fieldValue")
+        F.sum("k").alias("points"), (F.sum("k") * F.lit(2.0)).alias("fieldValue"), F.max("k").cast("long").alias("target"), F.count(F.lit(1)).alias("noOfTimesPerformed")
     )
+    points = points.join(t.spark.createDataFrame(OUTCOMES, "activityId string, entityName string, fieldName string"), "activityId")
     return ks.kpi_values(campaign_members(t), outcomes, logins, quizzes, kpi, points)
 
 

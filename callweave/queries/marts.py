@@ -266,3 +266,24 @@ def queue_regions(t):
         F.lit("Europe/Berlin").alias("timeZone"),
     )
     return marts.queue_regions(config, star.queues(t.part))
+
+
+@query(
+    "d29_user_regions",
+    with_(USERS) + "SELECT DISTINCT userId, groupName, region, region AS country, timeZone, 'provider ' || (userNo % 2) AS provider FROM users",
+)
+def user_regions(t):
+    u = raw.users(t.customer, t.nation, t.region).withColumn("provider", F.concat(F.lit("provider "), F.col("userNo") % 2))
+    return marts.user_regions(u.unionByName(u.filter("userNo % 2 = 0")))
+
+
+@query(
+    "d29_outbound_codes",
+    """SELECT DISTINCT 'code-' || (p_partkey % 12) AS wrapUpCodeId, 'Code ' || (p_partkey % 12) AS wrapUpCode, p_partkey % 12 < 2 AS sales, p_partkey % 12 < 6 AS decisionMakerContact FROM part""",
+)
+def outbound_codes(t):
+    n = F.col("p_partkey") % 12
+    config = t.part.select(
+        F.concat(F.lit("code-"), n).alias("wrapUpCodeId"), F.concat(F.lit("Code "), n).alias("wrapUpCode"), (n < 2).alias("sales"), (n < 6).alias("decisionMakerContact"), F.lit("x").alias("note")
+    )
+    return marts.outbound_codes(config.distinct())
