@@ -26,8 +26,8 @@ from callweave.llm.registry import query
 #: Vocabulary file of the registered query; a parameter everywhere else.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Words whose ids a task keeps at hand.
-CACHED_WORDS = 300_000
+#: Words of one generation whose ids a task keeps at hand.
+CACHED_WORDS = 150_000
 
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -43,8 +43,14 @@ class PieceTable:
     unknown: int
     merges: bool
     prefix: bool
-    longest: int = 1
+    longest: int = 1  # of a piece, in characters
     beside: frozenset = field(default_factory=frozenset)
+    packed: dict[str, bytes] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.longest = max(map(len, self.ids), default=1)
+        self.beside = frozenset(pair for p in self.ids for pair in zip(p, p[1:]))
+        self.packed = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
 
 
 def read_table(path: str) -> PieceTable:
@@ -71,10 +77,7 @@ def read_table(path: str) -> PieceTable:
         else:
             ids[p.piece], scores[p.piece] = i, p.score
             texts.append(p.piece.replace(MARK, " ").encode())
-    return PieceTable(
-        ids, scores, byte_ids, texts, spec.unk_id(), model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix,
-        max(map(len, ids), default=1), frozenset(pair for p in ids for pair in zip(p, p[1:])),
-    )
+    return PieceTable(ids, scores, byte_ids, texts, spec.unk_id(), model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix)
 
 
 def lattice(chunk: str, table: PieceTable) -> dict[tuple[int, int], float]:
@@ -155,50 +158,75 @@ def viterbi_fold(chunk: str, edges: dict[tuple[int, int], float]) -> list[str]:
     return parts[::-1]
 
 
-class Encoder:
-    """Ids of words and chunks, each worked out once as long as it is remembered."""
+class _Memory(dict):
+    """Ids by string as bytes of int32; worked out when missing. Two generations: when the younger is full it becomes the
+    older one, so that frequent strings stay and no more than twice ``CACHED_WORDS`` are held."""
 
-    def __init__(self, table: PieceTable):
-        self.table = table
-        self.words: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
+    def __init__(self, work):
+        super().__init__()
+        self.work = work
+        self.older: dict[str, bytes] = {}
 
-    def word(self, word: str) -> list[int]:
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
-        ids = self.words[word] = [x for c in self.chunks(word) for x in self.known.get(c) or self.chunk(c)]
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.work(key)
+        self[key] = ids
         return ids
 
-    def chunks(self, word: str) -> list[str]:
-        beside, cuts = self.table.beside, [0]
-        cuts += [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in beside]
-        return [word] if len(cuts) == 1 else [word[i:j] for i, j in zip(cuts, [*cuts[1:], len(word)], strict=True)]
 
-    def chunk(self, chunk: str) -> list[int]:
-        if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
+class Encoder:
+    """Ids of texts as bytes of int32."""
+
+    def __init__(self, table: PieceTable):
+        self.table = table
+        self.spaced = _Memory(lambda word: self.word(MARK + word))
+        self.plain = _Memory(self.word)
+        self.newline = self.chunk("\n") if not any("\n" in p for p in table.ids) else None
+
+    def word(self, word: str) -> bytes:
+        beside, start, out = self.table.beside, 0, []
+        for i, pair in enumerate(zip(word, word[1:]), 1):
+            if pair not in beside:
+                out.append(self.chunk(word[start:i]))
+                start = i
+        return b"".join(out) + self.chunk(word[start:]) if out else self.chunk(word)
+
+    def chunk(self, chunk: str) -> bytes:
         t = self.table
         parts = merge_fold(chunk, t.scores) if t.merges else viterbi_fold(chunk, lattice(chunk, t))
-        out = []
+        known, out = t.packed, []
         for part in parts:
-            x = t.ids.get(part)
-            if x is not None:
-                out.append(x)
-            else:
+            x = known.get(part)
+            if x is None:
                 raw = [t.byte_ids[b] for b in part.encode()]
-                out += raw if min(raw) >= 0 else [t.unknown]
-        self.known[chunk] = out
-        return out
+                x = np.array(raw if min(raw) >= 0 else [t.unknown], "<i4").tobytes()
+            out.append(x)
+        return b"".join(out)
 
-    def text(self, text: str) -> list[int]:
+    def text(self, text: str) -> np.ndarray:
+        """Ids of a text. Words follow single spaces almost always; lines where they do not, or that hold the mark itself,
+        are cut where the mark starts."""
         if not text:
-            return []
-        marked = (MARK if self.table.prefix else "") + text.replace(" ", MARK)
-        known, word = self.words, self.word
-        out: list[int] = []
-        for w in _WORD.findall(marked):
-            out += known.get(w) or word(w)
-        return out
+            return np.zeros(0, "<i4")
+        spaced, plain = self.spaced.__getitem__, self.plain.__getitem__
+        out = []
+        for n, line in enumerate([text] if self.newline is None else text.split("\n")):
+            if n:
+                out.append(self.newline)
+            words = line.split(" ")
+            first = not n and self.table.prefix
+            if "" in words or MARK in line:
+                out += map(plain, _WORD.findall((MARK if first else "") + line.replace(" ", MARK)))
+            elif first:
+                out += map(spaced, words)
+            else:
+                out.append(plain(words[0]))
+                out += map(spaced, words[1:])
+        return np.frombuffer(b"".join(out), "<i4")
 
 
 _latest: list[Encoder] = []
@@ -277,7 +305,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
             for text in batch.column(kept.index(text_col)):
                 text = text.as_py()
                 missing.append(text is None)
-                ids = np.array(encoder.text(text or ""), np.int32)
+                ids = encoder.text(text or "")
                 parts.append(ids)
                 total += len(ids)
                 ends.append(total)
