@@ -50,3 +50,44 @@ def test_no_python_in_the_hot_path(spark):
     for name in ("d2_interval_metric_fact", "d27_complexity", "d18_process_map", "i8_valid_local_times", "f10_clean_text", "n7_zip_series"):
         text = plan(spark, name)
         assert "Python" not in text and "Pandas" not in text, name
+
+
+LARGE = ["j5_dense_grid", "j6_point_in_interval", "j8_bucket_join", "j11_normalised_text_join", "j12_cascading_name_match", "d17_timeline", "d18_process_map", "d24_user_kpis", "d36_kpi_grid", "d40_kpi_values"]
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_no_pairwise_joins_when_nothing_is_small(spark, name):
+    """Tables that no size estimate would broadcast: every join must still have a key."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["d17_timeline", "d18_process_map", "d24_user_kpis", "d27_complexity", "x8_previous_queue"])
+def test_building_a_plan_reads_footers_only(spark, name):
+    """Jobs of a second build: one per table read, for its schema, and none over data."""
+    REGISTRY[name](spark, FOLDER)
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{name}", "build")
+    try:
+        REGISTRY[name](spark, FOLDER)
+        jobs = sc.statusTracker().getJobIdsForGroup(f"build-{name}")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [sc.statusTracker().getStageInfo(s) for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+    assert all(s.numTasks == 1 for s in stages), [(s.name, s.numTasks) for s in stages]
+    assert all(s.name.startswith("parquet at") for s in stages), [s.name for s in stages]
+
+
+def test_large_files_are_split_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = REGISTRY["x7_rank_with_ties"](spark, FOLDER)
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
