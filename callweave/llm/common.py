@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space; everything between it is a word.
@@ -43,3 +45,10 @@ def identity(id_col: str, text_col: str) -> list[Column]:
 
 def documents(spark, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps. Spark drops them when neither Python nor the driver's JVM refers to
+    the step any more, which both find out only when they collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
