@@ -24,9 +24,10 @@ from callweave.llm.registry import query
 ORDER = 3
 #: Bound of the training sample: labelled rows of each language, those with the smallest hashed ids.
 ROWS_PER_LANGUAGE = 1000
-#: Bounds of the model: contexts of the greatest length, languages.
+#: Bounds of the model: contexts of the greatest length, languages, and code lengths in all (4 bytes each, in every task).
 MAX_CONTEXTS = 40_000
 MAX_LANGUAGES = 200
+MAX_CELLS = 1 << 27
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -77,8 +78,11 @@ class Model:
         weight = np.concatenate([counts[x, ORDER][2] for x in langs]) if langs else np.zeros(0, np.int64)
         found, at = np.unique(longest, return_inverse=True)
         total = np.bincount(at, weight, len(found)) if len(found) else np.zeros(0)
-        self.contexts = np.sort(found[np.argsort(-total, kind="stable")[:MAX_CONTEXTS]])
         shorter = self.size ** (ORDER - 1)  # contexts one byte shorter have a row each
+        room = MAX_CELLS // (self.size * max(len(langs), 1)) - shorter
+        if room < 0:
+            raise ValueError(f"{len(langs)} languages over {self.size} bytes need more than {MAX_CELLS} cells")
+        self.contexts = np.sort(found[np.argsort(-total, kind="stable")[: min(MAX_CONTEXTS, room)]])
         self.bits = np.empty((len(self.contexts) + shorter, self.size, len(langs)), np.float32)
         for j, lang in enumerate(langs):
             p = np.full((1, self.size), 1 / 256)

@@ -265,6 +265,17 @@ def test_language_held_out(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in told)
 
 
+def test_a_model_has_a_bound(monkeypatch):
+    grams = {x: (np.arange(40) * 7919 % (1 << 32), np.ones(40, np.int64)) for x in "ab"}
+    full = langid.Model(["a", "b"], grams)
+    monkeypatch.setattr(langid, "MAX_CELLS", (full.size**2 + 5) * full.size * 2)
+    small = langid.Model(["a", "b"], grams)
+    assert len(small.contexts) == 5 and small.bits.size <= langid.MAX_CELLS
+    monkeypatch.setattr(langid, "MAX_CELLS", 10)
+    with pytest.raises(ValueError):
+        langid.Model(["a", "b"], grams)
+
+
 def test_code_lengths():
     rng = random.Random(6)
     rows, grams = {}, {}
