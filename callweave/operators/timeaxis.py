@@ -35,10 +35,15 @@ def split_days(df: DataFrame, start: str, end: str, day: str = "day") -> DataFra
 
 
 def starts_per_slot(
-    df: DataFrame, keys: Sequence[str], at: str, seconds: int, axis_start: str, axis_end: str
+    df: DataFrame, keys: Sequence[str], at: str, seconds: int, axis_start: str | None = None, axis_end: str | None = None
 ) -> DataFrame:
-    """Starts per key and slot on a dense axis [axis_start, axis_end); a slot without a start counts 0."""
-    lo, hi = F.to_timestamp(F.lit(axis_start)), F.to_timestamp(F.lit(axis_end))
+    """Starts per key and slot on a dense axis [axis_start, axis_end); a slot without a start counts 0.
+
+    Without bounds the axis spans the days of the data.
+    """
+    first, last = (df.agg(F.date_trunc("day", f(at)).alias("d")).scalar() for f in (F.min, F.max))
+    lo = F.to_timestamp(F.lit(axis_start)) if axis_start else first
+    hi = F.to_timestamp(F.lit(axis_end)) if axis_end else last + F.expr("interval 1 day")
     step = F.make_dt_interval(secs=F.lit(float(seconds)))
     counted = (
         df.filter((F.col(at) >= lo) & (F.col(at) < hi))

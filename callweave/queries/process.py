@@ -97,14 +97,14 @@ for _array in ("quality", "compliance", "conformance"):
     "d15_objections",
     with_(MART, TURNS)
     + """SELECT oc.conversationId, conversationStartDateId, t.participant AS objection, t.line AS startLine, 'offer' AS action, 'stage ' || (t.line % 3) AS stageName
-         FROM turns t JOIN oc ON oc.conversationId = CAST(t.conversationId AS VARCHAR) WHERE t.line = 2""",
+         FROM turns t JOIN oc ON oc.conversationId = CAST(t.conversationId AS VARCHAR)""",
 )
 def objections(t):
-    lines = raw.transcript_lines(t.conversations).filter("line = 2")
+    lines = raw.transcript_lines(t.conversations)
     entry = F.struct(
         F.col("participant").alias("objection"), F.col("line").alias("objection_start_line"), F.lit("offer").alias("action"), F.concat(F.lit("stage "), F.col("line") % 3).alias("stage_name")
     )
-    docs = lines.select(F.col("conversationId").cast("string").alias("conversation_id"), F.array(entry).alias("objection"), F.lit(1).alias("recordInsertTime"))
+    docs = lines.groupBy(F.col("conversationId").cast("string").alias("conversation_id")).agg(F.collect_list(entry).alias("objection"), F.lit(1).alias("recordInsertTime"))
     return tr.objections(docs, star.conversations(t.orders))
 
 
@@ -112,12 +112,12 @@ def objections(t):
     "d15_apprehensions",
     with_(MART, TURNS)
     + """SELECT oc.conversationId, conversationStartDateId, 'price' AS apprehension, length(t.phrase) % 5 AS severity
-         FROM turns t JOIN oc ON oc.conversationId = CAST(t.conversationId AS VARCHAR) WHERE t.line = 1""",
+         FROM turns t JOIN oc ON oc.conversationId = CAST(t.conversationId AS VARCHAR)""",
 )
 def apprehensions(t):
-    lines = raw.transcript_lines(t.conversations).filter("line = 1")
+    lines = raw.transcript_lines(t.conversations)
     entry = F.struct(F.lit("price").alias("apprehension"), (F.length("phrase") % 5).cast("long").alias("severity"))
-    docs = lines.select(F.col("conversationId").cast("string").alias("conversation_id"), F.array(entry).alias("apprehension"), F.lit(1).alias("recordInsertTime"))
+    docs = lines.groupBy(F.col("conversationId").cast("string").alias("conversation_id")).agg(F.collect_list(entry).alias("apprehension"), F.lit(1).alias("recordInsertTime"))
     return tr.apprehensions(docs, star.conversations(t.orders))
 
 

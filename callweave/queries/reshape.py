@@ -32,7 +32,7 @@ def metric_pivot(t):
         f"CASE WHEN count(*) FILTER (WHERE eventType = '{n}') > 0 THEN count(*) FILTER (WHERE eventType = '{n}') END AS {n}_count, "
         f"sum(CASE WHEN eventType = '{n}' THEN cents END)::BIGINT AS {n}_sum, max(CASE WHEN eventType = '{n}' THEN cents END) AS {n}_max, "
         f"min(CASE WHEN eventType = '{n}' THEN cents END) AS {n}_min"
-        for n in KINDS[:3]
+        for n in KINDS
     )
     + " FROM ev GROUP BY 1",
 )
@@ -41,7 +41,7 @@ def stats_pivot(t):
         raw.metric_events(t.events),
         ["queueId"],
         "name",
-        KINDS[:3],
+        KINDS,
         count=F.count("value"),
         sum=F.sum("value"),
         max=F.max("value"),

@@ -68,13 +68,13 @@ def local_midnight_split(t):
 @query(
     "i4_starts_per_slot",
     with_(EVENTS)
-    + """, grid AS (SELECT queueId, unnest(range(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-12', INTERVAL 15 MINUTE)) AS slot FROM (SELECT DISTINCT queueId FROM ev)),
+    + """, grid AS (SELECT queueId, unnest(range((SELECT date_trunc('day', min(ts)) FROM ev), (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY FROM ev), INTERVAL 15 MINUTE)) AS slot FROM (SELECT DISTINCT queueId FROM ev)),
          c AS (SELECT queueId, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, count(*) AS n FROM ev GROUP BY queueId, time_bucket(INTERVAL 15 MINUTE, ts))
        SELECT grid.queueId, grid.slot::VARCHAR AS slot, coalesce(n, 0) AS n FROM grid LEFT JOIN c ON c.queueId = grid.queueId AND c.slot = grid.slot""",
 )
 def starts_per_slot(t):
     m = raw.metric_events(t.events)
-    return ta.starts_per_slot(m, ["queueId"], "eventTime", 900, "2024-01-10", "2024-01-12")
+    return ta.starts_per_slot(m, ["queueId"], "eventTime", 900)
 
 
 @query(
