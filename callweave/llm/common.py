@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,13 @@ def documents(spark, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that what is made of one stays small beside it."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps. Spark drops them when neither Python nor the driver's JVM refers to
     the step any more, which both find out only when they collect garbage."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callweave.llm.common import documents
+from callweave.llm.common import documents, slices
 from callweave.llm.registry import query
 
 #: Longest context in bytes.
@@ -172,7 +172,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = shared.value
         index = frozen.index()
-        for batch in batches:
+        for batch in slices(batches):
             best, share = [], []
             for text in batch.column(kept.index(text_col)):
                 text = text.as_py()

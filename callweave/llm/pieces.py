@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.llm.common import documents
+from callweave.llm.common import documents, slices
 from callweave.llm.registry import query
 
 #: Vocabulary file of the registered query; a parameter everywhere else.
@@ -300,7 +300,7 @@ def encode(docs: DataFrame, table: PieceTable, text_col: str = "text", ids_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             parts, ends, total, missing = [], [0], 0, []
             for text in batch.column(kept.index(text_col)):
                 text = text.as_py()
@@ -329,7 +329,7 @@ def decode(docs: DataFrame, table: PieceTable, ids_col: str = "ids", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for ids in batch.column(kept.index(ids_col)):
                 whole = ids.is_valid and not ids.values.null_count
