@@ -149,3 +149,19 @@ def customer_sessions(details: DataFrame, scored: DataFrame) -> DataFrame:
     return s.join(scored.select("conversationId").distinct(), "conversationId", "left_semi").select(
         "conversationId", F.col("sessionId").alias("communicationId")
     ).distinct()
+
+
+def handoff_audit(handed: DataFrame, conversations: DataFrame, exported_at: str) -> DataFrame:
+    """Audit rows of a hand-off: one per conversation and worker, for conversations that are known."""
+    dates = conversations.select("conversationId", "conversationStartDateId")
+    once = handed.select("conversationId", F.col("worker").alias("region")).distinct()
+    return once.join(dates, "conversationId").withColumns(
+        {"isExported": F.lit(True), "exportedTimestamp": F.to_timestamp(F.lit(exported_at))}
+    )
+
+
+def not_analysed(conversations: DataFrame, analysed: DataFrame, start: str, end: str) -> DataFrame:
+    """Ids of the conversations extracted in [start, end) that have no analysis yet."""
+    at = F.col("extractedAt")
+    inside = conversations.filter((at >= F.to_timestamp(F.lit(start))) & (at < F.to_timestamp(F.lit(end))))
+    return inside.select("conversationId").distinct().join(analysed.select("conversationId"), "conversationId", "left_anti")

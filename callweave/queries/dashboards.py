@@ -459,3 +459,56 @@ def customer_sessions(t):
     details = t.conversation_details()
     scored = evp.conversation_surveys(details).filter("oSurveyTotalScore % 4 = 0")
     return ld.customer_sessions(details, scored)
+
+
+@query(
+    "d45_handoff_audit",
+    with_(TURNS, MART)
+    + """, a AS (SELECT CAST(conversationId AS VARCHAR) AS conversationId, ((line - 1) // 2)::INTEGER AS part FROM turns WHERE conversationId % 4 <> 0 GROUP BY 1, 2, conversationId),
+         b AS (SELECT conversationId, (['a', 'b', 'c'])[(row_number() OVER (ORDER BY CAST(conversationId AS BIGINT), part) - 1) % 3 + 1] AS region FROM a)
+       SELECT DISTINCT b.conversationId, region, conversationStartDateId, TRUE AS isExported, '2024-02-01 06:00:00' AS exportedTimestamp FROM b JOIN oc ON oc.conversationId = b.conversationId""",
+)
+def handoff_audit(t):
+    handed = transcript_handoff(t).withColumn("conversationId", F.col("conversationId").cast("string"))
+    return ld.handoff_audit(handed, star.conversations(t.orders), "2024-02-01 06:00:00")
+
+
+@query(
+    "d50_not_analysed",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS conversationId FROM orders WHERE o_orderdate >= '1997-01-01' AND o_orderdate < '1998-01-01'
+         AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+)
+def not_analysed(t):
+    seen = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_orderkey").cast("string").alias("conversationId"))
+    orders = t.orders.select(F.col("o_orderkey").cast("string").alias("conversationId"), F.to_timestamp("o_orderdate").alias("extractedAt"))
+    # every conversation was extracted twice
+    return ld.not_analysed(orders.unionByName(orders), seen, "1997-01-01", "1998-01-01")
+
+
+@query(
+    "d34_users_info",
+    with_(USERS)
+    + """SELECT department, 'div-' || region AS divisionId, region AS divisionName, CASE WHEN userNo % 3 = 0 THEN '2020-05-01' ELSE coalesce(f, NULL) END AS hireDate, userId || '@x.com' AS email, userId, managerId, userName AS name, state
+       FROM users LEFT JOIN (SELECT o_custkey, min(o_orderdate)::DATE::VARCHAR AS f FROM orders GROUP BY 1) ON o_custkey = userNo""",
+)
+def users_info(t):
+    u = raw.users(t.customer, t.nation, t.region)
+    division = F.struct(F.concat(F.lit("div-"), "region").alias("id"), F.col("region").alias("name"))
+    hired = F.when(F.col("userNo") % 3 == 0, F.to_date(F.lit("2020-05-01")))
+    email = F.concat("userId", F.lit("@x.com"))
+    people = u.select(
+        F.col("userId").alias("id"), F.col("userName").alias("name"), "department", "state", email.alias("email"), division.alias("division"),
+        F.struct(F.col("managerId").alias("id")).alias("manager"), hired.alias("dateHire"),
+    )
+    seen = t.orders.select(F.concat(F.lit("u"), "o_custkey").alias("userId"), F.to_date("o_orderdate").alias("extractDate"))
+    return db.users_info(people, seen)
+
+
+@query(
+    "d34_queue_lookup",
+    "SELECT DISTINCT 'queue-' || n AS queueKey, 'Queue ' || n AS name, 'R' || (n % 4) AS region, 'C' || (n % 6) AS country FROM (SELECT p_partkey % 25 AS n FROM part WHERE p_partkey % 25 < 20)",
+)
+def queue_lookup(t):
+    n = F.col("p_partkey") % 25
+    mapping = t.part.filter(n < 20).select(F.concat(F.lit("Queue "), n).alias("queueName"), F.concat(F.lit("R"), n % 4).alias("region"), F.concat(F.lit("C"), n % 6).alias("country"))
+    return db.queue_lookup(star.queues(t.part), mapping.distinct())
