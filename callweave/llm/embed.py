@@ -202,7 +202,20 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     return out.select(F.col("id").alias(id_col), F.col("n_links").cast("long"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-@query("op3_embedding_dedup")
+SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), ok AS (
+  SELECT * FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), r(vec_id, root) AS (SELECT vec_id, vec_id FROM e UNION SELECT y, root FROM r JOIN l ON x = vec_id)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(root) AS component_id FROM r GROUP BY 1) LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM l GROUP BY 1) USING (vec_id)
+"""
+
+
+@query("op3_embedding_dedup", SQL)
 def op3_embedding_dedup(spark, folder):
     """Links and components of all embeddings."""
     return near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))

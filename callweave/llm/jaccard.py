@@ -396,7 +396,23 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-@query("op2_ngram_join")
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM w
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+l AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), both_ways AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT y, root FROM r JOIN both_ways ON x = doc_id)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1) USING (doc_id)
+"""
+
+
+@query("op2_ngram_join", SQL)
 def op2_ngram_join(spark, folder):
     """Shingle counts and components of all documents."""
     return similar_sets(documents(spark, folder), words=3, percent=90)
