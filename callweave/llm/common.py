@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,6 +59,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps. Spark drops them when neither Python nor the driver's JVM refers to
-    the step any more, which both find out only when they collect garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    the step any more, which both find out only when they collect garbage. Python tells the JVM from a thread of its own, so
+    the second round finds what the first one let go."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1)
+        spark.sparkContext._jvm.System.gc()
