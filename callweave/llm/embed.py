@@ -1,7 +1,9 @@
 """Embedding near-dedup by sorted projection passes.
 
 Every pass gives each vector a key of random hashes, the signs of its projections on random directions put one after the
-other, sorts all vectors by that key, and compares each with a bounded window of neighbours. Pairs that verify are
+other, sorts all vectors by that key, and compares each with a bounded window of neighbours. Where more vectors share the
+leading signs than a window holds, all of them are compared, in blocks. So every pair that shares these signs is
+compared, and how often a pair does depends on its own angle only, not on the vectors around it. Pairs that verify are
 united over all passes. Inside each component found, all pairs are then compared in blocks, so that links are counted in
 full however many vectors a component holds.
 """
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callweave.llm.components import components
@@ -24,16 +26,22 @@ from callweave.session import cut_lineage
 WINDOW = 48
 #: Vectors of a sorted block; a task compares a block and the window after it.
 BLOCK = 4096
-#: Vectors of a block inside a component.
+#: Vectors of a block inside a component or a stretch of equal leading signs.
 CELL = 2048
+#: Passes whose keys alone are made first, to see how many pairs share the leading signs.
+PROBES = 3
+
+
+def _bits(n: int, window: int = WINDOW) -> float:
+    return max(1.0, math.log2(max(n, 2) / window))
 
 
 def passes_for(n: int, threshold: float, recall: float, window: int = WINDOW) -> int:
     """Passes needed so that a pair at the threshold meets in one of them with the probability ``recall``.
 
-    Neighbours in a sorted pass share about the first log2(n / window) signs.
+    All vectors with equal first log2(n / window) signs, rounded down, are compared in a pass.
     """
-    bits = max(1.0, math.log2(max(n, 2) / window))
+    bits = _bits(n, window)
     together = (1 - math.acos(threshold) / math.pi) ** bits
     return max(2, math.ceil(math.log(1 - recall) / math.log(1 - together))) if together < 1 else 2
 
@@ -106,24 +114,66 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1)
 
 
-def _window_links(threshold: float, window: int):
+def _window_links(threshold: float, window: int, size: int):
+    """Links in the windows of a block of ``size`` ranks, and in its wide stretches unless one touches the first or last rank."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in _rows_of_groups(batches, ["pass", "dim", "block"]):
+        for (_, _, block), table in _rows_of_groups(batches, ["pass", "dim", "block"]):
             table = table.sort_by("rank")
-            x, ids = _matrix(table), table.column("id").to_numpy()
+            x, ids, rank = _matrix(table), table.column("id").to_numpy(), table.column("rank").to_numpy()
             roots = np.arange(len(x))
             for gap in range(1, min(window, len(x) - 1) + 1):
                 near = np.flatnonzero(np.einsum("ij,ij->i", x[gap:], x[:-gap]) >= threshold)
-                for i in near:
-                    a, b = _root(roots, i), _root(roots, i + gap)
-                    roots[max(a, b)] = min(a, b)
-            top = np.array([_root(roots, i) for i in range(len(x))])
-            moved = top != np.arange(len(x))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[top[moved]])], ["a", "b"])
+                _unite(roots, near, near + gap)
+            own = int(np.searchsorted(rank, (block + 1) * size))
+            prefix = table.column("prefix").to_numpy()[:own]
+            ends = [0, *(np.flatnonzero(prefix[1:] != prefix[:-1]) + 1), own]
+            for start, end in zip(ends[:-1], ends[1:], strict=True):
+                if end - start > window + 1 and rank[start] % size != 0 and rank[end - 1] % size != size - 1:
+                    _unite_near(roots, x, np.arange(start, end), np.arange(start, end), threshold)
+            yield _to_roots(roots, ids)
+
+    return run
+
+
+def _cell_links(keys: list[str], threshold: float):
+    """Links between the two sides of each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (*_, low, high), table in _rows_of_groups(batches, [*keys, "low", "high"]):
+            x, ids, side = _matrix(table), table.column("id").to_numpy(), table.column("sub").to_numpy()
+            roots = np.arange(len(x))
+            _unite_near(roots, x, np.flatnonzero(side == low), np.flatnonzero(side == high), threshold)
+            yield _to_roots(roots, ids)
 
     return run
 
 
+def _unite_near(roots: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray, threshold: float, step: int = 512) -> None:
+    """Unites the rows and columns that link; a few rows at a time, so that their products stay small."""
+    others = x[cols].T
+    for start in range(0, len(rows), step):
+        part = rows[start : start + step]
+        a, b = np.nonzero(x[part] @ others >= threshold)
+        a, b = part[a], cols[b]
+        # most links of a dense group repeat what is united already
+        apart = roots[a] != roots[b]
+        _unite(roots, a[apart], b[apart])
+        roots[:] = [_root(roots, i) for i in range(len(roots))] if apart.any() else roots
+
+
+def _unite(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        a, b = _root(roots, a), _root(roots, b)
+        roots[max(a, b)] = min(a, b)
+
+
+def _to_roots(roots: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    top = np.array([_root(roots, i) for i in range(len(roots))], np.int64)
+    moved = top != np.arange(len(roots))
+    return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[top[moved]])], ["a", "b"])
+
+
 def _root(roots: np.ndarray, i: int) -> int:
     while roots[i] != i:
         roots[i] = roots[roots[i]]
@@ -152,42 +202,82 @@ def _cell_counts(threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, recall: float = 0.995, seed: int = 7) -> DataFrame:
-    """``id_col``, ``n_links``, ``component_id`` and ``kept``, one row per vector.
+def _in_cells(rows: DataFrame, keys: list[str], sizes: DataFrame) -> DataFrame:
+    """``rows`` dealt into cells (low, high), two sides ``sub`` of about ``CELL`` rows; ``sizes`` has ``keys`` and ``cells``.
 
-    Two vectors of one length link when their cosine in double precision reaches ``threshold``. ``n_links`` counts
-    the others linked directly, ``component_id`` is the smallest id reachable, ``kept`` marks that one. Vectors that are null,
-    empty, zero or hold null or non-finite components link with nothing; a row with a null id comes back with a null
-    ``component_id`` and is not kept. Vectors with equal values are compared once and counted as often as there are
-    ids. Repeated rows (same id, same vector) come back once. Other columns are left out. No pair below the threshold is
-    linked; of those at the threshold ``recall`` are met in one of the passes at least, the nearer ones more often.
+    Any two rows with equal keys meet in one cell.
     """
-    given = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("v")).distinct()
-    units = given.mapInArrow(_unit, "id long, dim int, unit binary")
-    copies = cut_lineage(units.groupBy("dim", "unit").agg(F.min("id").alias("id"), F.countDistinct("id").alias("copies"), F.sha2("unit", 256).alias("digest")))
-    passes = passes_for(copies.count(), threshold, recall)
+    dealt = rows.join(sizes, keys).withColumn("sub", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    dealt = dealt.withColumn("low", F.least("sub", "other")).withColumn("high", F.greatest("sub", "other")).drop("cells", "other")
+    return dealt.repartition(*keys, "low", "high").sortWithinPartitions(*keys, "low", "high")
+
+
+def _cells(rows: str) -> Column:
+    return F.ceil(F.col(rows) / CELL).cast("int").alias("cells")
+
+
+def _links(copies: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
+    """(a, b) of vectors that link, enough of them to connect every component the passes find."""
+    n = copies.count()
+    passes = passes_for(n, threshold, recall)
+    # rounded down: a pair shares these signs at least as often as the passes were reckoned for
+    bits = min(63, int(_bits(n)))
+    prefix = F.shiftright("key", 64 - bits)
+    # 0. keys alone: when close vectors make the passes compare more pairs than there are, every pair is compared once
+    probes = min(PROBES, passes)
+    probe = copies.select("id", "dim", "unit").mapInArrow(_keyed(probes, seed), "pass int, key long, id long, dim int, unit binary")
+    shared = probe.groupBy("pass", "dim", prefix.alias("prefix")).agg(F.count("*").cast("double").alias("n"))
+    shared = shared.agg(F.coalesce(F.sum(F.col("n") * F.col("n")) / 2, F.lit(0.0))).first()[0]
+    dims = copies.groupBy("dim").agg(F.count("*").alias("n"))
+    every = dims.agg(F.coalesce(F.sum(F.col("n").cast("double") * F.col("n")) / 2, F.lit(0.0))).first()[0]
+    if passes * (n * WINDOW + shared / probes) > every:
+        cells = _in_cells(copies.select("dim", "id", "unit"), ["dim"], F.broadcast(dims.select("dim", _cells("n"))))
+        return cells.mapInArrow(_cell_links(["dim"], threshold), "a long, b long")
     # 1. sorted order of every pass, over range partitions; ranks are places inside them plus the sizes before
     keyed = copies.select("id", "dim", "unit").mapInArrow(_keyed(passes, seed), "pass int, key long, id long, dim int, unit binary")
     sorted_rows = cut_lineage(keyed.repartitionByRange("dim", "pass", "key", "id").withColumn("part", F.spark_partition_id()))
     inside = Window.partitionBy("part", "dim", "pass").orderBy("key", "id")
     earlier = Window.partitionBy("dim", "pass").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sorted_rows.groupBy("part", "dim", "pass").count().withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
-    ranked = sorted_rows.withColumn("within", F.row_number().over(inside) - 1).join(offsets, ["part", "dim", "pass"]).withColumn("rank", F.col("within") + F.col("before"))
+    ranked = sorted_rows.withColumn("within", F.row_number().over(inside) - 1).join(offsets, ["part", "dim", "pass"])
+    ranked = ranked.withColumn("rank", F.col("within") + F.col("before")).withColumn("prefix", prefix)
     # 2. each block with the window that follows it
     block = F.floor(F.col("rank") / BLOCK)
     blocks = F.when((F.col("rank") % BLOCK < WINDOW) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    dealt = ranked.select("pass", "dim", "rank", "id", "unit", F.explode(blocks).alias("block"))
+    dealt = ranked.select("pass", "dim", "rank", "prefix", "id", "unit", F.explode(blocks).alias("block"))
     dealt = dealt.repartition("pass", "dim", "block").sortWithinPartitions("pass", "dim", "block")
-    links = dealt.mapInArrow(_window_links(threshold, WINDOW), "a long, b long")
+    links = dealt.mapInArrow(_window_links(threshold, WINDOW, BLOCK), "a long, b long")
+    # stretches of equal leading signs that are wider than a window and not inside a block; two for each block at most
+    keys = ["pass", "dim", "prefix"]
+    wide = ranked.groupBy(*keys).agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.count("*").alias("n")).filter(F.col("n") > WINDOW + 1)
+    at = lambda c: F.floor(F.col(c) / BLOCK)
+    wide = wide.filter((at("first") != at("last")) | (F.col("first") % BLOCK == 0) | (F.col("last") % BLOCK == BLOCK - 1))
+    cells = _in_cells(ranked.select(*keys, "id", "unit"), keys, F.broadcast(wide.select(*keys, _cells("n"))))
+    return links.unionByName(cells.mapInArrow(_cell_links(keys, threshold), "a long, b long"))
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, recall: float = 0.995, seed: int = 7) -> DataFrame:
+    """``id_col``, ``n_links``, ``component_id`` and ``kept``, one row per vector.
+
+    Two vectors of one length link when their cosine in double precision reaches ``threshold``. ``n_links`` counts
+    the others linked directly, ``component_id`` is the smallest id reachable, ``kept`` marks that one. Vectors that are null,
+    empty, zero or hold null or non-finite components link with nothing; a row with a null id comes back with a null
+    ``component_id`` and is not kept. Vectors with equal values are compared once and counted as often as there are
+    ids. Repeated rows (same id, same vector) come back once. Other columns are left out. No pair below the threshold is
+    linked; of those at the threshold ``recall`` are met in one of the passes at least, the nearer ones more often, however
+    close together the vectors lie.
+    """
+    given = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("v")).distinct()
+    units = given.mapInArrow(_unit, "id long, dim int, unit binary")
+    copies = cut_lineage(units.groupBy("dim", "unit").agg(F.min("id").alias("id"), F.countDistinct("id").alias("copies"), F.sha2("unit", 256).alias("digest")))
+    # 1. and 2. sorted passes
     # 3. union over all passes
-    found = components(links)
+    found = components(_links(copies, threshold, recall, seed))
     # 4. all pairs inside each component, in cells of bounded size
     members = copies.join(found, "id")
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
-    cells = members.join(sizes, "component").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    cells = cells.select("component", F.least("sub", "other").alias("low"), F.greatest("sub", "other").alias("high"), "sub", "id", "copies", "unit")
-    cells = cells.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
+    sizes = members.groupBy("component").agg(F.count("*").alias("n")).select("component", _cells("n"))
+    cells = _in_cells(members.select("component", "id", "copies", "unit"), ["component"], sizes)
     counted = cells.mapInArrow(_cell_counts(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
     classes = copies.select("id", "digest", "copies").join(found, "id", "left").join(counted, "id", "left")
     classes = classes.select(
