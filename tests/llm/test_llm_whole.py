@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from callweave.llm import embed
+from callweave.llm import embed, licenses
 
 
 @pytest.mark.parametrize("spread,exact", [(0.25, False), (0.12, True)])
@@ -27,3 +27,76 @@ def test_embeddings_of_one_topic(spark, monkeypatch, spread, exact):
     got = {r[0]: (r[1], r[2]) for r in embed.near_duplicates(df, recall=0.9999).collect()}
     assert got == {i: (len(near[i]) - 1, root[i]) for i in range(len(x))}
     assert (taken == [["dim"]]) == exact
+
+
+GPL3_HEADER = """Copyright (C) 2021  Jane Roe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+APACHE_HEADER = """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT_TEXT = """Copyright (c) 2019 A. N. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do
+so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_licenses_of_several_lines(spark):
+    mark = lambda text, sign: "\n".join(f"{sign} {x}".rstrip() for x in text.split("\n"))
+    code = "\n\nimport os\n\ndef f(x):\n    return os.getenv(x)\n"
+    gpl2 = GPL3_HEADER.replace("version 3", "version 2")
+    whole = licenses.full_texts()
+    rows = [
+        ("a/gpl.py", mark(GPL3_HEADER, "#") + code, "GPL-3.0"),
+        ("a/gpl.c", "/*\n" + mark(GPL3_HEADER, " *") + "\n */\nint main() {}\n", "GPL-3.0"),
+        ("a/plain.c", "/*\n" + GPL3_HEADER + "\n*/\nint main() {}\n", "GPL-3.0"),
+        ("a/gpl2.sql", mark(gpl2, "--") + code, "GPL-2.0"),
+        ("a/lgpl.h", mark(GPL3_HEADER.replace("GNU General", "GNU Lesser General"), "//") + code, "LGPL-3.0"),
+        ("a/agpl.h", mark(GPL3_HEADER.replace("GNU General", "GNU Affero General"), "//") + code, "AGPL-3.0"),
+        ("a/mpl.js", mark(MPL_HEADER, "//") + code, "MPL-2.0"),
+        ("a/apache.py", "#!/usr/bin/env python\n" + mark(APACHE_HEADER, "#") + code, "Apache-2.0"),
+        ("a/mit.py", '"""' + MIT_TEXT + '"""' + code, "MIT"),
+        ("a/one_line.py", "# " + " ".join(MIT_TEXT.split()) + code, "MIT"),
+        ("a/code.py", "# Copyright (c) 2019 A. N. Author\n# reads the licence key of a customer" + code, None),
+        ("g/LICENSE", whole["GPL-3.0|text"], "GPL-3.0"),
+        ("l/COPYING", whole["LGPL-3.0|text"], "LGPL-3.0"),
+        ("m/LICENSE", MIT_TEXT.split("\n\n", 1)[1], "MIT"),
+        ("p/LICENSE", whole["Apache-2.0|text"], "Apache-2.0"),
+    ]
+    heirs = [("g/x/y.py", "GPL-3.0"), ("l/y.py", "LGPL-3.0"), ("m/y.py", "MIT"), ("p/q/r/y.py", "Apache-2.0")]
+    df = spark.createDataFrame([(i, t, p) for i, (p, t) in enumerate([(p, t) for p, t, _ in rows] + [(p, "x = 1") for p, _ in heirs])], "doc_id long, text string, path string")
+    got = {r["path"]: (r["own_license"], r["license"]) for r in licenses.scan(df).collect()}
+    assert got == {p: (x, x) for p, _, x in rows} | {p: (None, x) for p, x in heirs}
