@@ -1,6 +1,7 @@
 """Secret scans: candidates found by shape, false positives removed by a random forest.
 
-Candidates are long runs of key characters inside words. Their features are columns over built-in functions: length,
+Candidates are long runs of key characters inside words, and values of any length and sign that are given to a credential
+name. Their features are columns over built-in functions: length,
 transitions between kinds of characters, coverage by dictionary words, the path of the file and the words beside them.
 A random forest trained from labelled findings tells secrets from the rest.
 """
@@ -19,7 +20,7 @@ from callweave.llm.quality import STOP_WORDS
 from callweave.llm.registry import query
 from callweave.session import cut_lineage
 
-#: Shortest candidate.
+#: Shortest candidate without a credential name.
 LEAST = 16
 KEY = r"[A-Za-z0-9+/=_.\-]{%d,}" % LEAST
 #: Bound of the training sample: labelled findings of each class, those with the smallest hashed places.
@@ -32,17 +33,74 @@ SAMPLES = "doc docs example examples fixture fixtures mock sample samples test t
 # Parts of addresses and file names, beside the function words of quality.STOP_WORDS.
 DICTIONARY = "www http https com org net example mail html php index static image images user users file files page".split()
 
+# Names whose value is a candidate of any length, as ends of words, and what stands between both.
+CREDENTIAL = r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|secret[_-]?key|auth[_-]?key|credentials?|authorization)"
+SIGN = "(?::=|=>|[:=])"
+QUOTE = "[\"'`]"
+#: A word with name and value, a word that ends in a name, one that ends in a name and a sign, and names that need no sign.
+INLINE = rf"{CREDENTIAL}{QUOTE}?{SIGN}(?!=)(.+)$"
+NAME_END = rf"{CREDENTIAL}{QUOTE}?$"
+SIGNED = rf"{CREDENTIAL}{QUOTE}?{SIGN}$"
+OPTION = rf"^--?[A-Za-z_-]*{CREDENTIAL}$|^(?i:bearer)$"
+#: A text that can have a value beside a name.
+SPOKEN = rf"{CREDENTIAL}{QUOTE}?[ \t\n\x0b\r\f]*{SIGN}|-[A-Za-z_]*{CREDENTIAL}|(?i:bearer)"
+
+# Keys that their own prefix gives away, at the end of a candidate.
+KEY_FORMS = {
+    "AWS": "(?:AKIA|ASIA)[A-Z0-9]{16}",
+    "GitHub": "gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}",
+    "GitLab": r"glpat-[A-Za-z0-9_\-]{20,}",
+    "Google": r"AIza[A-Za-z0-9_\-]{35}",
+    "JWT": r"eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}",
+    "Slack": r"xox[abprs]-[A-Za-z0-9\-]{10,}",
+    "Stripe": "[sr]k_live_[A-Za-z0-9]{16,}",
+}
+# What the value of a credential name looks like when it is a secret.
+VALUE_FORMS = {
+    "hexadecimal": "(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})",
+    "base64": r"(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/_\-]{20,}={0,2}",
+    "password": r"(?=.*[A-Za-z])(?=.*[0-9!@#%^&*?~+])[^\s(){}<>\[\]$]{6,64}",
+}
+# What is certainly no secret where no credential name stands before it.
+NONE_FORMS = {
+    "word": "[A-Z]?[a-z]+[.]?|[A-Z]+[.]?|[A-Za-z]+(?:[-_=/.]+[A-Za-z]+)+[.]?",
+    "number": r"[0-9.\-/=_+]+",
+    "rule": r"[+/=_.\-]+",
+    "host": r"(?:[a-z0-9\-]{1,30}\.)+[a-z]{2,6}[.]?",
+    "path": r"[./]*(?:[A-Za-z][A-Za-z_\-]*[0-9]{0,4}[./]+)+[A-Za-z_\-]*[0-9]{0,4}",
+}
+PLACEHOLDER = "(?i)example|x{4}|changeme|placeholder|your[_-]"
+
+
+def _value(word: Column) -> Column:
+    """A value without its quotes and the signs that end a statement."""
+    quoted = F.regexp_extract(word, rf"^({QUOTE})(.+)\1", 2)
+    return F.when(quoted != "", quoted).otherwise(F.regexp_replace(word, rf"^{QUOTE}+|{QUOTE}*[,;]*$", ""))
+
+
+def _named_value(before2: Column, before: Column, word: Column) -> Column:
+    """The value that ``word`` gives to a credential name in it or before it; null without one."""
+    inline = F.regexp_extract(word, INLINE, 1)
+    named = before.rlike(SIGNED) | (before.rlike(f"^{SIGN}$") & before2.rlike(NAME_END)) | before.rlike(OPTION)
+    # a sign alone is no value: the next word is
+    value = F.when(inline != "", _value(inline)).when(named & ~word.rlike(f"^{SIGN}$"), _value(word))
+    return F.when(value != "", value)
+
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
     """``id``, ``at`` (place of the word, from 1), ``part`` (place in the word, from 0), ``candidate``, ``before2``, ``before``, ``word``, ``after``, ``path``.
 
-    Null and empty texts have no candidates.
+    Runs of ``LEAST`` or more key characters, and after those of a word the value it gives to a credential name, unless one of
+    them holds it. Null and empty texts have no candidates.
     """
     path = F.col(f"`{path_col}`") if path_col else F.lit(None)
     beside = lambda w, i: F.coalesce(F.get(w, i), F.lit(""))
 
-    def found(w):
-        long = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.length(F.get(w, i)) >= LEAST)
+    text = F.col(f"`{text_col}`")
+
+    def found(w, spoken):
+        near = lambda i: F.lit(spoken) & _named_value(beside(w, i - 2), beside(w, i - 1), beside(w, i)).isNotNull()
+        long = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= LEAST) | near(i))
         rows = F.transform(
             long,
             lambda i: F.struct(
@@ -55,9 +113,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         return F.when(F.size(w) > 0, rows)
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), path.cast("string").alias("path"), F.explode(let(words(F.col(f"`{text_col}`")), found)).alias("f"))
+    # only texts that name a credential are searched for values word by word
+    rows = F.when(text.rlike(SPOKEN), let(words(text), lambda w: found(w, True))).otherwise(let(words(text), lambda w: found(w, False)))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), path.cast("string").alias("path"), F.explode(rows).alias("f"))
     rows = rows.select("id", "path", "f.*")
-    return rows.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(KEY), 0)).alias("part", "candidate"))
+    runs = F.regexp_extract_all("word", F.lit(KEY), 0)
+    value = _named_value(F.col("before2"), F.col("before"), F.col("word"))
+    held = lambda r: F.exists(r, lambda c: c.contains(value))
+    both = let(runs, lambda r: F.when(value.isNull() | held(r), r).otherwise(F.concat(r, F.array(value))))
+    return rows.select("*", F.posexplode(both).alias("part", "candidate"))
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -107,23 +171,48 @@ def train(labelled: DataFrame, seed: int = 1) -> PipelineModel | None:
 def scan(docs: DataFrame, model: PipelineModel | None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, threshold: float = 0.5) -> DataFrame:
     """``id_col``, ``at``, ``part``, ``candidate``, ``score`` and ``is_secret``, one row per candidate of whole texts.
 
-    ``at`` is the place of the word in its text, ``part`` the place of the candidate in the word. Without a model the score is 0.
+    ``at`` is the place of the word in its text, ``part`` the place of the candidate in the word. The score is 1 for keys that
+    their prefix gives away; without a model also for values of credential names by ``VALUE_FORMS``, and 0 for the rest.
     Null and empty texts give no rows, null ids and paths are allowed, repeated rows give repeated findings. Other columns
     are left out. An empty table gives an empty table.
     """
     found = features(candidates(docs, id_col, text_col, path_col))
     if model is None:
-        scored = found.withColumn("score", F.lit(0.0))
+        scored = found.withColumn("score", F.when(value_form(), 1.0).otherwise(0.0))
     else:
         scored = model.transform(found).withColumn("score", vector_to_array("probability")[1])
+    scored = scored.withColumn("score", F.when(key_form(), 1.0).otherwise(F.col("score")))
     return scored.select(F.col("id").alias(id_col), "at", "part", "candidate", "score", (F.col("score") >= threshold).alias("is_secret"))
 
 
+def _any(forms: dict[str, str]) -> str:
+    return "|".join(f"(?:{f})" for f in forms.values())
+
+
+def key_form() -> Column:
+    """Candidates that are a key by their own prefix, alone or after a sign."""
+    return F.col("candidate").rlike(rf"(?:^|[=/])(?:{_any(KEY_FORMS)})[.]?$") & ~F.col("candidate").rlike(PLACEHOLDER)
+
+
+def value_form() -> Column:
+    """Candidates that are the value of a credential name and look like a secret."""
+    value = _named_value(F.col("before2"), F.col("before"), F.col("word"))
+    looks = value.rlike(f"^(?:{_any(VALUE_FORMS)})$") & ~value.rlike(PLACEHOLDER)
+    return F.coalesce(looks & F.col("candidate").contains(value), F.lit(False))
+
+
+def no_secret() -> Column:
+    """Candidates that are words, numbers, rules, hosts, paths or parts of addresses, without a credential name before them."""
+    named = _named_value(F.col("before2"), F.col("before"), F.col("word")).isNotNull()
+    address = F.col("word").rlike(r"^[^A-Za-z]*(?:[a-z]+://|www\.)") & ~F.col("word").rlike(r"[?@=]")
+    return ~named & (address | F.col("candidate").rlike(f"^(?:{_any(NONE_FORMS)})$"))
+
+
 def labelled_findings(docs: DataFrame) -> DataFrame:
-    """Findings labelled by an exact form that the features do not hold: 40 hexadecimal digits in quotes after ``token =``."""
+    """Findings labelled by exact forms that the features do not hold: 1 for keys with a known prefix and for what looks like a
+    secret after a credential name, 0 for what is certainly none, null for all others."""
     found = features(candidates(docs, path_col="source"))
-    form: Column = (F.col("before2") == "token") & (F.col("before") == "=") & F.col("word").rlike('^"[0-9a-f]{40}"')
-    return found.withColumn("secret", form.cast("int"))
+    return found.withColumn("secret", F.when(key_form() | value_form(), 1).when(no_secret(), 0))
 
 
 def model_of(docs: DataFrame) -> PipelineModel | None:

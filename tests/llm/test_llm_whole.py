@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from callweave.llm import embed, licenses
+from callweave.llm import embed, licenses, secrets
 
 
 @pytest.mark.parametrize("spread,exact", [(0.25, False), (0.12, True)])
@@ -100,3 +100,34 @@ def test_licenses_of_several_lines(spark):
     df = spark.createDataFrame([(i, t, p) for i, (p, t) in enumerate([(p, t) for p, t, _ in rows] + [(p, "x = 1") for p, _ in heirs])], "doc_id long, text string, path string")
     got = {r["path"]: (r["own_license"], r["license"]) for r in licenses.scan(df).collect()}
     assert got == {p: (x, x) for p, _, x in rows} | {p: (None, x) for p, x in heirs}
+
+
+def test_secrets_of_many_forms(spark):
+    rng = np.random.default_rng(5)
+    made = lambda letters, n: "".join(rng.choice(list(letters), n))
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alnum = upper + lower + digits
+    real = {
+        "aws": f"key {(aws := 'AKIA' + made(upper + digits, 16))} end",
+        "github": f"use {(hub := 'ghp_' + made(alnum, 36))} here",
+        "jwt": f"got {(jwt := 'eyJ' + made(alnum, 20) + '.eyJ' + made(alnum, 30) + '.' + made(alnum, 40))} back",
+        "base64": f'api_key = "{(b64 := "aA1" + made(alnum + "+/", 37))}"',
+        "hex32": f"secret: '{(h32 := made('0123456789abcdef', 32))}'",
+        "hex64": f'"token":"{(h64 := made("0123456789abcdef", 64))}",',
+        "short": 'password = "hunter2"',
+        "signs": "DB_PASSWORD=p@ss!w0rd#1",
+        "option": "mysql --password s3cr3t!x db",
+    }
+    want = {"aws": aws, "github": hub, "jwt": jwt, "base64": b64, "hex32": h32, "hex64": h64, "short": "hunter2", "signs": "p@ss!w0rd#1", "option": "s3cr3t!x"}
+    none = ["see https://www.example.org/some/long/path/index.html for it", "internationalization of responsibilities", "open src/main/resources/application.properties now"]
+    rows = [(k, t, "a") for k, t in real.items()] + [(f"none{i}", t, "a") for i, t in enumerate(none)] + [("odd", "digest " + made("0123456789abcdef", 40), "a")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    told = {}
+    for r in secrets.labelled_findings(docs).collect():
+        told.setdefault(r["id"], []).append((r["candidate"], r["secret"]))
+    assert {k: told[k] for k in real} == {k: [(v, 1)] for k, v in want.items()}
+    assert all(x == 0 for i in range(len(none)) for _, x in told[f"none{i}"])
+    assert [x for _, x in told["odd"]] == [None]
+    flagged = lambda model: {r["doc_id"] for r in secrets.scan(docs, model, path_col="source").collect() if r["is_secret"]}
+    assert flagged(None) == set(real)
+    assert {"aws", "github", "jwt", "base64", "hex32", "hex64"} <= flagged(secrets.train(secrets.labelled_findings(docs)))
