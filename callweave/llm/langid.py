@@ -24,9 +24,9 @@ from callweave.llm.registry import query
 ORDER = 3
 #: Bound of the training sample: labelled rows of each language, those with the smallest hashed ids.
 ROWS_PER_LANGUAGE = 1000
-#: Bounds of the model: contexts of the greatest length, languages, and code lengths in all (4 bytes each, in every task).
+#: Bounds of a table of all code lengths: contexts of the greatest length, and cells (4 bytes each, in every task). What does
+#: not fit is kept in sparse tables, see :class:`Sparse`.
 MAX_CONTEXTS = 40_000
-MAX_LANGUAGES = 200
 MAX_CELLS = 1 << 27
 UNKNOWN = "und"
 
@@ -117,11 +117,82 @@ def _mixed(shorter: np.ndarray, context, symbol, n) -> np.ndarray:
     return np.where(total > 0, seen / mass + distinct / mass * shorter, shorter)
 
 
-def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+class Sparse:
+    """Frozen code lengths of the byte strings that each language has seen, and of the escapes from its contexts.
+
+    A string unseen in a context costs the escape from it, if the language has seen the context, and its code length in the
+    next shorter one. All strings and contexts are kept, so the size follows the sample.
+    """
+
+    def __init__(self, langs: list[str], rows: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.langs = langs
+        used = np.unique(np.concatenate([[10], *[(g >> (8 * k)) & 255 for g, _ in rows.values() for k in range(ORDER + 1)]]))
+        self.unseen = np.ones(256, bool)
+        self.unseen[used.astype(np.int64)] = False
+        # all bytes never seen are one symbol, as in a table of all code lengths
+        self.lowest = np.where(self.unseen, np.log2(256 / max(self.unseen.sum(), 1)), 8.0)
+        self.levels = [self._levels(*rows[x]) for x in langs]
+
+    def _levels(self, gram, n):
+        """Of every context length: seen strings and their bits, seen contexts and the bits of their escapes."""
+        made = []
+        for k in range(ORDER + 1):
+            own, at = np.unique(gram & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            count = np.bincount(at, n, len(own))
+            contexts, of = np.unique(own >> 8, return_inverse=True)
+            total, distinct = np.bincount(of, count, len(contexts)), np.bincount(of, minlength=len(contexts))
+            escape = distinct / (total + distinct)
+            shorter = np.exp2(-self._bits(own & ((1 << 8 * k) - 1) if k else own, made))
+            seen = count / (total + distinct)[of] + escape[of] * shorter
+            # strings are (context, byte) with the byte lowest
+            made.append((own, -np.log2(seen), contexts, -np.log2(escape)))
+        return made
+
+    def _bits(self, gram, levels):
+        """Bits of the last byte of each string after the ones before it."""
+        bits = self.lowest[gram & 255]
+        for k, (own, seen, contexts, escape) in enumerate(levels):
+            at_own, known = _found(own, gram & ((1 << 8 * (k + 1)) - 1))
+            at_context, met = _found(contexts, (gram >> 8) & ((1 << 8 * k) - 1))
+            bits = np.where(known, seen[at_own], np.where(met, escape[at_context], 0.0) + bits)
+        return bits
+
+    def index(self) -> None:
+        """There is no table of all contexts."""
+
+    def lengths(self, data: bytes, chunk: int) -> np.ndarray:
+        """Bits of ``data`` under each language."""
+        total = np.zeros(len(self.langs))
+        codes = np.frombuffer(b"\n" * ORDER + data, np.uint8).astype(np.int64)
+        for start in range(0, len(codes) - ORDER, chunk):
+            part = codes[start : start + chunk + ORDER]
+            gram = sum(part[ORDER - k : len(part) - k] << (8 * k) for k in range(ORDER + 1))
+            gram, n = np.unique(gram, return_counts=True)
+            for j, levels in enumerate(self.levels):
+                total[j] += self._bits(gram, levels) @ n
+        return total
+
+
+def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted values in a sorted table that is not empty, and whether they are there."""
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return at, table[at] == wanted
+
+
+def frozen(langs: list[str], rows: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model | Sparse:
+    """A table of all code lengths where every context fits in, otherwise sparse tables; both give the same code lengths."""
+    used = [(g >> (8 * k)) & 255 for g, _ in rows.values() for k in range(ORDER + 1)]
+    size = len(np.unique(np.concatenate([[10], *used]))) + 1
+    contexts = len(np.unique(np.concatenate([np.unique(g >> 8) for g, _ in rows.values()]))) if rows else 0
+    fits = contexts <= MAX_CONTEXTS and (contexts + size ** (ORDER - 1)) * size * max(len(langs), 1) <= MAX_CELLS
+    return Model(langs, rows) if fits else Sparse(langs, rows)
+
+
+def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | Sparse:
     """Model from labelled ``rows``: of each language the ``rows_per_language`` rows with the smallest ``key``.
 
     Rows with a null text or language are left out. Counting runs on the executors; the driver gets the counts
-    of distinct byte strings, whose number the alphabet bounds, for ``MAX_LANGUAGES`` languages at most (more are refused).
+    of distinct byte strings, whose number the sample bounds. No context and no language is left out.
     """
     key = F.xxhash64(F.col(f"`{text_col}`")) if key is None else key
     known = rows.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"), key.alias("key"))
@@ -130,20 +201,20 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key:
     first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     limits = known.select("lang", "key").withColumn("at", first).filter(F.col("at") <= rows_per_language)
     limits = limits.groupBy("lang").agg(F.max("key").alias("limit"))
-    # one row a language, and one language more than are allowed at most
-    limits = F.broadcast(limits.limit(MAX_LANGUAGES + 1))
+    # one row a language
+    limits = F.broadcast(limits)
     sample = known.join(limits, "lang").filter("key <= limit").withColumn("at", first).filter(F.col("at") <= rows_per_language)
     # spread again: a language's sample came together in one task
     counts = sample.select("text", "lang").repartition(8 * ORDER).mapInArrow(_count_batches, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts["lang"].unique())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; at most {MAX_LANGUAGES} are supported")
-    return Model(langs, {x: (g["gram"].to_numpy(), g["n"].to_numpy()) for x, g in counts.groupby("lang")})
+    return frozen(langs, {x: (g["gram"].to_numpy(), g["n"].to_numpy()) for x, g in counts.groupby("lang")})
 
 
-def code_lengths(data: bytes, model: Model, index: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
+def code_lengths(data: bytes, model: Model | Sparse, index: np.ndarray | None, chunk: int = 1 << 18) -> np.ndarray:
     """Bits of ``data`` under each language; long texts go through in pieces that share their context."""
+    if isinstance(model, Sparse):
+        return model.lengths(data, chunk)
     total = np.zeros(len(model.langs))
     codes = model.symbol[np.frombuffer(b"\n" * ORDER + data, np.uint8)]
     for start in range(0, len(codes) - ORDER, chunk):
@@ -157,7 +228,7 @@ def code_lengths(data: bytes, model: Model, index: np.ndarray, chunk: int = 1 <<
     return total
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | Sparse, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the share of the best language when code lengths are probabilities.
 
     Null texts and texts without a letter, and all texts under a model without languages, are ``und`` with score 0.
@@ -170,19 +241,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("lang_pred", "string").add("score", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frozen = shared.value
-        index = frozen.index()
+        known = shared.value
+        index = known.index()
         for batch in slices(batches):
             best, share = [], []
             for text in batch.column(kept.index(text_col)):
                 text = text.as_py()
-                if not frozen.langs or text is None or not _LETTER.search(text):
+                if not known.langs or text is None or not _LETTER.search(text):
                     best.append(UNKNOWN)
                     share.append(0.0)
                     continue
-                bits = code_lengths(text.encode(), frozen, index)
+                bits = code_lengths(text.encode(), known, index)
                 at = int(bits.argmin())
-                best.append(frozen.langs[at])
+                best.append(known.langs[at])
                 share.append(float(1 / np.exp2(np.minimum(bits.min() - bits, 0)).sum()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(share, pa.float64())], names=[*kept, "lang_pred", "score"])
 
@@ -193,7 +264,7 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(f"`{id_col}`").cast("string")) % 4
 
 
-def model_of(docs: DataFrame) -> Model:
+def model_of(docs: DataFrame) -> Model | Sparse:
     """Model of the documents outside the held-out fold."""
     known = docs.filter(F.coalesce(fold() != 2, F.lit(True))).select("doc_id", "text", "lang")
     return train(known, key=F.xxhash64("doc_id"))

@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from callweave.llm import embed, licenses, secrets
+from callweave.llm import embed, langid, licenses, secrets
 
 
 @pytest.mark.parametrize("spread,exact", [(0.25, False), (0.12, True)])
@@ -131,3 +131,33 @@ def test_secrets_of_many_forms(spark):
     flagged = lambda model: {r["doc_id"] for r in secrets.scan(docs, model, path_col="source").collect() if r["is_secret"]}
     assert flagged(None) == set(real)
     assert {"aws", "github", "jwt", "base64", "hex32", "hex64"} <= flagged(secrets.train(secrets.labelled_findings(docs)))
+
+
+def test_many_languages_keep_their_contexts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    grams = {}
+    for i in range(18):
+        # scripts of all kinds: 195 different bytes
+        text = np.concatenate([[10] * langid.ORDER, rng.integers(60, 255, 3000 if i else 200)]).astype(np.int64)
+        g, n = np.unique(sum(text[langid.ORDER - k : len(text) - k] << (8 * k) for k in range(langid.ORDER + 1)), return_counts=True)
+        grams[f"l{i:02}"] = (g, n)
+    model = langid.frozen(list(grams), grams)
+    for text in ("abcdefgh", "zé漢字 <=>", "~" * 50):
+        for j, (g, n) in enumerate(grams.values()):
+            if j in (0, 7):
+                plain = {int(x).to_bytes(langid.ORDER + 1, "big"): int(c) for x, c in zip(g, n)}
+                got = langid.code_lengths(text.encode(), model, model.index(), chunk=5)[j]
+                if all(60 <= b < 255 for b in text.encode()):
+                    assert got == pytest.approx(brute.code_bits(text, plain, langid.ORDER), rel=1e-6)
+    few = {x: (np.arange(40) * 7919 % (1 << 32), np.arange(1, 41)) for x in "ab"}
+    dense = langid.frozen(["a", "b"], few)
+    monkeypatch.setattr(langid, "MAX_CELLS", 10)
+    sparse = langid.frozen(["a", "b"], few)
+    assert (type(dense), type(sparse)) == (langid.Model, langid.Sparse)
+    for text in ("", "abc", "zé漢字 <=>\n\n"):
+        assert langid.code_lengths(text.encode(), sparse, None) == pytest.approx(langid.code_lengths(text.encode(), dense, dense.index()), rel=1e-5)
+    rows = [(f"{i % 205:03}", f"{chr(0x4E00 + i % 205) * 5} word{i % 205}") for i in range(410)]
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model.langs) == 205
+    told = langid.predict(spark.createDataFrame(rows, "lang string, text string"), model).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in told)
