@@ -3,8 +3,9 @@
 Terms are counted in numpy by length-bucketed packing. A term of up to 8 bytes is one big-endian 64-bit word, one of up to 16
 bytes two of them; these are radix-sorted by digits of 16 bits, and equal neighbours are counted as runs. Longer terms
 are byte-sorted in buckets of their own, one for each power of two of their length. A task hands on one row for
-each (language, source, term) of a stretch of its texts, with as many of the smallest document keys as a kept term
-needs, which is enough to tell exactly whether that many documents have it. The rest is relational.
+each (language, term) of a stretch of its texts: its counts by source, and as many of the smallest document keys as a kept term
+needs, which is enough to tell exactly whether that many documents have it. One shuffle by (language, term) brings these rows
+together, where they are added up in sorted order. The rest is relational and meets kept terms only.
 
 The sum over all kept terms for a pair of sources is split: terms that neither source has all give one value; terms of one
 source alone depend on their count only, so a histogram of counts gives their sum; only terms that both have are met one by
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +34,9 @@ STRETCH = 1 << 21
 TERM = np.zeros(256, bool)
 TERM[65:91] = TERM[97:123] = TERM[128:] = True
 
-_RUNS = "lang string, source string, term string, n long, docs array<long>"
+_RUNS = "lang string, term string, sources array<long>, ns array<long>, docs array<long>"
+_NAMES = ["lang", "term", "sources", "ns", "docs"]
+_TYPES = [pa.string(), pa.string(), *[pa.list_(pa.int64())] * 3]
 
 
 def _packed(found: Tokens, words: int) -> np.ndarray:
@@ -59,23 +63,37 @@ def radix_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def _runs(order, group, doc, differs, least: int):
-    """First place, length and up to ``least`` smallest documents of each run of equal (group, term) in sorted order.
-
-    ``differs`` tells whether the term at a place is another one than at the place before.
-    """
-    group, doc = group[order], doc[order]
-    new = np.ones(len(order), bool)
-    new[1:] = differs | (group[1:] != group[:-1])
-    start = np.flatnonzero(new)
-    seen = new.copy()
-    seen[1:] |= doc[1:] != doc[:-1]
-    places = np.flatnonzero(seen)  # first place of each document in each run
-    of = np.cumsum(new)[places] - 1
-    head = np.searchsorted(of, np.arange(len(start)))
+def _firsts(run: np.ndarray, new: np.ndarray, least: int):
+    """Places of the first ``least`` marked rows of each run, and how many each run has."""
+    places = np.flatnonzero(new)
+    of = run[places]
+    head = np.searchsorted(of, np.arange(run[-1] + 1 if len(run) else 0))
     kept = np.arange(len(places)) - head[of] < least
-    sizes = np.bincount(of[kept], minlength=len(start))
-    return order[start], group[start], np.diff(np.append(start, len(order))), doc[places[kept]], sizes
+    return places[kept], np.bincount(of[kept], minlength=len(head))
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(values))
+
+
+def _table(lang, term, cells, docs) -> pa.RecordBatch:
+    """A row for each (language, term); ``cells`` are (run, source, n) in order of run, ``docs`` are (values, sizes)."""
+    of, source, n = cells
+    sizes = np.bincount(of, minlength=len(lang))
+    columns = [pa.array(lang, pa.string()), term, _lists(source, sizes), _lists(n, sizes), _lists(*docs)]
+    return pa.RecordBatch.from_arrays([x.cast(t) for x, t in zip(columns, _TYPES)], names=_NAMES)
+
+
+def _cells(run: np.ndarray, source: np.ndarray, n: np.ndarray | None = None):
+    """Occurrences by (run, source)."""
+    names, code = np.unique(source, return_inverse=True)
+    order = radix_order([code.astype(np.uint64), run.astype(np.uint64)])
+    run, code = run[order], code[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (code[1:] != code[:-1])
+    at = np.flatnonzero(new)
+    n = np.diff(np.append(at, len(run))) if n is None else np.add.reduceat(n[order], at) if len(at) else n
+    return run[at], names[code[at]], n
 
 
 class _Stretch:
@@ -83,9 +101,10 @@ class _Stretch:
 
     def __init__(self, least: int):
         self.least, self.size = least, 0
-        self.parts: dict[tuple, list] = {}
+        self.parts: dict[int, list] = {}
 
-    def add(self, found: Tokens, group: np.ndarray, doc: np.ndarray) -> None:
+    def add(self, found: Tokens, *owners: np.ndarray) -> None:
+        """``owners``: language code, source and document of each row."""
         length = found.end - found.start
         # bucket: number of words, or the power of two that bounds a longer term
         bucket = np.where(length <= 16, (length + 7) // 8, 1 << np.ceil(np.log2(np.maximum(length, 17))).astype(np.int64))
@@ -96,57 +115,95 @@ class _Stretch:
                 packed = _packed(part, int(b))
             else:
                 wide = np.zeros((len(at), int(b)), np.uint8)
-                cells = np.arange(int(b)) < length[at][:, None]
-                wide[cells] = np.concatenate([found.data[s:e] for s, e in zip(part.start, part.end)])
+                wide[np.arange(int(b)) < length[at][:, None]] = np.concatenate([found.data[s:e] for s, e in zip(part.start, part.end)])
                 packed = wide.view(f"S{b}").ravel()
-            self.parts.setdefault(int(b), []).append((packed, group[part.row], doc[part.row]))
-        self.size += int(length.sum()) // 6 + len(length) if len(length) and length.max() > 64 else len(length)
+                self.size += int(b) // 8 * len(at)
+            self.parts.setdefault(int(b), []).append((packed, *[x[part.row] for x in owners]))
+        self.size += len(length)
 
-    def counted(self, names: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    def counted(self, langs: list[str]) -> Iterator[pa.RecordBatch]:
         for b, parts in sorted(self.parts.items()):
-            group = np.concatenate([p[1] for p in parts])
-            keys, doc = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+            lang, source, doc = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+            keys, doc = np.unique(doc, return_inverse=True)
+            terms = np.concatenate([p[0] for p in parts], axis=-1)
             if b <= 2:
-                words = np.concatenate([p[0] for p in parts], axis=1)
-                order = radix_order([doc.astype(np.uint64), *[w for w in words[::-1]], group.astype(np.uint64)])
-                ordered = words[:, order]
-                differs = (ordered[:, 1:] != ordered[:, :-1]).any(0)
+                order = radix_order([doc.astype(np.uint64), *terms[::-1], lang.astype(np.uint64)])
+                terms = terms[:, order]
+                differs = (terms[:, 1:] != terms[:, :-1]).any(0)
             else:
-                texts = np.concatenate([p[0] for p in parts])
-                order = np.lexsort((doc, texts, group))
-                differs = texts[order][1:] != texts[order][:-1]
-            at, group, n, docs, sizes = _runs(order, group, doc, differs, self.least)
-            terms = np.ascontiguousarray(words[:, at].T).astype(">u8").view(f"S{8 * b}").ravel() if b <= 2 else texts[at]
-            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(keys[docs]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[g][0] for g in group], pa.string()),
-                    pa.array([names[g][1] for g in group], pa.string()),
-                    pa.array(terms.tolist(), pa.binary()).cast(pa.string()),
-                    pa.array(n),
-                    lists,
-                ],
-                names=["lang", "source", "term", "n", "docs"],
-            )
+                order = np.lexsort((doc, terms, lang))
+                terms = terms[order]
+                differs = terms[1:] != terms[:-1]
+            lang, source, doc = lang[order], source[order], doc[order]
+            new = np.ones(len(order), bool)
+            new[1:] = differs | (lang[1:] != lang[:-1])
+            run, start = np.cumsum(new) - 1, np.flatnonzero(new)
+            new[1:] |= doc[1:] != doc[:-1]
+            places, sizes = _firsts(run, new, self.least)
+            heads = np.ascontiguousarray(terms[:, start].T).astype(">u8").view(f"S{8 * b}").ravel() if b <= 2 else terms[start]
+            term = pa.array(heads.tolist(), pa.binary()).cast(pa.string())
+            yield _table([langs[x] for x in lang[start]], term, _cells(run, source), (keys[doc[places]], sizes))
         self.__init__(self.least)
 
 
 def _count(least: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stretch, names = _Stretch(least), {}
+        stretch, langs = _Stretch(least), {}
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            group = np.array([names.setdefault(pair, len(names)) for pair in pairs], np.int64)
-            doc = batch.column(2).to_numpy(zero_copy_only=False)
+            lang = np.array([langs.setdefault(x, len(langs)) for x in batch.column(0).to_pylist()], np.int64)
+            source, doc = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             for found in tokens(batch.column(3), TERM):
-                stretch.add(found, group, doc)
+                stretch.add(found, lang, source, doc)
                 if stretch.size >= STRETCH:
-                    yield from stretch.counted(list(names))
-        yield from stretch.counted(list(names))
+                    yield from stretch.counted(list(langs))
+        yield from stretch.counted(list(langs))
 
     return count
 
 
+def _merge(least: int):
+    """Cells of the terms with ``least`` documents, out of rows sorted by language and term; one open term is carried on."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = pa.RecordBatch.from_arrays([x.cast(t) for x, t in zip(batch.columns, _TYPES)], names=_NAMES)
+            batch = batch if open_ is None else pa.Table.from_batches([open_, batch]).combine_chunks().to_batches()[0]
+            new = np.ones(batch.num_rows, bool)
+            for c in (0, 1):
+                column = batch.column(c)
+                same = pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+                new[1:] = ~same if c == 0 else new[1:] | ~same
+            run, start = np.cumsum(new) - 1, np.flatnonzero(new)
+            lists = [batch.column(c) for c in (2, 3, 4)]
+            values = [x.flatten().to_numpy(zero_copy_only=False) for x in lists]
+            of = [np.repeat(run, pc.list_value_length(x).to_numpy(zero_copy_only=False)) for x in lists]
+            cells = _cells(of[0], values[0], values[1])
+            order = np.lexsort((values[2], of[2]))
+            doc, owner = values[2][order], of[2][order]
+            seen = np.ones(len(doc), bool)
+            seen[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])
+            places, sizes = _firsts(owner, seen, least)
+            heads = batch.take(pa.array(start))
+            whole = _table(heads.column(0), heads.column(1), cells, (doc[places], sizes))
+            last = len(start) - 1
+            open_ = whole.slice(last)
+            yield _kept(whole.slice(0, last), least)
+        if open_ is not None:
+            yield _kept(open_, least)
+
+    return merge
+
+
+def _kept(rows: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    rows = rows.filter(pc.greater_equal(pc.list_value_length(rows.column("docs")), least))
+    of = pc.list_parent_indices(rows.column("sources"))
+    columns = [rows.column("lang").take(of), rows.column("term").take(of), rows.column("sources").flatten(), rows.column("ns").flatten()]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "source_key", "n"])
+
+
 def _share(count: str, total: str) -> Column:
     """1 + floor(10**9 * (count + 1) / (total + V)), three digits at a time so that nothing overflows."""
     a, d = f"({count} + 1) * 1000", f"({total} + V)"
@@ -178,25 +235,28 @@ def audit(
     Null languages, sources and texts are empty ones. Groups without terms take part with counts of 0; a language
     without kept terms has pairs of value 0 and no terms. Rows of one id are one document of each language they name, rows
     without an id are told apart by their text; occurrences of repeated rows all count. Other columns are not looked
-    at, whatever their names. An empty table gives an empty table. Documents are told apart by 64-bit keys.
+    at, whatever their names. An empty table gives an empty table. Documents and groups are
+    told apart by 64-bit keys.
     """
     name = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     rows = docs.select(name(lang_col).alias("lang"), name(source_col).alias("source"), *identity(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.select("lang", "source", F.xxhash64("_doc").alias("doc"), "text")
-    groups = rows.select("lang", "source").distinct()
-    runs = cut_lineage(rows.filter("text IS NOT NULL").mapInArrow(_count(min_docs), _RUNS))
-    kept = runs.select("lang", "term", F.explode("docs").alias("doc")).groupBy("lang", "term")
-    kept = kept.agg(F.countDistinct("doc").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
-    counts = runs.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
+    # ids that are whole numbers are their own keys; they take less room than hashes
+    key = F.xxhash64("_doc")
+    if dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        key = F.when(F.col("_doc").startswith("null "), key).otherwise(F.expr("try_cast(_doc AS BIGINT)"))
+    groups = rows.select("lang", "source", F.xxhash64("lang", "source").alias("source_key")).distinct()
+    texts = rows.filter("text IS NOT NULL").select("lang", F.xxhash64("lang", "source").alias("source_key"), key.alias("doc"), "text")
+    runs = texts.mapInArrow(_count(min_docs), _RUNS).repartition("lang", "term").sortWithinPartitions("lang", "term")
+    counts = runs.mapInArrow(_merge(min_docs), "lang string, term string, source_key long, n long")
     counts = cut_lineage(counts)
     # one row a group, from its files' size on known to Spark, which broadcasts it only while it is small
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sums = counts.groupBy("source_key").agg(F.sum("n").alias("total"))
     terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("of_lang"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("V"), F.sum("of_lang").alias("L"))
-    sizes = groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["total", "V", "L"])
+    sizes = groups.join(sums, "source_key", "left").join(langs, "lang", "left").fillna(0, ["total", "V", "L"])
     sizes = cut_lineage(sizes)
     known = sizes.filter("V > 0").withColumn("zero", _share("0", "total"))
-    shares = counts.join(known.select("lang", "source", "total", "V", "L", "zero"), ["lang", "source"]).withColumn("p", _share("n", "total"))
+    shares = counts.join(known.select("source_key", "source", "total", "V", "L", "zero"), "source_key").withColumn("p", _share("n", "total"))
     pairs = _pairs(shares, known, sizes)
     found = shares.join(terms, ["lang", "term"]).withColumn("q", _share("of_lang", "L")).filter("p > q")
     found = found.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_gap("p", "q")).alias("value"))
