@@ -133,3 +133,18 @@ def lookup_local_time(df: DataFrame, zones: DataFrame, keys: Sequence[str], colu
 
 def email_key(address: Column) -> Column:
     return tx.email_local(address)
+
+
+def within_parts(table: DataFrame, wanted: DataFrame, part: str) -> DataFrame:
+    """Rows of ``table`` in the folders ``part`` that ``wanted`` has rows for.
+
+    The values of ``part`` in ``wanted``, at most one row for each folder of the table, are broadcast, which lets a stored table
+    skip its other folders when it is scanned (dynamic partition pruning). Null parts are in no folder that is wanted.
+    """
+    return table.join(F.broadcast(wanted.select(part).distinct()), part, "left_semi")
+
+
+def of_wanted(table: DataFrame, wanted: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``table`` whose (part, keys) are in ``wanted``, out of the folders that ``wanted`` has rows for."""
+    on = [part, *keys]
+    return within_parts(table, wanted, part).join(wanted.select(*on), on, "left_semi")

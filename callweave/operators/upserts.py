@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.operators.ordered import newest, same_keys
@@ -100,6 +101,49 @@ def commit_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -
     return replace_partitions(cut_lineage(df), path, partition_cols)
 
 
+def change_stored(path: str, batch: DataFrame, parts: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Apply ``change(old, batch)`` to the table stored at ``path`` in folders by ``parts``, inside the folders of the batch.
+
+    Only the folders that the batch has rows for are read and written; the files of all others stay as they are. The keys of
+    the change must therefore hold ``parts``. A folder without rows afterwards is removed. An empty batch changes nothing, a table
+    without files is created. Batch rows need a value for every part.
+    """
+    spark = batch.sparkSession
+    # both sides of the change and the folders come from one computation of the batch
+    batch = cut_lineage(batch)
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in parts])
+    if not batch.filter(missing).isEmpty():
+        raise ValueError(f"the batch has rows without {list(parts)}")
+    touched = batch.select(*parts).distinct()
+    if not path_exists(spark, path):
+        replace_partitions(change(batch.limit(0), batch), path, parts)
+        return
+    # one row a folder; broadcast, it prunes the scan of the stored table
+    old = spark.read.schema(batch.schema).parquet(path).join(F.broadcast(touched), list(parts), "left_semi")
+    new = cut_lineage(change(old.select(*batch.columns), batch))
+    replace_partitions(new, path, parts)
+    for row in touched.join(new.select(*parts).distinct(), list(parts), "left_anti").collect():
+        drop_folder(spark, path, {c: row[c] for c in parts})
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store."""
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def drop_folder(spark: SparkSession, path: str, values: dict[str, object]) -> None:
+    """Remove the folder of one combination of partition values below ``path``."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    files, where = _file_system(spark, "/".join([path, *[f"{c}={escape(str(v))}" for c, v in values.items()]]))
+    files.delete(where, True)
+
+
 def overwrite_unless_empty(df: DataFrame, path: str) -> bool:
     """Replace the whole table, but keep the old one when the batch is empty."""
     if df.isEmpty():

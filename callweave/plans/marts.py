@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from callweave.functions import scores as sc
 from callweave.operators import aggregates as ag
+from callweave.operators import joins as jn
 from callweave.operators import ordered, reshape
 from callweave.operators.projections import date_id
 
-KEY = "conversationId"
+KEY, MONTH = "conversationId", "startMonth"
 # fixed values: metrics of the handling mart and wordings of satisfaction from worst to best
 HANDLING = ["nBlindTransferred", "nConsultTransferred", "nConsult", "nTransferred", "tHandle", "tTalkComplete", "tHeldComplete", "tAcw"]
 SATISFACTION = ["lowest", "low", "medium", "high", "highest"]
@@ -22,6 +23,10 @@ def _resolved(column: str) -> Column:
     return F.coalesce(F.lower(column).isin("resolved", "partially resolved"), F.lit(False))
 
 
+def _months_of(conversations: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    return [jn.within_parts(x, conversations, MONTH) for x in tables]
+
+
 def per_user_metrics(metrics: DataFrame, participants: DataFrame, names: Sequence[str]) -> DataFrame:
     """Summed metrics per conversation and user; the sums come before the join to participants."""
     wanted = metrics.filter(F.col("name").isin(*names))
@@ -31,7 +36,11 @@ def per_user_metrics(metrics: DataFrame, participants: DataFrame, names: Sequenc
 
 
 def handling_metrics(conversations: DataFrame, metrics: DataFrame, participants: DataFrame, insights: DataFrame) -> DataFrame:
-    """Per-conversation handling metrics, split by resolved or not, with a satisfaction score."""
+    """Per-conversation handling metrics, split by resolved or not, with a satisfaction score.
+
+    All tables are stored by start month; only the months of the conversations are read.
+    """
+    metrics, participants, insights = _months_of(conversations, metrics, participants, insights)
     base = per_user_metrics(metrics, participants, HANDLING).join(
         conversations.select(KEY, F.col("initialSessionMediaTypeId").alias("mediaTypeId"), "conversationStartDateId"), KEY
     )
@@ -62,7 +71,8 @@ def _lists(segments: DataFrame) -> DataFrame:
 
 
 def cost_view(conversations, segments, metrics, insights, reasons) -> DataFrame:
-    """Conversations with contact reason, outcome, queue and code lists and handle time."""
+    """Conversations with contact reason, outcome, queue and code lists and handle time; all tables are stored by start month."""
+    segments, metrics, insights, reasons = _months_of(conversations, segments, metrics, insights, reasons)
     told = insights.select(KEY, "resolved", "satisfaction")
     why = reasons.select(KEY, "contactReason", "mainInquiry", "rootCause")
     handle = metrics.filter("name = 'tHandle'").groupBy(KEY).agg(F.sum("value").alias("tHandle"))
@@ -77,7 +87,9 @@ def cost_view(conversations, segments, metrics, insights, reasons) -> DataFrame:
 
 
 def result_view(conversations, segments, insights, reasons) -> DataFrame:
-    """Number of conversations per day, media, region, reason and outcome with the lists of queues seen."""
+    """Number of conversations per day, media, region, reason and outcome with the lists of queues seen; all tables are
+    stored by start month."""
+    segments, insights, reasons = _months_of(conversations, segments, insights, reasons)
     told = insights.select(KEY, "resolved", "satisfaction")
     why = reasons.select(KEY, "contactReason", "mainInquiry", "rootCause")
     keys = ["conversationStartDateId", "initialSessionMediaTypeId", "location", "originatingDirectionId", "contactReason", "mainInquiry", "rootCause", "resolved", "satisfaction"]
@@ -183,18 +195,19 @@ def user_kpis(
 ) -> DataFrame:
     """User KPI facts as (numerator, denominator): sales, AHT, hold, after-call work, CSAT, NPS, conversion.
 
-    Equal rows of different branches collapse. ``detractor_max`` is the highest score of a detractor.
+    Equal rows of different branches collapse. ``detractor_max`` is the highest score of a detractor. The tables of
+    conversations are stored by start month, surveys are not.
     """
     zones = users.select("userId", "timeZone")
     places = queues.select("queueId", F.col("region").alias("location"))
-    told = insights.select(KEY, "resolved", F.col("process_name").alias("scenarioName"))
     voice = conversations.filter("initialSessionMediaTypeId = 1").select(
-        KEY, "conversationStart", "originatingDirectionId", F.col("initialSessionMediaTypeId").alias("mediaTypeId")
+        MONTH, KEY, "conversationStart", "originatingDirectionId", F.col("initialSessionMediaTypeId").alias("mediaTypeId")
     )
     local_day = date_id(F.from_utc_timestamp("conversationStart", F.col("timeZone"))).alias("conversationStartDateId")
     # only voice conversations count, so nothing is worked out for the others
-    ids = voice.select(KEY)
-    participants, segments, metrics = (x.join(ids, KEY, "left_semi") for x in (participants, segments, metrics))
+    participants, segments, metrics = (jn.of_wanted(x, voice, MONTH, [KEY]) for x in (participants, segments, metrics))
+    told = jn.within_parts(insights, voice, MONTH).select(KEY, "resolved", F.col("process_name").alias("scenarioName"))
+    voice = voice.drop(MONTH)
 
     coder = final_code(segments, codes).join(
         participants.select(KEY, "participantId", "userId"), [KEY, "participantId"]

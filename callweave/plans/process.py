@@ -97,7 +97,8 @@ def timeline(
 
 @dataclass(frozen=True)
 class MapInputs:
-    """Tables the process map is built from; conversations are already limited to the wanted ones."""
+    """Tables the process map is built from, those of conversations with their start month; conversations are already limited
+    to the wanted ones."""
 
     conversations: DataFrame
     participants: DataFrame
@@ -122,12 +123,23 @@ METRIC_STEPS = [
     ("nConsult", "Consult", 350),
     ("tHeld", "Hold", 400),
 ]
-KEY = "conversationId"
+KEY, MONTH = "conversationId", "startMonth"
+FACTS = ["participants", "segments", "metrics", "ivr_events", "menus", "flows", "actions", "insights", "contact_reasons"]
+
+
+def started_since(conversations: DataFrame, date_id: int) -> DataFrame:
+    """Conversations that started on the day ``date_id`` (yyyyMMdd) or later, read from the folders of these months."""
+    return conversations.filter((F.col(MONTH) >= date_id // 100) & (F.col("conversationStartDateId") >= date_id))
+
+
+def limited(i: MapInputs) -> MapInputs:
+    """All facts limited to the wanted conversations; each stored table is read in the folders of their months only."""
+    wanted = i.conversations.select(MONTH, KEY)
+    return replace(i, **{t: jn.of_wanted(getattr(i, t), wanted, MONTH, [KEY]).drop(MONTH) for t in FACTS})
 
 
 def map_events(i: MapInputs) -> DataFrame:
-    """Steps of a conversation from all sources, with missing times filled."""
-    ids = i.conversations.select(KEY)
+    """Steps of a conversation from all sources, with missing times filled; the facts are limited to the conversations."""
     none = F.lit(None).cast("timestamp")
 
     def step(df, start, end, name, level, kind):
@@ -138,31 +150,27 @@ def map_events(i: MapInputs) -> DataFrame:
     start = F.col("conversationStart")
     caller = step(i.conversations, start, start + F.expr("interval 1 millisecond"), F.lit("Start"), F.lit(0), "caller")
     auth = step(
-        i.ivr_events.filter("eventName = 'AuthenticationStatus'").join(ids, KEY, "left_semi"),
+        i.ivr_events.filter("eventName = 'AuthenticationStatus'"),
         none,
         none,
         F.concat("eventName", F.lit(": "), "eventValue"),
         F.lit(2),
         "authStatus",
     )
-    menu = step(
-        i.menus.join(ids, KEY, "left_semi"), F.col("menuEntryTime"), F.col("menuExitTime"), F.col("menuId"), 3 + F.col("index"), "menu"
-    )
-    segments = i.segments.join(ids, KEY, "left_semi")
+    menu = step(i.menus, F.col("menuEntryTime"), F.col("menuExitTime"), F.col("menuId"), 3 + F.col("index"), "menu")
     lo, hi = F.min("segmentStart").alias("s"), F.max("segmentEnd").alias("e")
     inside = i.participants.filter(~F.col("purpose").isin("customer", "external")).select(KEY, "participantId")
     queue = (
-        segments.join(inside, [KEY, "participantId"], "left_semi").join(i.queues.select("queueId", "queueName"), "queueId").groupBy(KEY, "queueName").agg(lo, hi)
+        i.segments.join(inside, [KEY, "participantId"], "left_semi").join(i.queues.select("queueId", "queueName"), "queueId").groupBy(KEY, "queueName").agg(lo, hi)
     )
     agent = (
-        segments.join(i.participants.filter("userId is not null").select(KEY, "participantId", "userId"), [KEY, "participantId"]).groupBy(KEY, "userId").agg(lo, hi)
+        i.segments.join(i.participants.filter("userId is not null").select(KEY, "participantId", "userId"), [KEY, "participantId"]).groupBy(KEY, "userId").agg(lo, hi)
     )
     # one scan of the metrics for all four kinds
     names = F.create_map(*[F.lit(x) for m, label, _ in METRIC_STEPS for x in (m, label)])
     levels = F.create_map(*[F.lit(x) for m, _, level in METRIC_STEPS for x in (m, level)])
     handled = (
         i.metrics.filter(F.col("name").isin(*[m for m, _, _ in METRIC_STEPS]))
-        .join(ids, KEY, "left_semi")
         .select(
             KEY,
             F.col("eventTime").alias("eventStart"),
@@ -201,9 +209,7 @@ def process_map(i: MapInputs) -> DataFrame:
     All facts are limited to the wanted conversations and brought to one row each first, so the joins do not multiply
     steps, apart from conversations with several contact reasons, which repeat their steps per reason.
     """
-    ids = i.conversations.select(KEY)
-    wanted = {t: getattr(i, t).join(ids, KEY, "left_semi") for t in ("participants", "segments", "metrics", "ivr_events", "flows", "insights")}
-    i = replace(i, **wanted)
+    i = limited(i)
     facts = ["location", "originatingDirectionId", "initialSessionMediaTypeId", "conversationStartDateId"]
     c = i.conversations.select(KEY, *facts)
     to_agent = (
@@ -288,12 +294,12 @@ def numbered_steps(steps: DataFrame, config: DataFrame) -> DataFrame:
     known = config.select("stepName").distinct().withColumn("_known", F.lit(1).cast("long"))
     rows = steps.join(known, "stepName", "left").withColumn("_exp", F.coalesce("_known", F.lit(0).cast("long"))).drop("_known")
     return ordered.with_ordered(
-        rows, ["conversationId"], ["startTime", "stepName"], running_sum={"_no": "_exp"}, lead={"_nextExp": "_exp"}
+        rows, ["conversationId"], ["startTime", "stepName", "endTime", "sentiment"], running_sum={"_no": "_exp"}, lead={"_nextExp": "_exp"}
     )
 
 
-def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataFrame:
-    """Effort per conversation and expected step.
+def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE, extract_date: int | None = None) -> DataFrame:
+    """Effort per conversation and expected step, of the conversations that started on ``extract_date`` or of all.
 
     ``steps`` has conversationId, conversationStartDateId, startTime, endTime, stepName, sentiment;
     ``config`` has stepName, counterStep, value. Holds, transfers and other steps between two expected
@@ -301,6 +307,8 @@ def complexity(steps: DataFrame, config: DataFrame, close: str = CLOSE) -> DataF
     not count. Expected steps that a conversation lacks come out with zeros.
     """
     key = "conversationId"
+    if extract_date is not None:
+        steps = steps.filter(F.col("conversationStartDateId") == extract_date)
     rows = numbered_steps(steps, config)
     own = rows.filter("_exp = 1")
     other = ~F.col("stepName").isin("Hold", "Transfer")

@@ -13,7 +13,7 @@ from callweave.plans import speech, star
 from callweave.plans import workforce as wf
 from callweave.queries.prelude import EVENTS, LINES, PHRASES, SESSIONS, TURNS, USERS, with_
 from callweave.queries.registry import query
-from callweave.queries.stored import stored_side, stored_sql
+from callweave.queries.stored import loaded, loaded_sql, stored_side, stored_sql
 from callweave.session import cut_lineage
 from callweave.sources import raw
 
@@ -215,28 +215,37 @@ PRESENCE = """, pp AS (SELECT userId, ts AS startTime, ts + to_seconds(k * 60) A
 
 @query(
     "d7_primary_presence",
+    loaded_sql(
     with_(EVENTS)
     + PRESENCE
     + """ SELECT DISTINCT userId, startTime::VARCHAR AS startTime, coalesce(endTime, TIMESTAMP '2024-02-01')::VARCHAR AS endTime, status AS systemPresence,
          CAST(startTime AS DATE)::VARCHAR AS startDate FROM pp""",
+        "startDate", "'1999-01-01'", "userId", "'old-' || userId", {"systemPresence": "'stale'"}, "systemPresence = 'view'",
+    ),
 )
 def primary_presence(t):
-    return wf.primary_presence(raw.user_details(t.events), "2024-02-01")
+    fresh = wf.primary_presence(raw.user_details(t.events), "2024-02-01")
+    return loaded(fresh, "startDate", "1999-01-01", lambda old, new: up.replace_matching(old, new, ["userId", "startDate", "startTime"]), "userId", F.concat(F.lit("old-"), "userId"), {"systemPresence": "stale"}, "systemPresence = 'view'")
 
 
 @query(
     "d7_routing_status",
+    loaded_sql(
     with_(EVENTS)
     + PRESENCE
     + """ SELECT DISTINCT userId, startTime::VARCHAR AS startTime, coalesce(endTime, TIMESTAMP '2024-02-01')::VARCHAR AS endTime, routing AS routingStatus,
          CAST(startTime AS DATE)::VARCHAR AS startDate FROM pp""",
+        "startDate", "'1999-01-01'", "userId", "'old-' || userId", {"routingStatus": "'stale'"}, "routingStatus = 'IDLE'",
+    ),
 )
 def routing_status(t):
-    return wf.routing_status(raw.user_details(t.events), "2024-02-01")
+    fresh = wf.routing_status(raw.user_details(t.events), "2024-02-01")
+    return loaded(fresh, "startDate", "1999-01-01", lambda old, new: up.replace_matching(old, new, ["userId", "startDate", "startTime"]), "userId", F.concat(F.lit("old-"), "userId"), {"routingStatus": "stale"}, "routingStatus = 'IDLE'")
 
 
 @query(
     "d7_detailed_presence",
+    loaded_sql(
     with_(EVENTS)
     + PRESENCE
     + """, best AS (SELECT DISTINCT userId, startTime, endTime, status, org FROM pp)
@@ -244,6 +253,8 @@ def routing_status(t):
          'Presence ' || substring(org, 5) AS presenceDefinitionName, CASE WHEN org <> 'org-3' THEN 'SYS' || substring(org, 5) END AS presenceDefinitionSystemPresence,
          CASE WHEN org IN ('org-0', 'org-2') THEN 'english' ELSE 'us english' END AS presenceDefinitionLabel, CAST(startTime AS DATE)::VARCHAR AS startDate
        FROM best QUALIFY row_number() OVER (PARTITION BY userId, startTime ORDER BY coalesce(endTime, TIMESTAMP '2024-02-01') DESC, status, org) = 1""",
+        "startDate", "'1999-01-01'", "userId", "'old-' || userId", {"organizationPresenceId": "'stale'"}, "endTime IS NOT NULL AND systemPresence = 'click'",
+    ),
 )
 def detailed_presence(t):
     e = raw.event_rows(t.events).select((F.col("k") % 4).alias("n")).distinct()
@@ -253,7 +264,8 @@ def detailed_presence(t):
         F.when(F.col("n") != 3, F.concat(F.lit("SYS"), "n")).alias("systemPresence"),
         F.when(F.col("n") % 2 == 0, '{"en": "english"}').otherwise('{"en_US": "us english"}').alias("languageLabels"),
     )
-    return wf.detailed_presence(raw.user_details(t.events), definitions, "2024-02-01")
+    fresh = wf.detailed_presence(raw.user_details(t.events), definitions, "2024-02-01")
+    return loaded(fresh, "startDate", "1999-01-01", lambda old, new: up.replace_matching(old, new, ["userId", "startDate", "startTime", "endTime"]), "userId", F.concat(F.lit("old-"), "userId"), {"organizationPresenceId": "stale"}, "endTime IS NOT NULL AND systemPresence = 'click'")
 
 
 UNIT = ", own AS (SELECT * FROM ev WHERE userNo % 4 = userNo % 3 AND userNo IN (SELECT c_custkey FROM customer))"
@@ -261,18 +273,23 @@ UNIT = ", own AS (SELECT * FROM ev WHERE userNo % 4 = userNo % 3 AND userNo IN (
 
 @query(
     "d8_wfm_actuals",
+    loaded_sql(
     with_(EVENTS)
     + UNIT
     + """, a AS (SELECT userId, 'mu' || (userNo % 4) AS managementUnitId, ts AS s, ts + to_seconds(k * 60) AS e, 'OnQueueWork' AS c FROM own
           UNION ALL SELECT userId, 'mu' || (userNo % 4), ts + to_seconds(k * 60), ts + to_seconds(k * 60 + 600), 'Break' FROM own)
        SELECT DISTINCT userId, managementUnitId, s::VARCHAR AS startDate, e::VARCHAR AS endDate, c AS actualActivityCategory, CAST(s AS DATE)::VARCHAR AS startDatePart FROM a WHERE s <> e""",
+        "startDatePart", "'1999-01-01'", "userId", "'old-' || userId", {"managementUnitId": "'stale'"}, "actualActivityCategory = 'Break'",
+    ),
 )
 def wfm_actuals(t):
-    return wf.actuals(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    fresh = wf.actuals(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    return loaded(fresh, "startDatePart", "1999-01-01", lambda old, new: up.merge_all(old, new, ["userId", "startDate", "startDatePart"], check=False), "userId", F.concat(F.lit("old-"), "userId"), {"managementUnitId": "stale"}, "actualActivityCategory = 'Break'")
 
 
 @query(
     "d8_wfm_day_metrics",
+    loaded_sql(
     with_(EVENTS)
     + UNIT
     + """, d AS (SELECT userId, userNo, ts, k, 0 AS off, k * 10 AS len FROM own UNION ALL SELECT userId, userNo, ts, k, 86400, k * 20 FROM own),
@@ -282,20 +299,27 @@ def wfm_actuals(t):
          CAST(len + 30 AS BIGINT) AS conformanceScheduleSecs, CAST(k % 5 AS BIGINT) AS exceptionCount, CAST(k % 5 * 45 AS BIGINT) AS exceptionDurationSecs,
          CAST(k % 7 - 3 AS BIGINT) AS impactSeconds, CAST(len + 90 AS BIGINT) AS scheduleLengthSecs,
          CAST(off AS BIGINT) AS dayStartOffsetSecs, CAST(ts + to_seconds(off) AS DATE)::VARCHAR AS startDatePart FROM x""",
+        "startDatePart", "'1999-01-01'", "userId", "'old-' || userId", {"impactSeconds": "-99"}, "impact = 'NEGATIVE'",
+    ),
 )
 def wfm_day_metrics(t):
-    return wf.day_metrics(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    fresh = wf.day_metrics(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    return loaded(fresh, "startDatePart", "1999-01-01", lambda old, new: up.merge_all(old, new, ["userId", "startDate", "startDatePart"], check=False), "userId", F.concat(F.lit("old-"), "userId"), {"impactSeconds": -99}, "impact = 'NEGATIVE'")
 
 
 @query(
     "d8_wfm_exceptions",
+    loaded_sql(
     with_(EVENTS)
     + UNIT
     + """ SELECT DISTINCT userId, 'mu' || (userNo % 4) AS managementUnitId, (ts + to_seconds(k))::VARCHAR AS startDate, (ts + to_seconds(k * 2))::VARCHAR AS endDate, 'NEGATIVE' AS impact,
          'IDLE' AS routingStatus, CASE WHEN k % 2 = 0 THEN eventType END AS secondaryPresenceId, CAST(ts + to_seconds(k) AS DATE)::VARCHAR AS startDatePart FROM own WHERE k % 3 = 0 AND k <> 0""",
+        "startDatePart", "'1999-01-01'", "userId", "'old-' || userId", {"routingStatus": "'stale'"}, "secondaryPresenceId = 'view'",
+    ),
 )
 def wfm_exceptions(t):
-    return wf.exceptions(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    fresh = wf.exceptions(wf.adherence_payloads(t.events), wf.unit_members(t.customer))
+    return loaded(fresh, "startDatePart", "1999-01-01", lambda old, new: up.merge_all(old, new, ["userId", "startDate", "startDatePart"], check=False), "userId", F.concat(F.lit("old-"), "userId"), {"routingStatus": "stale"}, "secondaryPresenceId = 'view'")
 
 
 @query(
@@ -320,16 +344,20 @@ def topics(t):
 
 @query(
     "d9_phrases",
+    loaded_sql(
     with_(PHRASES)
     + """, s AS (SELECT DISTINCT conversationId, communicationId, phraseIndex, purpose, regexp_replace(lower('* ' || text || ' *'), '[^a-z0-9]', '', 'g') AS nk, (length(text) % 5 - 2) / 2.0::DOUBLE AS sentiment
           FROM phrases WHERE length(text) % 3 = 0)
        SELECT p.conversationId, p.communicationId, 't-' || conv_id || '-' || turn AS transcriptId, p.text, base + p.phraseIndex * 10 AS startTimeMs, CAST(length(p.text) * 5 AS BIGINT) AS milliseconds,
          p.purpose AS participantPurpose, CAST(epoch_ms(base) AS DATE)::VARCHAR AS conversationStartDate, s.sentiment
        FROM phrases p LEFT JOIN s ON s.conversationId = p.conversationId AND s.purpose = p.purpose AND s.nk = regexp_replace(lower(p.text), '[^a-z0-9]', '', 'g')""",
+        "conversationStartDate", "'1999-01-01'", "conversationId", "'old-' || conversationId", {"text": "'stale'"}, "participantPurpose = 'external'",
+    ),
 )
 def phrases(t):
     tr = raw.speech_transcripts(t.conversations)
-    return speech.phrases(tr, speech.sentiments(tr))
+    fresh = speech.phrases(tr, speech.sentiments(tr))
+    return loaded(fresh, "conversationStartDate", "1999-01-01", lambda old, new: up.replace_matching(old, new, ["conversationId", "conversationStartDate"]), "conversationId", F.concat(F.lit("old-"), "conversationId"), {"text": "stale"}, "participantPurpose = 'external'")
 
 
 @query(

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callweave.plans import marts
+from callweave.plans.process import started_since
 from callweave.queries.prelude import EVENTS, LINES, MART, USERS, with_
-from callweave.queries.registry import query
+from callweave.queries.process import SINCE
+from callweave.queries.registry import REGISTRY, query
 from callweave.sources import raw, star
 
 
@@ -27,10 +29,16 @@ def _sum(name, as_=None):
 )
 def handling_metrics(t):
     return marts.handling_metrics(
-        star.conversations(t.orders), star.metrics(t.line_sessions()), star.participants(t.line_sessions()), star.insights(t.orders)
+        t.star("conversations"), t.star("metrics"), t.star("participants"), t.star("insights")
     )
 
 
+@query("d20_recent_handling", f"SELECT * FROM ({REGISTRY['d20_handling_metrics'].sql}) WHERE conversationStartDateId >= {SINCE}")
+def recent_handling(t):
+    recent = started_since(t.star("conversations"), SINCE)
+    return marts.handling_metrics(recent, t.star("metrics"), t.star("participants"), t.star("insights"))
+
+
 @query(
     "d21_cost_view",
     with_(MART)
@@ -42,10 +50,16 @@ def handling_metrics(t):
 )
 def cost_view(t):
     return marts.cost_view(
-        star.conversations(t.orders), star.segments(t.line_sessions()), star.metrics(t.line_sessions()), star.insights(t.orders), star.contact_reasons(t.orders)
+        t.star("conversations"), t.star("segments"), t.star("metrics"), t.star("insights"), t.star("contact_reasons")
     )
 
 
+@query("d21_recent_cost_view", f"SELECT * FROM ({REGISTRY['d21_cost_view'].sql}) WHERE conversationStartDateId >= {SINCE}")
+def recent_cost_view(t):
+    recent = started_since(t.star("conversations"), SINCE)
+    return marts.cost_view(recent, t.star("segments"), t.star("metrics"), t.star("insights"), t.star("contact_reasons"))
+
+
 @query(
     "d21_result_view",
     with_(MART)
@@ -55,7 +69,7 @@ def cost_view(t):
 )
 def result_view(t):
     return marts.result_view(
-        star.conversations(t.orders), star.segments(t.line_sessions()), star.insights(t.orders), star.contact_reasons(t.orders)
+        t.star("conversations"), t.star("segments"), t.star("insights"), t.star("contact_reasons")
     )
 
 
@@ -73,7 +87,7 @@ def result_view(t):
 )
 def reason_quadrants(t):
     return marts.reason_quadrants(
-        star.metrics(t.line_sessions()), star.conversations(t.orders), star.insights(t.orders), star.contact_reasons(t.orders)
+        t.star("metrics"), t.star("conversations"), t.star("insights"), t.star("contact_reasons")
     )
 
 
@@ -88,7 +102,7 @@ def reason_quadrants(t):
 )
 def local_conversations(t):
     return marts.local_conversations(
-        star.conversations(t.orders), star.participants(t.line_sessions()), star.segments(t.line_sessions()), star.wrap_up_codes(t.part), star.queues(t.part), star.insights(t.orders)
+        t.star("conversations"), t.star("participants"), t.star("segments"), star.wrap_up_codes(t.part), star.queues(t.part), t.star("insights")
     )
 
 
@@ -133,11 +147,11 @@ def surveys(t):
 )
 def user_kpis(t):
     return marts.user_kpis(
-        star.conversations(t.orders),
-        star.participants(t.line_sessions()),
-        star.segments(t.line_sessions()),
-        star.metrics(t.line_sessions()),
-        star.insights(t.orders),
+        t.star("conversations"),
+        t.star("participants"),
+        t.star("segments"),
+        t.star("metrics"),
+        t.star("insights"),
         surveys(t),
         star.wrap_up_codes(t.part),
         star.queues(t.part),
@@ -175,12 +189,12 @@ ANSWERS = """, an AS (SELECT CAST(doc_id AS VARCHAR) AS conversationId, 'quality
 def conformance_rollup(t):
     return marts.conformance_rollup(
         check_answers(t),
-        star.conversations(t.orders),
-        star.participants(t.line_sessions()),
-        star.segments(t.line_sessions()),
+        t.star("conversations"),
+        t.star("participants"),
+        t.star("segments"),
         star.wrap_up_codes(t.part),
         star.queues(t.part),
-        star.insights(t.orders),
+        t.star("insights"),
     )
 
 
@@ -197,7 +211,7 @@ FLAGGED = (
 def _flagged(t):
     evaluations = raw.evaluation_payloads(t.line_sessions()).select(F.col("conversation.id").alias("conversationId"), "status")
     return marts.flag_for_assessment(
-        star.conversations(t.orders), check_answers(t), star.segments(t.line_sessions()), star.wrap_up_codes(t.part), evaluations, SUCCESS
+        t.star("conversations"), check_answers(t), t.star("segments"), star.wrap_up_codes(t.part), evaluations, SUCCESS
     )
 
 
@@ -217,7 +231,7 @@ def compliance_flags(t):
        LEFT JOIN (SELECT conversationId, string_agg(DISTINCT userId, ',' ORDER BY userId) AS userIds FROM prt WHERE userId IS NOT NULL GROUP BY 1) USING (conversationId) WHERE isManualAssessmentNeeded""",
 )
 def flagged_view(t):
-    return marts.flagged_view(_flagged(t), check_answers(t), star.segments(t.line_sessions()), star.participants(t.line_sessions()))
+    return marts.flagged_view(_flagged(t), check_answers(t), t.star("segments"), t.star("participants"))
 
 
 @query(

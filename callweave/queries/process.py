@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from callweave.operators import upserts as up
 from callweave.plans import conversations as cv
 from callweave.plans import process as pr
 from callweave.plans import transcripts as tr
 from callweave.queries.prelude import EVENTS, LINES, MART, TURNS, with_
 from callweave.queries.registry import query
+from callweave.queries.stored import loaded, loaded_sql
 from callweave.sources import raw, star
 
 
@@ -232,33 +236,12 @@ def timeline(t):
 
 
 def map_inputs(t):
-    key = F.col("o_orderkey")
-    cid = key.cast("string").alias("conversationId")
-    start = F.col("o_orderdate")
-    menu = F.array(
-        F.struct(F.lit(0).alias("index"), F.lit("main").alias("menuId"), raw.plus_seconds(start, F.lit(10)).alias("menuEntryTime"), raw.plus_seconds(start, F.lit(20)).alias("menuExitTime")),
-        F.struct(F.lit(1).alias("index"), F.lit("billing").alias("menuId"), raw.plus_seconds(start, F.lit(20)).alias("menuEntryTime"), F.lit(None).cast("timestamp").alias("menuExitTime")),
-    )
-    teams = star.agents(t.supplier, t.nation, t.region)
-    actions = t.orders.filter("o_orderkey % 7 = 1").select(
-        cid, F.lit("Talk").alias("category"), F.lit("ask").alias("action"), start.alias("startTime"), F.when(key % 2 == 0, raw.plus_seconds(start, F.lit(60))).alias("endTime"),
-        F.lit("r").alias("contact_reason"), F.lit("m").alias("main_inquiry"), F.lit("c").alias("root_cause"), F.lit("agent").alias("speaker"),
-    )
+    agents = star.agents(t.supplier, t.nation, t.region)
     return pr.MapInputs(
-        conversations=star.conversations(t.orders).filter("originatingDirectionId = 1 and initialSessionMediaTypeId = 1"),
-        participants=star.participants(t.line_sessions()),
-        segments=star.segments(t.line_sessions()),
-        metrics=star.metrics(t.line_sessions()),
-        ivr_events=t.orders.filter("o_orderkey % 2 = 0").select(cid, F.lit("AuthenticationStatus").alias("eventName"), F.col("o_orderstatus").alias("eventValue")),
-        menus=t.orders.filter("o_custkey % 3 = 0").select(cid, F.explode(menu).alias("m")).select("conversationId", "m.*"),
-        flows=t.orders.filter("o_custkey % 4 <> 0").select(
-            cid, F.when(F.col("o_custkey") % 4 == 1, "FLOW_DISCONNECT").otherwise("TRANSFER").alias("exitReason"), F.when(F.col("o_custkey") % 4 == 2, "ACD").otherwise("NONE").alias("transferType")
-        ),
-        actions=actions,
-        insights=star.insights(t.orders),
-        contact_reasons=star.contact_reasons(t.orders),
-        users=teams.select("userId", "userName"),
-        teams=teams.select("userId", "teamName"),
+        conversations=t.star("conversations").filter("originatingDirectionId = 1 and initialSessionMediaTypeId = 1"),
+        **{name: t.star(name) for name in ("participants", "segments", "metrics", "ivr_events", "menus", "flows", "actions", "insights", "contact_reasons")},
+        users=agents.select("userId", "userName"),
+        teams=agents.select("userId", "teamName"),
         queues=star.queues(t.part).select("queueId", "queueName"),
         wrap_up_codes=star.wrap_up_codes(t.part).select("wrapUpCodeId", "wrapUpCode"),
     )
@@ -285,8 +268,7 @@ MAP = """, c AS (SELECT * FROM oc WHERE originatingDirectionId = 1 AND mediaType
   lc AS (SELECT conversationId, wrapUpCodeId FROM seg WHERE segmentType = 'wrapup' QUALIFY row_number() OVER (PARTITION BY conversationId ORDER BY segmentEnd DESC, participantId DESC) = 1)"""
 
 
-@query(
-    "d18_process_map",
+PROCESS_MAP = (
     with_(MART)
     + MAP
     + """ SELECT DISTINCT rw.conversationId, category, action, s::VARCHAR AS eventStart, e::VARCHAR AS eventEnd, contact_reason, main_inquiry, root_cause, speaker, c.location, c.originatingDirectionId, c.mediaTypeId, c.conversationStartDateId,
@@ -297,12 +279,25 @@ MAP = """, c AS (SELECT * FROM oc WHERE originatingDirectionId = 1 AND mediaType
        LEFT JOIN ins ON ins.conversationId = c.conversationId
        LEFT JOIN (SELECT conversationId, string_agg(DISTINCT userName, ',' ORDER BY userName) AS userNames, string_agg(DISTINCT teamName, ',' ORDER BY teamName) AS teamNames FROM ppl JOIN agt USING (userId) GROUP BY 1) n ON n.conversationId = c.conversationId
        LEFT JOIN lq ON lq.conversationId = c.conversationId LEFT JOIN que ON que.queueId = lq.queueId LEFT JOIN lc ON lc.conversationId = c.conversationId LEFT JOIN cod ON cod.wrapUpCodeId = lc.wrapUpCodeId
-       WHERE e IS NOT NULL""",
+       WHERE e IS NOT NULL"""
 )
+
+
+@query("d18_process_map", PROCESS_MAP)
 def process_map(t):
     return pr.process_map(map_inputs(t))
 
 
+#: First day of the reports on recent conversations.
+SINCE = 20010601
+
+
+@query("d18_recent_process_map", PROCESS_MAP.replace("FROM oc WHERE", f"FROM oc WHERE conversationStartDateId >= {SINCE} AND", 1))
+def recent_process_map(t):
+    i = map_inputs(t)
+    return pr.process_map(replace(i, conversations=pr.started_since(i.conversations, SINCE)))
+
+
 @query(
     "d19_labelled_steps",
     with_(ANCHORS.format(join=""))
@@ -367,8 +362,8 @@ COMPLEXITY = (
     + """, cfg(steps, counter_step, value) AS (VALUES ('Greet', 1, 1.0::DOUBLE), ('Verify', 2, 2.5::DOUBLE), ('Close and Offer Additional Assistance', 3, 0.5::DOUBLE), ('Recap', 4, 1.5::DOUBLE)),
       p AS (SELECT userId || '|' || strftime(ts, '%Y%m%d') AS cid, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS did, ts AS s, k, CASE eventType WHEN 'view' THEN 'Greet' WHEN 'click' THEN 'Hold' WHEN 'signup' THEN 'Verify'
           WHEN 'purchase' THEN 'Close and Offer Additional Assistance' ELSE CASE WHEN k % 3 = 0 THEN 'Transfer' ELSE 'Detour ' || (k % 3) END END AS nm, (k % 5)::DOUBLE AS sen FROM ev),
-      q AS (SELECT *, nm IN (SELECT steps FROM cfg) AS x, sum(CASE WHEN nm IN (SELECT steps FROM cfg) THEN 1 ELSE 0 END) OVER (PARTITION BY cid ORDER BY s, nm ROWS UNBOUNDED PRECEDING) AS g,
-          lead(nm IN (SELECT steps FROM cfg)) OVER (PARTITION BY cid ORDER BY s, nm) AS nx FROM p),
+      q AS (SELECT *, nm IN (SELECT steps FROM cfg) AS x, sum(CASE WHEN nm IN (SELECT steps FROM cfg) THEN 1 ELSE 0 END) OVER (PARTITION BY cid ORDER BY s, nm, k, sen ROWS UNBOUNDED PRECEDING) AS g,
+          lead(nm IN (SELECT steps FROM cfg)) OVER (PARTITION BY cid ORDER BY s, nm, k, sen) AS nx FROM p),
       o AS (SELECT cid, g, count(*) FILTER (WHERE nm = 'Hold') AS hold, count(*) FILTER (WHERE nm = 'Transfer') AS transfer, count(*) FILTER (WHERE nm NOT IN ('Hold', 'Transfer')) AS violation,
           count(DISTINCT CASE WHEN nm NOT IN ('Hold', 'Transfer') THEN nm END) AS dvc FROM q WHERE NOT x AND g > 0 GROUP BY 1, 2),
       cl AS (SELECT cid, min(s) AS cls FROM q WHERE nm LIKE 'Close%' GROUP BY 1),
@@ -383,9 +378,25 @@ COMPLEXITY = (
 )
 
 
-@query("d27_complexity", COMPLEXITY)
+EXTRACT_DATE = 20240103
+
+
+@query(
+    "d27_complexity",
+    loaded_sql(COMPLEXITY, "conversationStartDateId", "19990101", "conversationId", "'old-' || conversationId", {"step_count": "-1"}, "steps = 'Greet'"),
+)
 def complexity(t):
-    return pr.complexity(process_steps(t), step_config(t))
+    fresh = pr.complexity(process_steps(t), step_config(t))
+    keys = ["conversationId", "steps", "conversationStartDateId"]
+    return loaded(
+        fresh, "conversationStartDateId", 19990101, lambda old, new: up.replace_matching(old, new, keys), "conversationId", F.concat(F.lit("old-"), "conversationId"), {"step_count": -1}, "steps = 'Greet'"
+    )
+
+
+@query("d27_extract_date_complexity", f"SELECT * FROM ({COMPLEXITY}) WHERE conversationStartDateId = {EXTRACT_DATE}")
+def extract_date_complexity(t):
+    """Effort of the conversations of one day, whose steps alone are read."""
+    return pr.complexity(process_steps(t), step_config(t), extract_date=EXTRACT_DATE)
 
 
 @query(

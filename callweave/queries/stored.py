@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callweave.operators import upserts as up
+from callweave.session import cut_lineage, scratch_path
+
 
 def stored_side(fresh: DataFrame, key: str, other_key: Column, old: dict[str, object], where: str = "true") -> DataFrame:
     """``fresh`` with the values of ``old`` where ``where`` holds, once under its own keys and once under ``other_key``."""
@@ -19,3 +24,19 @@ def stored_sql(prefix: str, select: str, key: str, other_key: str, old: dict[str
     parts = [f"{other_key} AS {key}", *[f"{v} AS {c}" for c, v in old.items()]]
     start = f"{prefix}, fresh AS" if prefix else "WITH fresh AS"
     return f"{start} ({select}) SELECT * FROM fresh UNION ALL SELECT * REPLACE ({', '.join(parts)}) FROM fresh WHERE {where}"
+
+
+def loaded(fresh: DataFrame, part: str, far: object, change: Callable, key: str, other_key: Column, old: dict[str, object], where: str = "true") -> DataFrame:
+    """A stored table, in folders by ``part``, after the load of ``fresh``: it held ``stored_side`` and the same rows in the folder
+    ``far``, which the batch does not touch."""
+    spark = fresh.sparkSession
+    fresh = cut_lineage(fresh)
+    path = scratch_path(spark, "stored")
+    untouched = fresh.filter(where).withColumn(part, F.lit(far).cast(fresh.schema[part].dataType))
+    up.replace_partitions(stored_side(fresh, key, other_key, old, where).unionByName(untouched), path, [part])
+    up.change_stored(path, fresh, [part], change)
+    return spark.read.schema(fresh.schema).parquet(path).select(*fresh.columns)
+
+
+def loaded_sql(select: str, part: str, far: str, key: str, other_key: str, old: dict[str, str], where: str = "true") -> str:
+    return stored_sql("", select, key, other_key, old, where) + f" UNION ALL SELECT * REPLACE ({far} AS {part}) FROM fresh WHERE {where}"

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callweave.sources import raw
 
 
+def start_month(at: Column) -> Column:
+    """yyyyMM as an integer: the folder of the stored star tables."""
+    return F.year(at) * 100 + F.month(at)
+
+
 def conversations(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     return orders.select(
@@ -15,6 +20,7 @@ def conversations(orders: DataFrame) -> DataFrame:
         F.col("o_orderdate").alias("conversationStart"),
         (F.col("o_orderdate") + F.expr("interval 1 hour")).alias("conversationEnd"),
         raw.day_number(F.col("o_orderdate")).alias("conversationStartDateId"),
+        start_month(F.col("o_orderdate")).alias("startMonth"),
         F.when(F.col("o_orderstatus") == "O", 2).otherwise(1).alias("originatingDirectionId"),
         F.when(key % 3 == 0, 5).when(key % 3 == 1, 1).otherwise(2).alias("initialSessionMediaTypeId"),
         F.concat(F.lit("site "), F.col("o_custkey") % 4).alias("location"),
@@ -132,3 +138,46 @@ def agents(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFra
         (F.col("s_acctbal") > 0).alias("active"),
         F.col("s_suppkey").alias("userNo"),
     )
+
+
+def ivr_events(orders: DataFrame) -> DataFrame:
+    return orders.filter("o_orderkey % 2 = 0").select(
+        F.col("o_orderkey").cast("string").alias("conversationId"),
+        F.lit("AuthenticationStatus").alias("eventName"),
+        F.col("o_orderstatus").alias("eventValue"),
+    )
+
+
+def menus(orders: DataFrame) -> DataFrame:
+    start = F.col("o_orderdate")
+    menu = F.array(
+        F.struct(F.lit(0).alias("index"), F.lit("main").alias("menuId"), raw.plus_seconds(start, F.lit(10)).alias("menuEntryTime"), raw.plus_seconds(start, F.lit(20)).alias("menuExitTime")),
+        F.struct(F.lit(1).alias("index"), F.lit("billing").alias("menuId"), raw.plus_seconds(start, F.lit(20)).alias("menuEntryTime"), F.lit(None).cast("timestamp").alias("menuExitTime")),
+    )
+    key = F.col("o_orderkey").cast("string").alias("conversationId")
+    return orders.filter("o_custkey % 3 = 0").select(key, F.explode(menu).alias("m")).select("conversationId", "m.*")
+
+
+def flows(orders: DataFrame) -> DataFrame:
+    who = F.col("o_custkey") % 4
+    return orders.filter(who != 0).select(
+        F.col("o_orderkey").cast("string").alias("conversationId"),
+        F.when(who == 1, "FLOW_DISCONNECT").otherwise("TRANSFER").alias("exitReason"),
+        F.when(who == 2, "ACD").otherwise("NONE").alias("transferType"),
+    )
+
+
+def actions(orders: DataFrame) -> DataFrame:
+    """Steps told by transcripts; some have no end."""
+    key, start = F.col("o_orderkey"), F.col("o_orderdate")
+    return orders.filter("o_orderkey % 7 = 1").select(
+        key.cast("string").alias("conversationId"),
+        F.lit("Talk").alias("category"),
+        F.lit("ask").alias("action"),
+        start.alias("startTime"),
+        F.when(key % 2 == 0, raw.plus_seconds(start, F.lit(60))).alias("endTime"),
+        F.lit("r").alias("contact_reason"),
+        F.lit("m").alias("main_inquiry"),
+        F.lit("c").alias("root_cause"),
+        F.lit("agent").alias("speaker"),
+    )

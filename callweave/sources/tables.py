@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callweave.session import scratch_path
-from callweave.sources import raw
+from callweave.sources import raw, star, writers
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
-# landed raw tables of this application: (application, folder, name) -> path
-_landed: dict[tuple[str, str, str], str] = {}
+#: Star tables that are stored by start month, each with its builder; all but the conversations get the month of their conversation.
+STAR = {
+    "conversations": lambda t: star.conversations(t.orders),
+    "participants": lambda t: star.participants(t.line_sessions()),
+    "segments": lambda t: star.segments(t.line_sessions()),
+    "metrics": lambda t: star.metrics(t.line_sessions()),
+    "insights": lambda t: star.insights(t.orders),
+    "contact_reasons": lambda t: star.contact_reasons(t.orders),
+    "ivr_events": lambda t: star.ivr_events(t.orders),
+    "menus": lambda t: star.menus(t.orders),
+    "flows": lambda t: star.flows(t.orders),
+    "actions": lambda t: star.actions(t.orders),
+}
+
+# what this application has landed, as frames that keep their file lists: (application, folder, name) -> frame
+_landed: dict[tuple[str, str, str], DataFrame] = {}
+# schemas of the given tables, so that reading one again needs no job
+_schemas: dict[tuple[str, str, str], object] = {}
 
 
 class Tables:
@@ -26,27 +43,57 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
+    def _key(self, name: str) -> tuple[str, str, str]:
+        return (self.spark.sparkContext.applicationId, self.folder, name)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if self._key(name) not in _schemas:
+            _schemas[self._key(name)] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[self._key(name)]).parquet(path)
 
-    def _land(self, name: str, build) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        rows = build()
-        if key not in _landed:
+    def forget(self) -> None:
+        """Land this folder's tables anew at their next use, after its files have changed."""
+        for kept in (_landed, _schemas):
+            for key in [k for k in kept if k[:2] == self._key("")[:2]]:
+                del kept[key]
+
+    def _land(self, name: str, write) -> DataFrame:
+        if self._key(name) not in _landed:
             path = scratch_path(self.spark, f"raw-{name}")
-            rows.write.parquet(path)
-            _landed[key] = path
-        return self.spark.read.schema(rows.schema).parquet(_landed[key])
+            schema = write(path)
+            _landed[self._key(name)] = self.spark.read.schema(schema).parquet(path)
+        return _landed[self._key(name)]
+
+    def _balanced(self, name: str, build) -> DataFrame:
+        def write(path):
+            rows = build()
+            writers.land_balanced(rows, path)
+            return rows.schema
+
+        return self._land(name, write)
 
     def conversation_details(self) -> DataFrame:
         """Nested conversation payloads, landed once as a raw table; reports read only the fields they use."""
-        return self._land(
-            "conversations",
-            lambda: raw.conversation_details(self.line_sessions()),
-        )
+        return self._balanced("conversations", lambda: raw.conversation_details(self.line_sessions()))
 
     def line_sessions(self) -> DataFrame:
         """Flat agent sessions, landed once; many tables start from them."""
-        return self._land("sessions", lambda: raw.line_sessions(self.lineitem))
+        return self._balanced("sessions", lambda: raw.line_sessions(self.lineitem))
+
+    def star(self, name: str) -> DataFrame:
+        """A star table as it is stored: one folder for each ``startMonth`` of the conversations, so that joins on
+        (startMonth, conversationId) read the months of the conversations they want and no others."""
+
+        def write(path):
+            rows = STAR[name](self)
+            if name != "conversations":
+                months = star.conversations(self.orders).select("conversationId", "startMonth")
+                rows = rows.join(months, "conversationId", "left")
+            rows = rows.select(*[c for c in rows.columns if c != "startMonth"], "startMonth")
+            rows.hint("rebalance", F.col("startMonth")).write.partitionBy("startMonth").parquet(path)
+            return rows.schema
+
+        return self._land(f"star {name}", write)

@@ -23,6 +23,17 @@ def write_sized(df: DataFrame, path: str, max_per_file: int) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", max_per_file).parquet(path)
 
 
+def land_balanced(df: DataFrame, path: str, max_per_file: int = 5_000_000) -> None:
+    """Parquet files for many readers: at least as many as the session has cores, none of more than ``max_per_file`` rows.
+
+    Only a source that comes in fewer splits than there are cores is dealt out anew; what has more splits is written as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # planning alone tells the number of splits
+    few = df.rdd.getNumPartitions() < cores
+    write_sized(df.repartition(cores) if few else df, path, max_per_file)
+
+
 def write_csv_snapshot(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV snapshot, replaced on each run. ``single_file`` is for dimensions only."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
