@@ -28,17 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.llm.common import documents, slices
+from callweave.llm.common import documents, release, slices
 from callweave.llm.registry import query
 from callweave.llm.tokens import Hashes, mix, tokens
 from callweave.session import cut_lineage, scratch_path
 
 #: Order of the query's model.
 ORDER = 2
-#: Words counted or scored at a time.
-STRETCH = 1 << 21
+#: Words counted at a time.
+STRETCH = 1 << 22
 #: Bytes of training text for each part of an order's table.
-PART_BYTES = 1 << 24
+PART_BYTES = 1 << 25
 #: Files a worker keeps mapped; the one not used for longest goes first.
 OPEN_FILES = 200
 
@@ -130,7 +130,9 @@ def _counted(level: int, order: int):
         if not parts:
             return
         key, x, y, first = (np.concatenate(p) for p in zip(*parts))
+        parts.clear()
         _, at, n = np.unique(key, return_index=True, return_counts=True)
+        del key
         # rows of one prefix side by side take less room in the shuffle
         by = np.argsort(x[at])
         at, n = at[by], n[by]
@@ -152,7 +154,7 @@ def _counted(level: int, order: int):
                 size += len(at)
                 if size >= STRETCH:
                     yield from flushed(parts)
-                    parts, size = [], 0
+                    size = 0
         yield from flushed(parts)
 
     return count
@@ -178,6 +180,7 @@ def _reduced(level: int, order: int, folder: str):
             return
         part = int(columns.pop("part")[0][0])
         all_ = {name: np.concatenate(c) for name, c in columns.items()}
+        columns.clear()
         x, y = (all_[c].view(np.uint64) if c in all_ else None for c in ("x", "y"))
         key = all_["key"].view(np.uint64) if "key" in all_ else pair_hash(x, y)
         by = np.argsort(key)
@@ -301,6 +304,9 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
                 rows = shorter
             rows = rows.repartitionById(1 << bits, part(F.col("key"))).withColumn("part", part(F.col("key")))
         out = cut_lineage(rows.mapInArrow(_reduced(k, order, place), f"{_ROW}, part int, path string, facts array<long>"))
+        # the longest n-grams' rows are the largest shuffle, and nothing reads them any more
+        del rows
+        release(spark)
         # a row for each file
         files = out.filter("path IS NOT NULL").select("part", "path", "facts").collect()
         shorter = out.filter("path IS NULL").drop("part", "path", "facts")
