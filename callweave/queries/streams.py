@@ -9,7 +9,7 @@ from callweave.queries.prelude import EVENTS, with_
 from callweave.queries.registry import query
 from callweave.session import scratch_path
 from callweave.sources import raw
-from callweave.streaming import boards
+from callweave.streaming import boards, states
 
 EVENT = T.StructType(
     [
@@ -87,9 +87,12 @@ def _zones(t):
        SELECT s::VARCHAR AS intervalStart, mediaType, queueId, total, timeZone FROM l QUALIFY d = max(d) OVER (PARTITION BY timeZone)""",
 )
 def latest_local_day(t):
-    m = raw.metric_events(t.events)
-    table = m.groupBy(F.window("eventTime", "15 minutes")["start"].alias("intervalStart"), "mediaType", "queueId").agg(F.sum("value").alias("total"))
-    return boards.latest_local_day(table, "intervalStart", _zones(t), ["queueId"])
+    out = scratch_path(t.spark, "newest-days")
+    rows = _stream(t).select("queueId", "mediaType", "eventTime", "value")
+    with states.rocks_state(t.spark):
+        windows = states.newest_day_windows(rows, "eventTime", _zones(t), "queueId", ["mediaType"], "value")
+        boards.run_available(windows, scratch_path(t.spark, "ck"), states.newest_day_board(out, "queueId", ["mediaType"]), mode="update")
+    return states.newest_days(t.spark.read.schema(windows.schema).parquet(out)).drop("day")
 
 
 @query(
@@ -103,25 +106,46 @@ def latest_status(t):
     return t.spark.read.parquet(out).drop("bucket")
 
 
+# fixed values: routing statuses and presences that the queue board counts
+ROUTING = {"click": "INTERACTING", "error": "NOT_RESPONDING", "purchase": "OFF_QUEUE", "view": "IDLE"}
+PRESENCES = ["AVAILABLE", "BREAK", "BUSY", "MEAL", "OFFLINE", "ON_QUEUE", "AWAY", "TRAINING"]
+HANDLING = {"waiting": "view", "interacting": "click"}
+
+
+def _agent_rows(t, rows):
+    """Events as what an agent does: routing status by the event's name, presence by its number."""
+    routing = F.create_map(*[F.lit(x) for pair in ROUTING.items() for x in pair])
+    return rows.select(
+        "userId", F.unix_micros("eventTime").alias("at"), "eventId", "queueId", "mediaType", "name",
+        routing[F.col("name")].alias("routing"), F.element_at(F.array(*map(F.lit, PRESENCES)), F.col("k") % 8 + 1).alias("presence"),
+    )
+
+
+def board_cells():
+    cells = {f"routing_{r.lower()}": F.col("routing") == r for r in ROUTING.values()}
+    cells |= {f"presence_{p.lower()}": F.col("presence") == p for p in PRESENCES}
+    return cells | {f"{c}_{m}": (F.col("name") == n) & (F.col("mediaType") == m) for c, n in HANDLING.items() for m in ("voice", "chat", "email")}
+
+
 @query(
     "st4_queue_board",
     with_(EVENTS)
-    + ", now AS (SELECT userId, arg_max(queueId, (ts, eventId)) AS queueId, arg_max(eventType, (ts, eventId)) AS eventType, arg_max(mediaType, (ts, eventId)) AS mediaType FROM ev GROUP BY 1)"
+    + ", now AS (SELECT userId, arg_max(queueId, (ts, eventId)) AS queueId, arg_max(eventType, (ts, eventId)) AS eventType, arg_max(mediaType, (ts, eventId)) AS mediaType, arg_max(k, (ts, eventId)) AS k FROM ev GROUP BY 1)"
     + "SELECT 'queue-' || s_suppkey AS queueId, "
-    + ", ".join(f"count(*) FILTER (WHERE eventType = '{n}' AND mediaType = '{m}') AS {c}_{m}" for n, c in (("view", "waiting"), ("click", "interacting")) for m in ("voice", "chat", "email"))
+    + ", ".join(
+        [f"count(*) FILTER (WHERE eventType = '{n}') AS routing_{r.lower()}" for n, r in ROUTING.items()]
+        + [f"count(*) FILTER (WHERE k % 8 = {i}) AS presence_{p.lower()}" for i, p in enumerate(PRESENCES)]
+        + [f"count(*) FILTER (WHERE eventType = '{n}' AND mediaType = '{m}') AS {c}_{m}" for c, n in HANDLING.items() for m in ("voice", "chat", "email")]
+    )
     + " FROM supplier LEFT JOIN now ON now.queueId = 'queue-' || s_suppkey GROUP BY 1",
 )
 def queue_board(t):
-    state, out = scratch_path(t.spark, "queue-state"), scratch_path(t.spark, "queue-board")
-    states = {"waiting": "view", "interacting": "click"}
-    cells = {f"{c}_{m}": (F.col("name") == n) & (F.col("mediaType") == m) for c, n in states.items() for m in ("voice", "chat", "email")}
+    out, cells = scratch_path(t.spark, "queue-board"), board_cells()
     queues = t.supplier.select(F.concat(F.lit("queue-"), "s_suppkey").alias("queueId"))
-    full = boards.full_board(queues, "queueId", list(cells))
-    rows = _stream(t).select("userId", "queueId", "mediaType", "name", "eventId", "eventTime")
-    newest = boards.upsert_newest(state, ["userId"], F.struct("eventTime", "eventId").desc())
-    sink = boards.current_board(newest, state, out, lambda now: full(boards.queue_counts(now, "queueId", cells)))
-    boards.run_available(rows, scratch_path(t.spark, "ck"), sink)
-    return boards.newest_board(t.spark, out)
+    with states.rocks_state(t.spark):
+        changes = states.changes_of_state(_agent_rows(t, _stream(t)), "userId", ["at", "eventId"], ["queueId", "mediaType", "name", "routing", "presence"])
+        boards.run_available(changes, scratch_path(t.spark, "ck"), states.counted_board(out, "queueId", cells), mode="update")
+    return boards.full_board(queues, "queueId", list(cells))(boards.newest_board(t.spark, out))
 
 
 @query(
