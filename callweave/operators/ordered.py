@@ -123,14 +123,33 @@ def _split(df, keys, order, row_number, lag, lead, running_max, running_sum):
 
 
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, split: bool = False) -> DataFrame:
-    """``rank()`` with ties. Split, the rows per distinct order value are counted first and the counts run up."""
+    """``rank()`` with ties, ascending in ``order`` (nulls first). ``split`` spreads the rows of each key over tasks, also rows
+    that tie, at the cost of one written table; ``df`` is read once."""
     if not split:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    steps = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_ties"))
-    steps = with_ordered(steps, keys, order, running_sum={"_upto": "_ties"}, split=True)
-    steps = steps.withColumn(name, F.col("_upto") - F.col("_ties") + 1).drop("_upto", "_ties")
-    on = same_keys("d", "s", [*keys, *order])
-    return df.alias("d").join(steps.alias("s"), on).select("d.*", f"s.{name}")
+    # rows that tie may go to several partitions, so their number sets no bound on a task
+    spread = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys, *order, "_row").drop("_row")
+    ranged = cut_lineage(spread.withColumn("_pid", F.spark_partition_id()))
+    part = [*keys, "_pid"]
+    at = F.struct(*[F.col(f"`{c}`") for c in order])
+    local = ranged.withColumn("_rank", F.rank().over(Window.partitionBy(*part).orderBy(*order)))
+    # one row per (key, partition): its number of rows, its last value and the rank of that inside the partition
+    pieces = local.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.max(at).alias("_last"), F.max("_rank").alias("_lastRank"))
+    w = Window.partitionBy(*keys).orderBy("_pid")
+    pieces = pieces.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_prev": F.lag("_last").over(w),
+        "_pieceNo": F.row_number().over(w),
+    })
+    # a partition whose last value is that of the one before holds nothing else, and passes its rank on
+    begun = (F.col("_pieceNo") == 1) | ~F.col("_last").eqNullSafe(F.col("_prev"))
+    pieces = pieces.withColumn("_carry", F.when(begun, F.col("_before") + F.col("_lastRank")))
+    carried = F.last("_carry", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.select(*part, "_before", "_prev", "_pieceNo", carried.alias("_carried"))
+    joined = local.alias("d").join(pieces.alias("c"), same_keys("d", "c", part))
+    ties = (F.col("c._pieceNo") > 1) & F.struct(*[F.col(f"d.`{c}`") for c in order]).eqNullSafe(F.col("c._prev"))
+    rank = F.when(ties, F.col("c._carried")).otherwise(F.col("c._before") + F.col("d._rank")).cast("long")
+    return joined.select(*[F.col(f"d.`{c}`") for c in df.columns], rank.alias(name))
 
 
 def number_all(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:

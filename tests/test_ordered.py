@@ -57,3 +57,22 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "key string, at long, v long")
     assert ordered.with_ordered(empty, ["key"], ["at"], **OPS).count() == 0
     assert ordered.number_all(empty, ["at"], "no").count() == 0
+
+
+@pytest.mark.parametrize("values", [1, 3, 40])
+def test_rank_of_ties_over_several_partitions(spark, values):
+    """A tie may fill whole partitions; its rows rank alike wherever they are."""
+    rnd = random.Random(values)
+    data = [("hot" if i % 2 else f"k{i % 7}", rnd.choice([None, *range(values - 1)]), rnd.randrange(2)) for i in range(2000)]
+    df = spark.createDataFrame(data, "key string, score long, part long").repartition(4)
+    plain = ordered.with_rank(df, ["key"], ["score", "part"], "rnk")
+    split = ordered.with_rank(df, ["key"], ["score", "part"], "rnk", split=True)
+    assert rows(split) == rows(plain) and split.columns == plain.columns
+    assert split.schema["rnk"].dataType == plain.schema["rnk"].dataType
+
+
+def test_rank_reads_its_input_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 3 as key", "id % 10 as score").write.parquet(f"{tmp_path}/once")
+    df = ordered.with_rank(spark.read.parquet(f"{tmp_path}/once"), ["key"], ["score"], "rnk", split=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_path}/once" not in plan and "Exchange rangepartitioning" not in plan
