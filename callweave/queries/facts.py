@@ -395,6 +395,11 @@ def _versions(t):
     return d.unionByName(later)
 
 
+def _newest(t):
+    """The newest payloads, stored once for all tables that are made of them."""
+    return t.staged("newest payloads", lambda: star.latest_payloads(_versions(t)), shuffled=True)
+
+
 DATE_ID = "CAST(strftime(segmentStart, '%Y%m%d') AS INTEGER) AS conversationStartDateId"
 MEDIA_ID = "CASE mediaType WHEN 'voice' THEN 1 WHEN 'chat' THEN 2 ELSE 3 END"
 DIRECTION_ID = "CASE WHEN mediaType = 'chat' OR originatingDirection = 'outbound' THEN 2 ELSE 1 END"
@@ -409,7 +414,7 @@ ONCE = SESSIONS.replace("FROM lineitem))", "FROM (SELECT * FROM lineitem QUALIFY
          {MEDIA_ID} AS initialSessionMediaTypeId, {DIRECTION_ID} AS originatingDirectionId, returnFlag AS location, FALSE AS hasManuallyEvaluated FROM lines""",
 )
 def star_conversations(t):
-    return star.conversations(_versions(t))
+    return star.conversations(_newest(t))
 
 
 @query(
@@ -418,7 +423,7 @@ def star_conversations(t):
     + f"""SELECT sessionId AS conversationId, sessionId || suffix AS participantId, purpose || ' party' AS participantName, purpose, userId, {DATE_ID} FROM sessions""",
 )
 def star_participants(t):
-    return star.participants(_versions(t))
+    return star.participants(_newest(t))
 
 
 @query(
@@ -428,7 +433,7 @@ def star_participants(t):
          {MEDIA_ID} AS mediaTypeId, {DATE_ID} FROM sessions""",
 )
 def star_sessions(t):
-    return star.sessions(_versions(t))
+    return star.sessions(_newest(t))
 
 
 @query(
@@ -438,7 +443,7 @@ def star_sessions(t):
          CASE WHEN lineNumber = 7 THEN 'error.transfer' END AS errorCode, {DATE_ID.replace("segmentStart", "segments.segmentStart")} FROM segments""",
 )
 def star_segments(t):
-    return star.segments(_versions(t))
+    return star.segments(_newest(t))
 
 
 @query(
@@ -448,7 +453,7 @@ def star_segments(t):
          emitDate::VARCHAR AS eventTime, name, CAST(value AS FLOAT) AS value, {DATE_ID} FROM metrics""",
 )
 def star_metrics(t):
-    return star.metrics(_versions(t))
+    return star.metrics(_newest(t))
 
 
 @query(
@@ -458,7 +463,7 @@ def star_metrics(t):
          CASE WHEN returnFlag = 'R' THEN 'TRANSFER' ELSE 'DISCONNECT' END AS exitReason, 'ACD' AS transferType FROM lines WHERE lineNumber % 2 = 1""",
 )
 def star_flows(t):
-    return star.flows(_versions(t))
+    return star.flows(_newest(t))
 
 
 @query(
@@ -468,7 +473,7 @@ def star_flows(t):
          segmentStart::VARCHAR AS startTime, talkEnd::VARCHAR AS endTime FROM lines WHERE lineNumber % 2 = 1""",
 )
 def star_flow_outcomes(t):
-    return star.flow_outcomes(_versions(t))
+    return star.flow_outcomes(_newest(t))
 
 
 @query(

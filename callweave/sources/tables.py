@@ -67,21 +67,24 @@ class Tables:
             _landed[self._key(name)] = self.spark.read.schema(schema).parquet(path)
         return _landed[self._key(name)]
 
-    def _balanced(self, name: str, build) -> DataFrame:
+    def staged(self, name: str, build, shuffled: bool = False) -> DataFrame:
+        """``build()`` stored once under ``name``, in files for as many readers as the session has cores; what comes out of a
+        shuffle is written as it is spread by that."""
+
         def write(path):
             rows = build()
-            writers.land_balanced(rows, path)
+            (writers.write_sized if shuffled else writers.land_balanced)(rows, path)
             return rows.schema
 
         return self._land(name, write)
 
     def conversation_details(self) -> DataFrame:
         """Nested conversation payloads, landed once as a raw table; reports read only the fields they use."""
-        return self._balanced("conversations", lambda: raw.conversation_details(self.line_sessions()))
+        return self.staged("conversations", lambda: raw.conversation_details(self.line_sessions()))
 
     def line_sessions(self) -> DataFrame:
         """Flat agent sessions, landed once; many tables start from them."""
-        return self._balanced("sessions", lambda: raw.line_sessions(self.lineitem))
+        return self.staged("sessions", lambda: raw.line_sessions(self.lineitem))
 
     def star(self, name: str) -> DataFrame:
         """A star table as it is stored: one folder for each ``startMonth`` of the conversations, so that joins on

@@ -18,7 +18,7 @@ CSV_OPTIONS = {
 }
 
 
-def write_sized(df: DataFrame, path: str, max_per_file: int) -> None:
+def write_sized(df: DataFrame, path: str, max_per_file: int = 5_000_000) -> None:
     """Parquet files of ``max_per_file`` rows at most; tasks start a new file when one is full."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max_per_file).parquet(path)
 
@@ -27,6 +27,7 @@ def land_balanced(df: DataFrame, path: str, max_per_file: int = 5_000_000) -> No
     """Parquet files for many readers: at least as many as the session has cores, none of more than ``max_per_file`` rows.
 
     Only a source that comes in fewer splits than there are cores is dealt out anew; what has more splits is written as it is.
+    For rows that come from a scan without a shuffle, whose splits are known before anything runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     # planning alone tells the number of splits

@@ -10,6 +10,7 @@ import __spark_entry__  # noqa: F401
 from callweave.operators import joins as jn
 from callweave.operators import upserts as up
 from callweave.plans import process as pr
+from callweave.plans import star
 from callweave.queries.registry import REGISTRY
 from callweave.sources import writers
 from callweave.sources.tables import Tables
@@ -97,3 +98,19 @@ def test_change_inside_the_folders_of_the_batch(spark, tmp_path):
         up.change_stored(path, frame([(7, "g", None)]), ["day"], merge)
     with pytest.raises(up.DuplicateKeys):
         up.change_stored(path, frame([(7, "g", "d1"), (7, "h", "d1")]), ["day"], merge)
+
+
+def test_star_tables_come_from_one_pass_over_the_payloads(spark, tmp_path):
+    details = Tables(spark, FOLDER).conversation_details().limit(300).withColumn("recordInsertTime", F.lit(1))
+    stale = details.withColumns({"recordInsertTime": F.lit(0), "originatingDirection": F.lit("outbound")})
+    got = star.store_all(stale.unionByName(details), str(tmp_path))
+    assert sorted(got) == sorted(star.FROM_PAYLOADS)
+    newest = star.latest_payloads(details)
+    for name, table in got.items():
+        assert rows(table) == rows(getattr(star, name)(newest)), name
+
+
+@pytest.mark.parametrize("name", ["d12_conversations", "d12_participants", "d12_sessions", "d12_segments", "d12_metrics", "d13_flows", "d13_flow_outcomes"])
+def test_star_tables_need_no_shuffle_of_their_own(spark, name):
+    text = plan(REGISTRY[name](spark, FOLDER))
+    assert "Exchange hashpartitioning" not in text and "WindowGroupLimit" not in text
