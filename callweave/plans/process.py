@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callweave.operators import aggregates as ag
@@ -114,6 +114,7 @@ class MapInputs:
     teams: DataFrame
     queues: DataFrame
     wrap_up_codes: DataFrame
+    flow_metrics: DataFrame | None = None
 
 
 # fixed values: metric events of the map with their step and level
@@ -124,7 +125,7 @@ METRIC_STEPS = [
     ("tHeld", "Hold", 400),
 ]
 KEY, MONTH = "conversationId", "startMonth"
-FACTS = ["participants", "segments", "metrics", "ivr_events", "menus", "flows", "actions", "insights", "contact_reasons"]
+FACTS = ["participants", "segments", "metrics", "ivr_events", "menus", "flows", "actions", "insights", "contact_reasons", "flow_metrics"]
 
 
 def started_since(conversations: DataFrame, date_id: int) -> DataFrame:
@@ -135,29 +136,28 @@ def started_since(conversations: DataFrame, date_id: int) -> DataFrame:
 def limited(i: MapInputs) -> MapInputs:
     """All facts limited to the wanted conversations; each stored table is read in the folders of their months only."""
     wanted = i.conversations.select(MONTH, KEY)
-    return replace(i, **{t: jn.of_wanted(getattr(i, t), wanted, MONTH, [KEY]).drop(MONTH) for t in FACTS})
+    facts = [t for t in FACTS if getattr(i, t) is not None]
+    return replace(i, **{t: jn.of_wanted(getattr(i, t), wanted, MONTH, [KEY]).drop(MONTH) for t in facts})
 
 
-def map_events(i: MapInputs) -> DataFrame:
-    """Steps of a conversation from all sources, with missing times filled; the facts are limited to the conversations."""
-    none = F.lit(None).cast("timestamp")
+def _step(df: DataFrame, start: Column, end: Column, name: Column, level: Column, kind: str) -> DataFrame:
+    return df.select(
+        KEY, start.alias("eventStart"), end.alias("eventEnd"), name.alias("eventName"), level.cast("int").alias("level"), F.lit(kind).alias("eventType")
+    )
 
-    def step(df, start, end, name, level, kind):
-        return df.select(
-            KEY, start.alias("eventStart"), end.alias("eventEnd"), name.alias("eventName"), level.cast("int").alias("level"), F.lit(kind).alias("eventType")
-        )
 
-    start = F.col("conversationStart")
-    caller = step(i.conversations, start, start + F.expr("interval 1 millisecond"), F.lit("Start"), F.lit(0), "caller")
-    auth = step(
-        i.ivr_events.filter("eventName = 'AuthenticationStatus'"),
-        none,
-        none,
-        F.concat("eventName", F.lit(": "), "eventValue"),
-        F.lit(2),
-        "authStatus",
-    )
-    menu = step(i.menus, F.col("menuEntryTime"), F.col("menuExitTime"), F.col("menuId"), 3 + F.col("index"), "menu")
+def _ivr_steps(i: MapInputs, start_level: int) -> DataFrame:
+    """Start of the call, authentication and menus."""
+    none, start = F.lit(None).cast("timestamp"), F.col("conversationStart")
+    caller = _step(i.conversations, start, start + F.expr("interval 1 millisecond"), F.lit("Start"), F.lit(start_level), "caller")
+    asked = i.ivr_events.filter("eventName = 'AuthenticationStatus'")
+    auth = _step(asked, none, none, F.concat("eventName", F.lit(": "), "eventValue"), F.lit(2), "authStatus")
+    menu = _step(i.menus, F.col("menuEntryTime"), F.col("menuExitTime"), F.col("menuId"), 3 + F.col("index"), "menu")
+    return caller.unionByName(auth).unionByName(menu)
+
+
+def map_events(i: MapInputs) -> DataFrame:
+    """Steps of a conversation from all sources, with missing times filled; the facts are limited to the conversations."""
     lo, hi = F.min("segmentStart").alias("s"), F.max("segmentEnd").alias("e")
     inside = i.participants.filter(~F.col("purpose").isin("customer", "external")).select(KEY, "participantId")
     queue = (
@@ -181,13 +181,17 @@ def map_events(i: MapInputs) -> DataFrame:
         )
     )
     every = (
-        caller.unionByName(auth)
-        .unionByName(menu)
-        .unionByName(step(queue, F.col("s"), F.col("e"), F.lit("Queue"), F.lit(100), "queue"))
-        .unionByName(step(agent, F.col("s"), F.col("e"), F.lit("Agent"), F.lit(200), "agent"))
+        _ivr_steps(i, 0)
+        .unionByName(_step(queue, F.col("s"), F.col("e"), F.lit("Queue"), F.lit(100), "queue"))
+        .unionByName(_step(agent, F.col("s"), F.col("e"), F.lit("Agent"), F.lit(200), "agent"))
         .unionByName(handled)
         .distinct()
     )
+    return _filled(every)
+
+
+def _filled(every: DataFrame) -> DataFrame:
+    """Times of authentication from the step before it, missing ends from the start of the next step."""
     after = ordered.with_ordered(every, [KEY], ["level", "eventName", "eventStart", "eventEnd"], lag={"_prev": "eventEnd"})
     filled = F.col("_prev") + F.expr("interval 1 millisecond")
     is_auth = F.col("eventType") == "authStatus"
@@ -203,6 +207,54 @@ def map_events(i: MapInputs) -> DataFrame:
     return ended.withColumn("eventEnd", F.coalesce("eventEnd", "_next", "eventStart")).drop("_next")
 
 
+def _people(i: MapInputs) -> tuple[DataFrame, DataFrame]:
+    """Names of the users and of their teams, as sorted text."""
+    members = i.participants.filter("userId is not null").select(KEY, "userId").distinct()
+    # people are named only for conversations that went through a known queue
+    queued = i.segments.join(i.queues.select("queueId"), "queueId", "left_semi").select(KEY).distinct()
+    members = members.join(queued, KEY, "left_semi")
+    users = ag.text_lists(members.join(i.users.select("userId", "userName"), "userId"), [KEY], "userName", "userNames")
+    teams = ag.text_lists(members.join(i.teams.select("userId", "teamName"), "userId"), [KEY], "teamName", "teamNames")
+    return users, teams
+
+
+def ivr_map(i: MapInputs) -> DataFrame:
+    """Export of calls through the IVR: start, authentication, flows, menus, queues and agents, numbered by their first segment,
+    with how the flow ended and who took part. Steps without any time are left out, and so are repeated rows."""
+    i = limited(i)
+    lo, hi = F.min("segmentStart").alias("s"), F.max("segmentEnd").alias("e")
+    spent = i.flow_metrics.filter("name = 'tFlow'").select(KEY, "sessionId", "eventTime", "value")
+    flow = i.flows.select(KEY, "sessionId", "flowName").join(spent, [KEY, "sessionId"])
+    begun = F.timestamp_millis(F.unix_millis("eventTime") - F.col("value"))
+    inside = i.participants.filter("purpose <> 'customer'").select(KEY, "participantId")
+    queue = i.segments.join(inside, [KEY, "participantId"], "left_semi").join(i.queues.select("queueId", "queueName"), "queueId").groupBy(KEY, "queueName").agg(lo, hi)
+    handlers = i.participants.filter("userId is not null").select(KEY, "participantId", "userId")
+    agent = i.segments.join(handlers, [KEY, "participantId"]).groupBy(KEY, "userId").agg(lo, hi)
+    agent = ordered.with_ordered(agent, [KEY], ["s", "userId"], row_number="no")
+    every = (
+        _ivr_steps(i, 1)
+        .unionByName(_step(flow, begun, F.col("eventTime"), F.concat(F.lit("Flow: "), "flowName"), F.lit(3), "flow"))
+        .unionByName(_step(queue, F.col("s"), F.col("e"), F.concat(F.lit("Queue: "), "queueName"), F.lit(100), "queue"))
+        .unionByName(_step(agent, F.col("s"), F.col("e"), F.concat(F.lit("Agent "), "no"), F.lit(200), "agent"))
+        .distinct()
+    )
+    menu = F.concat(F.lit("Menu: "), F.regexp_replace("eventName", "_", " "))
+    steps = _filled(every).select(KEY, F.when(F.col("eventType") == "menu", menu).otherwise(F.col("eventName")).alias("category"), "eventStart", "eventEnd")
+    facts = i.conversations.select(KEY, "location", "originatingDirectionId", F.col("initialSessionMediaTypeId").alias("mediaTypeId"))
+    auth = i.ivr_events.filter("eventName = 'AuthenticationStatus'").groupBy(KEY).agg(F.max("eventValue").alias("AuthenticationStatus"))
+    ended = {
+        "isIVRSuccess": F.col("exitReason") == "FLOW_DISCONNECT",
+        "isIVRAbandon": F.col("exitReason") == "DISCONNECTED",
+        "isIVRError": F.col("exitReason") == "FLOW_ERROR_DISCONNECT",
+        "hasIVRToQueueTransfer": (F.col("exitReason") == "TRANSFER") & F.col("transferType").isin("ACD", "ACD_VOICEMAIL"),
+    }
+    ways = i.flows.groupBy(KEY).agg(*[F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in ended.items()])
+    out = steps.filter("eventEnd is not null").join(facts, KEY)
+    for extra in (auth, ways, *_people(i)):
+        out = out.join(extra, KEY, "left")
+    return out.withColumns({n: F.coalesce(n, F.lit(False)) for n in ended}).distinct()
+
+
 def process_map(i: MapInputs) -> DataFrame:
     """Process map rows: every step with the facts of its conversation.
 
@@ -254,12 +306,7 @@ def process_map(i: MapInputs) -> DataFrame:
     auth = i.ivr_events.filter("eventName = 'AuthenticationStatus'").groupBy(KEY).agg(F.max("eventValue").alias("AuthenticationStatus"))
     left = i.flows.select(KEY, F.when(F.col("exitReason") == "FLOW_DISCONNECT", "resolved").alias("_flow")).groupBy(KEY).agg(F.max("_flow").alias("_flow"))
     told = i.insights.groupBy(KEY).agg(F.max("resolved").alias("_told"))
-    members = i.participants.filter("userId is not null").select(KEY, "userId").distinct()
-    # people are named only for conversations that went through a known queue
-    queued = i.segments.join(i.queues.select("queueId"), "queueId", "left_semi").select(KEY).distinct()
-    members = members.join(queued, KEY, "left_semi")
-    users = ag.text_lists(members.join(i.users.select("userId", "userName"), "userId"), [KEY], "userName", "userNames")
-    teams = ag.text_lists(members.join(i.teams.select("userId", "teamName"), "userId"), [KEY], "teamName", "teamNames")
+    users, teams = _people(i)
     last_queue = cv.last_segments(i.segments.withColumnRenamed("participantId", "sessionId"), [KEY]).join(i.queues, "queueId").select(
         KEY, F.col("queueName").alias("finalQueueName")
     )

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from callweave.operators import upserts as up
+from callweave.operators.projections import without_listed
 from callweave.plans import conversations as cv
 from callweave.plans import process as pr
 from callweave.plans import transcripts as tr
@@ -288,6 +289,33 @@ def process_map(t):
     return pr.process_map(map_inputs(t))
 
 
+IVR_MAP = MAP + """, v0 AS (SELECT conversationId, conversationStart AS s, conversationStart + INTERVAL 1 MILLISECOND AS e, 'Start' AS n, 1 AS l FROM c
+    UNION SELECT c.conversationId, conversationStart + INTERVAL 2 MILLISECOND, conversationStart + INTERVAL 2 MILLISECOND, 'AuthenticationStatus: ' || o_orderstatus, 2 FROM c JOIN orders USING (o_orderkey) WHERE c.o_orderkey % 2 = 0
+    UNION SELECT conversationId, conversationStart + INTERVAL 40 SECOND - to_milliseconds(o_custkey % 30 * 1000 + 250), conversationStart + INTERVAL 40 SECOND, 'Flow: Flow ' || (o_orderkey % 3), 3 FROM c WHERE o_custkey % 4 <> 0
+    UNION SELECT conversationId, conversationStart + INTERVAL 10 SECOND, conversationStart + INTERVAL 20 SECOND, 'Menu: main', 3 FROM c WHERE o_custkey % 3 = 0
+    UNION SELECT conversationId, conversationStart + INTERVAL 20 SECOND, NULL, 'Menu: billing', 4 FROM c WHERE o_custkey % 3 = 0
+    UNION SELECT conversationId, min(segmentStart), max(segmentEnd), 'Queue: ' || queueName, 100 FROM seg JOIN que USING (queueId) JOIN c USING (conversationId) GROUP BY conversationId, queueName
+    UNION SELECT conversationId, s, e, 'Agent ' || row_number() OVER (PARTITION BY conversationId ORDER BY s, userId), 200 FROM (
+      SELECT conversationId, userId, min(segmentStart) AS s, max(segmentEnd) AS e FROM seg JOIN prt USING (conversationId, participantId) JOIN c USING (conversationId) WHERE userId IS NOT NULL GROUP BY conversationId, userId)),
+  v1 AS (SELECT conversationId, s, coalesce(e, lead(s) OVER (PARTITION BY conversationId ORDER BY s NULLS FIRST, l, n, e NULLS FIRST), s) AS e, n FROM v0)"""
+
+
+@query(
+    "d18_ivr_export",
+    with_(MART)
+    + IVR_MAP
+    + """ SELECT DISTINCT v1.conversationId, n AS category, s::VARCHAR AS eventStart, e::VARCHAR AS eventEnd, location, originatingDirectionId, mediaTypeId, CASE WHEN c.o_orderkey % 2 = 0 THEN o_orderstatus END AS AuthenticationStatus,
+         c.o_custkey % 4 = 1 AS isIVRSuccess, c.o_custkey % 4 = 3 AND c.o_orderkey % 2 = 0 AS isIVRAbandon, c.o_custkey % 4 = 3 AND c.o_orderkey % 2 = 1 AS isIVRError, c.o_custkey % 4 = 2 AS hasIVRToQueueTransfer, userNames, teamNames
+       FROM v1 JOIN c USING (conversationId) JOIN orders ON orders.o_orderkey = c.o_orderkey
+       LEFT JOIN (SELECT conversationId, string_agg(DISTINCT userName, ',' ORDER BY userName) AS userNames, string_agg(DISTINCT teamName, ',' ORDER BY teamName) AS teamNames FROM ppl JOIN agt USING (userId) GROUP BY 1) u ON u.conversationId = c.conversationId
+       WHERE e IS NOT NULL AND trim(n) NOT IN ('Start', 'Menu: main')""",
+)
+def ivr_export(t):
+    listed = t.region.select(F.explode(F.array(F.lit("Start "), F.lit(" Menu: main"))).alias("phrase"))
+    i = replace(map_inputs(t), flow_metrics=t.star("flow_metrics"))
+    return without_listed(pr.ivr_map(i), "category", listed, "phrase")
+
+
 #: First day of the reports on recent conversations.
 SINCE = 20010601
 
@@ -325,8 +353,6 @@ def labelled_steps(t):
     + """ SELECT DISTINCT conversationId, category, s::VARCHAR AS eventStart, e::VARCHAR AS eventEnd FROM rw JOIN c USING (conversationId) WHERE e IS NOT NULL AND trim(category) NOT IN ('Start', 'Hold', 'Menu: main')""",
 )
 def curated_steps(t):
-    from callweave.operators.projections import without_listed
-
     listed = t.region.select(F.explode(F.array(F.lit("Start "), F.lit("Hold"), F.lit(" Menu: main"))).alias("phrase"))
     rows = pr.process_map(map_inputs(t))
     return without_listed(rows, "category", listed, "phrase").select("conversationId", "category", "eventStart", "eventEnd").distinct()

@@ -159,14 +159,28 @@ def menus(orders: DataFrame) -> DataFrame:
 
 
 def flows(orders: DataFrame) -> DataFrame:
-    who = F.col("o_custkey") % 4
+    who, key = F.col("o_custkey") % 4, F.col("o_orderkey")
+    left = F.when(who == 1, "FLOW_DISCONNECT").when(who == 2, "TRANSFER").when(key % 2 == 0, "DISCONNECTED").otherwise("FLOW_ERROR_DISCONNECT")
     return orders.filter(who != 0).select(
-        F.col("o_orderkey").cast("string").alias("conversationId"),
-        F.when(who == 1, "FLOW_DISCONNECT").otherwise("TRANSFER").alias("exitReason"),
+        key.cast("string").alias("conversationId"),
+        F.concat(key, F.lit("-f")).alias("sessionId"),
+        F.concat(F.lit("Flow "), key % 3).alias("flowName"),
+        left.alias("exitReason"),
         F.when(who == 2, "ACD").otherwise("NONE").alias("transferType"),
     )
 
 
+def flow_metrics(orders: DataFrame) -> DataFrame:
+    """Time spent in a flow, recorded when it ends."""
+    return orders.filter("o_custkey % 4 <> 0").select(
+        F.col("o_orderkey").cast("string").alias("conversationId"),
+        F.concat("o_orderkey", F.lit("-f")).alias("sessionId"),
+        raw.plus_seconds(F.col("o_orderdate"), F.lit(40)).alias("eventTime"),
+        F.lit("tFlow").alias("name"),
+        (F.col("o_custkey") % 30 * 1000 + 250).cast("long").alias("value"),
+    )
+
+
 def actions(orders: DataFrame) -> DataFrame:
     """Steps told by transcripts; some have no end."""
     key, start = F.col("o_orderkey"), F.col("o_orderdate")

@@ -24,6 +24,7 @@ STAR = {
     "ivr_events": lambda t: star.ivr_events(t.orders),
     "menus": lambda t: star.menus(t.orders),
     "flows": lambda t: star.flows(t.orders),
+    "flow_metrics": lambda t: star.flow_metrics(t.orders),
     "actions": lambda t: star.actions(t.orders),
 }
 
