@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callweave.session import cut_lineage
@@ -17,11 +17,9 @@ def components(links: DataFrame) -> DataFrame:
     split by Spark. Links with nulls and links of an id to itself are left out; repeated links count once.
     """
     links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = cut_lineage(links.distinct())
-    state = _state(links)
-    while True:
-        links = cut_lineage(_small_star(_large_star(links)))
-        new = _state(links)
+    links, state = _written(links.distinct())
+    while state[0]:
+        links, new = _written(_small_star(_large_star(links)))
         if new == state:
             break
         state = new
@@ -30,8 +28,11 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written links, and their number and the sum of their hashes, gathered while they are written."""
+    seen = Observation()
+    out = cut_lineage(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")))
+    return out, (seen.get["n"], seen.get["sum"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:
