@@ -66,3 +66,29 @@ def facet(branches: Sequence[DataFrame]) -> DataFrame:
 def entries(df: DataFrame, keep: Sequence[str], path: str) -> DataFrame:
     """Object to (key, value) rows."""
     return df.select(*keep, F.explode(F.map_entries(path)).alias("_e")).select(*keep, F.col("_e.key").alias("k"), F.col("_e.value").alias("v"))
+
+
+def parsed(text: Column) -> Column:
+    """A JSON document of any shape as a variant; null for text that is no JSON."""
+    return F.try_parse_json(text)
+
+
+def at(doc: Column, path: str, kind: str = "string") -> Column:
+    """Value at a path of a variant as ``kind``; null where the document lacks it or has something else there."""
+    return F.try_variant_get(doc, f"$.{path}", kind)
+
+
+def id_at(doc: Column, path: str) -> Column:
+    """An id, given plainly or as an object with ``oid``."""
+    return F.coalesce(at(doc, f"{path}.oid"), at(doc, path))
+
+
+def time_at(doc: Column, path: str) -> Column:
+    """A time, given as text, as epoch milliseconds or as an object with ``$date`` in milliseconds."""
+    wrapped = F.timestamp_millis(at(doc, f"{path}['$date']", "long"))
+    return F.coalesce(wrapped, text_time(at(doc, path)), F.timestamp_millis(at(doc, path, "long")))
+
+
+def entries_at(doc: Column, path: str) -> Column:
+    """Elements of an array at a path as variants; anything else there is one element, nothing is one null."""
+    return F.coalesce(at(doc, path, "array<variant>"), F.array(at(doc, path, "variant")))

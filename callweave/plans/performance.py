@@ -223,6 +223,43 @@ def coaching_journeys(docs: DataFrame, user_docs: DataFrame, zone: str, start: s
     )
 
 
+# fixed values: kinds of coaching actions in documents and in column names, and fields that are copied as they are
+ACTIONS = {"lms": "LMS", "article": "Article", "recorded_call": "RecordedCall", "one_on_one": "OneOnOne"}
+COPIED = ["kpi_name", "trek_global_state", "action_complete", "feedback_given", "action_start", "discovery_complete", "discovery_start", "action_completed"]
+
+
+def coaching_documents(texts: DataFrame, leads: DataFrame, zone: str, start: str) -> DataFrame:
+    """Coaching journeys out of JSON documents whose fields come, go and change type, one row per survey and feedback entry.
+
+    ``texts`` has ``document``; ``leads`` has ``team`` and ``teamlead_name``, and documents of other teams are left out. Documents not
+    updated since ``start`` and texts that are no JSON are left out too. Times are text in ``zone``, measures are numbers, whether
+    the document gives them as numbers or as text.
+    """
+    docs = texts.select(dc.parsed(F.col("document")).alias("d"))
+    d = F.col("d")
+    docs = docs.filter(dc.time_at(d, "updatedAt") >= F.to_timestamp(F.lit(start)))
+
+    def told(path, doc=d):
+        return dc.zone_text(dc.time_at(doc, path), zone, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    columns = {"trek_id": dc.id_at(d, "_id"), **{c: dc.id_at(d, c) for c in ("team_id", "agent_id", "team_leader_id", "kpi_id", "campaign_id")}}
+    columns |= {c: dc.at(d, c) for c in COPIED}
+    columns |= {"trek_date": told("trek_date"), "discoveryStart": told("discovery.start"), "discoveryEnd": told("discovery.end")}
+    for field, label in ACTIONS.items():
+        columns |= {f"action{label}Start": told(f"action.{field}.start"), f"action{label}End": told(f"action.{field}.end")}
+        columns |= {f"action{label}Link": dc.at(d, f"action.{field}.link"), f"action{label}State": dc.at(d, f"action.{field}.state")}
+        columns |= {f"score{label}": dc.at(d, f"score.{field}", "double")}
+    columns |= {"actionActionState": dc.at(d, "action.action.state"), "actionState": dc.at(d, "action.state")}
+    columns |= {"actionGoalTarget": dc.at(d, "action.goal.goal_target", "double"), "orgId": F.lower(dc.at(d, "organization_id"))}
+    rows = docs.select(*[v.alias(k) for k, v in columns.items()], dc.entries_at(d, "discovery.survey").alias("_s"), dc.entries_at(d, "nfeedback").alias("_f"))
+    rows = rows.withColumn("_s", F.explode("_s")).withColumn("_f", F.explode("_f"))
+    s, f = F.col("_s"), F.col("_f")
+    asked = {"Survey_question": dc.at(s, "question"), "Survey_value": dc.at(s, "value"), "Survey_score": dc.at(s, "score", "double"), "Survey_type": dc.at(s, "type")}
+    asked |= {"Feedback_question": dc.at(f, "question"), "Feedback_answer": dc.at(f, "answer"), "Feedback_value": dc.at(f, "value", "double")}
+    out = rows.select(*columns, *[v.alias(k) for k, v in asked.items()])
+    return out.join(leads.select(F.col("team").alias("team_id"), "teamlead_name"), "team_id").select(*columns, *asked, "teamlead_name").distinct()
+
+
 def attendance_from_presence(presence: DataFrame, zones: DataFrame, offline: str = "OFFLINE", min_hours: int = 4) -> DataFrame:
     """Shifts inferred from long offline spans: login is the end of the previous one, logout the start.
 

@@ -425,6 +425,37 @@ def coaching_journeys(t):
     return pf.coaching_journeys(docs, user_docs(t), ZONE, "2024-01-05")
 
 
+def _journey_sql():
+    def told(seconds):
+        return f"strftime(((ts + INTERVAL {seconds} SECOND) AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}', '%Y-%m-%dT%H:%M:%SZ')"
+
+    acts = []
+    for i, (kind, label) in enumerate(pf.ACTIONS.items()):
+        there = f"(ev.eventId + {i}) % 4 <> 0"
+        acts += [f"CASE WHEN {there} THEN {told(100 * i)} END AS action{label}Start", f"CASE WHEN {there} AND k % 2 = 0 THEN {told(100 * i + 50)} END AS action{label}End"]
+        acts += [f"CASE WHEN {there} THEN 'http://host/' || ev.eventId || '/{kind}' END AS action{label}Link", f"CASE WHEN {there} THEN CASE WHEN k > 50 THEN 'done' ELSE 'open' END END AS action{label}State"]
+        acts += [f"(k + {i})::DOUBLE AS score{label}"]
+    return f"""SELECT DISTINCT ev.eventId::VARCHAR AS trek_id, team AS team_id, userId AS agent_id, 'lead-' || (k % 7) AS team_leader_id, 'kpi-' || (k % 5) AS kpi_id, 'camp-' || (k % 3) AS campaign_id, 'KPI ' || (k % 5) AS kpi_name,
+        eventType AS trek_global_state, CASE WHEN k > 50 THEN 'true' ELSE 'false' END AS action_complete, (k % 2)::VARCHAR AS feedback_given, NULL::VARCHAR AS action_start, NULL::VARCHAR AS discovery_complete, NULL::VARCHAR AS discovery_start,
+        NULL::VARCHAR AS action_completed, {told(0)} AS trek_date, {told(5)} AS discoveryStart, {told(15)} AS discoveryEnd, {", ".join(acts)}, NULL::VARCHAR AS actionActionState,
+        CASE WHEN k % 2 = 0 THEN 'active' ELSE 'closed' END AS actionState, k::DOUBLE AS actionGoalTarget, 'org' || (userNo % 3) AS orgId,
+        'sq' || i AS Survey_question, CASE WHEN i = 1 THEN k::VARCHAR WHEN i > 1 THEN 'v' || k END AS Survey_value, i::DOUBLE AS Survey_score, CASE WHEN i IS NOT NULL THEN 'radio' END AS Survey_type,
+        CASE WHEN k % 2 = 1 THEN 'how' END AS Feedback_question, CASE WHEN k % 2 = 1 THEN 'fb ' || k END AS Feedback_answer, CASE WHEN k % 2 = 1 THEN k::DOUBLE END AS Feedback_value, c_name AS teamlead_name
+      FROM ev JOIN ld ON team = 'team-' || (userNo // 10) JOIN sq ON sq.eventId = ev.eventId WHERE ts + INTERVAL 20 SECOND >= '2024-01-05' AND k % 40 <> 39"""
+
+
+@query(
+    "d39_coaching_documents",
+    with_(EVENTS)
+    + """, ld AS (SELECT 'team-' || (c_custkey // 10) AS team, c_name FROM customer WHERE c_custkey % 5 < 3),
+       sq AS (SELECT eventId, i FROM ev, LATERAL (SELECT unnest(CASE WHEN k % 3 = 0 THEN [NULL] ELSE range(1, k % 3 + 1) END) AS i)) """
+    + _journey_sql(),
+)
+def coaching_documents(t):
+    leads = user_docs(t).select(F.explode("works_for").alias("w"), "name").filter("w.role_id = 'Team Lead'").select(F.col("w.team_id").alias("team"), F.col("name").alias("teamlead_name"))
+    return pf.coaching_documents(raw.journey_texts(t.events), leads, ZONE, "2024-01-05")
+
+
 SHIFTS = """, p AS (SELECT userId, startTime AS s, startTime + to_seconds(k * 600) AS e, k * 600 // 3600 AS h FROM iv WHERE status IN ('error', 'click') AND k * 600 // 3600 > 4),
   z AS (SELECT p.*, timeZone, lag(e) OVER (PARTITION BY p.userId ORDER BY s, e) AS pe FROM p JOIN users ON users.userId = p.userId),
   sh AS (SELECT userId, coalesce(CASE WHEN pe IS NULL AND h > 12 THEN ((s - INTERVAL 12 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE timeZone END, (pe AT TIME ZONE 'UTC') AT TIME ZONE timeZone) AS loginTime, (s AT TIME ZONE 'UTC') AT TIME ZONE timeZone AS logoutTime FROM z)"""

@@ -451,3 +451,44 @@ def form_payloads(part: DataFrame) -> DataFrame:
         (F.col("p_partkey") % 2 == 0).alias("published"),
         F.array(group).alias("questionGroups"),
     )
+
+
+def journey_texts(events: DataFrame) -> DataFrame:
+    """Coaching documents as JSON text. Times are text, numbers or objects, ids plain or objects, scores numbers or text, feedback one
+    object, a list or absent, and actions are absent in some documents."""
+    e = event_rows(events)
+    k, number = F.col("k"), F.col("eventId")
+
+    def text(*parts):
+        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+    def time(seconds):
+        at = plus_seconds(F.col("ts"), F.lit(seconds))
+        millis = F.unix_millis(at).cast("string")
+        plain = text('"', F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), '"')
+        return F.when(k % 3 == 0, plain).when(k % 3 == 1, millis).otherwise(text('{"$date":', millis, "}"))
+
+    def ident(value):
+        return F.when(k % 2 == 0, text('{"oid":"', value, '"}')).otherwise(text('"', value, '"'))
+
+    kinds = ["lms", "article", "recorded_call", "one_on_one"]
+    actions, scores = [], []
+    for i, kind in enumerate(kinds):
+        end = F.when(k % 2 == 0, text(',"end":', time(100 * i + 50))).otherwise("")
+        block = text(f'"{kind}":{{"start":', time(100 * i), end, ',"link":"http://host/', number, f'/{kind}","state":"', F.when(k > 50, "done").otherwise("open"), '"},')
+        actions.append(F.when((number + i) % 4 == 0, "").otherwise(block))
+        scores.append(text(f'"{kind}":', F.when(k % 2 == 0, (k + i).cast("string")).otherwise(text('"', k + i, '"')), "," if i < 3 else ""))
+
+    def entry(i):
+        return text('{"question":"sq', i.cast("string"), '","value":', F.when(i == 1, k.cast("string")).otherwise(text('"v', k, '"')), ',"score":', i.cast("string"), ',"type":"radio"}')
+
+    survey = F.when(k % 3 == 0, "").otherwise(text(',"survey":[', F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(k % 3, F.lit(1))), entry), ","), "]"))
+    said = text('{"question":"how","answer":"fb ', k, '","value":', F.when(k > 50, k.cast("string")).otherwise(text('"', k, '"')), "}")
+    feedback = F.when(k % 4 == 1, text(',"nfeedback":', said)).when(k % 4 == 3, text(',"nfeedback":[', said, "]")).otherwise("")
+    document = text(
+        '{"_id":', ident(number), ',"team_id":', ident(text("team-", F.floor(F.col("userNo") / 10))), ',"agent_id":', ident(F.col("userId")), ',"team_leader_id":', ident(text("lead-", k % 7)),
+        ',"kpi_id":', ident(text("kpi-", k % 5)), ',"campaign_id":', ident(text("camp-", k % 3)), ',"kpi_name":"KPI ', k % 5, '","trek_global_state":"', F.col("eventType"), '","trek_date":', time(0),
+        ',"discovery":{"start":', time(5), ',"end":', time(15), survey, '},"action":{', *actions, '"state":"', F.when(k % 2 == 0, "active").otherwise("closed"), '","goal":{"goal_target":', k, "}}",
+        ',"score":{', *scores, '},"action_complete":', F.when(k > 50, "true").otherwise("false"), ',"feedback_given":', k % 2, feedback, ',"updatedAt":', time(20), ',"organization_id":"ORG', F.col("userNo") % 3, '"}',
+    )
+    return e.select(F.when(k % 40 == 39, F.substring(document, 1, 40)).otherwise(document).alias("document"))
