@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from callweave.operators import aggregates as ag
 from callweave.operators import nested as ns
 from callweave.operators import ordered, reshape
 from callweave.operators import upserts as up
+from callweave.sources import sheets
 
 
 def attendance(rows: DataFrame) -> DataFrame:
@@ -46,6 +47,30 @@ def conformance(rows: DataFrame, durations: Sequence[str]) -> DataFrame:
     return ordered.newest(out, ["ecn", "date"], *[F.col(c).asc() for c in out.columns if c not in ("ecn", "date")])
 
 
+def month_to_date(lines: DataFrame, columns: Mapping[str, str], numbers: Sequence[str], percents: Sequence[str], org: str, date_at: int = 2, header_at: int = 3) -> DataFrame:
+    """Month-to-date sheets, one row an employee: the date stands in the first cell of line ``date_at``, the header in line
+    ``header_at``, and the line named Grand Total ends the table.
+
+    ``columns`` are new names to header texts, with ``Name`` and ``Emp_ID`` among them; ``numbers`` become numbers and ``percents``
+    also 100 times as great, null where the sheet has something else. Rows without a name are left out, repeated ones count once.
+    """
+    rows = sheets.table(lines, columns, header_at, total="Grand Total", total_in="Name").filter("Name is not null")
+    first = F.get(sheets.cells(F.col("line"), 2), F.lit(0))
+    days = lines.filter(F.col("position") == date_at).select("file", F.to_date(F.try_to_timestamp(first, F.lit("dd-MM-yyyy"))).alias("MTD_DT"))
+    values = {"Emp_ID": F.col("Emp_ID").try_cast("int")}
+    values |= {c: F.col(c).try_cast("double") * (100 if c in percents else 1) for c in numbers}
+    kept = [values[c].alias(c) if c in values else F.col(c) for c in columns]
+    return rows.join(days, "file", "left").select(*kept, "MTD_DT", F.lit("T1").alias("Tier"), F.lit(org).alias("orgId")).distinct()
+
+
+def agent_performance(rows: DataFrame, people: DataFrame, code: str, missing: str = "DNA") -> DataFrame:
+    """Rows of a performance sheet with the user they are about: the person's system id or, where that is unknown or ``missing``, the
+    code itself. ``people`` has ``empCode`` and ``systemId``; rows of unknown people have no user."""
+    known = people.select(F.col("empCode").alias("_code"), "systemId")
+    user = F.when(F.col("systemId").isNull() | (F.col("systemId") == missing), F.col("_code")).otherwise(F.col("systemId"))
+    return rows.join(known, F.col(code) == F.col("_code"), "left").select(user.alias("userId"), *[F.col(f"`{c}`") for c in rows.columns])
+
+
 def behaviour_scores(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Behaviour scores keyed by the id in brackets after the name; only new (id, month) pairs are added."""
     fresh = rows.select(tx.bracketed_id(F.col("agent")).alias("userId"), "month", F.col("score").try_cast("double").alias("score")).filter("userId is not null")

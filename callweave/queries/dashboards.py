@@ -20,7 +20,8 @@ from callweave.queries.prelude import EVENTS, LINES, MART, TURNS, USERS, with_
 from callweave.queries.registry import query
 from callweave.queries.stored import stored_side, stored_sql
 from callweave.queries.timeaxis import sliced
-from callweave.sources import raw, star
+from callweave.session import scratch_path
+from callweave.sources import raw, sheets, star
 
 
 def raw_users(t):
@@ -271,6 +272,54 @@ def attendance_load(t):
     return ld.attendance(rows)
 
 
+# fixed values: columns of the month-to-date sheet by their header texts
+MTD_COLUMNS = {"Name": "Name", "Emp_ID": "Employee ID ", "Sentiment": "Sentiment %", "AHT": "AHT (Comcast)", "Calls": "NCH (Comcast)", "Xfer": "Transfer % (Comcast)", "tNPS": "tNPS"}
+
+
+def _sheets(t):
+    """A delivered sheet for each nation's customers: two lines of title and date, a header with columns in one of two orders, the
+    rows by id, a total, and notes below it that look like rows."""
+    n = F.col("c_custkey")
+    swap = F.col("c_nationkey") % 2 == 1
+    names = list(MTD_COLUMNS.values())[:6]
+    orders = (names, [names[i] for i in (1, 0, 3, 2, 5, 4)])
+    values = [F.concat(F.lit('"'), "c_name", F.lit(', agent"')), n, n % 100 / 100, F.when(n % 7 == 0, "n/a").otherwise((n % 900).cast("string")), n % 50, n % 40 / 100]
+    text = lambda order: F.concat_ws(",", *[values[i].cast("string") for i in order])
+    line = F.when(swap, text((1, 0, 3, 2, 5, 4))).otherwise(text(range(6)))
+    rows = t.customer.select("c_nationkey", (n + 10).alias("at"), line.alias("line"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey").cast("int")), "dd-MM-yyyy")
+    head = F.when(swap, F.lit(",".join(orders[1]))).otherwise(F.lit(",".join(orders[0])))
+    total = F.when(swap, "0,Grand Total,1,1,1,1").otherwise("Grand Total,0,1,1,1,1")
+    note = F.when(swap, "9,after the total,1,1,1,1").otherwise("after the total,9,1,1,1,1")
+    fixed = [(1, F.lit("Report")), (2, day), (3, head), (1 << 40, total), (1 << 41, note), (1 << 42, total)]
+    around = t.customer.select("c_nationkey").distinct().select("c_nationkey", F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("at"), x.alias("line")) for i, x in fixed])).alias("x"))
+    every = rows.unionByName(around.select("c_nationkey", "x.*"))
+    path = scratch_path(t.spark, "sheets")
+    every.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "at").select("line", "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return sheets.positioned_lines(t.spark, path)
+
+
+@query(
+    "d42_month_to_date_load",
+    """SELECT c_name || ', agent' AS Name, c_custkey::INTEGER AS Emp_ID, (c_custkey % 100 / 100) * 100 AS Sentiment, CASE WHEN c_custkey % 7 <> 0 THEN (c_custkey % 900)::DOUBLE END AS AHT, (c_custkey % 50)::DOUBLE AS Calls,
+         (c_custkey % 40 / 100) * 100 AS Xfer, NULL::DOUBLE AS tNPS, (DATE '2024-01-01' + c_nationkey::INTEGER)::VARCHAR AS MTD_DT, 'T1' AS Tier, 'org' AS orgId FROM customer""",
+)
+def month_to_date_load(t):
+    numbers = ["Sentiment", "AHT", "Calls", "Xfer", "tNPS"]
+    return ld.month_to_date(_sheets(t), MTD_COLUMNS, numbers, ["Sentiment", "Xfer"], "org")
+
+
+@query(
+    "d42_agent_performance_load",
+    """SELECT CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 5 IN (0, 1) THEN c_custkey::VARCHAR ELSE 'sys' || c_custkey END AS userId, c_custkey::VARCHAR AS "Emp ID", c_name || ', agent' AS Name, (c_custkey % 50)::VARCHAR AS Calls FROM customer""",
+)
+def agent_performance_load(t):
+    rows = sheets.table(_sheets(t), {"Emp ID": "Employee ID", "Name": "Name", "Calls": "NCH (Comcast)"}, 3, total="Grand Total", total_in="Name").drop("file", "position")
+    n = F.col("c_custkey")
+    people = t.customer.filter(n % 3 != 0).select(n.cast("string").alias("empCode"), F.when(n % 5 == 0, "DNA").when(n % 5 == 1, None).otherwise(F.concat(F.lit("sys"), n)).alias("systemId"))
+    return ld.agent_performance(rows, people, "Emp ID")
+
+
 @query(
     "d42_day_wise_load",
     with_(EVENTS) + """SELECT userId, CAST(ts AS DATE)::VARCHAR AS date, sum(CASE WHEN eventType = 'view' THEN cents END)::BIGINT AS "view", sum(CASE WHEN eventType = 'error' THEN cents END)::BIGINT AS error, NULL::BIGINT AS escalation FROM ev GROUP BY 1, 2""",
