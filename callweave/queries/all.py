@@ -3,6 +3,7 @@
 from callweave.queries import (  # noqa: F401
     aggregates,
     dashboards,
+    exports,
     facts,
     joins,
     kpis,
