@@ -16,6 +16,7 @@ from callweave.queries import (  # noqa: F401
     scalars,
     sources,
     streams,
+    targets,
     timeaxis,
     upserts,
     windows,
