@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callweave.operators import documents as dc
@@ -260,6 +260,20 @@ def coaching_documents(texts: DataFrame, leads: DataFrame, zone: str, start: str
     return out.join(leads.select(F.col("team").alias("team_id"), "teamlead_name"), "team_id").select(*columns, *asked, "teamlead_name").distinct()
 
 
+def raw_kpis(rows: DataFrame, org: Column) -> DataFrame:
+    """Delivered KPI values as the raw table, kept in folders by organisation and day; rows without a value are left out."""
+    return rows.filter("value is not null").select(
+        F.col("campaign_id").alias("campaignId"),
+        "kpi",
+        F.col("outcome_name").alias("outcomeName"),
+        F.col("outcome_id").alias("outcomeId"),
+        F.col("user_id").alias("userId"),
+        F.col("date").try_cast("date").alias("date"),
+        F.col("value").try_cast("float").alias("value"),
+        F.lower(org).alias("orgId"),
+    ).distinct()
+
+
 def attendance_from_presence(presence: DataFrame, zones: DataFrame, offline: str = "OFFLINE", min_hours: int = 4) -> DataFrame:
     """Shifts inferred from long offline spans: login is the end of the previous one, logout the start.
 

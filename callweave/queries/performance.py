@@ -10,6 +10,7 @@ from callweave.plans import performance as pf
 from callweave.queries.prelude import EVENTS, INTERVALS, LINES, USERS, with_
 from callweave.queries.registry import query
 from callweave.queries.stored import stored_side, stored_sql
+from callweave.session import scratch_path
 from callweave.sources import raw, star
 
 ZONE = "Asia/Manila"
@@ -524,3 +525,23 @@ def levels_highest(t):
     return rows.groupBy("campaignId", "userId").agg(
         F.max("levelNumber").alias("levelNumber"), F.max_by("levelStartPoints", "levelNumber").alias("levelStartPoints")
     )
+
+
+@query(
+    "d48_raw_kpis",
+    with_(EVENTS)
+    + """, d AS (SELECT 'camp-' || (k % 3) AS campaignId, eventType AS kpi, 'Outcome ' || (k % 4) AS outcomeName, (k % 4)::VARCHAR AS outcomeId, userId, CAST(ts AS DATE)::VARCHAR AS date, k::FLOAT AS value, 'org' || (userNo % 3) AS orgId FROM ev WHERE k % 10 <> 0)
+       SELECT DISTINCT * FROM d WHERE date >= '2024-01-10' UNION ALL (SELECT DISTINCT * REPLACE (-1::FLOAT AS value) FROM d WHERE date < '2024-01-10')""",
+)
+def raw_kpis(t):
+    e = raw.event_rows(t.events)
+    path = scratch_path(t.spark, "raw-kpis")
+    rows = e.select(
+        F.concat(F.lit("camp-"), F.col("k") % 3).alias("campaign_id"), F.col("eventType").alias("kpi"), F.concat(F.lit("Outcome "), F.col("k") % 4).alias("outcome_name"), (F.col("k") % 4).cast("string").alias("outcome_id"),
+        F.col("userId").alias("user_id"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.when(F.col("k") % 10 != 0, F.col("k").cast("string")).alias("value"), F.concat(F.lit("ORG"), F.col("userNo") % 3).alias("org"),
+    )
+    every = pf.raw_kpis(rows, F.col("org"))
+    # stored: a first delivery of all days; the next one replaces the days it holds
+    up.replace_partitions(every.withColumn("value", F.lit(-1).cast("float")).distinct(), path, ["orgId", "date"])
+    up.replace_partitions(every.filter("date >= '2024-01-10'"), path, ["orgId", "date"])
+    return t.spark.read.schema(every.schema).parquet(path)
