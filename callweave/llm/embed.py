@@ -217,23 +217,32 @@ def _cells(rows: str) -> Column:
     return F.ceil(F.col(rows) / CELL).cast("int").alias("cells")
 
 
-def _links(copies: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
-    """(a, b) of vectors that link, enough of them to connect every component the passes find."""
-    n = copies.count()
-    passes = passes_for(n, threshold, recall)
-    # rounded down: a pair shares these signs at least as often as the passes were reckoned for
-    bits = min(63, int(_bits(n)))
-    prefix = F.shiftright("key", 64 - bits)
-    # 0. keys alone: when close vectors make the passes compare more pairs than there are, every pair is compared once
+def _every_pair(copies: DataFrame, threshold: float, seed: int, n: int, passes: int, prefix: Column) -> DataFrame | None:
+    """Links by comparing every pair once, where close vectors make the passes compare more pairs than there are."""
     probes = min(PROBES, passes)
     probe = copies.select("id", "dim", "unit").mapInArrow(_keyed(probes, seed), "pass int, key long, id long, dim int, unit binary")
     shared = probe.groupBy("pass", "dim", prefix.alias("prefix")).agg(F.count("*").cast("double").alias("n"))
     shared = shared.agg(F.coalesce(F.sum(F.col("n") * F.col("n")) / 2, F.lit(0.0))).first()[0]
     dims = copies.groupBy("dim").agg(F.count("*").alias("n"))
     every = dims.agg(F.coalesce(F.sum(F.col("n").cast("double") * F.col("n")) / 2, F.lit(0.0))).first()[0]
-    if passes * (n * WINDOW + shared / probes) > every:
-        cells = _in_cells(copies.select("dim", "id", "unit"), ["dim"], F.broadcast(dims.select("dim", _cells("n"))))
-        return cells.mapInArrow(_cell_links(["dim"], threshold), "a long, b long")
+    if passes * (n * WINDOW + shared / probes) <= every:
+        return None
+    # one row for each length of vector
+    cells = _in_cells(copies.select("dim", "id", "unit"), ["dim"], F.broadcast(dims.select("dim", _cells("n"))))
+    return cells.mapInArrow(_cell_links(["dim"], threshold), "a long, b long")
+
+
+def _links(copies: DataFrame, threshold: float, recall: float, seed: int, cheapest: bool) -> DataFrame:
+    """(a, b) of vectors that link, enough of them to connect every component the passes find."""
+    n = copies.count()
+    passes = passes_for(n, threshold, recall)
+    # rounded down: a pair shares these signs at least as often as the passes were reckoned for
+    bits = min(63, int(_bits(n)))
+    prefix = F.shiftright("key", 64 - bits)
+    if cheapest:
+        every = _every_pair(copies, threshold, seed, n, passes, prefix)
+        if every is not None:
+            return every
     # 1. sorted order of every pass, over range partitions; ranks are places inside them plus the sizes before
     keyed = copies.select("id", "dim", "unit").mapInArrow(_keyed(passes, seed), "pass int, key long, id long, dim int, unit binary")
     sorted_rows = cut_lineage(keyed.repartitionByRange("dim", "pass", "key", "id").withColumn("part", F.spark_partition_id()))
@@ -253,11 +262,11 @@ def _links(copies: DataFrame, threshold: float, recall: float, seed: int) -> Dat
     wide = ranked.groupBy(*keys).agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.count("*").alias("n")).filter(F.col("n") > WINDOW + 1)
     at = lambda c: F.floor(F.col(c) / BLOCK)
     wide = wide.filter((at("first") != at("last")) | (F.col("first") % BLOCK == 0) | (F.col("last") % BLOCK == BLOCK - 1))
-    cells = _in_cells(ranked.select(*keys, "id", "unit"), keys, F.broadcast(wide.select(*keys, _cells("n"))))
+    cells = _in_cells(ranked.select(*keys, "id", "unit"), keys, wide.select(*keys, _cells("n")))
     return links.unionByName(cells.mapInArrow(_cell_links(keys, threshold), "a long, b long"))
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, recall: float = 0.995, seed: int = 7) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, recall: float = 0.995, seed: int = 7, cheapest: bool = True) -> DataFrame:
     """``id_col``, ``n_links``, ``component_id`` and ``kept``, one row per vector.
 
     Two vectors of one length link when their cosine in double precision reaches ``threshold``. ``n_links`` counts
@@ -266,14 +275,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     ``component_id`` and is not kept. Vectors with equal values are compared once and counted as often as there are
     ids. Repeated rows (same id, same vector) come back once. Other columns are left out. No pair below the threshold is
     linked; of those at the threshold ``recall`` are met in one of the passes at least, the nearer ones more often, however
-    close together the vectors lie.
+    close together the vectors lie. ``cheapest`` compares all pairs instead where that is less work than the passes.
     """
     given = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("v")).distinct()
     units = given.mapInArrow(_unit, "id long, dim int, unit binary")
     copies = cut_lineage(units.groupBy("dim", "unit").agg(F.min("id").alias("id"), F.countDistinct("id").alias("copies"), F.sha2("unit", 256).alias("digest")))
     # 1. and 2. sorted passes
     # 3. union over all passes
-    found = components(_links(copies, threshold, recall, seed))
+    found = components(_links(copies, threshold, recall, seed, cheapest))
     # 4. all pairs inside each component, in cells of bounded size
     members = copies.join(found, "id")
     sizes = members.groupBy("component").agg(F.count("*").alias("n")).select("component", _cells("n"))
@@ -307,5 +316,5 @@ FROM (SELECT vec_id, min(root) AS component_id FROM r GROUP BY 1) LEFT JOIN (SEL
 
 @query("op3_embedding_dedup", SQL)
 def op3_embedding_dedup(spark, folder):
-    """Links and components of all embeddings."""
-    return near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    """Links and components of all embeddings, by the sorted passes whatever their number."""
+    return near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"), cheapest=False)
