@@ -98,7 +98,7 @@ def interval_metrics(details: DataFrame) -> DataFrame:
     """
     stamp = [c for c in ("recordInsertTime",) if c in details.columns]
     keys = ["conversationId", "agentId", "mediaType", "messageType", "originatingDirection", *stamp]
-    rows = ns.flatten(
+    held = ns.flatten(
         details,
         [
             "conversationId",
@@ -109,13 +109,10 @@ def interval_metrics(details: DataFrame) -> DataFrame:
             *stamp,
             F.col("p.purpose"),
             F.col("s.segments"),
-            F.col("m.name"),
-            F.col("m.value"),
-            F.col("m.emitDate"),
+            F.col("s.metrics"),
         ],
         ("participants", "p"),
         ("p.sessions", "s"),
-        ("s.metrics", "m"),
     ).select(
         *keys,
         "purpose",
@@ -124,14 +121,15 @@ def interval_metrics(details: DataFrame) -> DataFrame:
         ns.first_of("segments", "queueId").alias("queueId"),
         ns.last_of("segments", "wrapUpCode").alias("wrapUpCode"),
         ns.last_of("segments", "wrapUpNote").alias("wrapUpNote"),
-        "emitDate",
-        "name",
-        F.coalesce("value", F.lit(0).cast("long")).alias("value"),
+        "metrics",
     )
-    names = sorted({*COUNTED, *SUMMED, *TIMED})
-    sessions = reshape.pivot_sum(
-        rows, [*keys, "purpose", "_segments", "queueId", "wrapUpCode", "wrapUpNote", "emitDate"], "name", "value", names
+    # sessions are shuffled once, before their metrics are exploded; both roll-ups keep that partitioning
+    fields = [*keys, "purpose", "_segments", "queueId", "wrapUpCode", "wrapUpNote"]
+    rows = held.repartition("conversationId").select(*fields, F.explode("metrics").alias("m")).select(
+        *fields, F.col("m.emitDate"), F.col("m.name"), F.coalesce("m.value", F.lit(0).cast("long")).alias("value")
     )
+    names = sorted({*COUNTED, *SUMMED, *TIMED})
+    sessions = reshape.pivot_sum(rows, [*fields, "emitDate"], "name", "value", names)
     aggs = [F.max("wrapUpNote").alias("wrapUpNote")]
     aggs += [count_positive(m).alias("n" + m[1:]) for m in COUNTED]
     aggs += [F.sum(F.coalesce(m, F.lit(0))).alias(m) for m in SUMMED]
