@@ -40,14 +40,14 @@ def test_first_rows_are_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", ["j5_dense_grid", "j6_point_in_interval", "j12_cascading_name_match", "j15_line_anchor_join", "d17_timeline", "d24_user_kpis", "d27_complexity", "d36_kpi_grid", "d40_kpi_values"])
+@pytest.mark.parametrize("name", ["j5_dense_grid", "j6_point_in_interval", "j12_cascading_name_match", "j15_line_anchor_join", "d17_timeline", "d24_user_kpis", "d27_extract_date_complexity", "d36_kpi_grid", "d40_kpi_values"])
 def test_no_pairwise_joins(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_no_python_in_the_hot_path(spark):
-    for name in ("d2_interval_metric_fact", "d27_complexity", "d18_process_map", "i8_valid_local_times", "f10_clean_text", "n7_zip_series"):
+    for name in ("d2_interval_metric_fact", "d27_extract_date_complexity", "d18_process_map", "i8_valid_local_times", "f10_clean_text", "n7_zip_series"):
         text = plan(spark, name)
         assert "Python" not in text and "Pandas" not in text, name
 
@@ -67,7 +67,7 @@ def test_no_pairwise_joins_when_nothing_is_small(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["d17_timeline", "d18_process_map", "d24_user_kpis", "d27_complexity", "x8_previous_queue"])
+@pytest.mark.parametrize("name", ["d17_timeline", "d18_process_map", "d24_user_kpis", "d27_extract_date_complexity", "x8_previous_queue"])
 def test_building_a_plan_reads_footers_only(spark, name):
     """Jobs of a second build: one per table read, for its schema, and none over data."""
     REGISTRY[name](spark, FOLDER)
