@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from callweave.session import cut_lineage
+from callweave.session import scratch_path
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,22 +17,34 @@ def components(links: DataFrame) -> DataFrame:
     split by Spark. Links with nulls and links of an id to itself are left out; repeated links count once.
     """
     links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links, state = _written(links.distinct())
+    spark = links.sparkSession
+    path = scratch_path(spark, "stage")
+    links.distinct().write.parquet(path)
+    # the rounds have a session of their own: one that has observed a write cannot be sent along with tasks any more
+    rounds = spark.newSession()
+    rounds.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    at = rounds.read.schema(links.schema).parquet(path)
+    state = tuple(at.agg(F.count(F.lit(1)), _hash_sum()).first())
     while state[0]:
-        links, new = _written(_small_star(_large_star(links)))
+        path, new = _written(_small_star(_large_star(at)))
         if new == state:
             break
-        state = new
+        at, state = rounds.read.schema(links.schema).parquet(path), new
+    links = spark.read.schema(links.schema).parquet(path)
     return links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
 
 
-def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """The written links, and their number and the sum of their hashes, gathered while they are written."""
-    seen = Observation()
-    out = cut_lineage(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")))
-    return out, (seen.get["n"], seen.get["sum"])
+def _hash_sum():
+    return F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+
+
+def _written(links: DataFrame) -> tuple[str, tuple]:
+    """Path of the written links, and their number and the sum of their hashes, gathered while they are written."""
+    seen, path = Observation(), scratch_path(links.sparkSession, "stage")
+    links.observe(seen, F.count(F.lit(1)).alias("n"), _hash_sum().alias("sum")).write.parquet(path)
+    return path, (seen.get["n"], seen.get["sum"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:
