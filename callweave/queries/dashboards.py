@@ -505,7 +505,7 @@ def transcript_candidates(t):
     with_(LINES) + "SELECT DISTINCT sessionId AS conversationId, sessionId || '-c' AS communicationId FROM lines WHERE taxPct >= 6 AND quantity % 2 = 0",
 )
 def customer_sessions(t):
-    details = t.conversation_details()
+    details = t.payloads()
     scored = evp.conversation_surveys(details).filter("oSurveyTotalScore % 4 = 0")
     return ld.customer_sessions(details, scored)
 
