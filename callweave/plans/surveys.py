@@ -94,7 +94,12 @@ def contacts(details: DataFrame, queues: DataFrame, excluded_codes: list[str], c
 
     ``customer_of`` goes from media type to the session field that identifies the customer.
     """
-    first = ordered.newest(details, ["conversationId"], F.col("recordInsertTime").asc())
+    # a record is cut to the fields in use, then shuffled and sorted
+    fields = ["sessionId", "mediaType", *dict.fromkeys(customer_of.values()), "segments"]
+    inner = dict.fromkeys(["queueId", "wrapUpCode", "segmentEnd", "segmentType"])
+    wanted = {"purpose": None, "userId": None, "sessions": {**dict.fromkeys(fields), "segments": inner}}
+    cut = details.select("conversationId", "conversationStart", "recordInsertTime", ns.only_fields(F.col("participants"), wanted).alias("participants"))
+    first = ordered.newest(cut.repartition("conversationId"), ["conversationId"], F.col("recordInsertTime").asc())
     sessions = ns.conversation_sessions(first).filter(F.col("mediaType").isin(*customer_of) & (F.col("purpose") == "agent"))
     who = F.coalesce(*[F.when(F.col("mediaType") == m, F.col(f)) for m, f in customer_of.items()])
     seg = ns.flatten(
