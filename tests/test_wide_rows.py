@@ -12,6 +12,7 @@ from callweave.plans import process as pr
 from callweave.plans import star
 from callweave.plans import surveys as sv
 from callweave.queries.registry import REGISTRY
+from callweave.sources import star as star_source
 from callweave.sources import tables, writers
 from callweave.sources.tables import Tables
 
@@ -61,6 +62,20 @@ def test_a_table_of_the_newest_payloads_takes_what_it_uses(spark, name):
     assert ("metrics" in inside) == (name == "metrics") and ("segments" in inside) == (name == "segments")
 
 
+def test_star_tables_are_made_of_rows_by_month(spark, tmp_path):
+    for name in ("lineitem", "orders"):
+        some = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        some = some.filter(f"{some.columns[0]} < 200")
+        # an order that comes twice gives its facts once for each
+        some.unionByName(some.filter(f"{some.columns[0]} < 20")).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    months = star_source.conversations(t.orders).select("conversationId", "startMonth")
+    for name, source in [("metrics", t.line_sessions()), ("participants", t.line_sessions()), ("segments", t.line_sessions()), ("menus", t.orders), ("flows", t.orders)]:
+        want = getattr(star_source, name)(source).join(months, "conversationId", "left")
+        assert rows(t.star(name).select(*want.columns)) == rows(want)
+    assert {k[2] for k in tables._landed if k[1] == str(tmp_path)} >= {"sessions by month", "orders by month"}
+
+
 def test_only_fields(spark):
     a = spark.sql("SELECT array(named_struct('x', 1, 'y', array(named_struct('p', 2, 'q', 3), NULL)), NULL) AS a UNION ALL SELECT NULL")
     got = rows(a.select(ns.only_fields(F.col("a"), {"y": {"q": None}}).alias("a")).select(F.to_json(F.struct("a"))))
