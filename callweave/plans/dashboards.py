@@ -128,9 +128,12 @@ def evaluation_details(evaluations: DataFrame, scores: DataFrame, queues: DataFr
     return local.drop("timeZone")
 
 
-def question_score_summary(scores: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """Questions asked, failed and scored per form and question."""
-    rows = scores.join(evaluations.select("evaluationId", "evaluationFormId"), "evaluationId")
+def question_score_summary(scores: DataFrame) -> DataFrame:
+    """Questions asked, failed and scored per form and question. ``scores`` has one row per evaluation with the lists
+    ``questionScores`` and ``evaluations``."""
+    forms = scores.select("questionScores", F.explode("evaluations.evaluationFormId").alias("evaluationFormId"))
+    # outer, as Spark would make the list twice for its filter on empty ones
+    rows = forms.select("evaluationFormId", F.explode_outer("questionScores").alias("q")).filter("q is not null").select("evaluationFormId", "q.*")
     return rows.groupBy("evaluationFormId", "questionId").agg(
         F.count(F.lit(1)).alias("asked"), F.count_if("failedKillQuestion").alias("failed"), F.sum("score").alias("score")
     )

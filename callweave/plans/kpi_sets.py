@@ -68,14 +68,24 @@ def survey_kpis(surveys: DataFrame, intervals: DataFrame, queues: DataFrame) ->
     )
 
 
-def quality_kpis(group_scores: DataFrame, question_scores: DataFrame, evaluations: DataFrame, queues: DataFrame) -> DataFrame:
-    """Quality score per agent and local day: share of the reachable score over the questions answered."""
-    questions = question_scores.groupBy("evaluationId", "questionGroupId").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("failedKillQuestion")).alias("passed")
-    )
+def quality_kpis(scores: DataFrame, queues: DataFrame) -> DataFrame:
+    """Quality score per agent and local day: share of the reachable score over the questions answered.
+
+    ``scores`` has one row per evaluation with the lists ``groupScores``, ``questionScores`` and ``evaluations``, so that groups
+    meet their questions and evaluations without a join.
+    """
+
+    def counted(g: Column) -> Column:
+        n = F.size(F.filter("questionScores", lambda q: q["questionGroupId"] == g["questionGroupId"]))
+        passed = F.size(F.filter("questionScores", lambda q: (q["questionGroupId"] == g["questionGroupId"]) & ~q["failedKillQuestion"]))
+        return F.struct(g["totalScore"].alias("totalScore"), g["maxTotalScore"].alias("maxTotalScore"), n.alias("n"), passed.alias("passed"))
+
+    # the short list goes along with the long one; it is filtered inside the explode, as Spark would count it twice for a filter before
     rows = (
-        group_scores.join(questions, ["evaluationId", "questionGroupId"])
-        .join(evaluations.select("evaluationId", "agentId", "queueId", "mediaType", "conversationDate"), "evaluationId")
+        scores.select("evaluations", F.transform("groupScores", counted).alias("groups"))
+        .select("groups", F.explode("evaluations").alias("e"))
+        .select("e.agentId", "e.queueId", "e.mediaType", "e.conversationDate", F.explode(F.filter("groups", lambda g: g["n"] > 0)).alias("g"))
+        .select("agentId", "queueId", "mediaType", "conversationDate", "g.*")
         .join(queues.select("queueId", "timeZone"), "queueId")
     )
     return rows.groupBy(F.col("agentId").alias("userId"), local_date("conversationDate").alias("date")).agg(

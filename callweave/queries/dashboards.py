@@ -199,7 +199,8 @@ def evaluation_details(t):
        SELECT 'form-' || form AS evaluationFormId, q AS questionId, count(*) AS asked, count(*) FILTER (WHERE returnFlag = 'R' AND score < 3) AS failed, sum(score)::BIGINT AS score FROM q GROUP BY 1, 2""",
 )
 def question_scores(t):
-    return db.question_score_summary(evp.question_scores(raw.evaluation_payloads(t.line_sessions())), kpis.evaluation_rows(t))
+    payloads = evp.gathered(raw.evaluation_payloads(t.line_sessions()), kpis.delivered_evaluations(t))
+    return db.question_score_summary(evp.question_scores(payloads, in_place=True))
 
 
 @query(
