@@ -85,7 +85,8 @@ def group_scores(payloads: DataFrame, in_place: bool = False) -> DataFrame:
 
 
 def question_scores(payloads: DataFrame, in_place: bool = False) -> DataFrame:
-    """Distinct scores of questions, one row each; ``in_place`` adds them as the list ``questionScores`` to `gathered` payloads."""
+    """Distinct scores of questions, one row each, spread finely by their evaluation; ``in_place`` adds them as the list ``questionScores`` to
+    `gathered` payloads."""
     if in_place:
 
         def scores(g: Column) -> Column:
@@ -93,12 +94,13 @@ def question_scores(payloads: DataFrame, in_place: bool = False) -> DataFrame:
 
         lists = F.filter(F.transform(_delivered_groups(), scores), lambda x: x.isNotNull())
         return payloads.withColumn("questionScores", F.array_distinct(F.flatten(lists)))
-    return ns.flatten(
+    scores = ns.flatten(
         payloads,
         [F.col("id").alias("evaluationId"), F.col("g.questionGroupId"), *[F.col(f"q.{c}") for c in _QUESTION]],
         ("answers.questionGroupScores", "g"),
         ("g.questionScores", "q"),
-    ).distinct()
+    )
+    return jn.spread_finely(scores, "evaluationId").distinct()
 
 
 def conversation_surveys(details: DataFrame) -> DataFrame:

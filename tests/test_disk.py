@@ -2,9 +2,10 @@
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
+from callweave.operators import joins as jn
+from callweave.operators import upserts as up
 from callweave.queries.registry import REGISTRY
 from callweave.sources import tables
 from callweave.sources.tables import Tables
@@ -42,3 +43,32 @@ def test_star_tables_are_made_as_they_are_read(spark, few):
 def test_actions_need_no_sessions(spark, few):
     assert not REGISTRY["d19_raw_actions"](spark, few).isEmpty()
     assert landed(few) == {"orders by month"}
+
+
+def test_lines_in_many_splits_are_not_landed(spark, few, tmp_path):
+    lines = spark.read.parquet(f"{few}/lineitem.parquet")
+    lines.repartition(32).write.parquet(f"{tmp_path}/many/lineitem.parquet")
+    t = Tables(spark, f"{tmp_path}/many")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert all("/lineitem.parquet/" in f for f in t.line_sessions().inputFiles())
+        assert rows(t.line_sessions()) == rows(Tables(spark, few).line_sessions())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_scores_are_shuffled_by_their_evaluation_alone(spark):
+    """Scores once, stored rows under other keys once; merging and dropping repeated rows happen in place."""
+    for name in ("d6_evaluation_question_scores", "p14_export_question_scores"):
+        keys = {x.split("hashpartitioning(")[1].split("#")[0] for x in plan(REGISTRY[name](spark, FOLDER)).split("\n") if "Exchange hashpartitioning(" in x and "sessionId" not in x}
+        keys -= {"l_orderkey"}
+        assert keys == {"evaluationId"}
+
+
+def test_sides_spread_by_a_key_are_merged_in_place(spark):
+    old = spark.createDataFrame([("a", 1, "x"), ("a", None, "x"), (None, 1, "x"), ("b", 2, "x"), ("b", 2, "y"), (None, None, None)], "k string, n int, v string")
+    new = spark.createDataFrame([("a", None, "new"), (None, 1, "new"), ("b", 3, "new"), ("b", 3, "new")], "k string, n int, v string")
+    got = up.merge_all(jn.spread_finely(old, "k"), jn.spread_finely(new, "k"), ["k", "n"], check=False, beside=True)
+    assert rows(got) == rows(up.merge_all(old, new, ["k", "n"], check=False))
+    assert got.columns == old.columns
