@@ -2,9 +2,11 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
 from callweave.operators import joins as jn
+from callweave.operators import marks
 from callweave.operators import upserts as up
 from callweave.queries.registry import REGISTRY
 from callweave.sources import tables
@@ -72,3 +74,32 @@ def test_sides_spread_by_a_key_are_merged_in_place(spark):
     got = up.merge_all(jn.spread_finely(old, "k"), jn.spread_finely(new, "k"), ["k", "n"], check=False, beside=True)
     assert rows(got) == rows(up.merge_all(old, new, ["k", "n"], check=False))
     assert got.columns == old.columns
+
+
+def test_marks_hold_every_wanted_key(spark):
+    table = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("k"), "id").unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    wanted = table.filter("id % 40 = 0 or k is null")
+    got = marks.possible(table, wanted, "k")
+    assert got.join(wanted, "id", "left_semi").count() == wanted.count()
+    # false marks are few
+    assert got.count() < wanted.count() + 400
+    assert marks.possible(table, wanted.limit(0), "k").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["d18_process_map", "d18_ivr_export", "d19_curated_steps"])
+def test_facts_of_a_map_are_shuffled_once_by_conversation(spark, name):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(REGISTRY[name](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # below the joins of the facts, rows are marked first and never shuffled by the conversation and another column
+    assert "getbit" in text and "Exchange hashpartitioning(startMonth" not in text
+    assert not [x for x in text.split("\n") if "hashpartitioning(conversationId#" in x and ", participantId#" in x]
+
+
+def test_wanted_rows_agree_in_part_and_key(spark):
+    table = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (1, "b", 3), (None, "a", 4), (1, None, 5)], "m int, k string, v int")
+    wanted = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (1, None), (2, "b")], "m int, k string")
+    assert rows(jn.of_wanted(table, wanted, "m", ["k"]).select("m", "k", "v")) == [(1, "a", 1)]
