@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from callweave.llm.common import documents
 from callweave.llm.components import components
 from callweave.llm.registry import query
+from callweave.operators import marks
 from callweave.session import cut_lineage
 
 #: Sets and shingles of one block.
@@ -342,12 +343,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # cells: sets that share values of their signatures
     values = classes.select("number", F.explode("values").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("c"), F.min("number").alias("first")).filter("c > 1").select("value", "first")
-    links = values.join(shared, "value").select(F.col("number").alias("a"), F.col("first").alias("b"))
+    # marked and joined: two reads; most values are those of one set
+    shared = cut_lineage(shared)
+    links = marks.possible(values, shared, "value").join(shared, "value").select(F.col("number").alias("a"), F.col("first").alias("b"))
     cells = components(links).withColumnRenamed("id", "number").withColumnRenamed("component", "cell")
     chosen = cut_lineage(classes.select("number", "set", "id", "n").join(cells, "number"))
     # the shingles of the sets in cells, from the texts again; the chosen ids grow with the corpus, so that they are never
-    # broadcast, and the plan is the same at every size
-    wanted = rows.join(chosen.select("id", "number", "set").hint("merge"), "id")
+    # broadcast, and the plan is the same at every size; texts of other sets are told by marks and not shuffled
+    wanted = marks.possible(rows, chosen, "id").join(chosen.select("id", "number", "set").hint("merge"), "id")
     sets = wanted.select("text", "number", "set").mapInArrow(_sets(words), "number long, shingles binary").dropDuplicates(["number"])
     sets = cut_lineage(_blocked(chosen.drop("set", "id"), "cell", rule).join(sets, "number"))
     # 1. inside blocks
@@ -355,7 +358,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = _search(inside, rule)
     # 2. one set of each component of a block, for cells of several blocks
     several = sets.groupBy("cell").agg(F.countDistinct("range", "sub").alias("blocks")).filter("blocks > 1").select("cell")
-    split = cut_lineage(_labelled(sets.join(several, "cell", "left_semi"), found))
+    split = cut_lineage(_labelled(marks.possible(sets, several, "cell").join(several, "cell", "left_semi"), found))
     if not split.isEmpty():
         first = split.groupBy("cell", "range", "sub", "label").agg(F.min("number").alias("number"))
         heads = split.drop("range", "sub", "subs").join(first.select("number"), "number", "left_semi")
@@ -393,7 +396,12 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``docs`` without the documents whose component holds a smaller id. Rows of one id stay or go together; rows with a null id stay."""
     found = similar_sets(docs, id_col, text_col, words, percent)
     gone = found.groupBy(id_col).agg(F.min("component_id").alias("_c")).filter(F.col("_c") < F.col(id_col)).select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # marked and joined: two reads of a few ids; documents that cannot go are not shuffled
+    gone = cut_lineage(gone)
+    key = marks.hash_of(F.col(f"`{id_col}`"))
+    may_go = marks.marked(gone.select(key.alias("_hash")), gone)(key)
+    kept = docs.filter(~may_go).unionByName(docs.filter(may_go).join(gone, id_col, "left_anti"))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 SQL = r"""
